@@ -52,9 +52,9 @@ def _lineitem_log(spark, d):
 
 # --- streaming forms: the events file read by the file source --------------
 def _event_stream(spark: SparkSession, d: str) -> DataFrame:
-    path = f"{d}/events.parquet"
-    schema = spark.read.parquet(path).schema
-    return events_as_log(spark.readStream.schema(schema).parquet(path))
+    # the file source needs a folder or a glob; the glob selects the one file
+    schema = spark.read.parquet(f"{d}/events.parquet").schema
+    return events_as_log(spark.readStream.schema(schema).parquet(f"{d}/events.parquet*"))
 
 
 def _stream_avg_speed(spark, d):
