@@ -25,7 +25,10 @@ def java_split(c, sep: str) -> Column:
     trailing empties, hence the strip first."""
     x = _col(c)
     q = _regex_quote(sep)
-    stripped = F.regexp_replace(x, "(" + q + ")+\\z", "")
+    if len(sep) == 1:
+        stripped = F.rtrim(x, F.lit(sep))  # trailing run of one character
+    else:
+        stripped = F.regexp_replace(x, "(" + q + ")+\\z", "")
     return (F.when((x != F.lit("")) & (stripped == F.lit("")), F.array().cast("array<string>"))
             .otherwise(F.split(stripped, q)))
 

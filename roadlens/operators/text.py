@@ -50,8 +50,10 @@ def remove_top_word(lines: DataFrame, sep: str = " ", text_col: str = "value") -
     """Counts of all words except the single most frequent one (a tie goes to
     the smallest word), ordered by ``n`` descending, then word.  The top
     word is found by a top-1 sort (no collect) and removed by an anti join
-    against that one row, which is broadcast."""
+    against that one row, which is broadcast.  The join is on ``(word, n)``:
+    ``n`` only exists after the aggregate, so the join cannot be pushed below
+    it and both branches share one aggregation (one reused exchange)."""
     counts = _counts(lines, sep, None, text_col)
-    top = counts.orderBy(F.desc("n"), F.asc("word")).limit(1).select("word")
-    return (counts.join(bounded_broadcast(top, 1), "word", "left_anti")
+    top = counts.orderBy(F.desc("n"), F.asc("word")).limit(1)
+    return (counts.join(bounded_broadcast(top, 1), ["word", "n"], "left_anti")
             .orderBy(F.desc("n"), F.asc("word")))

@@ -12,6 +12,7 @@ from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from roadlens import schemas as S
 from roadlens.functions import java_split, monitor_of_props, parse_log_time
+from roadlens.plans.checkpoint import checkpoint_root
 
 
 # --------------------------------------------------------------------------
@@ -132,7 +133,10 @@ def part_ego_lists(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Relationship data from ``lineitem``: two parts are friends when they
     are consecutive lines of one order; the ego list of a part is the part
     with all its friends.  Long form ``(ego_id, head, member)`` with
-    ``ego_id = head``, so every friendship appears in both ego lists."""
+    ``ego_id = head``, so every friendship appears in both ego lists.
+
+    The result is read several times by the pair operators, so it is written
+    once (``checkpoint`` in the shared folder) instead of being recomputed."""
     from roadlens.plans.sequence import ordered_steps
 
     li = _table(spark, sf_dir, "lineitem").select("l_orderkey", *PART_EDGE_ORDER)
@@ -141,7 +145,10 @@ def part_ego_lists(spark: SparkSession, sf_dir: str) -> DataFrame:
     edges = (seq.where(nxt.isNotNull() & (nxt != F.col("l_partkey")))
              .select(F.least("l_partkey", nxt).alias("a"), F.greatest("l_partkey", nxt).alias("b"))
              .distinct())
-    both = edges.select(F.col("a").alias("head"), F.col("b").alias("member")).unionByName(
-        edges.select(F.col("b").alias("head"), F.col("a").alias("member")))
-    return both.select(F.col("head").alias("ego_id"), "head", "member")
-
+    ego = (edges.select(F.explode(F.array(
+                F.struct(F.col("a").alias("head"), F.col("b").alias("member")),
+                F.struct(F.col("b").alias("head"), F.col("a").alias("member")))).alias("e"))
+           .select(F.col("e.head").alias("ego_id"), F.col("e.head").alias("head"),
+                   F.col("e.member").alias("member")))
+    checkpoint_root(spark)
+    return ego.checkpoint(eager=True)
