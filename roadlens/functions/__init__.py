@@ -48,10 +48,10 @@ def hour_of_text(c) -> Column:
     ``:`` into exactly three; otherwise the hour is ``""`` (kept as a group)."""
     x = _col(c)
     parts = java_split(x, " ")
-    clock = F.element_at(parts, 2)
+    clock = F.try_element_at(parts, F.lit(2))
     pieces = java_split(clock, ":")
     ok = (x.contains(" ") & (F.size(parts) == 2) & clock.contains(":") & (F.size(pieces) == 3))
-    return F.when(ok, F.element_at(pieces, 1)).otherwise(F.lit(""))
+    return F.when(ok, F.try_element_at(pieces, F.lit(1))).otherwise(F.lit(""))
 
 
 def hour_of_time(c) -> Column:
