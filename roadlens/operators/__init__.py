@@ -9,7 +9,7 @@ from roadlens.operators.traffic import (
     top_speeding_monitors_sql, vehicle_trace,
 )
 from roadlens.operators.windows import (
-    congestion_status, latest_speed, windowed_avg_speed, windowed_count,
+    closing_time, congestion_status, latest_speed, windowed_avg_speed, windowed_count,
 )
 
 __all__ = [
@@ -18,5 +18,5 @@ __all__ = [
     "top_monitors", "top_speed_readings", "top_speeding_monitors", "top_speeding_monitors_sql",
     "busiest_hours", "error_monitors", "error_cameras", "status_summary",
     "conversion_rate", "sample_vehicles", "vehicle_trace",
-    "windowed_avg_speed", "windowed_count", "latest_speed", "congestion_status",
+    "windowed_avg_speed", "windowed_count", "closing_time", "latest_speed", "congestion_status",
 ]

@@ -9,7 +9,7 @@ key) and map task; a very busy monitor does not make a large shuffle group.
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, functions as F
+from pyspark.sql import Column, DataFrame, functions as F
 
 from roadlens import schemas as S
 from roadlens.functions import congestion_level, truncating_average
@@ -45,18 +45,38 @@ def windowed_count(df: DataFrame, value: str = "value", window: str = S.TOKEN_WI
     return _flat_window(agg)
 
 
+def closing_time(log: DataFrame, slide: str = S.SPEED_SLIDE, time: str = "event_time",
+                 speed: str = S.SPEED):
+    """Scalar column: the default ``as_of`` of :func:`latest_speed` computed
+    from the log itself — the newest window start is the newest reading
+    time floored to the slide — a one-column max, no window expansion."""
+    newest = (log.where(F.col(speed).isNotNull() & F.col(time).isNotNull())
+              .agg(F.max(time).alias("_t")))
+    return newest.select(F.window("_t", slide)["end"]).scalar()
+
+
 def latest_speed(windowed: DataFrame, as_of=None, slide: str = S.SPEED_SLIDE,
                  monitor: str = S.MONITOR) -> DataFrame:
     """``(monitor, avg_speed, window_end)``: per monitor the average of its
     newest window that has closed by ``as_of``.  Default ``as_of`` = the
     newest window start + ``slide``: the window that ends right after the
     newest reading (a window ending later is only partly filled).  The
-    default is a scalar subquery, no join."""
+    default is a scalar subquery, no join; ``as_of`` may be a scalar column
+    such as :func:`closing_time` of the log the windows came from."""
     if as_of is None:
-        cutoff = windowed.agg((F.max("window_start") + F.expr(f"INTERVAL {slide}"))).scalar()
+        # max over a struct led by window_start = max(window_start); naming
+        # the same columns as the main path keeps the windowed aggregate of
+        # the subquery identical to the main one, so its exchange is reused
+        newest = F.max(F.struct("window_start", monitor, "avg_speed"))["window_start"]
+        cutoff = windowed.agg(newest + F.expr(f"INTERVAL {slide}")).scalar()
+    elif isinstance(as_of, Column):
+        cutoff = as_of
     else:
         cutoff = F.lit(as_of).cast(windowed.schema["window_end"].dataType)
-    closed = windowed.where(F.col("window_end") <= cutoff)
+    # The test names ``n`` (an aggregate output, always >= 1) so it stays
+    # above the windowed aggregate instead of being pushed below it, where
+    # it would make the main aggregate differ from the subquery's one.
+    closed = windowed.where(F.when(F.col("n") >= 1, F.col("window_end")) <= cutoff)
     return closed.groupBy(monitor).agg(
         F.max_by("avg_speed", "window_end").alias("avg_speed"),
         F.max("window_end").alias("window_end"))

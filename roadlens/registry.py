@@ -46,6 +46,11 @@ def _windowed(spark, d):
     return O.windowed_avg_speed(_log(spark, d))
 
 
+def _latest(spark, d):
+    log = _log(spark, d)
+    return O.latest_speed(O.windowed_avg_speed(log), as_of=O.closing_time(log))
+
+
 def _lineitem_log(spark, d):
     return spark.read.parquet(f"{d}/lineitem.parquet")
 
@@ -109,8 +114,8 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     # windows and congestion (Q11-Q13), batch and streaming forms
     "windowed_avg_speed": lambda s, d: _windowed(s, d),
     "windowed_count": lambda s, d: O.windowed_count(_log(s, d), S.CAMERA),
-    "latest_per_monitor": lambda s, d: O.latest_speed(_windowed(s, d)),
-    "congestion_status": lambda s, d: O.congestion_status(_log(s, d), O.latest_speed(_windowed(s, d))),
+    "latest_per_monitor": _latest,
+    "congestion_status": lambda s, d: O.congestion_status(_log(s, d), _latest(s, d)),
     "stream_avg_speed": _stream_avg_speed,
     "stream_window_count": _stream_window_count,
     "stream_congestion_snapshot": _stream_congestion_snapshot,
