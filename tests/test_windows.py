@@ -53,3 +53,10 @@ def test_windowed_count(spark):
     got = rows(O.windowed_count(df), "window_start", "value", "n")
     assert (t(0), "x", 2) in got and (t(10), "x", 1) in got and (t(10), "y", 1) in got
     assert all(n >= 1 for _, _, n in got) and len(got) == 5
+
+
+def test_panes_equal_direct(spark):
+    data = [(datetime(2019, 1, 16, 10, m, s), f"m{s % 3}", (m * 7 + s) % 300) for m in range(4) for s in range(0, 60, 3)]
+    log = spark.createDataFrame(data, SCHEMA)
+    a, b = O.windowed_avg_speed(log, panes=True), O.windowed_avg_speed(log, panes=False)
+    assert a.count() == b.count() and a.exceptAll(b).count() == 0
