@@ -23,15 +23,37 @@ def load_text_lines(spark: SparkSession, path: str) -> DataFrame:
     return spark.read.text(path)
 
 
+def _load_tsv(spark: SparkSession, path: str, schema, mode: str) -> DataFrame:
+    """TAB-separated lines split like Java ``String.split`` into exactly
+    ``len(schema)`` fields, cast to the schema.  ``DROPMALFORMED`` drops
+    lines with another field count or a non-numeric number field;
+    ``FAILFAST`` raises on them."""
+    if mode not in ("DROPMALFORMED", "FAILFAST"):
+        raise ValueError(f"mode must be DROPMALFORMED or FAILFAST, not {mode!r}")
+    n = len(schema.fields)
+    p = java_split(F.col("value"), "\t")
+    fields = [F.col("p")[i].try_cast(f.dataType).alias(f.name) for i, f in enumerate(schema.fields)]
+    ok = F.size("p") == n
+    for i, f in enumerate(schema.fields):
+        if f.dataType.typeName() != "string":
+            ok = ok & F.col("p")[i].try_cast(f.dataType).isNotNull()
+    rows = spark.read.text(path).select("value", p.alias("p"))
+    if mode == "DROPMALFORMED":
+        rows = rows.where(F.when(F.size("p") == n, ok).otherwise(F.lit(False)))
+    else:
+        rows = rows.where(F.when(F.size("p") == n, ok).otherwise(F.lit(False))
+                          | F.raise_error(F.concat(F.lit("malformed line: "), F.col("value"))).isNull())
+    return rows.select(*fields)
+
+
 def load_vehicle_log(spark: SparkSession, path: str, mode: str = "DROPMALFORMED",
                      view: str | None = S.LOG_VIEW) -> DataFrame:
     """TSV vehicle log without header: dateTime, vehiclePlate, vehicleSpeed,
     roadId, monitorId, cameraId.  ``mode='DROPMALFORMED'`` drops lines that
     do not have six fields (the in-memory path of the original), ``'FAILFAST'``
     raises (its file path).  Adds ``event_time`` parsed from ``dateTime``."""
-    df = (spark.read.schema(S.VEHICLE_LOG).option("sep", "\t").option("mode", mode)
-          .csv(path)
-          .withColumn("event_time", parse_log_time(S.DATE_TIME)))
+    df = _load_tsv(spark, path, S.VEHICLE_LOG, mode).withColumn(
+        "event_time", parse_log_time(S.DATE_TIME))
     if view:
         df.createOrReplaceTempView(view)
     return df
@@ -40,7 +62,7 @@ def load_vehicle_log(spark: SparkSession, path: str, mode: str = "DROPMALFORMED"
 def load_relationship(spark: SparkSession, path: str, mode: str = "DROPMALFORMED",
                       view: str | None = S.RELATIONSHIP_VIEW) -> DataFrame:
     """TSV road -> monitor -> camera dimension (roadId, monitorId, cameraId)."""
-    df = spark.read.schema(S.RELATIONSHIP).option("sep", "\t").option("mode", mode).csv(path)
+    df = _load_tsv(spark, path, S.RELATIONSHIP, mode)
     if view:
         df.createOrReplaceTempView(view)
     return df
