@@ -81,6 +81,40 @@ def snapshot_sink(path: str, monitors: DataFrame, slide: str = S.SPEED_SLIDE,
     return write
 
 
+def snapshot_merge_sink(path: str, monitors: DataFrame, monitor: str = S.MONITOR) -> Callable:
+    """foreachBatch writer for append-mode input (each batch holds only the
+    windows the watermark has closed): the latest window per monitor is
+    merged with the state of the previous batch and written as
+    ``state/batch_id=<id>`` (at most one row per monitor); the congestion
+    snapshot of every known monitor goes to ``snapshot/batch_id=<id>``.
+    Each batch reads only the previous batch's state, so the work per batch
+    does not grow with the stream's age; a replayed batch overwrites its
+    own folders (idempotent)."""
+    def write(batch: DataFrame, batch_id: int) -> None:
+        spark = batch.sparkSession
+        w = _windows_to_ntz(batch).select(monitor, "avg_speed", "window_end")
+        try:
+            prev = spark.read.parquet(f"{path}/state/batch_id={batch_id - 1}")
+            w = w.unionByName(prev.select(monitor, "avg_speed", "window_end"))
+        except Exception as e:  # no previous state: first batch
+            if "PATH_NOT_FOUND" not in str(e) and "does not exist" not in str(e):
+                raise
+        state = w.groupBy(monitor).agg(F.max_by("avg_speed", "window_end").alias("avg_speed"),
+                                       F.max("window_end").alias("window_end"))
+        state.write.mode("overwrite").parquet(f"{path}/state/batch_id={batch_id}")
+        latest = spark.read.parquet(f"{path}/state/batch_id={batch_id}")
+        congestion_status(monitors, latest, monitor).write.mode("overwrite").parquet(
+            f"{path}/snapshot/batch_id={batch_id}")
+    return write
+
+
+def latest_snapshot(spark: SparkSession, path: str) -> DataFrame:
+    """The newest snapshot written by :func:`snapshot_merge_sink`."""
+    snaps = spark.read.parquet(f"{path}/snapshot")
+    newest = snaps.agg(F.max("batch_id")).scalar()
+    return snaps.where(F.col("batch_id") == newest).drop("batch_id")
+
+
 def run_available_now(sdf: DataFrame, make_sink: Callable[[str], Callable], name: str,
                       output_mode: str = "complete", timeout_s: int | None = 1800) -> str:
     """Run a streaming query over everything available now, with a
