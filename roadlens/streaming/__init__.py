@@ -115,13 +115,26 @@ def latest_snapshot(spark: SparkSession, path: str) -> DataFrame:
     return snaps.where(F.col("batch_id") == newest).drop("batch_id")
 
 
+def start_stream(sdf: DataFrame, make_sink: Callable[[str], Callable], folder: str,
+                 output_mode: str = "append", every: str = S.SPEED_SLIDE):
+    """Production start: a micro-batch every ``every`` (5 s in the original
+    jobs), checkpoint in ``folder/checkpoint``; a restart with the same
+    folder resumes from the last committed batch.  Returns the query."""
+    return (sdf.writeStream.outputMode(output_mode)
+            .option("checkpointLocation", f"{folder}/checkpoint")
+            .foreachBatch(make_sink(folder))
+            .trigger(processingTime=every)
+            .start())
+
+
 def run_available_now(sdf: DataFrame, make_sink: Callable[[str], Callable], name: str,
-                      output_mode: str = "complete", timeout_s: int | None = 1800) -> str:
+                      output_mode: str = "complete", timeout_s: int | None = 1800,
+                      folder: str | None = None) -> str:
     """Run a streaming query over everything available now, with a
     checkpoint in the shared folder; ``make_sink(folder)`` gives the
-    foreachBatch writer.  Returns the query's folder."""
-    spark: SparkSession = sdf.sparkSession
-    base = scratch_path(spark, name)
+    foreachBatch writer.  Passing the ``folder`` of an earlier run resumes
+    from its checkpoint (only new input is read).  Returns the folder."""
+    base = folder or scratch_path(sdf.sparkSession, name)
     q = (sdf.writeStream.outputMode(output_mode)
          .option("checkpointLocation", f"{base}/checkpoint")
          .foreachBatch(make_sink(base))

@@ -77,3 +77,21 @@ def test_append_mode_snapshot_merge(spark):
     exp = O.congestion_status(monitors, exp_latest)
     got = ST.latest_snapshot(spark, base)
     assert got.select(*exp.columns).exceptAll(exp).count() == 0 and got.count() == exp.count()
+
+
+def test_restart_resumes_from_checkpoint(spark):
+    log = _fixture(spark)
+    first, second = log.randomSplit([1.0, 1.0], seed=11)
+    folder = tempfile.mkdtemp(prefix="rl-src-")
+    first.write.parquet(f"{folder}/a")
+    src = spark.readStream.schema(log.schema).option("recursiveFileLookup", "true").parquet(folder)
+    make = lambda p: ST.table_sink(p, "complete")
+    base = ST.run_available_now(ST.stream_avg_speed(src, watermark="10 minutes"), make, "test-restart")
+    n1 = spark.read.parquet(f"{base}/table").count()
+    second.write.parquet(f"{folder}/b")
+    ST.run_available_now(ST.stream_avg_speed(src, watermark="10 minutes"), make, "test-restart",
+                         folder=base)
+    got = spark.read.parquet(f"{base}/table")
+    exp = O.windowed_avg_speed(log)
+    assert n1 < got.count() == exp.count()
+    assert got.select(*exp.columns).exceptAll(exp).count() == 0
