@@ -144,16 +144,17 @@ def status_summary(dim: DataFrame, log: DataFrame, mode: str = "content",
 # --------------------------------------------------------------------------
 def conversion_rate(log: DataFrame, a, b, count_tail: bool = True,
                     plate: str = S.PLATE, monitor: str = S.MONITOR,
-                    time: str = "event_time", tie: Sequence[str] = ("event_id",)) -> DataFrame:
+                    time: str = "event_time", tie: Sequence[str] = ("event_id",),
+                    strategy: str = "auto") -> DataFrame:
     """One row ``(a, b, a_total, ab_total, rate_pct)``: ``a_total`` readings
     at ``a``; ``ab_total`` times a vehicle's next reading after ``a`` is at
     ``b``; ``rate_pct`` = 100 * ab/a rounded to 5 places (NULL if a_total
     is 0).  ``count_tail=False`` does not count an a->b that ends a trace
-    (the original's text-split rule).  The per-vehicle order is computed
-    without putting one vehicle into one task (``ordered_steps``)."""
+    (the original's text-split rule).  The per-vehicle order comes from
+    ``ordered_steps``, which never puts a vehicle larger than one task's
+    share into one task (``strategy`` as there)."""
     look = 1 if count_tail else 2
-    seq = ordered_steps(log, plate,
-                        [time, *tie], [monitor], lookahead=look)
+    seq = ordered_steps(log, plate, [time, *tie], [monitor], lookahead=look, strategy=strategy)
     is_a = F.col(monitor) == F.lit(a)
     hit = is_a & (F.col(f"next1_{monitor}") == F.lit(b))
     if not count_tail:
@@ -178,14 +179,15 @@ def sample_vehicles(log: DataFrame, n: int = S.TOP_K, seed: int = 42,
 def vehicle_trace(log: DataFrame, keys: DataFrame, key_bound: int | None = None,
                   segment_steps: int = 10_000, plate: str = S.PLATE,
                   monitor: str = S.MONITOR, time: str = "event_time",
-                  tie: Sequence[str] = ("event_id",)) -> DataFrame:
+                  tie: Sequence[str] = ("event_id",), strategy: str = "auto") -> DataFrame:
     """``(plate, segment, trace)``: the readings of the vehicles in ``keys``
     in time order as ``dd/MM/yyyy HH:mm:ss @ monitor->...``.  A trace is cut
     into segments of ``segment_steps`` readings (segment 0, 1, ... joined by
     ``->`` give the whole trace), so no row and no task holds an unbounded
     trace.  ``keys`` is broadcast only when ``key_bound`` proves it small."""
     rows = log.join(bounded_broadcast(keys.select(plate), key_bound), plate, "left_semi")
-    seq = ordered_steps(rows, plate, [time, *tie], [monitor], lookahead=1, with_step=True)
+    seq = ordered_steps(rows, plate, [time, *tie], [monitor], lookahead=1, with_step=True,
+                        strategy=strategy)
     point = F.concat(format_log_time(time), F.lit(S.TRACE_POINT_SEP), F.col(monitor).cast("string"))
     pts = seq.select(plate, F.expr(f"step div {int(segment_steps)}").alias("segment"),
                      F.struct(F.col("step"), point.alias("p")).alias("sp"))

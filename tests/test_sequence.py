@@ -9,8 +9,8 @@ from pyspark.sql import Window, functions as F
 from roadlens.plans import ordered_steps
 
 
-@pytest.mark.parametrize("parts", [1, 3, 8, 17])
-def test_ordered_steps_equals_window(spark, parts):
+@pytest.mark.parametrize("parts,strategy", [(1, "range"), (3, "range"), (8, "range"), (17, "range"), (8, "window"), (8, "auto")])
+def test_ordered_steps_equals_window(spark, parts, strategy):
     random.seed(1)
     data = []
     for i in range(3000):
@@ -18,7 +18,7 @@ def test_ordered_steps_equals_window(spark, parts):
         k = 7 if r < 0.4 else (None if r < 0.42 else random.randint(0, 300))
         data.append((k, random.randint(0, 10 ** 6), i, random.choice(["a", "b", None]), random.randint(0, 9)))
     df = spark.createDataFrame(data, "k int, t long, id long, s string, m int")
-    got = ordered_steps(df, "k", ["t", "id"], ["s", "m"], lookahead=2, with_step=True, num_partitions=parts)
+    got = ordered_steps(df, "k", ["t", "id"], ["s", "m"], lookahead=2, with_step=True, num_partitions=parts, strategy=strategy)
     w = Window.partitionBy("k").orderBy("t", "id")
     exp = df.select("k", "t", "id", "s", "m",
                     F.lead("s", 1).over(w).alias("next1_s"), F.lead("m", 1).over(w).alias("next1_m"),
@@ -27,3 +27,13 @@ def test_ordered_steps_equals_window(spark, parts):
     got = got.select(*exp.columns)
     assert got.count() == 3000
     assert got.exceptAll(exp).count() == 0 and exp.exceptAll(got).count() == 0
+
+
+def test_auto_picks_range_for_a_hot_key(spark, monkeypatch):
+    import roadlens.plans.sequence as seq
+    calls = []
+    orig = seq._range_steps
+    monkeypatch.setattr(seq, "_range_steps", lambda *a, **k: calls.append(1) or orig(*a, **k))
+    df = spark.createDataFrame([(1, i, i % 3) for i in range(50)] + [(2, 0, 0)], "k int, t long, m int")
+    got = seq.ordered_steps(df, "k", ["t"], ["m"], max_group_rows=10)
+    assert calls and got.where("k = 1 and t = 0").first().next1_m == 1

@@ -105,7 +105,10 @@ def test_conversion_rate_partition_invariance_n6(spark):
     log = _log(spark, recs)
     a = O.conversion_rate(log.repartition(1), "A", "B").first()
     b = O.conversion_rate(log.repartition(7), "A", "B").first()
-    assert a == b
+    c = O.conversion_rate(log.repartition(7), "A", "B", strategy="range").first()
+    d = O.conversion_rate(log, "A", "B", count_tail=False, strategy="range").first()
+    e = O.conversion_rate(log, "A", "B", count_tail=False, strategy="window").first()
+    assert a == b == c and d == e
 
 
 def test_sample_and_trace_n14(spark):
@@ -115,7 +118,7 @@ def test_sample_and_trace_n14(spark):
     assert keys.count() == 4
     tr = {r.vehiclePlate: r.trace for r in O.vehicle_trace(log, keys, key_bound=10).collect()}
     assert tr["p1"] == "16/01/2019 10:00:00 @ 20001->16/01/2019 10:00:01 @ 20002"
-    seg = O.vehicle_trace(log, keys, key_bound=10, segment_steps=1).where(F.col(PLATE) == "p1")
+    seg = O.vehicle_trace(log, keys, key_bound=10, segment_steps=1, strategy="range").where(F.col(PLATE) == "p1")
     assert rows(seg, "segment", "trace") == [(0, "16/01/2019 10:00:00 @ 20001"),
                                              (1, "16/01/2019 10:00:01 @ 20002")]
 
