@@ -44,9 +44,10 @@ def main():
         out[name] = round(statistics.median(run_once(spark, name, sf_dir) for _ in range(reps)), 3)
     spark.stop()
     sf = sf_dir.rstrip("/").rsplit("sf", 1)[-1]
+    mem_gb = round(os.sysconf("SC_PAGE_SIZE") * os.sysconf("SC_PHYS_PAGES") / 2 ** 30, 1)
     print(json.dumps({"metric": "total_median_query_seconds", "value": round(sum(out.values()), 3),
                       "unit": "sec", "queries": out, "sf": float(sf) if sf.replace(".", "").isdigit() else sf,
-                      "cpus": cpus, "reps": reps}))
+                      "cpus": cpus, "memory_gb": mem_gb, "reps": reps}))
 
 
 if __name__ == "__main__":

@@ -6,7 +6,7 @@ from datetime import datetime, timedelta
 from pyspark.sql import functions as F
 
 from roadlens import operators as O
-from roadlens.schemas import CAMERA, MONITOR, PLATE, SPEED
+from roadlens.schemas import CAMERA, PLATE
 from tests.conftest import rows
 
 LOG_SCHEMA = "event_time timestamp_ntz, vehiclePlate string, vehicleSpeed int, monitorId string, cameraId string, event_id long"
@@ -130,4 +130,12 @@ def test_trace_orders_by_real_time_n2(spark):
     assert t.startswith("31/01/2019")
 
 
-_ = (CAMERA, MONITOR, SPEED)
+def test_monitor_status_partition_invariance_n6(spark):
+    dim = _dimension(spark)
+    recs = [(k, "P1", 50, r.monitorId, r.cameraId) for k, r in enumerate(dim.collect())
+            if k % 7 != 3]
+    log = _log(spark, recs)
+    for f in (O.error_monitors, O.error_cameras, O.status_summary):
+        a = f(dim.repartition(1), log.repartition(1))
+        b = f(dim.repartition(7), log.repartition(7, F.col(CAMERA)))
+        assert rows(a) == rows(b)
