@@ -235,7 +235,8 @@ SELECT word, n FROM c WHERE word NOT IN (SELECT word FROM top)""",
     "recommend_friends": f"""WITH {_EGO},
 bo AS (SELECT a AS "self", b AS other, weight FROM cw UNION ALL SELECT b, a, weight FROM cw),
 r AS (SELECT "self", other, weight,
-             row_number() OVER (PARTITION BY "self" ORDER BY weight DESC, other ASC) AS rn FROM bo)
+             CAST(row_number() OVER (PARTITION BY "self" ORDER BY weight DESC, other ASC) AS INTEGER) AS rn
+      FROM bo)
 SELECT "self", other, weight, rn FROM r WHERE rn <= 2""",
     "top_monitors": _TOPMON.format(log=_LOG, d="DESC"),
     "bottom_monitors": _TOPMON.format(log=_LOG, d="ASC"),
