@@ -75,9 +75,14 @@ def snapshot_sink(path: str, monitors: DataFrame, slide: str = S.SPEED_SLIDE,
     """foreachBatch writer of the congestion snapshot (complete-mode input:
     every batch holds all windows, so the snapshot is recomputed whole)."""
     def write(batch: DataFrame, batch_id: int) -> None:
-        w = _windows_to_ntz(batch)
-        snap = congestion_status(monitors, latest_speed(w, slide=slide, monitor=monitor), monitor)
-        snap.write.mode("overwrite").parquet(f"{path}/snapshot")
+        # used twice (cutoff subquery and main aggregate): keep the batch
+        # result instead of re-running the micro-batch plan
+        w = _windows_to_ntz(batch).persist()
+        try:
+            snap = congestion_status(monitors, latest_speed(w, slide=slide, monitor=monitor), monitor)
+            snap.write.mode("overwrite").parquet(f"{path}/snapshot")
+        finally:
+            w.unpersist()
     return write
 
 

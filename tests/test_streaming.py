@@ -95,3 +95,4 @@ def test_restart_resumes_from_checkpoint(spark):
     exp = O.windowed_avg_speed(log)
     assert n1 < got.count() == exp.count()
     assert got.select(*exp.columns).exceptAll(exp).count() == 0
+
