@@ -24,6 +24,7 @@ SAMPLE_SEED, SAMPLE_N = 42, 10   # Q10 sample
 # (monitor, camera) pairs ever seen; the period is the first three days.
 REPORT_PERIOD_END = "2024-01-04 00:00:00"
 CONVERT_A, CONVERT_B = "view", "purchase"   # Q09 over cameraId (event_type)
+QUANTITY_OVER = 40               # Q05/Q06 second binding: l_quantity per l_suppkey
 STREAM_WATERMARK = "1 hour"
 
 
@@ -98,6 +99,10 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "top_speed_readings": lambda s, d: O.top_speed_readings(_log(s, d), SPEED_OVER, tie=["event_id"]),
     "top_speeding_monitors": lambda s, d: O.top_speeding_monitors(_log(s, d), SPEED_OVER),
     "top_speeding_monitors_sql": lambda s, d: O.top_speeding_monitors_sql(_log(s, d), SPEED_OVER),
+    "top_speed_readings_lineitem": lambda s, d: O.top_speed_readings(
+        _lineitem_log(s, d), QUANTITY_OVER, monitor="l_suppkey", speed="l_quantity"),
+    "top_speeding_monitors_lineitem": lambda s, d: O.top_speeding_monitors(
+        _lineitem_log(s, d), QUANTITY_OVER, monitor="l_suppkey", speed="l_quantity"),
     "busiest_hours": lambda s, d: O.busiest_hours(_log(s, d)),
     # device status (Q08a-c)
     "error_monitors": lambda s, d: O.error_monitors(*_registry_and_period(s, d)),
@@ -248,6 +253,10 @@ ORDER BY vehicleSpeed DESC, monitorId ASC NULLS FIRST, event_id ASC NULLS FIRST
     "top_speeding_monitors": f"""WITH {_LOG}
 SELECT monitorId, count(vehicleSpeed) AS vehicleNum FROM log WHERE vehicleSpeed > {SPEED_OVER}
 GROUP BY monitorId ORDER BY vehicleNum DESC, monitorId ASC NULLS FIRST LIMIT 10""",
+    "top_speed_readings_lineitem": f"""SELECT l_suppkey, l_quantity FROM lineitem WHERE l_quantity > {QUANTITY_OVER}
+ORDER BY l_quantity DESC, l_suppkey ASC NULLS FIRST LIMIT 10""",
+    "top_speeding_monitors_lineitem": f"""SELECT l_suppkey, count(l_quantity) AS vehicleNum FROM lineitem
+WHERE l_quantity > {QUANTITY_OVER} GROUP BY l_suppkey ORDER BY vehicleNum DESC, l_suppkey ASC NULLS FIRST LIMIT 10""",
     "busiest_hours": f"""WITH {_LOG}
 SELECT coalesce(strftime(event_time, '%H'), '') AS hour, count(*) AS vehicleNum FROM log
 GROUP BY 1 ORDER BY vehicleNum DESC, hour ASC LIMIT 10""",
