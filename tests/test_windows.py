@@ -60,3 +60,10 @@ def test_panes_equal_direct(spark):
     log = spark.createDataFrame(data, SCHEMA)
     a, b = O.windowed_avg_speed(log, panes=True), O.windowed_avg_speed(log, panes=False)
     assert a.count() == b.count() and a.exceptAll(b).count() == 0
+
+
+def test_stream_parse_processing_time_mode(spark):
+    lines = spark.createDataFrame([("x\tP1\t3\t10001\t20001\t40001",)], "value string")
+    log = parse_stream_log(lines, ingest_time=True)
+    r = log.first()
+    assert r.event_time is not None and r.vehicleSpeed == 3 and r.monitorId == "20001"
