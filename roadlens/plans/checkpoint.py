@@ -14,13 +14,16 @@ from pyspark.sql import SparkSession
 
 
 def checkpoint_root(spark: SparkSession) -> str:
-    root = spark.conf.get("spark.checkpoint.dir", None)
-    if not root:
-        root = spark.sparkContext.getCheckpointDir()
+    """The shared folder for checkpoints and written tables.  The context's
+    checkpoint directory (used by ``DataFrame.checkpoint``) is pointed at
+    it when the setting only exists in the session configuration."""
+    sc = spark.sparkContext
+    root = spark.conf.get("spark.checkpoint.dir", None) or sc.getCheckpointDir()
     if not root:
         root = tempfile.mkdtemp(prefix="roadlens-ckpt-")
         spark.conf.set("spark.checkpoint.dir", root)
-        spark.sparkContext.setCheckpointDir(root)
+    if not sc.getCheckpointDir():
+        sc.setCheckpointDir(root)
     return root.rstrip("/")
 
 

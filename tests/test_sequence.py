@@ -37,3 +37,10 @@ def test_auto_picks_range_for_a_hot_key(spark, monkeypatch):
     df = spark.createDataFrame([(1, i, i % 3) for i in range(50)] + [(2, 0, 0)], "k int, t long, m int")
     got = seq.ordered_steps(df, "k", ["t"], ["m"], max_group_rows=10)
     assert calls and got.where("k = 1 and t = 0").first().next1_m == 1
+
+
+def test_checkpoint_root_from_session_setting(spark):
+    from roadlens.plans import checkpoint_root, scratch_path
+    root = checkpoint_root(spark)
+    assert root and spark.sparkContext.getCheckpointDir()
+    assert scratch_path(spark, "x").startswith(root + "/roadlens/x-")
