@@ -55,8 +55,9 @@ def hour_of_text(c) -> Column:
 
 
 def hour_of_time(c) -> Column:
-    """Two-digit hour of a timestamp column; NULL time -> ``""``."""
-    return F.coalesce(F.date_format(_col(c), "HH"), F.lit(""))
+    """Two-digit hour of a timestamp column; NULL time -> ``""``.  The hour
+    is extracted as an integer and padded (no date formatter per row)."""
+    return F.coalesce(F.lpad(F.hour(_col(c)).cast("string"), 2, "0"), F.lit(""))
 
 
 def truncating_average(total: str, n: str) -> Column:
