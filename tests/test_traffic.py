@@ -139,3 +139,17 @@ def test_monitor_status_partition_invariance_n6(spark):
         a = f(dim.repartition(1), log.repartition(1))
         b = f(dim.repartition(7), log.repartition(7, F.col(CAMERA)))
         assert rows(a) == rows(b)
+
+
+def test_monitors_only_in_the_log_are_ignored_n19(spark):
+    dim = spark.createDataFrame([("m", "c1")], "monitorId string, cameraId string")
+    log = _log(spark, [(0, "p", 1, "m", "c1"), (1, "p", 1, "x", "c7")])
+    assert O.error_monitors(dim, log).count() == 0
+    assert O.error_monitors(dim, log, mode="size").count() == 0
+    assert O.status_summary(dim, log).first().monitors == 1
+
+
+def test_same_monitor_twice_counts_every_step_n20(spark):
+    log = _log(spark, _trace(spark, "p", "AAA"))
+    r = O.conversion_rate(log, "A", "A").first()
+    assert (r.a_total, r.ab_total) == (3, 2)
