@@ -8,9 +8,15 @@ use ``foreachBatch`` and are idempotent per ``batch_id``:
 * :func:`table_sink`  — complete mode overwrites one table; append/update
   mode writes ``batch=<id>`` folders with overwrite (a replayed batch
   replaces its own output)                                      (S14)
-* :func:`snapshot_sink` — per batch recompute the congestion snapshot of
-  every known monitor and overwrite it                           (S15)
-
+* :func:`snapshot_sink` — complete-mode input: per batch recompute the
+  congestion snapshot of every known monitor and overwrite it    (S15)
+* :func:`snapshot_merge_sink` — append-mode input (the production form):
+  merge the batch's closed windows into the previous batch's per-monitor
+  state and write ``state/`` and ``snapshot/`` per batch id       (S15)
+
+:func:`start_stream` runs a query with a processing-time trigger (5 s in
+the original jobs); :func:`run_available_now` processes what is available
+and stops, resuming from an earlier folder's checkpoint when given one.
 Checkpoints and outputs live under the shared ``spark.checkpoint.dir``.
 """
 
