@@ -93,8 +93,8 @@ split AS (
          translate(coalesce(regexp_extract(rest, '^[^/]*'), ''), '{_UPPER}', '{_UPPER.lower()}') AS host,
          coalesce(regexp_extract(rest, '/.*$', 0, 's'), '') AS path FROM parts),
 judged AS (
-  SELECT *, list_filter({_sql_list(urls.STRICT_TERMS)}, t -> regexp_matches(lower(url), '(^|[^\\p{{L}}\\p{{N}}])' || t || '([^\\p{{L}}\\p{{N}}]|$)')) AS st,
-         list_filter({_sql_list(urls.SOFT_TERMS)}, t -> regexp_matches(lower(url), '(^|[^\\p{{L}}\\p{{N}}])' || t || '([^\\p{{L}}\\p{{N}}]|$)')) AS so,
+  SELECT *, list_filter({_sql_list(urls.STRICT_TERMS)}, lambda t: regexp_matches(lower(url), '(^|[^\\p{{L}}\\p{{N}}])' || t || '([^\\p{{L}}\\p{{N}}]|$)')) AS st,
+         list_filter({_sql_list(urls.SOFT_TERMS)}, lambda t: regexp_matches(lower(url), '(^|[^\\p{{L}}\\p{{N}}])' || t || '([^\\p{{L}}\\p{{N}}]|$)')) AS so,
          (SELECT max_by(struct_pack(v := r.v, r := r.r), length(r.r)) FROM (VALUES {_RULES}) r(v, r, h, p)
           WHERE (host = r.h OR ends_with(host, '.' || r.h)) AND starts_with(path, r.p)) AS rule
   FROM split)
@@ -107,11 +107,11 @@ FROM judged"""
 
 _OP9 = f"""WITH RECURSIVE w AS (
   SELECT doc_id, list_filter(string_split_regex(translate(coalesce(text, ''), '{_UPPER}', '{_UPPER.lower()}'), '{_BLANKS}'),
-                             x -> x <> '') AS ws FROM documents),
+                             lambda x: x <> '') AS ws FROM documents),
 s AS (
   SELECT doc_id, CASE WHEN len(ws) = 0 THEN []
     WHEN len(ws) < 4 THEN [array_to_string(ws, ' ')]
-    ELSE list_distinct(list_transform(range(1, len(ws) - 2), i -> array_to_string(ws[i:i + 3], ' '))) END AS sh FROM w),
+    ELSE list_distinct(list_transform(range(1, len(ws) - 2), lambda i: array_to_string(ws[i:i + 3], ' '))) END AS sh FROM w),
 e AS (SELECT doc_id, len(sh) AS n, unnest(sh) AS x FROM s),
 l AS (SELECT a.doc_id AS a, b.doc_id AS b FROM e a JOIN e b ON a.x = b.x AND a.doc_id <> b.doc_id
       GROUP BY a.doc_id, b.doc_id, a.n, b.n HAVING 100 * count(*) >= 80 * (a.n + b.n - count(*))),
