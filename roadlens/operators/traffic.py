@@ -10,7 +10,7 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import DataFrame, functions as F
+from pyspark.sql import Column, DataFrame, functions as F
 
 from roadlens import schemas as S
 from roadlens.functions import format_log_time, hour_of_text, hour_of_time
@@ -49,14 +49,13 @@ def top_speeding_monitors(log: DataFrame, over: float = S.OVER_SPEED, n: int = S
 
 
 def top_speeding_monitors_sql(log: DataFrame, over: float = S.OVER_SPEED, n: int = S.TOP_K,
-                              monitor: str = S.MONITOR, speed: str = S.SPEED,
-                              view: str = S.LOG_VIEW) -> DataFrame:
-    """The same answer through SQL on a temp view (the original's form)."""
-    log.createOrReplaceTempView(view)
+                              monitor: str = S.MONITOR, speed: str = S.SPEED) -> DataFrame:
+    """The same answer through SQL (the original's form).  The DataFrame is a
+    parameter of the statement, so no view of the session is touched."""
     return log.sparkSession.sql(
-        f"SELECT `{monitor}`, COUNT(`{speed}`) AS vehicleNum FROM `{view}` "
-        f"WHERE `{speed}` > {over!r} GROUP BY `{monitor}` "
-        f"ORDER BY vehicleNum DESC, `{monitor}` ASC NULLS FIRST LIMIT {int(n)}")
+        f"SELECT `{monitor}`, COUNT(`{speed}`) AS vehicleNum FROM {{log}} "
+        f"WHERE `{speed}` > :over GROUP BY `{monitor}` "
+        f"ORDER BY vehicleNum DESC, `{monitor}` ASC NULLS FIRST LIMIT :n", {"over": over, "n": n}, log=log)
 
 
 def busiest_hours(log: DataFrame, n: int = S.TOP_K, time: str = "event_time",
@@ -142,23 +141,43 @@ def status_summary(dim: DataFrame, log: DataFrame, mode: str = "content",
 # --------------------------------------------------------------------------
 # sequences per vehicle (Q09, Q10)
 # --------------------------------------------------------------------------
+def _time_bucket(time: str, width: str) -> Column:
+    """The part of a vehicle's trace that one task orders: readings of one
+    ``width`` (``hour``, ``day``, ...) of the time column."""
+    return F.date_trunc(width, F.col(time))
+
+
+def _numeric_text(monitor: str) -> list[Column]:
+    """Order of monitor ids: digit strings as numbers, other text after them."""
+    return [F.col(monitor).try_cast("bigint").alias("_tie_number"), F.col(monitor).cast("string").alias("_tie_text")]
+
+
+def _ordered_log(log: DataFrame, plate: str, monitor: str, time: str, tie: Sequence[str] | None):
+    """The log's needed columns and its order: by time, then by ``tie``
+    (default: the monitor, numerically)."""
+    if tie is not None:
+        return log.select(*dict.fromkeys([plate, time, monitor, *tie])), [time, *tie]
+    return log.select(*dict.fromkeys([plate, time, monitor]), *_numeric_text(monitor)), [time, "_tie_number", "_tie_text"]
+
+
 def conversion_rate(log: DataFrame, a, b, count_tail: bool = True,
                     plate: str = S.PLATE, monitor: str = S.MONITOR,
-                    time: str = "event_time", tie: Sequence[str] = ("event_id",),
-                    strategy: str = "auto") -> DataFrame:
+                    time: str = "event_time", tie: Sequence[str] | None = None,
+                    bucket: str = "hour") -> DataFrame:
     """One row ``(a, b, a_total, ab_total, rate_pct)``: ``a_total`` readings
     at ``a``; ``ab_total`` times a vehicle's next reading after ``a`` is at
     ``b``; ``rate_pct`` = 100 * ab/a rounded to 5 places (NULL if a_total
     is 0).  ``count_tail=False`` does not count an a->b that ends a trace
-    (the original's text-split rule).  The per-vehicle order comes from
-    ``ordered_steps``, which never puts a vehicle larger than one task's
-    share into one task (``strategy`` as there)."""
-    look = 1 if count_tail else 2
-    seq = ordered_steps(log, plate, [time, *tie], [monitor], lookahead=look, strategy=strategy)
+    (the original's text-split rule); a reading without a monitor is a
+    reading like any other.  Readings of one time are in the order of ``tie``
+    (default: the monitor id as a number).  A vehicle's order is made per
+    ``bucket`` of time (``ordered_steps``), so no task holds a whole trace."""
+    rows, order = _ordered_log(log, plate, monitor, time, tie)
+    seq = ordered_steps(rows, plate, order, [monitor], _time_bucket(time, bucket), lookahead=1 if count_tail else 2)
     is_a = F.col(monitor) == F.lit(a)
     hit = is_a & (F.col(f"next1_{monitor}") == F.lit(b))
     if not count_tail:
-        hit = hit & F.col(f"next2_{monitor}").isNotNull()
+        hit = hit & F.col("next2")
     agg = seq.agg(F.count_if(is_a).alias("a_total"), F.count_if(hit).alias("ab_total"))
     return agg.select(F.lit(str(a)).alias("a"), F.lit(str(b)).alias("b"),
                       "a_total", "ab_total",
@@ -177,20 +196,30 @@ def sample_vehicles(log: DataFrame, n: int = S.TOP_K, seed: int = 42,
 
 
 def vehicle_trace(log: DataFrame, keys: DataFrame, key_bound: int | None = None,
-                  segment_steps: int = 10_000, plate: str = S.PLATE,
+                  segment_steps: int | None = None, plate: str = S.PLATE,
                   monitor: str = S.MONITOR, time: str = "event_time",
-                  tie: Sequence[str] = ("event_id",), strategy: str = "auto") -> DataFrame:
-    """``(plate, segment, trace)``: the readings of the vehicles in ``keys``
-    in time order as ``dd/MM/yyyy HH:mm:ss @ monitor->...``.  A trace is cut
-    into segments of ``segment_steps`` readings (segment 0, 1, ... joined by
-    ``->`` give the whole trace), so no row and no task holds an unbounded
-    trace.  ``keys`` is broadcast only when ``key_bound`` proves it small."""
-    rows = log.join(bounded_broadcast(keys.select(plate), key_bound), plate, "left_semi")
-    seq = ordered_steps(rows, plate, [time, *tie], [monitor], lookahead=1, with_step=True,
-                        strategy=strategy)
-    point = F.concat(format_log_time(time), F.lit(S.TRACE_POINT_SEP), F.col(monitor).cast("string"))
-    pts = seq.select(plate, F.expr(f"step div {int(segment_steps)}").alias("segment"),
-                     F.struct(F.col("step"), point.alias("p")).alias("sp"))
-    return (pts.groupBy(plate, "segment")
-            .agg(F.array_join(F.transform(F.array_sort(F.collect_list("sp")), lambda x: x["p"]),
+                  tie: Sequence[str] | None = None, bucket: str = "hour") -> DataFrame:
+    """``(plate, trace)``: the readings of the vehicles in ``keys`` in time
+    order as ``dd/MM/yyyy HH:mm:ss @ monitor->...``, one row and one text per
+    vehicle; every reading is in it, a missing time or monitor as ``null``.
+
+    A trace is one value, so a vehicle with very many readings makes a very
+    long text.  ``segment_steps=n`` cuts it into rows of ``n`` readings, with
+    a column ``segment`` (0, 1, ...; joined by ``->`` they give the trace).
+    ``keys`` is broadcast only when ``key_bound`` proves it small."""
+    rows, order = _ordered_log(log, plate, monitor, time, tie)
+    rows = rows.join(bounded_broadcast(keys.select(plate), key_bound), plate, "left_semi")
+    text = lambda c: F.coalesce(c, F.lit(S.TRACE_MISSING))
+    point = F.concat(text(format_log_time(time)), F.lit(S.TRACE_POINT_SEP), text(F.col(monitor).cast("string")))
+    if segment_steps is None:
+        place = F.struct(*[F.col(o) for o in order], point.alias("p"))
+        pts, by = rows.select(plate, place.alias("sp")), [plate]
+    else:
+        seq = ordered_steps(rows, plate, order, [monitor], _time_bucket(time, bucket), with_step=True)
+        pts = seq.select(plate, F.expr(f"step div {int(segment_steps)}").alias("segment"),
+                         F.struct(F.col("step"), point.alias("p")).alias("sp"))
+        by = [plate, "segment"]
+    # sort_array puts NULL first, as the order does
+    return (pts.groupBy(*by)
+            .agg(F.array_join(F.transform(F.sort_array(F.collect_list("sp")), lambda x: x["p"]),
                               S.TRACE_STEP_SEP).alias("trace")))

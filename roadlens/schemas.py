@@ -18,6 +18,8 @@ TOP_N_FRIENDS = 2
 # trace text: "<time> @ <monitor>" joined by "->"
 TRACE_POINT_SEP = " @ "
 TRACE_STEP_SEP = "->"
+# text of a missing time or monitor in a trace
+TRACE_MISSING = "null"
 # congestion levels by average speed: <=5 jammed, <=10 severe, <=30 slow, else normal
 CONGESTION_LEVELS = ((5, "jammed"), (10, "severe"), (30, "slow"))
 CONGESTION_DEFAULT = "normal"

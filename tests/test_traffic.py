@@ -105,9 +105,9 @@ def test_conversion_rate_partition_invariance_n6(spark):
     log = _log(spark, recs)
     a = O.conversion_rate(log.repartition(1), "A", "B").first()
     b = O.conversion_rate(log.repartition(7), "A", "B").first()
-    c = O.conversion_rate(log.repartition(7), "A", "B", strategy="range").first()
-    d = O.conversion_rate(log, "A", "B", count_tail=False, strategy="range").first()
-    e = O.conversion_rate(log, "A", "B", count_tail=False, strategy="window").first()
+    c = O.conversion_rate(log.repartition(7), "A", "B", bucket="minute").first()
+    d = O.conversion_rate(log, "A", "B", count_tail=False, bucket="second").first()
+    e = O.conversion_rate(log, "A", "B", count_tail=False, bucket="year").first()
     assert a == b == c and d == e
 
 
@@ -118,7 +118,7 @@ def test_sample_and_trace_n14(spark):
     assert keys.count() == 4
     tr = {r.vehiclePlate: r.trace for r in O.vehicle_trace(log, keys, key_bound=10).collect()}
     assert tr["p1"] == "16/01/2019 10:00:00 @ 20001->16/01/2019 10:00:01 @ 20002"
-    seg = O.vehicle_trace(log, keys, key_bound=10, segment_steps=1, strategy="range").where(F.col(PLATE) == "p1")
+    seg = O.vehicle_trace(log, keys, key_bound=10, segment_steps=1).where(F.col(PLATE) == "p1")
     assert rows(seg, "segment", "trace") == [(0, "16/01/2019 10:00:00 @ 20001"),
                                              (1, "16/01/2019 10:00:01 @ 20002")]
 
@@ -153,3 +153,52 @@ def test_same_monitor_twice_counts_every_step_n20(spark):
     log = _log(spark, _trace(spark, "p", "AAA"))
     r = O.conversion_rate(log, "A", "A").first()
     assert (r.a_total, r.ab_total) == (3, 2)
+
+
+def test_status_size_mode_of_cameras_and_summary(spark):
+    dim = spark.createDataFrame([("m", "c1"), ("m", "c2"), ("k", "c3"), ("k", "c4")], "monitorId string, cameraId string")
+    log = _log(spark, [(0, "p", 1, "m", "c1"), (1, "p", 1, "k", "c3"), (2, "p", 1, "k", "c9")])
+    assert rows(O.error_cameras(dim, log)) == [("k", "c4"), ("m", "c2")]
+    assert rows(O.error_cameras(dim, log, mode="size")) == [("m", "c2")]
+    s = O.status_summary(dim, log, mode="size").first()
+    assert (s.monitors, s.error_monitors, s.error_cameras, s.all_ok) == (2, 1, 1, False)
+
+
+def test_sequences_run_on_a_loaded_log(spark, tmp_path):
+    """TSV lines with the log's own columns only; readings of one time go by
+    the monitor as a number (9 before 10)."""
+    lines = ["16/01/2019 10:00:00\tp\t50\t1\t10\t1", "16/01/2019 10:00:00\tp\t50\t1\t9\t1",
+             "16/01/2019 10:00:05\tp\t50\t1\t9\t1", "17/01/2019 10:00:00\tp\t50\t1\t10\t1", "too\tshort"]
+    (tmp_path / "log.tsv").write_text("\n".join(lines))
+    from roadlens.sources import load_vehicle_log
+    log = load_vehicle_log(spark, str(tmp_path / "log.tsv"), view=None)
+    r = O.conversion_rate(log, "9", "10").first()
+    assert (r.a_total, r.ab_total) == (2, 2)
+    r = O.conversion_rate(log, "9", "10", count_tail=False).first()
+    assert (r.a_total, r.ab_total) == (2, 1)
+    t = O.vehicle_trace(log, log.select(PLATE)).first().trace
+    assert t == ("16/01/2019 10:00:00 @ 9->16/01/2019 10:00:00 @ 10->16/01/2019 10:00:05 @ 9->17/01/2019 10:00:00 @ 10")
+
+
+def test_trace_keeps_readings_without_time_or_monitor(spark):
+    data = [(None, "p", 1, "A", "c", 0), (datetime(2019, 1, 31), "p", 1, None, "c", 1),
+            (datetime(2019, 1, 31), "p", 1, "B", "c", 2), (datetime(2019, 2, 1), "p", 1, "C", "c", 3)]
+    log = spark.createDataFrame(data, LOG_SCHEMA)
+    want = "null @ A->31/01/2019 00:00:00 @ null->31/01/2019 00:00:00 @ B->01/02/2019 00:00:00 @ C"
+    keys = log.select(PLATE).distinct()
+    assert O.vehicle_trace(log, keys, tie=["event_id"]).first().trace == want
+    assert O.vehicle_trace(log, keys).first().trace == want
+    parts = O.vehicle_trace(log, keys, tie=["event_id"], segment_steps=3).orderBy("segment").collect()
+    assert "->".join(r.trace for r in parts) == want and len(parts) == 2
+
+
+def test_a_reading_without_monitor_is_no_end_of_a_trace(spark):
+    log = _log(spark, _trace(spark, "p", ["A", "B", None]))
+    r = O.conversion_rate(log, "A", "B", count_tail=False, tie=["event_id"]).first()
+    assert (r.a_total, r.ab_total) == (1, 1)
+
+
+def test_sql_form_leaves_the_session_alone(spark):
+    before = {t.name for t in spark.catalog.listTables()}
+    O.top_speeding_monitors_sql(_log(spark, [(1, "p", 251, "m2", "c")])).collect()
+    assert {t.name for t in spark.catalog.listTables()} == before
