@@ -66,6 +66,18 @@ def truncating_average(total: str, n: str) -> Column:
     return F.expr(f"CASE WHEN `{n}` <> 0 THEN CAST(`{total}` AS BIGINT) div `{n}` END")
 
 
+_UNIT_SECONDS = {"second": 1, "minute": 60, "hour": 3600, "day": 86400, "week": 604800}
+
+
+def duration_seconds(text: str) -> int:
+    """Whole seconds of a duration text such as ``60 seconds`` or ``1 hour``."""
+    n, unit = text.split()
+    seconds = _UNIT_SECONDS.get(unit.lower().removesuffix("s"))
+    if seconds is None or int(n) < 1:
+        raise ValueError(f"not a duration in seconds to weeks: {text!r}")
+    return int(n) * seconds
+
+
 def congestion_level(speed) -> Column:
     """Level of an average speed: <=5 jammed, <=10 severe, <=30 slow, else normal."""
     s = _col(speed)
@@ -82,5 +94,5 @@ def monitor_of_props(props="props", field: str = "k") -> Column:
 
 __all__ = [
     "java_split", "parse_log_time", "format_log_time", "hour_of_text", "hour_of_time",
-    "truncating_average", "congestion_level", "monitor_of_props",
+    "truncating_average", "duration_seconds", "congestion_level", "monitor_of_props",
 ]

@@ -1,7 +1,7 @@
 """Batch operators.  Each takes DataFrames and parameters and returns a lazy
 DataFrame; the answer does not depend on the input partitioning."""
 
-from roadlens.operators.graph import common_friend_weight, recommend_friends, relation_pairs
+from roadlens.operators.graph import common_friend_weight, pair_weights, recommend_friends, relation_pairs
 from roadlens.operators.text import remove_top_word, word_count, word_count_distinct, words
 from roadlens.operators.traffic import (
     busiest_hours, conversion_rate, error_cameras, error_monitors, sample_vehicles,
@@ -9,14 +9,14 @@ from roadlens.operators.traffic import (
     top_speeding_monitors_sql, vehicle_trace,
 )
 from roadlens.operators.windows import (
-    closing_time, congestion_status, latest_speed, windowed_avg_speed, windowed_count,
+    closing_time, congestion_status, latest_speed, latest_speed_of_log, windowed_avg_speed, windowed_count,
 )
 
 __all__ = [
     "words", "word_count", "word_count_distinct", "remove_top_word",
-    "relation_pairs", "common_friend_weight", "recommend_friends",
+    "relation_pairs", "common_friend_weight", "pair_weights", "recommend_friends",
     "top_monitors", "top_speed_readings", "top_speeding_monitors", "top_speeding_monitors_sql",
     "busiest_hours", "error_monitors", "error_cameras", "status_summary",
     "conversion_rate", "sample_vehicles", "vehicle_trace",
-    "windowed_avg_speed", "windowed_count", "closing_time", "latest_speed", "congestion_status",
+    "windowed_avg_speed", "windowed_count", "closing_time", "latest_speed", "latest_speed_of_log", "congestion_status",
 ]

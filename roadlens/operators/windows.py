@@ -9,10 +9,12 @@ key) and map task; a very busy monitor does not make a large shuffle group.
 
 from __future__ import annotations
 
+from math import gcd
+
 from pyspark.sql import Column, DataFrame, functions as F
 
 from roadlens import schemas as S
-from roadlens.functions import congestion_level, truncating_average
+from roadlens.functions import congestion_level, duration_seconds, truncating_average
 
 
 def _flat_window(df: DataFrame) -> DataFrame:
@@ -29,16 +31,17 @@ def windowed_avg_speed(log: DataFrame, window: str = S.SPEED_WINDOW, slide: str
     ``avg_speed = speed_sum div n``.  Rows without a speed are dropped;
     empty windows do not exist.
 
-    ``panes=True`` (default) first sums each monitor's readings per
-    ``slide``-long pane, then spreads the pane sums over the windows that
-    cover the pane: the window/slide-fold expansion then runs over panes,
-    not readings — the plan for a large, dense log (a busy monitor has many
+    ``panes=True`` (default) first sums each monitor's readings per pane, then
+    spreads the pane sums over the windows that cover the pane.  A pane is as
+    long as the greatest common divisor of window and slide, so every window
+    is made of whole panes.  The expansion then runs over panes, not readings — the plan for a large, dense log (a busy monitor has many
     readings per pane).  ``panes=False`` expands every reading (one shuffle
     fewer; better for sparse logs, and the form a streaming query in
     complete mode needs).  Same answer either way."""
     rows = log.where(F.col(speed).isNotNull() & F.col(time).isNotNull())
     if panes:
-        pane = (rows.groupBy(F.window(time, slide).alias("pane"), monitor)
+        pane_len = f"{gcd(duration_seconds(window), duration_seconds(slide))} seconds"
+        pane = (rows.groupBy(F.window(time, pane_len).alias("pane"), monitor)
                 .agg(F.sum(F.col(speed).cast("bigint")).alias("_s"), F.count(F.lit(1)).alias("_n")))
         agg = (pane.groupBy(F.window(F.col("pane.start"), window, slide), monitor)
                .agg(F.sum("_s").alias("speed_sum"), F.sum("_n").alias("n")))
@@ -69,6 +72,42 @@ def closing_time(log: DataFrame, slide: str = S.SPEED_SLIDE, time: str = "event_
     return newest.select(F.window("_t", slide)["end"]).scalar()
 
 
+def _floor_to(time: Column, seconds: int) -> Column:
+    """``time`` cut down to whole slides, as ``window`` starts them."""
+    return F.window(time, f"{seconds} seconds")["start"]
+
+
+def latest_speed_of_log(log: DataFrame, as_of=None, window: str = S.SPEED_WINDOW, slide: str = S.SPEED_SLIDE,
+                        time: str = "event_time", monitor: str = S.MONITOR, speed: str = S.SPEED) -> DataFrame:
+    """``(monitor, avg_speed, window_end)``: :func:`latest_speed` of the
+    sliding windows of ``log``, without building those windows.
+
+    A monitor's newest closed window is told by its newest reading alone: it
+    starts at that time cut down to the slide, or earlier where that window
+    has not closed by ``as_of`` (default :func:`closing_time`).  So one
+    aggregate finds each monitor's window, and one more sums the readings
+    that fall into it; nothing is expanded."""
+    slide_s, window_s = duration_seconds(slide), duration_seconds(window)
+    length = F.expr(f"INTERVAL {window_s} SECONDS")
+    rows = log.where(F.col(speed).isNotNull() & F.col(time).isNotNull()).select(
+        F.col(time).alias("_time"), F.col(monitor).alias("_monitor"), F.col(speed).cast("bigint").alias("_speed"))
+    if as_of is None:
+        as_of = closing_time(log, slide, time, speed)
+    elif not isinstance(as_of, Column):
+        as_of = F.lit(as_of).cast(rows.schema["_time"].dataType)
+    # the start of the last window that has closed; one value, so one row
+    last_start = rows.agg(F.max("_time").alias("_t")).select(_floor_to(as_of - length, slide_s).alias("s"))
+    rows = rows.withColumn("_last", last_start.scalar()).where(F.col("_time") < F.col("_last") + length)
+    newest = rows.groupBy("_monitor").agg(F.max("_time").alias("_t"), F.first("_last").alias("_last"))
+    start = newest.select("_monitor", "_last", F.window("_t", f"{slide_s} seconds")["start"].alias("_s"))
+    start = start.select(F.col("_monitor").alias("_m"), F.least("_s", "_last").alias("_start"))
+    met = rows.join(start, F.col("_monitor").eqNullSafe(F.col("_m"))).where(
+        (F.col("_time") >= F.col("_start")) & (F.col("_time") < F.col("_start") + length))
+    agg = met.groupBy("_m", "_start").agg(F.sum("_speed").alias("_sum"), F.count(F.lit(1)).alias("_n"))
+    return agg.select(F.col("_m").alias(monitor), truncating_average("_sum", "_n").alias("avg_speed"),
+                      (F.col("_start") + length).alias("window_end"))
+
+
 def latest_speed(windowed: DataFrame, as_of=None, slide: str = S.SPEED_SLIDE,
                  monitor: str = S.MONITOR) -> DataFrame:
     """``(monitor, avg_speed, window_end)``: per monitor the average of its
@@ -78,19 +117,10 @@ def latest_speed(windowed: DataFrame, as_of=None, slide: str = S.SPEED_SLIDE,
     default is a scalar subquery, no join; ``as_of`` may be a scalar column
     such as :func:`closing_time` of the log the windows came from."""
     if as_of is None:
-        # max over a struct led by window_start = max(window_start); naming
-        # the same columns as the main path keeps the windowed aggregate of
-        # the subquery identical to the main one, so its exchange is reused
-        newest = F.max(F.struct("window_start", monitor, "avg_speed"))["window_start"]
-        cutoff = windowed.agg(newest + F.expr(f"INTERVAL {slide}")).scalar()
-    elif isinstance(as_of, Column):
-        cutoff = as_of
-    else:
-        cutoff = F.lit(as_of).cast(windowed.schema["window_end"].dataType)
-    # The test names ``n`` (an aggregate output, always >= 1) so it stays
-    # above the windowed aggregate instead of being pushed below it, where
-    # it would make the main aggregate differ from the subquery's one.
-    closed = windowed.where(F.when(F.col("n") >= 1, F.col("window_end")) <= cutoff)
+        as_of = windowed.agg(F.max("window_start") + F.expr(f"INTERVAL {slide}")).scalar()
+    elif not isinstance(as_of, Column):
+        as_of = F.lit(as_of).cast(windowed.schema["window_end"].dataType)
+    closed = windowed.where(F.col("window_end") <= as_of)
     return closed.groupBy(monitor).agg(
         F.max_by("avg_speed", "window_end").alias("avg_speed"),
         F.max("window_end").alias("window_end"))
@@ -100,9 +130,11 @@ def congestion_status(monitors: DataFrame, latest: DataFrame,
                       monitor: str = S.MONITOR) -> DataFrame:
     """``(monitor, avg_speed, level, reported)`` for every known monitor: its
     latest average speed, 0 when it never reported (``reported`` false), and
-    the level <=5 jammed, <=10 severe, <=30 slow, else normal."""
+    the level <=5 jammed, <=10 severe, <=30 slow, else normal.  Readings
+    without a monitor belong to the monitor NULL."""
     known = monitors.select(monitor).distinct()
-    j = known.join(latest.select(monitor, "avg_speed"), monitor, "left")
+    now = latest.select(F.col(monitor).alias("_latest_monitor"), "avg_speed")
+    j = known.join(now, F.col(monitor).eqNullSafe(F.col("_latest_monitor")), "left")
     spd = F.coalesce(F.col("avg_speed"), F.lit(0)).cast("bigint")
     return j.select(monitor, spd.alias("avg_speed"), congestion_level(spd).alias("level"),
                     F.col("avg_speed").isNotNull().alias("reported"))
