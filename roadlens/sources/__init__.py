@@ -12,7 +12,6 @@ from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from roadlens import schemas as S
 from roadlens.functions import java_split, monitor_of_props, parse_log_time
-from roadlens.plans.checkpoint import checkpoint_root
 
 
 # --------------------------------------------------------------------------
@@ -23,7 +22,7 @@ def load_text_lines(spark: SparkSession, path: str) -> DataFrame:
     return spark.read.text(path)
 
 
-def _load_tsv(spark: SparkSession, path: str, schema, mode: str) -> DataFrame:
+def parse_tsv(lines: DataFrame, schema, mode: str = "DROPMALFORMED", text_col: str = "value") -> DataFrame:
     """TAB-separated lines split like Java ``String.split`` into exactly
     ``len(schema)`` fields, cast to the schema.  ``DROPMALFORMED`` drops
     lines with another field count or a non-numeric number field;
@@ -31,29 +30,34 @@ def _load_tsv(spark: SparkSession, path: str, schema, mode: str) -> DataFrame:
     if mode not in ("DROPMALFORMED", "FAILFAST"):
         raise ValueError(f"mode must be DROPMALFORMED or FAILFAST, not {mode!r}")
     n = len(schema.fields)
-    p = java_split(F.col("value"), "\t")
-    fields = [F.col("p")[i].try_cast(f.dataType).alias(f.name) for i, f in enumerate(schema.fields)]
+    p = java_split(F.col(text_col), "\t")
+    fields = [F.get("p", F.lit(i)).try_cast(f.dataType).alias(f.name) for i, f in enumerate(schema.fields)]
     ok = F.size("p") == n
     for i, f in enumerate(schema.fields):
         if f.dataType.typeName() != "string":
-            ok = ok & F.col("p")[i].try_cast(f.dataType).isNotNull()
-    rows = spark.read.text(path).select("value", p.alias("p"))
+            ok = ok & F.get("p", F.lit(i)).try_cast(f.dataType).isNotNull()
+    ok = F.coalesce(ok, F.lit(False))
+    rows = lines.select(F.col(text_col).alias("value"), p.alias("p"))
     if mode == "DROPMALFORMED":
-        rows = rows.where(F.when(F.size("p") == n, ok).otherwise(F.lit(False)))
+        rows = rows.where(ok)
     else:
-        rows = rows.where(F.when(F.size("p") == n, ok).otherwise(F.lit(False))
-                          | F.raise_error(F.concat(F.lit("malformed line: "), F.col("value"))).isNull())
+        rows = rows.where(ok | F.raise_error(F.concat(F.lit("malformed line: "), F.col("value"))).isNull())
     return rows.select(*fields)
 
 
+def parse_vehicle_log(lines: DataFrame, mode: str = "DROPMALFORMED", text_col: str = "value") -> DataFrame:
+    """Vehicle-log lines (see :func:`load_vehicle_log`) as rows, with
+    ``event_time`` parsed from ``dateTime``."""
+    return parse_tsv(lines, S.VEHICLE_LOG, mode, text_col).withColumn("event_time", parse_log_time(S.DATE_TIME))
+
+
 def load_vehicle_log(spark: SparkSession, path: str, mode: str = "DROPMALFORMED",
                      view: str | None = S.LOG_VIEW) -> DataFrame:
     """TSV vehicle log without header: dateTime, vehiclePlate, vehicleSpeed,
     roadId, monitorId, cameraId.  ``mode='DROPMALFORMED'`` drops lines that
     do not have six fields (the in-memory path of the original), ``'FAILFAST'``
     raises (its file path).  Adds ``event_time`` parsed from ``dateTime``."""
-    df = _load_tsv(spark, path, S.VEHICLE_LOG, mode).withColumn(
-        "event_time", parse_log_time(S.DATE_TIME))
+    df = parse_vehicle_log(spark.read.text(path), mode)
     if view:
         df.createOrReplaceTempView(view)
     return df
@@ -62,7 +66,7 @@ def load_vehicle_log(spark: SparkSession, path: str, mode: str = "DROPMALFORMED"
 def load_relationship(spark: SparkSession, path: str, mode: str = "DROPMALFORMED",
                       view: str | None = S.RELATIONSHIP_VIEW) -> DataFrame:
     """TSV road -> monitor -> camera dimension (roadId, monitorId, cameraId)."""
-    df = _load_tsv(spark, path, S.RELATIONSHIP, mode)
+    df = parse_tsv(spark.read.text(path), S.RELATIONSHIP, mode)
     if view:
         df.createOrReplaceTempView(view)
     return df
@@ -72,15 +76,17 @@ def ego_lists(lines: DataFrame, sep: str = " ", text_col: str = "value") -> Data
     """Ego lists ``person friend1 friend2 ...`` -> long form
     ``(ego_id, head, member)``, one row per distinct friend of a line.
 
-    ``ego_id`` identifies the line (pairs are only formed inside one line).
+    ``ego_id`` identifies the line (pairs are only formed inside one line):
+    a hash of the text and of the number of the copy, where a line occurs
+    several times.  So it does not depend on how the lines are read, and a
+    task that runs again gives the same ids.
     """
-    parts = (lines.select(F.monotonically_increasing_id().alias("ego_id"),
-                          java_split(F.col(text_col), sep).alias("p"))
+    copies = (lines.groupBy(F.col(text_col).alias("line")).agg(F.count(F.lit(1)).alias("n"))
+              .select("line", F.explode(F.expr("sequence(1, n)")).alias("copy")))
+    parts = (copies.select(F.xxhash64("line", "copy").alias("ego_id"), java_split(F.col("line"), sep).alias("p"))
              .where(F.size("p") > 0))
     return (parts.select("ego_id", F.col("p")[0].alias("head"),
-                         F.posexplode(F.slice("p", 2, 1 << 30)).alias("i", "member"))
-            .select("ego_id", "head", "member")
-            .dropDuplicates(["ego_id", "member"]))
+                         F.explode(F.array_distinct(F.slice("p", 2, 1 << 30))).alias("member")))
 
 
 def read_stream(spark: SparkSession, fmt: str, options: dict | None = None,
@@ -101,21 +107,34 @@ def parse_stream_log(lines: DataFrame, value_col: str = "value",
                      ingest_time: bool = False) -> DataFrame:
     """Parse live log lines (TAB separated, time ``yyyy-MM-dd HH:mm:ss``);
     drop the dirty ``ILLEGAL_LOG`` records and lines whose speed is not an
-    integer.  ``ingest_time`` stamps processing time instead of field 0."""
+    integer.  Fields that a short line lacks are NULL; a line without a speed
+    is dropped, never an error.  ``ingest_time`` stamps processing time
+    instead of field 0."""
     v = F.col(value_col)
     p = java_split(v, "\t")
     df = (lines.where(v != F.lit(S.ILLEGAL_LOG))
           .select(p.alias("p"), *([F.current_timestamp().alias("_ingest")] if ingest_time else [])))
-    t = F.col("_ingest") if ingest_time else F.try_to_timestamp(F.col("p")[0], F.lit(S.STREAM_TIME_FORMAT))
+    field = lambda i: F.get("p", F.lit(i))
+    t = F.col("_ingest") if ingest_time else F.try_to_timestamp(field(0), F.lit(S.STREAM_TIME_FORMAT))
     return (df.select(t.alias("event_time"),
-                      F.col("p")[1].alias(S.PLATE),
-                      F.col("p")[2].try_cast("int").alias(S.SPEED),
-                      F.col("p")[3].alias(S.ROAD),
-                      F.col("p")[4].alias(S.MONITOR),
-                      F.col("p")[5].alias(S.CAMERA))
+                      field(1).alias(S.PLATE),
+                      field(2).try_cast("int").alias(S.SPEED),
+                      field(3).alias(S.ROAD),
+                      field(4).alias(S.MONITOR),
+                      field(5).alias(S.CAMERA))
             .where(F.col(S.SPEED).isNotNull()))
 
 
+def log_as_lines(log: DataFrame, time_format: str) -> DataFrame:
+    """The log rendered as TAB-separated lines, column ``value``: time, plate,
+    whole speed, road (always ``-``), monitor, camera; missing values are
+    empty."""
+    text = lambda c: F.coalesce(c.cast("string"), F.lit(""))
+    return log.select(F.concat_ws("\t", text(F.date_format("event_time", time_format)), text(F.col(S.PLATE)),
+                                  text(F.col(S.SPEED).cast("bigint")), F.lit("-"), text(F.col(S.MONITOR)),
+                                  text(F.col(S.CAMERA))).alias("value"))
+
+
 # --------------------------------------------------------------------------
 # role bindings on the driver tables
 # --------------------------------------------------------------------------
@@ -123,18 +142,6 @@ def _table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
-def spread_scan(df: DataFrame) -> DataFrame:
-    """Spread a scan that yields fewer partitions than the cluster has task
-    slots (an unsplittable file: one row group) before CPU-heavy per-row
-    work.  A large input already has many splits and is left alone, so no
-    shuffle is added at scale.  Only the partition count is planned here;
-    nothing is executed."""
-    slots = df.sparkSession.sparkContext.defaultParallelism
-    if df.rdd.getNumPartitions() < slots:
-        return df.repartition(slots)
-    return df
-
-
 def events_as_log(events: DataFrame) -> DataFrame:
     """``events`` in the vehicle-log roles: event_time = ts, vehiclePlate =
     user_id, vehicleSpeed = value, monitorId = props.k, cameraId =
@@ -148,43 +155,55 @@ def events_as_log(events: DataFrame) -> DataFrame:
         F.col("event_id"))
 
 
-def vehicle_log(spark: SparkSession, sf_dir: str) -> DataFrame:
-    ev = _table(spark, sf_dir, "events").select(
-        "ts", "user_id", "value", "props", "event_type", "event_id")
-    return events_as_log(spread_scan(ev))
+def _spread(df: DataFrame, partitions: int | None) -> DataFrame:
+    return df if partitions is None else df.repartition(partitions)
+
+
+def vehicle_log(spark: SparkSession, sf_dir: str, partitions: int | None = None) -> DataFrame:
+    """``events`` as the vehicle log.  ``partitions`` deals the projected rows
+    out anew, for a caller who knows that the file cannot be split and that
+    much work per row follows; by default nothing is shuffled."""
+    return _spread(events_as_log(_table(spark, sf_dir, "events")), partitions)
 
 
-def document_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
+def document_lines(spark: SparkSession, sf_dir: str, partitions: int | None = None) -> DataFrame:
     """Every line of every document (split on ``\\n`` like a text-file read),
-    column ``value``."""
-    docs = spread_scan(_table(spark, sf_dir, "documents").select("text"))
+    column ``value``; ``partitions`` as in :func:`vehicle_log`."""
+    docs = _spread(_table(spark, sf_dir, "documents").select("text"), partitions)
     return docs.select(F.explode(java_split(F.col("text"), "\n")).alias("value"))
 
 
+def order_cameras(spark: SparkSession, sf_dir: str) -> tuple[DataFrame, DataFrame]:
+    """``(declared, log)`` of devices: every order is a declared camera of its
+    customer (the monitor), and every line item is a reading of its order's
+    camera.  An order without lines is a camera that never reported."""
+    orders = _table(spark, sf_dir, "orders").select(F.col("o_custkey").alias(S.MONITOR), F.col("o_orderkey").alias(S.CAMERA))
+    lines = _table(spark, sf_dir, "lineitem").select(F.col("l_orderkey").alias(S.CAMERA))
+    return orders, lines.join(orders, S.CAMERA).select(S.MONITOR, S.CAMERA)
+
+
 # the order that makes lines of one order a sequence (line number is not unique)
 PART_EDGE_ORDER = ["l_linenumber", "l_partkey", "l_suppkey", "l_quantity", "l_extendedprice"]
+# line numbers that one task orders at a time
+LINE_BUCKET = 64
 
 
 def part_ego_lists(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Relationship data from ``lineitem``: two parts are friends when they
     are consecutive lines of one order; the ego list of a part is the part
     with all its friends.  Long form ``(ego_id, head, member)`` with
-    ``ego_id = head``, so every friendship appears in both ego lists.
-
-    The result is read several times by the pair operators, so it is written
-    once (``checkpoint`` in the shared folder) instead of being recomputed."""
+    ``ego_id = head``, so every friendship appears in both ego lists."""
     from roadlens.plans.sequence import ordered_steps
 
     li = _table(spark, sf_dir, "lineitem").select("l_orderkey", *PART_EDGE_ORDER)
-    seq = ordered_steps(li, "l_orderkey", PART_EDGE_ORDER, ["l_partkey"], lookahead=1)
+    bucket = F.floor(F.col("l_linenumber") / LINE_BUCKET)
+    seq = ordered_steps(li, "l_orderkey", PART_EDGE_ORDER, ["l_partkey"], bucket)
     nxt = F.col("next1_l_partkey")
     edges = (seq.where(nxt.isNotNull() & (nxt != F.col("l_partkey")))
              .select(F.least("l_partkey", nxt).alias("a"), F.greatest("l_partkey", nxt).alias("b"))
              .distinct())
-    ego = (edges.select(F.explode(F.array(
+    return (edges.select(F.explode(F.array(
                 F.struct(F.col("a").alias("head"), F.col("b").alias("member")),
                 F.struct(F.col("b").alias("head"), F.col("a").alias("member")))).alias("e"))
-           .select(F.col("e.head").alias("ego_id"), F.col("e.head").alias("head"),
-                   F.col("e.member").alias("member")))
-    checkpoint_root(spark)
-    return ego.checkpoint(eager=True)
+            .select(F.col("e.head").alias("ego_id"), F.col("e.head").alias("head"),
+                    F.col("e.member").alias("member")))

@@ -3,16 +3,20 @@
 The same operator functions as in batch run on a streaming DataFrame
 (``windowed_avg_speed``, ``windowed_count``); the stream adds an event-time
 watermark so window state is dropped once the watermark passes it.  Sinks
-use ``foreachBatch`` and are idempotent per ``batch_id``:
+use ``foreachBatch`` and are idempotent per ``batch_id`` (a replayed batch
+replaces its own folder):
 
-* :func:`table_sink`  — complete mode overwrites one table; append/update
-  mode writes ``batch=<id>`` folders with overwrite (a replayed batch
-  replaces its own output)                                      (S14)
+* :func:`table_sink`  — append/update mode writes ``table/batch=<id>``;
+  complete mode writes the whole table as ``table/batch_id=<id>``     (S14)
 * :func:`snapshot_sink` — complete-mode input: per batch recompute the
-  congestion snapshot of every known monitor and overwrite it    (S15)
+  congestion snapshot of every known monitor                          (S15)
 * :func:`snapshot_merge_sink` — append-mode input (the production form):
   merge the batch's closed windows into the previous batch's per-monitor
-  state and write ``state/`` and ``snapshot/`` per batch id       (S15)
+  state and write ``state/`` and ``snapshot/`` per batch id           (S15)
+
+What is replaced as a whole (complete tables, snapshots, states) is written
+to a folder of its batch, and the last two are kept.  :func:`read_current`
+reads the newest finished one, so a reader never meets a half-written table.
 
 :func:`start_stream` runs a query with a processing-time trigger (5 s in
 the original jobs); :func:`run_available_now` processes what is available
@@ -30,7 +34,7 @@ from roadlens import schemas as S
 from roadlens.operators.windows import (
     congestion_status, latest_speed, windowed_avg_speed, windowed_count,
 )
-from roadlens.plans.checkpoint import scratch_path
+from roadlens.plans.checkpoint import finished_ids, remove_folder, scratch_path
 
 
 def as_event_time(df: DataFrame, time: str = "event_time") -> DataFrame:
@@ -63,14 +67,35 @@ def stream_window_count(stream: DataFrame, value: str = "value", watermark: str
     return windowed_count(s, value, window, slide, "event_time")
 
 
+#: Finished versions of a replaced table that stay: the newest and the one before.
+KEEP_VERSIONS = 2
+
+
+def _publish(df: DataFrame, path: str, batch_id: int) -> None:
+    """Write a whole version of a table and drop the versions before the last."""
+    df.write.mode("overwrite").parquet(f"{path}/batch_id={batch_id}")
+    spark = df.sparkSession
+    for old in [i for i in finished_ids(spark, path) if i <= batch_id][:-KEEP_VERSIONS]:
+        remove_folder(spark, f"{path}/batch_id={old}")
+
+
+def read_current(spark: SparkSession, path: str) -> DataFrame:
+    """The newest finished version of a table that a sink replaces per batch."""
+    done = finished_ids(spark, path)
+    if not done:
+        raise FileNotFoundError(f"no finished version in {path}")
+    return spark.read.parquet(f"{path}/batch_id={done[-1]}")
+
+
 def table_sink(path: str, mode: str, sort_by: list[str] | None = None) -> Callable:
-    """foreachBatch writer; see module doc."""
+    """foreachBatch writer; see module doc.  Complete tables are read with
+    :func:`read_current`, append tables as ``<path>/table``."""
     def write(batch: DataFrame, batch_id: int) -> None:
         out = _windows_to_ntz(batch) if "window_start" in batch.columns else batch
         if sort_by:
             out = out.sortWithinPartitions(*sort_by)
         if mode == "complete":
-            out.write.mode("overwrite").parquet(f"{path}/table")
+            _publish(out, f"{path}/table", batch_id)
         else:
             out.write.mode("overwrite").parquet(f"{path}/table/batch={batch_id}")
     return write
@@ -86,7 +111,7 @@ def snapshot_sink(path: str, monitors: DataFrame, slide: str = S.SPEED_SLIDE,
         w = _windows_to_ntz(batch).persist()
         try:
             snap = congestion_status(monitors, latest_speed(w, slide=slide, monitor=monitor), monitor)
-            snap.write.mode("overwrite").parquet(f"{path}/snapshot")
+            _publish(snap, f"{path}/snapshot", batch_id)
         finally:
             w.unpersist()
     return write
@@ -100,30 +125,27 @@ def snapshot_merge_sink(path: str, monitors: DataFrame, monitor: str = S.MONITOR
     snapshot of every known monitor goes to ``snapshot/batch_id=<id>``.
     Each batch reads only the previous batch's state, so the work per batch
     does not grow with the stream's age; a replayed batch overwrites its
-    own folders (idempotent)."""
+    own folders.  Only batch 0 starts without a state; later, a missing one
+    is an error, for going on would forget every monitor's last speed."""
     def write(batch: DataFrame, batch_id: int) -> None:
         spark = batch.sparkSession
         w = _windows_to_ntz(batch).select(monitor, "avg_speed", "window_end")
-        try:
+        if batch_id > 0:
+            if batch_id - 1 not in finished_ids(spark, f"{path}/state"):
+                raise RuntimeError(f"the state of batch {batch_id - 1} is missing in {path}/state")
             prev = spark.read.parquet(f"{path}/state/batch_id={batch_id - 1}")
             w = w.unionByName(prev.select(monitor, "avg_speed", "window_end"))
-        except Exception as e:  # no previous state: first batch
-            if "PATH_NOT_FOUND" not in str(e) and "does not exist" not in str(e):
-                raise
         state = w.groupBy(monitor).agg(F.max_by("avg_speed", "window_end").alias("avg_speed"),
                                        F.max("window_end").alias("window_end"))
-        state.write.mode("overwrite").parquet(f"{path}/state/batch_id={batch_id}")
+        _publish(state, f"{path}/state", batch_id)
         latest = spark.read.parquet(f"{path}/state/batch_id={batch_id}")
-        congestion_status(monitors, latest, monitor).write.mode("overwrite").parquet(
-            f"{path}/snapshot/batch_id={batch_id}")
+        _publish(congestion_status(monitors, latest, monitor), f"{path}/snapshot", batch_id)
     return write
 
 
 def latest_snapshot(spark: SparkSession, path: str) -> DataFrame:
-    """The newest snapshot written by :func:`snapshot_merge_sink`."""
-    snaps = spark.read.parquet(f"{path}/snapshot")
-    newest = snaps.agg(F.max("batch_id")).scalar()
-    return snaps.where(F.col("batch_id") == newest).drop("batch_id")
+    """The newest snapshot written by a snapshot sink."""
+    return read_current(spark, f"{path}/snapshot")
 
 
 def start_stream(sdf: DataFrame, make_sink: Callable[[str], Callable], folder: str,
@@ -139,22 +161,26 @@ def start_stream(sdf: DataFrame, make_sink: Callable[[str], Callable], folder: s
 
 
 def run_available_now(sdf: DataFrame, make_sink: Callable[[str], Callable], name: str,
-                      output_mode: str = "complete", timeout_s: int | None = 1800,
-                      folder: str | None = None) -> str:
+                      output_mode: str = "complete", timeout_s: int | None = None,
+                      folder: str | None = None, resumable: bool = True) -> str:
     """Run a streaming query over everything available now, with a
     checkpoint in the shared folder; ``make_sink(folder)`` gives the
     foreachBatch writer.  Passing the ``folder`` of an earlier run resumes
-    from its checkpoint (only new input is read).  Returns the folder."""
+    from its checkpoint (only new input is read); ``resumable=False`` removes
+    the checkpoint after the run.  ``timeout_s`` stops a run that takes
+    longer (default: no limit).  Returns the folder."""
     base = folder or scratch_path(sdf.sparkSession, name)
     q = (sdf.writeStream.outputMode(output_mode)
          .option("checkpointLocation", f"{base}/checkpoint")
          .foreachBatch(make_sink(base))
          .trigger(availableNow=True)
          .start())
-    q.awaitTermination(timeout_s)
+    q.awaitTermination() if timeout_s is None else q.awaitTermination(timeout_s)
     if q.isActive:
         q.stop()
         raise TimeoutError(f"stream {name} did not finish")
     if q.exception() is not None:
         raise q.exception()
+    if not resumable:
+        remove_folder(sdf.sparkSession, f"{base}/checkpoint")
     return base

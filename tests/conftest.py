@@ -8,9 +8,10 @@ sys.path.insert(0, ROOT)
 
 
 @pytest.fixture(scope="session")
-def spark():
+def spark(tmp_path_factory):
     from roadlens.session import build_session
-    s = build_session("local[4]", 8)
+    shared = str(tmp_path_factory.mktemp("shared"))
+    s = build_session("local[4]", 8, extra={"spark.checkpoint.dir": shared})
     yield s
     s.stop()
 

@@ -1,9 +1,11 @@
-"""Small planning helpers: checked broadcast, scan spreading, and the
-work-sized partition count of the pair counting."""
+"""Small planning helpers: checked broadcast, explicit scan spreading, folders
+of finished versions, and plans without an expansion."""
 
-from roadlens.operators import graph as G
-from roadlens.plans import bounded_broadcast
-from roadlens.sources import spread_scan
+import pytest
+
+from roadlens.operators import latest_speed_of_log
+from roadlens.plans import bounded_broadcast, finished_ids, remove_folder
+from roadlens.sources import document_lines
 
 
 def _plan(df):
@@ -17,20 +19,26 @@ def test_bounded_broadcast_only_under_the_bound(spark):
     assert "broadcast" not in _plan(bounded_broadcast(df, None)).lower()
 
 
-def test_spread_scan_only_when_too_few_partitions(spark):
-    slots = spark.sparkContext.defaultParallelism
-    one = spark.range(0, 100, numPartitions=1)
-    assert spread_scan(one).rdd.getNumPartitions() == slots
-    many = spark.range(0, 100, numPartitions=slots * 2)
-    assert spread_scan(many) is many
+def test_scans_are_spread_only_when_asked(spark, tmp_path):
+    spark.createDataFrame([("a b\nc",)], "text string").write.parquet(f"{tmp_path}/documents.parquet")
+    assert "Repartition" not in _plan(document_lines(spark, str(tmp_path)))
+    assert document_lines(spark, str(tmp_path), partitions=3).rdd.getNumPartitions() == 3
+
+
+def test_latest_speed_expands_nothing(spark):
+    log = spark.createDataFrame([], "event_time timestamp_ntz, monitorId int, vehicleSpeed int")
+    plan = latest_speed_of_log(log)._jdf.queryExecution().optimizedPlan().toString()
+    assert "Expand" not in plan and "Generate" not in plan
 
 
-def test_counting_partitions_whole_waves(spark, monkeypatch):
-    slots = spark.sparkContext.defaultParallelism
-    ego = spark.createDataFrame([(e, e, m) for e in range(3) for m in range(40)],
-                                "ego_id long, head long, member long")
-    n = G._counting_partitions(ego)
-    assert n % slots == 0 and n >= int(spark.conf.get("spark.sql.shuffle.partitions"))
-    monkeypatch.setattr(G, "TASK_ELEMENTS", 10)  # 3 * 40^2 = 4800 elements -> 480 tasks
-    n = G._counting_partitions(ego)
-    assert n % slots == 0 and n >= 480
+def test_finished_versions(spark, tmp_path):
+    base = f"{tmp_path}/roadlens/t"
+    assert finished_ids(spark, base) == []
+    for i in (2, 10):
+        spark.range(1).write.parquet(f"{base}/batch_id={i}")
+    (tmp_path / "roadlens/t/batch_id=11").mkdir()
+    assert finished_ids(spark, base) == [2, 10]
+    remove_folder(spark, f"{base}/batch_id=2")
+    assert finished_ids(spark, base) == [10]
+    with pytest.raises(ValueError):
+        remove_folder(spark, str(tmp_path))

@@ -26,7 +26,7 @@ def test_stream_avg_speed_equals_batch(spark):
     src = spark.readStream.schema(log.schema).parquet(folder)
     sdf = ST.stream_avg_speed(src, watermark="10 minutes")
     base = ST.run_available_now(sdf, lambda p: ST.table_sink(p, "complete"), "test-avg")
-    got = spark.read.parquet(f"{base}/table")
+    got = ST.read_current(spark, f"{base}/table")
     exp = O.windowed_avg_speed(log)
     got = got.select(*exp.columns)
     assert got.count() == exp.count()
@@ -35,7 +35,7 @@ def test_stream_avg_speed_equals_batch(spark):
     monitors = log.select("monitorId")
     base2 = ST.run_available_now(ST.stream_avg_speed(src, watermark="10 minutes"),
                                  lambda p: ST.snapshot_sink(p, monitors), "test-snap")
-    snap = spark.read.parquet(f"{base2}/snapshot")
+    snap = ST.latest_snapshot(spark, base2)
     exp2 = O.congestion_status(monitors, O.latest_speed(exp))
     assert snap.select(*exp2.columns).exceptAll(exp2).count() == 0 and snap.count() == 5
 
@@ -47,7 +47,7 @@ def test_stream_window_count_equals_batch(spark):
     src = spark.readStream.schema(log.schema).parquet(folder)
     sdf = ST.stream_window_count(src, "cameraId", watermark="10 minutes")
     base = ST.run_available_now(sdf, lambda p: ST.table_sink(p, "complete", ["window_start"]), "test-cnt")
-    got = spark.read.parquet(f"{base}/table")
+    got = ST.read_current(spark, f"{base}/table")
     exp = O.windowed_count(log, "cameraId")
     assert got.select(*exp.columns).exceptAll(exp).count() == 0 and got.count() == exp.count()
 
@@ -87,12 +87,87 @@ def test_restart_resumes_from_checkpoint(spark):
     src = spark.readStream.schema(log.schema).option("recursiveFileLookup", "true").parquet(folder)
     make = lambda p: ST.table_sink(p, "complete")
     base = ST.run_available_now(ST.stream_avg_speed(src, watermark="10 minutes"), make, "test-restart")
-    n1 = spark.read.parquet(f"{base}/table").count()
+    n1 = ST.read_current(spark, f"{base}/table").count()
     second.write.parquet(f"{folder}/b")
     ST.run_available_now(ST.stream_avg_speed(src, watermark="10 minutes"), make, "test-restart",
                          folder=base)
-    got = spark.read.parquet(f"{base}/table")
+    got = ST.read_current(spark, f"{base}/table")
     exp = O.windowed_avg_speed(log)
     assert n1 < got.count() == exp.count()
     assert got.select(*exp.columns).exceptAll(exp).count() == 0
 
+
+
+def _windows(spark, rows):
+    return spark.createDataFrame(rows, "window_start timestamp, window_end timestamp, monitorId string, avg_speed long")
+
+
+def test_merged_state_is_never_forgotten(spark, tmp_path):
+    import pytest
+    t = datetime(2019, 1, 16, 10, 0, 0)
+    monitors = spark.createDataFrame([("a",), ("b",)], "monitorId string")
+    base = f"{tmp_path}/roadlens/merge"
+    write = ST.snapshot_merge_sink(base, monitors)
+    write(_windows(spark, [(t, t + timedelta(seconds=60), "a", 40)]), 0)
+    with pytest.raises(RuntimeError):
+        write(_windows(spark, [(t, t + timedelta(seconds=60), "b", 20)]), 2)
+    for i in range(1, 5):
+        write(_windows(spark, [(t, t + timedelta(seconds=60 + i), "b", 20 + i)]), i)
+    write(_windows(spark, [(t, t + timedelta(seconds=64), "b", 24)]), 4)  # replayed
+    got = {r.monitorId: (r.avg_speed, r.reported) for r in ST.latest_snapshot(spark, base).collect()}
+    assert got == {"a": (40, True), "b": (24, True)}
+    assert sorted(p.name for p in (tmp_path / "roadlens/merge/state").iterdir()) == ["batch_id=3", "batch_id=4"]
+    assert sorted(p.name for p in (tmp_path / "roadlens/merge/snapshot").iterdir()) == ["batch_id=3", "batch_id=4"]
+
+
+def test_append_mode_over_batches_late_rows_and_a_restart(spark):
+    """Closed windows come out once, over several batches and a restart; a row
+    far behind the watermark changes nothing that is out."""
+    base_t = datetime(2019, 1, 16, 10, 0, 0)
+    folder = tempfile.mkdtemp(prefix="rl-src-")
+
+    def put(name, rows):
+        spark.createDataFrame(rows, SCHEMA).coalesce(1).write.parquet(f"{folder}/{name}")
+
+    put("a", [(base_t + timedelta(seconds=s), "p", 10 + s, "m", "c") for s in (0, 7, 20)])
+    schema = spark.createDataFrame([], SCHEMA).schema
+    src = (spark.readStream.schema(schema).option("maxFilesPerTrigger", 1)
+           .option("recursiveFileLookup", "true").parquet(folder))
+    make = lambda p: ST.table_sink(p, "append")
+    sdf = ST.stream_avg_speed(src, watermark="10 seconds")
+    base = ST.run_available_now(sdf, make, "test-late", output_mode="append")
+    put("b", [(base_t + timedelta(seconds=s), "p", 50, "m", "c") for s in (300, 320)])
+    ST.run_available_now(sdf, make, "test-late", output_mode="append", folder=base)
+    early = spark.read.parquet(f"{base}/table").drop("batch")
+    n = early.count()
+    put("c", [(base_t + timedelta(seconds=3), "late", 250, "m", "c"), (base_t + timedelta(seconds=900), "p", 5, "m", "c")])
+    ST.run_available_now(sdf, make, "test-late", output_mode="append", folder=base)
+    got = spark.read.parquet(f"{base}/table").drop("batch")
+    assert n > 0 and got.count() > n
+    assert got.groupBy("window_start", "monitorId").count().where("count > 1").count() == 0
+    log = spark.createDataFrame([(base_t + timedelta(seconds=s), "p", v, "m", "c") for s, v in
+                                 [(0, 10), (7, 17), (20, 30), (300, 50), (320, 50), (900, 5)]], SCHEMA)
+    closed = O.windowed_avg_speed(log).where(F.col("window_end") <= F.lit(base_t + timedelta(seconds=890)).cast("timestamp_ntz"))
+    assert got.select(*closed.columns).exceptAll(closed).count() == 0 and closed.exceptAll(got.select(*closed.columns)).count() == 0
+
+
+def test_the_job_from_lines_to_status_with_a_trigger(spark):
+    """Text lines (dirty and short ones too), parsed, windowed, merged into a
+    snapshot, by a query with a processing-time trigger."""
+    from roadlens.plans import scratch_path
+    from roadlens.sources import parse_stream_log, read_stream
+    folder = tempfile.mkdtemp(prefix="rl-src-")
+    line = "2019-01-16 10:%02d:%02d\tP1\t%d\t1\t%s\t4"
+    with open(f"{folder}/a.txt", "w") as f:
+        f.write("\n".join([line % (0, 1, 40, "m1"), "ILLEGAL_LOG", "short\tline", line % (0, 9, 50, "m2"), line % (5, 0, 1, "m3")]))
+    lines = read_stream(spark, "text", path=folder)
+    sdf = ST.stream_avg_speed(parse_stream_log(lines), watermark="10 seconds")
+    monitors = spark.createDataFrame([("m1",), ("m2",), ("m4",)], "monitorId string")
+    out = scratch_path(spark, "job")
+    q = ST.start_stream(sdf, lambda p: ST.snapshot_merge_sink(p, monitors), out, every="1 second")
+    try:
+        q.processAllAvailable()
+    finally:
+        q.stop()
+    got = {r.monitorId: (r.avg_speed, r.level, r.reported) for r in ST.latest_snapshot(spark, out).collect()}
+    assert got == {"m1": (40, "normal", True), "m2": (50, "normal", True), "m4": (0, "jammed", False)}
