@@ -11,6 +11,7 @@ import json
 import os
 import statistics
 import sys
+import tempfile
 import time
 
 sys.path.insert(0, os.path.dirname(os.path.abspath(__file__)))
@@ -18,12 +19,7 @@ sys.path.insert(0, os.path.dirname(os.path.abspath(__file__)))
 from roadlens.registry import QUERIES  # noqa: E402
 from roadlens.session import build_session  # noqa: E402
 
-HEADLINE = [
-    "word_count", "remove_top_word", "relation_pairs", "recommend_friends",
-    "top_monitors", "top_monitors_lineitem", "top_speed_readings", "top_speeding_monitors_sql",
-    "busiest_hours", "error_cameras", "status_summary", "conversion_rate", "vehicle_trace",
-    "windowed_avg_speed", "windowed_count", "congestion_status", "stream_congestion_snapshot",
-]
+HEADLINE = list(QUERIES)
 
 
 def run_once(spark, name, sf_dir):
@@ -37,7 +33,8 @@ def main():
     cpus = int(os.environ.get("BENCH_CPUS", os.cpu_count() or 8))
     reps = int(os.environ.get("BENCH_REPS", "3"))
     names = sys.argv[1:] or HEADLINE
-    spark = build_session(f"local[{cpus}]", shuffle_partitions=max(8, cpus * 2))
+    shared = tempfile.mkdtemp(prefix="bench-")
+    spark = build_session(f"local[{cpus}]", shuffle_partitions=max(8, cpus * 2), extra={"spark.checkpoint.dir": shared})
     out = {}
     for name in names:
         run_once(spark, name, sf_dir)  # warm-up

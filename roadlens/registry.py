@@ -12,7 +12,10 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from roadlens import operators as O, schemas as S, streaming as ST
-from roadlens.sources import document_lines, events_as_log, part_ego_lists, vehicle_log
+from roadlens.sources import (
+    document_lines, events_as_log, log_as_lines, order_cameras, parse_stream_log, parse_vehicle_log, part_ego_lists,
+    vehicle_log,
+)
 
 # ---------------------------------------------------------------------------
 # Binding parameters of the driver queries
@@ -20,67 +23,90 @@ from roadlens.sources import document_lines, events_as_log, part_ego_lists, vehi
 WORD_NEEDLE = "the"              # Q01 keeps lines containing this text
 SPEED_OVER = 50                  # Q05/Q06 threshold on events.value
 SAMPLE_SEED, SAMPLE_N = 42, 10   # Q10 sample
-# Q08: the log of a reporting period is checked against the registry of all
-# (monitor, camera) pairs ever seen; the period is the first three days.
-REPORT_PERIOD_END = "2024-01-04 00:00:00"
 CONVERT_A, CONVERT_B = "view", "purchase"   # Q09 over cameraId (event_type)
+CONVERT_FROM, CONVERT_TO = 7, 8  # Q09 over the monitor itself
 QUANTITY_OVER = 40               # Q05/Q06 second binding: l_quantity per l_suppkey
 STREAM_WATERMARK = "1 hour"
+TIE = ["event_id"]               # events has a unique id for readings of one time
+TRACE_SEGMENT = 10               # readings per row of the segmented traces
 
 
 def _log(spark, d):
     return vehicle_log(spark, d)
 
 
-def _registry_and_period(spark, d):
-    log = _log(spark, d)
-    dim = log.select(S.MONITOR, S.CAMERA).distinct()
-    period = log.where(F.col("event_time") < F.lit(REPORT_PERIOD_END).cast("timestamp_ntz"))
-    return dim, period
-
-
 def _sample_keys(spark, d):
     return O.sample_vehicles(_log(spark, d), SAMPLE_N, SAMPLE_SEED)
 
 
-def _windowed(spark, d):
-    return O.windowed_avg_speed(_log(spark, d))
+def _latest(spark, d):
+    return O.latest_speed_of_log(_log(spark, d))
 
 
-def _latest(spark, d):
-    log = _log(spark, d)
-    return O.latest_speed(O.windowed_avg_speed(log), as_of=O.closing_time(log))
+def _conversion(spark, d, **options):
+    return O.conversion_rate(_log(spark, d), CONVERT_A, CONVERT_B, monitor=S.CAMERA, tie=TIE, **options)
 
 
 def _lineitem_log(spark, d):
     return spark.read.parquet(f"{d}/lineitem.parquet")
 
 
-# --- streaming forms: the events file read by the file source --------------
+# --- text lines: the log rendered as lines, and parsed again ----------------
+def _vehicle_lines(spark, d):
+    """Lines of the batch log, each followed by one that is no log line."""
+    lines = log_as_lines(_log(spark, d), S.LOG_TIME_FORMAT)
+    return lines.select(F.explode(F.array("value", F.lit(S.ILLEGAL_LOG))).alias("value"))
+
+
+def _parsed_log(spark, d):
+    return parse_vehicle_log(_vehicle_lines(spark, d)).select(
+        "event_time", S.PLATE, S.SPEED, S.MONITOR, S.CAMERA)
+
+
+# --- streaming forms: the events table read by the file source --------------
 def _event_stream(spark: SparkSession, d: str) -> DataFrame:
-    # the file source needs a folder or a glob; the glob selects the one file
+    """``events.parquet`` as a stream, a file or a folder: the file source
+    reads folders and globs, so its own folder is named, and a filter on the
+    file's path leaves out the siblings."""
     schema = spark.read.parquet(f"{d}/events.parquet").schema
-    return events_as_log(spark.readStream.schema(schema).parquet(f"{d}/events.parquet*"))
+    reader = spark.readStream.schema(schema)
+    return events_as_log(reader.parquet(f"{d}/events.parque[t]"))
+
+
+def _line_stream(spark, d):
+    lines = log_as_lines(_event_stream(spark, d), S.STREAM_TIME_FORMAT)
+    lines = lines.select(F.explode(F.array("value", F.lit(S.ILLEGAL_LOG))).alias("value"))
+    return parse_stream_log(lines)
+
+
+def _table_of(spark, sdf, name, mode, sort_by=None):
+    """Runs a stream over all that there is and reads its table."""
+    base = ST.run_available_now(sdf, lambda p: ST.table_sink(p, mode, sort_by), name, mode, resumable=False)
+    if mode == "complete":
+        return ST.read_current(spark, f"{base}/table")
+    return spark.read.parquet(f"{base}/table").drop("batch")
 
 
-def _stream_avg_speed(spark, d):
-    sdf = ST.stream_avg_speed(_event_stream(spark, d), STREAM_WATERMARK)
-    base = ST.run_available_now(sdf, lambda p: ST.table_sink(p, "complete"), "avg-speed")
-    return spark.read.parquet(f"{base}/table")
+def _stream_avg_speed(mode):
+    return lambda s, d: _table_of(s, ST.stream_avg_speed(_event_stream(s, d), STREAM_WATERMARK), f"avg-speed-{mode}", mode)
 
 
-def _stream_window_count(spark, d):
-    sdf = ST.stream_window_count(_event_stream(spark, d), S.CAMERA, STREAM_WATERMARK)
-    base = ST.run_available_now(
-        sdf, lambda p: ST.table_sink(p, "complete", ["window_start", S.CAMERA]), "window-count")
-    return spark.read.parquet(f"{base}/table")
+def _stream_window_count(mode):
+    return lambda s, d: _table_of(s, ST.stream_window_count(_event_stream(s, d), S.CAMERA, STREAM_WATERMARK),
+                                  f"window-count-{mode}", mode, ["window_start", S.CAMERA])
 
 
-def _stream_congestion_snapshot(spark, d):
-    monitors = _log(spark, d).select(S.MONITOR)
-    sdf = ST.stream_avg_speed(_event_stream(spark, d), STREAM_WATERMARK)
-    base = ST.run_available_now(sdf, lambda p: ST.snapshot_sink(p, monitors), "congestion")
-    return spark.read.parquet(f"{base}/snapshot")
+def _stream_log_lines(spark, d):
+    return _table_of(spark, ST.stream_avg_speed(_line_stream(spark, d), STREAM_WATERMARK), "log-lines", "append")
+
+
+def _stream_congestion(sink, mode):
+    def run(spark, d):
+        monitors = _log(spark, d).select(S.MONITOR)
+        sdf = ST.stream_avg_speed(_event_stream(spark, d), STREAM_WATERMARK)
+        base = ST.run_available_now(sdf, lambda p: sink(p, monitors), f"congestion-{mode}", mode, resumable=False)
+        return ST.latest_snapshot(spark, base)
+    return run
 
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
@@ -90,13 +116,13 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "remove_top_word": lambda s, d: O.remove_top_word(document_lines(s, d), " "),
     # relationship (Q03a-c)
     "relation_pairs": lambda s, d: O.relation_pairs(part_ego_lists(s, d)),
-    "common_friend_weight": lambda s, d: O.common_friend_weight(O.relation_pairs(part_ego_lists(s, d))),
+    "common_friend_weight": lambda s, d: O.pair_weights(part_ego_lists(s, d)),
     "recommend_friends": lambda s, d: O.recommend_friends(part_ego_lists(s, d)),
     # traffic top-k (Q04-Q07)
     "top_monitors": lambda s, d: O.top_monitors(_log(s, d)),
     "bottom_monitors": lambda s, d: O.top_monitors(_log(s, d), ascending=True),
     "top_monitors_lineitem": lambda s, d: O.top_monitors(_lineitem_log(s, d), monitor="l_suppkey"),
-    "top_speed_readings": lambda s, d: O.top_speed_readings(_log(s, d), SPEED_OVER, tie=["event_id"]),
+    "top_speed_readings": lambda s, d: O.top_speed_readings(_log(s, d), SPEED_OVER, tie=TIE),
     "top_speeding_monitors": lambda s, d: O.top_speeding_monitors(_log(s, d), SPEED_OVER),
     "top_speeding_monitors_sql": lambda s, d: O.top_speeding_monitors_sql(_log(s, d), SPEED_OVER),
     "top_speed_readings_lineitem": lambda s, d: O.top_speed_readings(
@@ -104,26 +130,39 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "top_speeding_monitors_lineitem": lambda s, d: O.top_speeding_monitors(
         _lineitem_log(s, d), QUANTITY_OVER, monitor="l_suppkey", speed="l_quantity"),
     "busiest_hours": lambda s, d: O.busiest_hours(_log(s, d)),
-    # device status (Q08a-c)
-    "error_monitors": lambda s, d: O.error_monitors(*_registry_and_period(s, d)),
-    "error_monitors_size": lambda s, d: O.error_monitors(*_registry_and_period(s, d), mode="size"),
-    "error_cameras": lambda s, d: O.error_cameras(*_registry_and_period(s, d)),
-    "status_summary": lambda s, d: O.status_summary(*_registry_and_period(s, d)),
+    "busiest_hours_text": lambda s, d: O.busiest_hours(
+        _log(s, d).select(F.date_format("event_time", S.LOG_TIME_FORMAT).alias(S.DATE_TIME)),
+        time=S.DATE_TIME, raw_text=True),
+    # device status (Q08a-c): declared cameras are orders, readings are line items
+    "error_monitors": lambda s, d: O.error_monitors(*order_cameras(s, d)),
+    "error_monitors_size": lambda s, d: O.error_monitors(*order_cameras(s, d), mode="size"),
+    "error_cameras": lambda s, d: O.error_cameras(*order_cameras(s, d)),
+    "error_cameras_size": lambda s, d: O.error_cameras(*order_cameras(s, d), mode="size"),
+    "status_summary": lambda s, d: O.status_summary(*order_cameras(s, d)),
+    "status_summary_size": lambda s, d: O.status_summary(*order_cameras(s, d), mode="size"),
     # sequences per vehicle (Q09, Q10)
-    "conversion_rate": lambda s, d: O.conversion_rate(_log(s, d), CONVERT_A, CONVERT_B,
-                                                      monitor=S.CAMERA),
-    "conversion_rate_no_tail": lambda s, d: O.conversion_rate(_log(s, d), CONVERT_A, CONVERT_B,
-                                                              count_tail=False, monitor=S.CAMERA),
+    "conversion_rate": lambda s, d: _conversion(s, d),
+    "conversion_rate_no_tail": lambda s, d: _conversion(s, d, count_tail=False),
+    "conversion_rate_monitors": lambda s, d: O.conversion_rate(_log(s, d), CONVERT_FROM, CONVERT_TO),
     "sample_vehicles": lambda s, d: _sample_keys(s, d),
-    "vehicle_trace": lambda s, d: O.vehicle_trace(_log(s, d), _sample_keys(s, d), key_bound=SAMPLE_N),
+    "vehicle_trace": lambda s, d: O.vehicle_trace(_log(s, d), _sample_keys(s, d), key_bound=SAMPLE_N, tie=TIE),
+    "vehicle_trace_segments": lambda s, d: O.vehicle_trace(
+        _log(s, d), _sample_keys(s, d), key_bound=SAMPLE_N, tie=TIE, segment_steps=TRACE_SEGMENT),
+    # text lines (S2, S4)
+    "parsed_vehicle_log": _parsed_log,
     # windows and congestion (Q11-Q13), batch and streaming forms
-    "windowed_avg_speed": lambda s, d: _windowed(s, d),
+    "windowed_avg_speed": lambda s, d: O.windowed_avg_speed(_log(s, d)),
     "windowed_count": lambda s, d: O.windowed_count(_log(s, d), S.CAMERA),
     "latest_per_monitor": _latest,
     "congestion_status": lambda s, d: O.congestion_status(_log(s, d), _latest(s, d)),
-    "stream_avg_speed": _stream_avg_speed,
-    "stream_window_count": _stream_window_count,
-    "stream_congestion_snapshot": _stream_congestion_snapshot,
+    "stream_avg_speed": _stream_avg_speed("complete"),
+    "stream_window_count": _stream_window_count("complete"),
+    "stream_congestion_snapshot": _stream_congestion(ST.snapshot_sink, "complete"),
+    # the production form: append mode, windows leave the state when they close
+    "stream_avg_speed_append": _stream_avg_speed("append"),
+    "stream_window_count_append": _stream_window_count("append"),
+    "stream_congestion_append": _stream_congestion(ST.snapshot_merge_sink, "append"),
+    "stream_log_lines": _stream_log_lines,
 }
 
 
@@ -165,13 +204,13 @@ cw AS (
   SELECT a, b, CAST(sum(CASE WHEN tag = 1 THEN n END) AS BIGINT) AS weight
   FROM rp GROUP BY a, b HAVING min(tag) = 1)"""
 
-_PERIOD = f"""dim AS (SELECT DISTINCT monitorId, cameraId FROM log WHERE cameraId IS NOT NULL),
-seen AS (SELECT DISTINCT monitorId, cameraId FROM log
-         WHERE event_time < TIMESTAMP '{REPORT_PERIOD_END}' AND cameraId IS NOT NULL),
-missing AS (
-  SELECT d.monitorId, d.cameraId FROM dim d
-  WHERE NOT EXISTS (SELECT 1 FROM seen s WHERE s.monitorId IS NOT DISTINCT FROM d.monitorId
-                                           AND s.cameraId = d.cameraId))"""
+_DEVICES = """dim AS (SELECT o_custkey AS monitorId, o_orderkey AS cameraId FROM orders),
+seen AS (SELECT DISTINCT o_custkey AS monitorId, o_orderkey AS cameraId FROM orders
+         WHERE o_orderkey IN (SELECT l_orderkey FROM lineitem)),
+missing AS (SELECT DISTINCT monitorId, cameraId FROM dim EXCEPT SELECT monitorId, cameraId FROM seen),
+nd AS (SELECT monitorId, count(*) AS c FROM dim GROUP BY monitorId),
+ns AS (SELECT monitorId, count(*) AS c FROM seen GROUP BY monitorId),
+wrong AS (SELECT nd.monitorId FROM nd LEFT JOIN ns ON nd.monitorId = ns.monitorId WHERE nd.c <> coalesce(ns.c, 0))"""
 
 _WINDOWED = """wa AS (
   SELECT window_start, window_start + INTERVAL 60 SECONDS AS window_end, monitorId,
@@ -188,14 +227,14 @@ _LATEST = """latest AS (
   FROM wa WHERE window_end <= (SELECT max(window_start) + INTERVAL 5 SECONDS FROM wa)
   GROUP BY monitorId)"""
 
-_CONGESTION = f"""WITH {_LOG}, {_WINDOWED}, {_LATEST},
+_CONGESTION = """WITH {log}, {windowed}, {with_latest},
 m AS (SELECT DISTINCT monitorId FROM log)
 SELECT m.monitorId, CAST(coalesce(l.avg_speed, 0) AS BIGINT) AS avg_speed,
        CASE WHEN coalesce(l.avg_speed, 0) <= 5 THEN 'jammed'
             WHEN coalesce(l.avg_speed, 0) <= 10 THEN 'severe'
             WHEN coalesce(l.avg_speed, 0) <= 30 THEN 'slow' ELSE 'normal' END AS level,
        l.avg_speed IS NOT NULL AS reported
-FROM m LEFT JOIN latest l ON m.monitorId = l.monitorId"""
+FROM m LEFT JOIN {latest} l ON m.monitorId IS NOT DISTINCT FROM l.monitorId"""
 
 _WINDOW_COUNT = f"""WITH {_LOG}
 SELECT window_start, window_start + INTERVAL 15 SECONDS AS window_end, cameraId, count(*) AS n
@@ -206,10 +245,10 @@ WHERE event_time < window_start + INTERVAL 15 SECONDS
 GROUP BY window_start, cameraId"""
 
 
-def _conversion(no_tail: bool) -> str:
-    cond = f"m = '{CONVERT_A}' AND n1 = '{CONVERT_B}'" + (" AND n2 IS NOT NULL" if no_tail else "")
+def _conversion_sql(no_tail: bool) -> str:
+    cond = f"m = '{CONVERT_A}' AND n1 = '{CONVERT_B}'" + (" AND has2" if no_tail else "")
     return f"""WITH {_LOG},
-s AS (SELECT cameraId AS m, lead(cameraId) OVER w AS n1, lead(cameraId, 2) OVER w AS n2
+s AS (SELECT cameraId AS m, lead(cameraId) OVER w AS n1, lead(true, 2, false) OVER w AS has2
       FROM log WINDOW w AS (PARTITION BY vehiclePlate ORDER BY event_time, event_id)),
 c AS (SELECT count(*) FILTER (WHERE m = '{CONVERT_A}') AS a_total,
              count(*) FILTER (WHERE {cond}) AS ab_total FROM s)
@@ -223,6 +262,15 @@ _SAMPLE = (f"k AS (SELECT DISTINCT vehiclePlate FROM log WHERE vehiclePlate IS N
            f"ORDER BY md5(concat('{SAMPLE_SEED}:', CAST(vehiclePlate AS VARCHAR))), vehiclePlate "
            f"LIMIT {SAMPLE_N})")
 
+_POINTS = """r AS (
+  SELECT vehiclePlate, row_number() OVER (PARTITION BY vehiclePlate ORDER BY event_time NULLS FIRST, event_id NULLS FIRST) - 1 AS step,
+         coalesce(strftime(event_time, '%d/%m/%Y %H:%M:%S'), 'null') || ' @ ' || coalesce(CAST(monitorId AS VARCHAR), 'null') AS point
+  FROM log WHERE vehiclePlate IN (SELECT vehiclePlate FROM k))"""
+
+_SUMMARY = """WITH {devices}, errs AS ({errors})
+SELECT (SELECT count(DISTINCT monitorId) FROM dim) AS monitors, (SELECT count(*) FROM errs) AS error_monitors,
+       (SELECT count(*) FROM {cameras}) AS error_cameras, (SELECT count(*) FROM errs) = 0 AS all_ok"""
+
 _TOPMON = """WITH {log}
 SELECT monitorId, count(*) AS vehicleNum FROM log GROUP BY monitorId
 ORDER BY vehicleNum {d}, monitorId ASC NULLS FIRST LIMIT 10"""
@@ -233,8 +281,8 @@ ORACLE_SQL: dict[str, str] = {
 SELECT count(*) AS n_words FROM (SELECT word FROM w GROUP BY word)""",
     "remove_top_word": f"""WITH {_LINES}, {_WORDS_ALL},
 c AS (SELECT word, count(*) AS n FROM w GROUP BY word),
-top AS (SELECT word FROM c ORDER BY n DESC, word ASC LIMIT 1)
-SELECT word, n FROM c WHERE word NOT IN (SELECT word FROM top)""",
+r AS (SELECT word, n, row_number() OVER (ORDER BY n DESC, word ASC) AS place FROM c)
+SELECT word, n FROM r WHERE place > 1""",
     "relation_pairs": f"WITH {_EGO} SELECT a, b, tag, n FROM rp",
     "common_friend_weight": f"WITH {_EGO} SELECT a, b, weight FROM cw",
     "recommend_friends": f"""WITH {_EGO},
@@ -260,34 +308,57 @@ WHERE l_quantity > {QUANTITY_OVER} GROUP BY l_suppkey ORDER BY vehicleNum DESC,
     "busiest_hours": f"""WITH {_LOG}
 SELECT coalesce(strftime(event_time, '%H'), '') AS hour, count(*) AS vehicleNum FROM log
 GROUP BY 1 ORDER BY vehicleNum DESC, hour ASC LIMIT 10""",
-    "error_monitors": f"WITH {_LOG}, {_PERIOD} SELECT DISTINCT monitorId FROM missing",
-    "error_monitors_size": f"""WITH {_LOG}, {_PERIOD},
-nd AS (SELECT monitorId, count(*) AS c FROM dim GROUP BY monitorId),
-ns AS (SELECT monitorId, count(*) AS c FROM seen GROUP BY monitorId)
-SELECT nd.monitorId FROM nd LEFT JOIN ns ON nd.monitorId IS NOT DISTINCT FROM ns.monitorId
-WHERE nd.c <> coalesce(ns.c, 0)""",
-    "error_cameras": f"WITH {_LOG}, {_PERIOD} SELECT monitorId, cameraId FROM missing",
-    "status_summary": f"""WITH {_LOG}, {_PERIOD}
-SELECT (SELECT count(DISTINCT monitorId) + max(CASE WHEN monitorId IS NULL THEN 1 ELSE 0 END) FROM dim) AS monitors,
-       (SELECT count(*) FROM (SELECT DISTINCT monitorId FROM missing)) AS error_monitors,
-       (SELECT count(*) FROM missing) AS error_cameras,
-       (SELECT count(*) FROM (SELECT DISTINCT monitorId FROM missing)) = 0 AS all_ok""",
-    "conversion_rate": _conversion(False),
-    "conversion_rate_no_tail": _conversion(True),
+    "error_monitors": f"WITH {_DEVICES} SELECT DISTINCT monitorId FROM missing",
+    "error_monitors_size": f"WITH {_DEVICES} SELECT monitorId FROM wrong",
+    "error_cameras": f"WITH {_DEVICES} SELECT monitorId, cameraId FROM missing",
+    "error_cameras_size": f"WITH {_DEVICES} SELECT monitorId, cameraId FROM missing WHERE monitorId IN (SELECT monitorId FROM wrong)",
+    "status_summary": _SUMMARY.format(devices=_DEVICES, errors="SELECT DISTINCT monitorId FROM missing", cameras="missing"),
+    "status_summary_size": _SUMMARY.format(
+        devices=_DEVICES, errors="SELECT monitorId FROM wrong",
+        cameras="(SELECT * FROM missing WHERE monitorId IN (SELECT monitorId FROM wrong))"),
+    "conversion_rate": _conversion_sql(False),
+    "conversion_rate_no_tail": _conversion_sql(True),
+    "conversion_rate_monitors": f"""WITH {_LOG},
+s AS (SELECT monitorId AS m, lead(monitorId) OVER w AS n1
+      FROM log WINDOW w AS (PARTITION BY vehiclePlate ORDER BY event_time NULLS FIRST, monitorId NULLS FIRST)),
+c AS (SELECT count(*) FILTER (WHERE m = {CONVERT_FROM}) AS a_total,
+             count(*) FILTER (WHERE m = {CONVERT_FROM} AND n1 = {CONVERT_TO}) AS ab_total FROM s)
+SELECT '{CONVERT_FROM}' AS a, '{CONVERT_TO}' AS b, a_total, ab_total,
+       CASE WHEN a_total = 0 THEN NULL
+            ELSE round(CAST(ab_total AS DOUBLE) * 100.0 / a_total, 5) END AS rate_pct
+FROM c""",
     "sample_vehicles": f"WITH {_LOG}, {_SAMPLE} SELECT vehiclePlate FROM k",
-    "vehicle_trace": f"""WITH {_LOG}, {_SAMPLE},
-r AS (SELECT l.*, row_number() OVER (PARTITION BY vehiclePlate ORDER BY event_time, event_id) - 1 AS step
-      FROM log l WHERE vehiclePlate IN (SELECT vehiclePlate FROM k))
-SELECT vehiclePlate, step // 10000 AS segment,
-       string_agg(strftime(event_time, '%d/%m/%Y %H:%M:%S') || ' @ ' || CAST(monitorId AS VARCHAR),
-                  '->' ORDER BY step) AS trace
-FROM r GROUP BY 1, 2""",
+    "vehicle_trace": f"""WITH {_LOG}, {_SAMPLE}, {_POINTS}
+SELECT vehiclePlate, string_agg(point, '->' ORDER BY step) AS trace FROM r GROUP BY 1""",
+    "vehicle_trace_segments": f"""WITH {_LOG}, {_SAMPLE}, {_POINTS}
+SELECT vehiclePlate, step // {TRACE_SEGMENT} AS segment, string_agg(point, '->' ORDER BY step) AS trace FROM r GROUP BY 1, 2""",
+    "parsed_vehicle_log": f"""WITH {_LOG}
+SELECT date_trunc('second', event_time) AS event_time, coalesce(CAST(vehiclePlate AS VARCHAR), '') AS vehiclePlate,
+       CAST(trunc(vehicleSpeed) AS INTEGER) AS vehicleSpeed, coalesce(CAST(monitorId AS VARCHAR), '') AS monitorId, cameraId
+FROM log WHERE vehicleSpeed IS NOT NULL AND cameraId <> ''""",
     "windowed_avg_speed": f"WITH {_LOG}, {_WINDOWED} SELECT * FROM wa",
     "windowed_count": _WINDOW_COUNT,
     "latest_per_monitor": f"WITH {_LOG}, {_WINDOWED}, {_LATEST} SELECT * FROM latest",
-    "congestion_status": _CONGESTION,
+    "congestion_status": _CONGESTION.format(log=_LOG, windowed=_WINDOWED, with_latest=_LATEST, latest="latest"),
+    "busiest_hours_text": f"""WITH {_LOG}
+SELECT coalesce(strftime(event_time, '%H'), '') AS hour, count(*) AS vehicleNum FROM log
+GROUP BY 1 ORDER BY vehicleNum DESC, hour ASC LIMIT 10""",
 }
 ORACLE_SQL["top_speeding_monitors_sql"] = ORACLE_SQL["top_speeding_monitors"]
 ORACLE_SQL["stream_avg_speed"] = ORACLE_SQL["windowed_avg_speed"]
 ORACLE_SQL["stream_window_count"] = ORACLE_SQL["windowed_count"]
 ORACLE_SQL["stream_congestion_snapshot"] = ORACLE_SQL["congestion_status"]
+
+# append mode: a window is out when the watermark (newest time less the delay) has passed its end
+_CLOSED = "window_end <= (SELECT max(event_time) FROM log) - INTERVAL 1 HOUR"
+ORACLE_SQL["stream_avg_speed_append"] = f"WITH {_LOG}, {_WINDOWED} SELECT * FROM wa WHERE {_CLOSED}"
+ORACLE_SQL["stream_window_count_append"] = f"SELECT w.* FROM ({_WINDOW_COUNT}) w WHERE window_end <= (SELECT max(ts) FROM events) - INTERVAL 1 HOUR"
+ORACLE_SQL["stream_congestion_append"] = _CONGESTION.format(
+    log=_LOG, windowed=_WINDOWED, latest="closed",
+    with_latest=f"""closed AS (SELECT monitorId, arg_max(avg_speed, window_end) AS avg_speed
+                               FROM wa WHERE {_CLOSED} GROUP BY monitorId)""")
+# lines carry whole seconds, and monitors as text
+ORACLE_SQL["stream_log_lines"] = f"""WITH base AS (SELECT * FROM ({_LOG.removeprefix("log AS (").removesuffix(")")})),
+log AS (SELECT date_trunc('second', event_time) AS event_time, vehicleSpeed,
+               coalesce(CAST(monitorId AS VARCHAR), '') AS monitorId FROM base), {_WINDOWED}
+SELECT * FROM wa WHERE window_end <= (SELECT max(event_time) FROM log WHERE vehicleSpeed IS NOT NULL) - INTERVAL 1 HOUR"""

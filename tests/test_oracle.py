@@ -7,6 +7,7 @@ import duckdb
 import pytest
 
 from __spark_entry__ import entry, oracle_sql, queries
+from roadlens.registry import ORACLE_SQL, QUERIES
 from tools.check_oracle import TABLES, digest
 
 SF = "/root/testdata/sf0.001"
@@ -21,11 +22,11 @@ def con():
     return c
 
 
-@pytest.mark.parametrize("name", sorted(queries()))
+@pytest.mark.parametrize("name", sorted(QUERIES))
 def test_query_matches_oracle(spark, con, name):
-    df = queries()[name](spark, SF)
+    df = QUERIES[name](spark, SF)
     got = [tuple(r) for r in df.collect()]
-    sql = oracle_sql().get(name)
+    sql = ORACLE_SQL.get(name)
     assert sql is not None, "every registered query has an oracle"
     res = con.execute(sql)
     ocols = [d[0] for d in res.description]
@@ -37,4 +38,9 @@ def test_query_matches_oracle(spark, con, name):
 
 def test_entry_smoke(spark):
     df = entry(spark)
-    assert df.count() >= 0 and "level" in df.columns
+    assert df.count() == 100 and "level" in df.columns
+
+
+def test_entry_registers_every_query():
+    assert set(QUERIES) <= set(queries()) and set(ORACLE_SQL) <= set(oracle_sql())
+    assert set(oracle_sql()) <= set(queries())
