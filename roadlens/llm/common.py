@@ -12,6 +12,8 @@ from collections.abc import Callable, Iterator, Sequence
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession, Window, functions as F
 
+from roadlens.plans.checkpoint import checkpoint_root
+
 #: The white space of the word rule ``[^\x20\x09-\x0D]+`` (fixed value).
 BLANKS = " \t\n\x0b\x0c\r"
 BLANK_RE = r"[\x20\x09-\x0D]+"
@@ -50,20 +52,10 @@ def map_batches(df: DataFrame, fn: Callable[[pa.RecordBatch], Sequence], schema:
 
 
 def shared_dir(spark: SparkSession) -> str:
-    """The shared folder for checkpoints and written tables: the session's
-    ``spark.checkpoint.dir``.  Only where that is unset (tests) a folder of
-    the local machine is set."""
-    sc = spark.sparkContext
-    root = spark.conf.get("spark.checkpoint.dir", None) or sc.getCheckpointDir()
-    if not root:
-        if not sc.master.startswith("local"):
-            raise RuntimeError("set spark.checkpoint.dir to a folder that all executors share")
-        import tempfile
-        root = tempfile.mkdtemp(prefix="corpus-")
-        spark.conf.set("spark.checkpoint.dir", root)
-    if not sc.getCheckpointDir():
-        sc.setCheckpointDir(root)
-    return root.rstrip("/")
+    """The shared folder for written tables: the session's
+    ``spark.checkpoint.dir`` (unset in tests on one machine: a folder of the
+    library's own; unset on a cluster: an error)."""
+    return checkpoint_root(spark)
 
 
 def written(df: DataFrame, name: str) -> DataFrame:

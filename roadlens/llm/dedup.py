@@ -12,8 +12,11 @@ Large groups are never expanded into all pairs.  Documents with equal sets
 become one class.  Classes that share a band are first compared with one
 partner of the band (a different one in every band and round); classes found
 linked form components, and only pairs of a band that still lie in different
-components are compared, all of them in the last round.  So every candidate
-pair is either confirmed, refuted, or already connected.
+components are compared, all of them in the last round.  There the sketches
+themselves tell most of the pairs apart: one bit of each coordinate estimates
+the similarity, and a pair goes on to the exact check unless the estimate is
+five standard deviations too low.  So every candidate pair is confirmed,
+refuted, or already connected.
 """
 
 from __future__ import annotations
@@ -28,9 +31,12 @@ from pyspark.sql import Column, DataFrame, functions as F
 from roadlens.llm.common import drop_written, map_batches, process_cache, written
 from roadlens.llm.components import components
 
-#: Coordinates of a sketch and rows of a band: at similarity 0.8 a pair shares
-#: no band with probability (1 - 0.8**4)**28, about 4e-7.
-SKETCH, BAND_ROWS = 112, 4
+#: Coordinates of a sketch (one bit of each is kept), bands and coordinates of
+#: a band: at similarity 0.8 a pair shares no band with probability
+#: (1 - 0.8**5)**36, about 6e-7.
+SKETCH, BANDS, BAND_ROWS = 1536, 36, 5
+#: Standard deviations by which an estimate may fall below the similarity.
+MARGIN = 5.0
 #: Rounds of one partner per band before all remaining pairs are compared.
 PARTNER_ROUNDS = 3
 _U = np.uint64
@@ -82,47 +88,64 @@ def shingles(text: str, words: int) -> np.ndarray:
     return np.unique(h)
 
 
+def _thrown(x: np.ndarray, rounds: np.ndarray) -> np.ndarray:
+    """The hash of every element in every round, (round, element)."""
+    return mix(x[None, :] + (_U(0x9E3779B97F4A7C15) * (rounds + _U(1)))[:, None])
+
+
 def sketch(x: np.ndarray, size: int = SKETCH) -> np.ndarray:
-    """Fast similarity sketch of a non-empty set of 64-bit hashes."""
+    """Fast similarity sketch of a non-empty set of 64-bit hashes.  Rounds of
+    a small set are thrown several at a time: a bin keeps its first round's
+    value, so the rounds thrown beyond the last needed one change nothing."""
     out = np.full(size, _NONE)
-    old = np.seterr(over="ignore")
-    for r in range(size):
-        h = mix(x + _U((0x9E3779B97F4A7C15 * (r + 1)) % 2 ** 64))
-        np.minimum.at(out, ((h >> _U(40)) % _U(size)).astype(np.int64), (h & _U(0xFFFFFFFFFF)) | _U(r << 40))
-        if out.max() != _NONE:
-            break
-    else:
-        for i in np.flatnonzero(out == _NONE):
-            r = size + int(i)
-            h = mix(x + _U((0x9E3779B97F4A7C15 * (r + 1)) % 2 ** 64))
-            out[i] = ((h & _U(0xFFFFFFFFFF)) | _U(r << 40)).min()
-    np.seterr(**old)
+    step = max(1, size // len(x))
+    with np.errstate(over="ignore"):
+        for at in range(0, size, step):
+            r = np.arange(at, min(at + step, size), dtype=np.uint64)
+            h = _thrown(x, r)
+            value = (h & _U(0xFFFFFFFFFF)) | (r << _U(40))[:, None]
+            np.minimum.at(out, ((h >> _U(40)) % _U(size)).astype(np.int64).ravel(), value.ravel())
+            if out.max() != _NONE:
+                return out
+        empty = np.flatnonzero(out == _NONE)
+        for at in range(0, len(empty), step):
+            bins = empty[at:at + step]
+            r = (bins + size).astype(np.uint64)
+            out[bins] = ((_thrown(x, r) & _U(0xFFFFFFFFFF)) | (r << _U(40))[:, None]).min(axis=1)
     return out
 
 
-def band_keys(sk: np.ndarray, rows: int = BAND_ROWS) -> np.ndarray:
-    b = sk.reshape(-1, rows)
-    h = mix(np.arange(len(b), dtype=np.uint64) + _U(0x51ED27))
+def band_keys(sk: np.ndarray, bands: int = BANDS, rows: int = BAND_ROWS) -> np.ndarray:
+    b = sk[: bands * rows].reshape(bands, rows)
+    h = mix(np.arange(bands, dtype=np.uint64) + _U(0x51ED27))
     for i in range(rows):
         h = mix(h * _U(0xD6E8FEB86659FD93) + b[:, i])
     return h.view(np.int64)
 
 
-def signatures(docs: DataFrame, words: int, size: int = SKETCH, rows: int = BAND_ROWS) -> DataFrame:
-    """``(doc_id, n_shingles, fp, bands)`` of ``(doc_id, text)``: set size, a
-    128-bit fingerprint of the set, and the band keys (null when empty)."""
+def bits_of(sk: np.ndarray) -> np.ndarray:
+    """One bit of each coordinate, packed into 64-bit integers."""
+    return np.packbits((mix(sk) & _U(1)).astype(np.uint8)).view(np.int64)
+
+
+def signatures(docs: DataFrame, words: int) -> DataFrame:
+    """``(doc_id, n_shingles, fp, bands, bits)`` of ``(doc_id, text)``: set
+    size, a 128-bit fingerprint of the set, the band keys and the sketch's
+    bits (null when empty)."""
     def run(batch: pa.RecordBatch):
-        n, fp, bands = [], [], []
+        n, fp, bands, bits = [], [], [], []
         with np.errstate(over="ignore"):
             for t in batch.column(1).to_pylist():
                 x = shingles(t or "", words)
+                sk = sketch(x) if len(x) else None
                 n.append(len(x))
                 fp.append(hashlib.blake2b(x.tobytes(), digest_size=16).digest() if len(x) else None)
-                bands.append(band_keys(sketch(x, size), rows) if len(x) else None)
-        return batch.column(0), n, fp, bands
+                bands.append(None if sk is None else band_keys(sk))
+                bits.append(None if sk is None else bits_of(sk))
+        return batch.column(0), n, fp, bands, bits
 
     kind = docs.schema["doc_id"].dataType.simpleString()
-    return map_batches(docs, run, f"doc_id {kind}, n_shingles bigint, fp binary, bands array<bigint>")
+    return map_batches(docs, run, f"doc_id {kind}, n_shingles bigint, fp binary, bands array<bigint>, bits array<bigint>")
 
 
 def shingle_set(text: str, words: int) -> frozenset:
@@ -134,12 +157,8 @@ def shingle_set(text: str, words: int) -> frozenset:
     return frozenset(zip(*(w[i:] for i in range(words))))
 
 
-def _confirmed(pairs: DataFrame, docs: DataFrame, words: int, percent: int) -> DataFrame:
-    """``(a, b)`` of the ``pairs`` whose full sets reach the similarity.  Only
-    the texts that occur in a pair are shuffled."""
-    ids = pairs.select(F.col("a").alias("doc_id")).union(pairs.select("b")).distinct()
-    texts = written(docs.join(ids, "doc_id", "left_semi").groupBy("doc_id", F.xxhash64("text"))
-                    .agg(F.first("text").alias("text")).select("doc_id", "text"), "texts")
+def _confirmed(pairs: DataFrame, texts: DataFrame, words: int, percent: int) -> DataFrame:
+    """``(a, b)`` of the ``pairs`` whose full sets reach the similarity."""
     both = (pairs.select("a", "b").join(texts.select(F.col("doc_id").alias("a"), F.col("text").alias("ta")), "a")
             .join(texts.select(F.col("doc_id").alias("b"), F.col("text").alias("tb")), "b"))
 
@@ -163,10 +182,8 @@ def _confirmed(pairs: DataFrame, docs: DataFrame, words: int, percent: int) -> D
             take = pa.array(keep, pa.int64())
             yield pa.RecordBatch.from_arrays([batch.column(0).take(take), batch.column(1).take(take)], ["a", "b"])
 
-    kind = docs.schema["doc_id"].dataType.simpleString()
-    out = written(both.select("a", "b", "ta", "tb").mapInArrow(linked, f"a {kind}, b {kind}").distinct(), "links")
-    drop_written(texts)
-    return out
+    kind = texts.schema["doc_id"].dataType.simpleString()
+    return written(both.select("a", "b", "ta", "tb").mapInArrow(linked, f"a {kind}, b {kind}").distinct(), "links")
 
 
 def _alike_in_size(n: Column, m: Column, percent: int) -> Column:
@@ -174,6 +191,15 @@ def _alike_in_size(n: Column, m: Column, percent: int) -> Column:
     return F.least(n, m) * 100 >= F.greatest(n, m) * percent
 
 
+def _likely(percent: int) -> Column:
+    """The bits ``s*`` and ``o*`` of two sketches agree as often as those of
+    sets with the similarity do, less the margin."""
+    p = (1 - percent / 100) / 2
+    most = SKETCH * p + MARGIN * (SKETCH * p * (1 - p)) ** 0.5
+    differ = sum((F.bit_count(F.col(f"s{i}").bitwiseXOR(F.col(f"o{i}"))) for i in range(SKETCH // 64)), F.lit(0))
+    return differ <= int(most)
+
+
 def near_duplicates(docs: DataFrame, words: int = 5, percent: int = 80, doc_id: str = "doc_id",
                     text: str = "text") -> DataFrame:
     """One row per row of ``docs``: ``(doc_id, n_shingles, component_id, kept)``.
@@ -190,8 +216,8 @@ def near_duplicates(docs: DataFrame, words: int = 5, percent: int = 80, doc_id:
     sigs = written(signatures(src, words), "signatures")
     full = sigs.where(F.col("fp").isNotNull() & F.col("doc_id").isNotNull())
     # one class per different set; equal sets have equal bands
-    classes = written(full.groupBy("fp").agg(F.min(F.struct("doc_id", "n_shingles", "bands")).alias("s"))
-                      .select("fp", F.col("s.doc_id").alias("rep"), F.col("s.n_shingles").alias("n"), "s.bands"), "classes")
+    classes = written(full.groupBy("fp").agg(F.min(F.struct("doc_id", "n_shingles", "bands", "bits")).alias("s"))
+                      .select("fp", F.col("s.doc_id").alias("rep"), F.col("s.n_shingles").alias("n"), "s.bands", "s.bits"), "classes")
     rows = classes.select("rep", "n", F.explode("bands").alias("band"))
     shared = rows.groupBy("band").agg(F.count(F.lit(1)).alias("_c")).where(F.col("_c") > 1).select("band")
     rows = written(rows.join(shared, "band").distinct(), "bands")
@@ -200,6 +226,9 @@ def near_duplicates(docs: DataFrame, words: int = 5, percent: int = 80, doc_id:
     links = written(ids.join(classes.select(F.col("rep").alias("doc_id")).distinct(), "doc_id", "left_semi")
                     .select(F.col("doc_id").alias("a"), F.col("rep").alias("b")).distinct(), "links")
     comps = components(links)
+    # the texts that can be compared: one shuffle of the documents for all rounds
+    texts = written(named.join(rows.select(F.col("rep").alias("doc_id")).distinct(), "doc_id", "left_semi")
+                    .groupBy("doc_id", F.xxhash64("text")).agg(F.first("text").alias("text")).select("doc_id", "text"), "texts")
     tested = None
     for turn in range(PARTNER_ROUNDS + 1):
         now = rows.join(comps.withColumnRenamed("id", "rep"), "rep", "left") \
@@ -211,11 +240,15 @@ def near_duplicates(docs: DataFrame, words: int = 5, percent: int = 80, doc_id:
         else:
             open_bands = now.groupBy("band").agg(F.min("comp").alias("lo"), F.max("comp").alias("hi")) \
                 .where(F.col("lo") != F.col("hi")).select("band")
-            partner = now = now.join(open_bands, "band")
-        other = partner.select("band", F.col("rep").alias("b"), F.col("n").alias("m"), F.col("comp").alias("comp2"))
+            places = range(SKETCH // 64)
+            now = written(now.join(open_bands, "band").join(classes.select("rep", *[F.col("bits")[i].alias(f"s{i}") for i in places]), "rep"),
+                          "open")
+            partner = now.withColumnsRenamed({f"s{i}": f"o{i}" for i in places})
+        other = partner.select("band", F.col("rep").alias("b"), F.col("n").alias("m"), F.col("comp").alias("comp2"),
+                               *[c for c in partner.columns if c[0] == "o"])
         met = now.join(other, "band").where((F.col("comp") != F.col("comp2")) & _alike_in_size(F.col("n"), F.col("m"), percent))
         if turn == PARTNER_ROUNDS:
-            met = met.where(F.col("rep") < F.col("b"))
+            met = met.where((F.col("rep") < F.col("b")) & _likely(percent))
         pairs = met.select(F.least("rep", "b").alias("a"), F.greatest("rep", "b").alias("b")).distinct()
         if tested is not None:
             pairs = pairs.join(tested, ["a", "b"], "left_anti")
@@ -224,7 +257,7 @@ def near_duplicates(docs: DataFrame, words: int = 5, percent: int = 80, doc_id:
             if turn < PARTNER_ROUNDS:
                 continue
             break
-        found = _confirmed(pairs, named, words, percent)
+        found = _confirmed(pairs, texts, words, percent)
         tested = pairs if tested is None else tested.union(pairs)
         links = links.union(found)
         # components of what is known so far (old ones as edges to their smallest id) and the new links

@@ -91,10 +91,25 @@ def test_sketch_fills_and_concentrates():
         assert abs(np.mean(errors)) < 0.02 and np.std(errors) < 0.06
 
 
-def test_sketch_without_a_filling_round(monkeypatch):
+def test_sketch_equals_its_definition():
+    """One round after the other, until all bins are filled, then one round per empty bin."""
+    def plain(x, size):
+        out = [None] * size
+        for r in range(2 * size):
+            for e in x.tolist():
+                h = int(dedup._thrown(np.array([e], np.uint64), np.array([r], np.uint64))[0, 0])
+                at = (h >> 40) % size if r < size else r - size
+                if out[at] is None or out[at] > (h & 0xFFFFFFFFFF | r << 40):
+                    if out[at] is None or out[at] >> 40 == r:
+                        out[at] = h & 0xFFFFFFFFFF | r << 40
+            if r < size and None not in out:
+                break
+        return out
+
     with np.errstate(over="ignore"):
-        x = dedup.shingles("a", 4)
-        assert dedup.sketch(x, 4).max() != dedup._NONE  # one element can miss a bin in every free round
+        for n, size in ((1, 4), (1, 16), (3, 16), (5, 64), (200, 16)):
+            x = dedup.shingles(" ".join(f"w{i}-{n}-{size}" for i in range(n + 3)), 4)
+            assert dedup.sketch(x, size).tolist() == plain(x, size)
 
 
 def test_edges(spark):
