@@ -11,6 +11,8 @@ are given to the library whole, so that results always equal the library's.
 from __future__ import annotations
 
 import os
+import re
+import unicodedata
 import zlib
 from array import array
 from collections import Counter
@@ -22,12 +24,16 @@ from roadlens.llm.common import map_batches, process_cache
 
 #: The split pattern of the byte-level vocabulary (fixed value).
 BYTE_PATTERN = r"""'s|'t|'re|'ve|'m|'ll|'d| ?\p{L}+| ?\p{N}+| ?[^\s\p{L}\p{N}]+|\s+(?!\S)|\s+"""
+#: The split pattern of the word vocabulary (fixed value).
+WORD_PATTERN = r"""'s|'t|'re|'ve|'m|'ll|'d|\p{L}+|\p{N}|[^\s\p{L}\p{N}]+"""
+#: Letters whose lower case depends on their surroundings or is no single letter.
+UNEVEN_CASE = "İΣ"
 #: Parts of a text kept with their pieces per process; the table starts anew beyond.
-CACHE_PARTS = 600_000
+CACHE_PARTS = 800_000
 #: Texts made of these ranges only are cut here; others go to the library whole.
 #: Letters, digits, punctuation and spaces of Latin, Greek and Cyrillic text and
 #: general punctuation, whose classes have not changed between Unicode versions.
-PLAIN = r"[\t\n\r\x20-\x7e\xa0-ɏΆ-ϿЀ-ҁҊ-ԧ‐-‧‰-⁞€™]*+"
+NOT_PLAIN = re.compile(r"[^\t\n\r\x20-\x7e\xa0-ɏΆ-ϿЀ-ҁҊ-ԧ‐-‧‰-⁞€™]")
 
 
 def tokenizer_path(name: str) -> str:
@@ -46,29 +52,55 @@ def _specials(tok) -> tuple[str, ...]:
     return tuple(t.content for t in tok.get_added_tokens_decoder().values())
 
 
+def byte_letters() -> dict[int, str]:
+    """The printable stand-ins of bytes in byte-level vocabularies: printable
+    Latin-1 characters stand for themselves, the other bytes for the code
+    points from 256 on, in order."""
+    plain = [*range(33, 127), *range(161, 173), *range(174, 256)]
+    rest = [b for b in range(256) if b not in plain]
+    return {b: chr(256 + i) for i, b in enumerate(rest)}
+
+
+_LETTERS = byte_letters()
+
+
+def _stand_ins(piece: str) -> str:
+    if piece.isascii() and piece.isalpha():
+        return piece
+    return piece.encode().decode("latin-1").translate(_LETTERS)
+
+
+def _odd(text: str, special: tuple[str, ...]) -> bool:
+    """Whether a text must be given to the library whole."""
+    return NOT_PLAIN.search(text) is not None or "<|" in text and any(s in text for s in special)
+
+
 class PieceCounts(dict):
-    """Pieces per distinct pre-token; unknown ones are encoded in one batch."""
+    """Pieces per distinct pre-token; a pre-token goes through the merges once."""
 
     def __init__(self, path: str):
         import regex
 
         self.tok = _library(path)
+        self.merge = self.tok.model.tokenize
         self.special = _specials(self.tok)
         self.cut = regex.compile(BYTE_PATTERN).findall
-        self.plain = regex.compile(PLAIN).fullmatch
+
+    def __missing__(self, piece: str) -> int:
+        n = self[piece] = len(self.merge(_stand_ins(piece)))
+        return n
 
     def count(self, texts: list[str]) -> list[int]:
-        whole = {i for i, t in enumerate(texts)
-                 if any(s in t for s in self.special) or not self.plain(t)}
-        freqs = [None if i in whole else Counter(self.cut(t)) for i, t in enumerate(texts)]
         if len(self) > CACHE_PARTS:
             self.clear()
-        new = list({p for f in freqs if f for p in f if p not in self})
-        self.update(zip(new, map(len, self.tok.encode_batch(new, add_special_tokens=False))))
-        encoded = {i: len(self.tok.encode(texts[i], add_special_tokens=False)) for i in whole}
-        get = self.__getitem__
-        return [encoded[i] if f is None else sum(map(int.__mul__, map(get, f), f.values()))
-                for i, f in enumerate(freqs)]
+        out = []
+        for t in texts:
+            if _odd(t, self.special):
+                out.append(len(self.tok.encode(t, add_special_tokens=False)))
+            else:
+                f = Counter(self.cut(t))
+                out.append(sum(map(int.__mul__, map(self.__getitem__, f), f.values())))
+        return out
 
 
 class PieceIds(dict):
@@ -79,35 +111,29 @@ class PieceIds(dict):
         import regex
 
         self.tok = _library(path)
+        self.merge = self.tok.model.tokenize
         self.special = _specials(self.tok)
-        self.plain = regex.compile(PLAIN).fullmatch
-
-    def _encode(self, parts: list[str]) -> list[bytes]:
-        return [array("I", e.ids).tobytes() for e in self.tok.encode_batch(parts, add_special_tokens=False)]
-
-    def _learn(self, new: list[str]) -> None:
-        # a last stop or comma after a letter is a piece of its own, and
-        # letters are lower-cased: encode the bare words only
-        bare = {}
-        for p in new:
-            w, end = (p[:-1], p[-1]) if len(p) > 1 and p[-1] in ".," and p[-2].isalpha() else (p, "")
-            bare[p] = (w.lower() if w.isascii() else w, end)
-        need = list({x for pair in bare.values() for x in pair if x and x not in self})
-        self.update(zip(need, self._encode(need)))
-        for p, (w, end) in bare.items():
-            if p not in self:
-                self[p] = self[w] + (self[end] if end else b"")
+        self.cut = regex.compile(WORD_PATTERN).findall
+
+    def _library_ids(self, text: str) -> bytes:
+        return array("I", self.tok.encode(text, add_special_tokens=False).ids).tobytes()
+
+    def _piece(self, piece: str) -> bytes:
+        got = self.get(piece)
+        if got is None:
+            got = self[piece] = array("I", [t.id for t in self.merge(_stand_ins(piece))]).tobytes()
+        return got
+
+    def __missing__(self, part: str) -> bytes:
+        low = part.lower()
+        got = self[part] = self._piece(low) if low.isalpha() else b"".join(map(self._piece, self.cut(low)))
+        return got
 
     def ids(self, texts: list[str]) -> list[bytes]:
-        whole = {i for i, t in enumerate(texts)
-                 if any(s in t for s in self.special) or not self.plain(t)}
-        parts = [() if i in whole else t.split() for i, t in enumerate(texts)]
         if len(self) > CACHE_PARTS:
             self.clear()
-        self._learn(list({p for ps in parts for p in ps if p not in self}))
-        rest = dict(zip(whole, self._encode([texts[i] for i in whole])))
-        get = self.__getitem__
-        return [rest[i] if i in whole else b"".join(map(get, ps)) for i, ps in enumerate(parts)]
+        return [self._library_ids(t) if _odd(t, self.special) or not unicodedata.is_normalized("NFC", t)
+                or not t.isascii() and any(c in t for c in UNEVEN_CASE) else b"".join(map(self.__getitem__, t.split())) for t in texts]
 
 
 def count_tokens(docs: DataFrame, path: str, limit: int = 512, doc_id: str = "doc_id",
