@@ -79,8 +79,10 @@ _UPPER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ"
 _BLANKS = r"[\x20\x09-\x0D]+"
 
 
-def _sql_list(values) -> str:
-    return "[" + ", ".join(f"'{v}'" for v in values) + "]"
+def _hits(terms) -> str:
+    """The number of the terms that stand in ``low`` with a boundary on both sides."""
+    edge = "[^\\p{L}\\p{N}]"
+    return " + ".join(f"CAST(regexp_matches(low, '(^|{edge}){t}({edge}|$)') AS INTEGER)" for t in terms)
 
 
 _RULES = ", ".join(f"('{v}', '{r}', '{r.partition('/')[0]}', '/{r.partition('/')[2]}')" for v, r in urls.RULES)
@@ -89,20 +91,19 @@ _OP4 = f"""WITH parts AS (
   SELECT page_id, url,
          CASE WHEN contains(url, '://') THEN regexp_extract(url, '://([^?#]*)', 1) ELSE '' END AS rest FROM pages),
 split AS (
-  SELECT page_id, coalesce(url, '') AS url,
+  SELECT page_id, lower(coalesce(url, '')) AS low,
          translate(coalesce(regexp_extract(rest, '^[^/]*'), ''), '{_UPPER}', '{_UPPER.lower()}') AS host,
          coalesce(regexp_extract(rest, '/.*$', 0, 's'), '') AS path FROM parts),
 judged AS (
-  SELECT *, list_filter({_sql_list(urls.STRICT_TERMS)}, lambda t: regexp_matches(lower(url), '(^|[^\\p{{L}}\\p{{N}}])' || t || '([^\\p{{L}}\\p{{N}}]|$)')) AS st,
-         list_filter({_sql_list(urls.SOFT_TERMS)}, lambda t: regexp_matches(lower(url), '(^|[^\\p{{L}}\\p{{N}}])' || t || '([^\\p{{L}}\\p{{N}}]|$)')) AS so,
+  SELECT *, {_hits(urls.STRICT_TERMS)} AS st, {_hits(urls.SOFT_TERMS)} AS so,
          (SELECT max_by(struct_pack(v := r.v, r := r.r), length(r.r)) FROM (VALUES {_RULES}) r(v, r, h, p)
           WHERE (host = r.h OR ends_with(host, '.' || r.h)) AND starts_with(path, r.p)) AS rule
   FROM split)
 SELECT page_id, host, path, rule.r AS rule,
-       coalesce(rule.v, CASE WHEN {urls.STRICT_WEIGHT} * len(st) + {urls.SOFT_WEIGHT} * len(so) >= {urls.REJECT_AT}
+       coalesce(rule.v, CASE WHEN {urls.STRICT_WEIGHT} * st + {urls.SOFT_WEIGHT} * so >= {urls.REJECT_AT}
                              THEN 'block' ELSE 'allow' END) AS verdict,
-       CAST({urls.STRICT_WEIGHT} * len(st) + {urls.SOFT_WEIGHT} * len(so) AS INTEGER) AS weight,
-       CAST(len(st) + len(so) AS INTEGER) AS n_terms
+       CAST({urls.STRICT_WEIGHT} * st + {urls.SOFT_WEIGHT} * so AS INTEGER) AS weight,
+       CAST(st + so AS INTEGER) AS n_terms
 FROM judged"""
 
 _OP9 = f"""WITH RECURSIVE w AS (
