@@ -22,8 +22,9 @@ KINDS = (*BASE_KINDS, "novel")
 #: Words that make a nearby string sensitive.
 CONTEXT = re.compile(r"pass(?:word|wd|phrase|code)?\b|secret|token|api[_-]?key|credential|bearer|authorization|"
                      r"private[_ -]?key|access[_ -]?key|\bauth\b|\bpwd\b|signature|client[_-]?id", re.IGNORECASE | re.ASCII)
-#: A candidate: an unbroken run of key characters with a digit in it.
-CANDIDATE = re.compile(r"(?=[A-Za-z+/_=-]*[0-9])[A-Za-z0-9+/_=-]{16,}")
+#: A candidate: an unbroken run of key characters; it must have a digit in it.
+CANDIDATE = re.compile(r"[A-Za-z0-9+/_=-]{16,}")
+DIGIT = re.compile(r"[0-9]")
 #: Characters before a candidate in which a context word must stand, and the
 #: surrounding characters on each side that prime the compressor.
 NEAR, AROUND = 48, 256
@@ -82,10 +83,20 @@ def novel_spans(text: str, taken: list[tuple[int, int, str]], novelty: Novelty)
     """Incompressible candidates behind a context word, outside the base spans."""
     if not CONTEXT.search(text):
         return []
-    out, held = [], {(s, e) for s, e, _ in taken}
+    held: list[list[int]] = []  # the base spans as disjoint stretches, in order
+    for s, e, _ in sorted(taken):
+        if held and s <= held[-1][1]:
+            held[-1][1] = max(held[-1][1], e)
+        else:
+            held.append([s, e])
+    out, at = [], 0
     for m in CANDIDATE.finditer(text):
         s, e = m.span()
-        if any(a < e and s < b for a, b in held) or not CONTEXT.search(text, max(0, s - NEAR), s):
+        while at < len(held) and held[at][1] <= s:
+            at += 1
+        if at < len(held) and held[at][0] < e or not DIGIT.search(text, s, e):
+            continue
+        if not CONTEXT.search(text, max(0, s - NEAR), s):
             continue
         if novelty.per_char(text, s, e) >= NOVEL_AT:
             out.append((s, e, "novel"))

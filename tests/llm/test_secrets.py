@@ -48,6 +48,14 @@ def test_novel_strings_in_sensitive_context():
     assert found("secret " + "a1" * 20) == []
 
 
+def test_long_texts_take_linear_time():
+    import time
+    novelty, start = secrets.Novelty(secrets.IDENTIFIERS), time.time()
+    secrets.find_spans("secret " + "a" * 400_000, novelty)
+    secrets.find_spans("token: abcdefabcdef1234 key " * 20_000, novelty)
+    assert time.time() - start < 20
+
+
 def test_edges_and_redaction(spark):
     out = secrets.redacted_documents(edge_docs(spark))
     assert out.columns == edge_docs(spark).columns and out.count() == len(edge_rows())
