@@ -91,12 +91,14 @@ def latest_speed_of_log(log: DataFrame, as_of=None, window: str = S.SPEED_WINDOW
     length = F.expr(f"INTERVAL {window_s} SECONDS")
     rows = log.where(F.col(speed).isNotNull() & F.col(time).isNotNull()).select(
         F.col(time).alias("_time"), F.col(monitor).alias("_monitor"), F.col(speed).cast("bigint").alias("_speed"))
-    if as_of is None:
-        as_of = closing_time(log, slide, time, speed)
-    elif not isinstance(as_of, Column):
-        as_of = F.lit(as_of).cast(rows.schema["_time"].dataType)
     # the start of the last window that has closed; one value, so one row
-    last_start = rows.agg(F.max("_time").alias("_t")).select(_floor_to(as_of - length, slide_s).alias("s"))
+    newest = rows.agg(F.max("_time").alias("_t"))
+    if as_of is None:
+        newest = newest.select(F.window("_t", slide)["end"].alias("_as_of"))
+    else:
+        as_of = as_of if isinstance(as_of, Column) else F.lit(as_of).cast(rows.schema["_time"].dataType)
+        newest = newest.select(as_of.alias("_as_of"))
+    last_start = newest.select((F.col("_as_of") - length).alias("_s")).select(_floor_to(F.col("_s"), slide_s).alias("s"))
     rows = rows.withColumn("_last", last_start.scalar()).where(F.col("_time") < F.col("_last") + length)
     newest = rows.groupBy("_monitor").agg(F.max("_time").alias("_t"), F.first("_last").alias("_last"))
     start = newest.select("_monitor", "_last", F.window("_t", f"{slide_s} seconds")["start"].alias("_s"))
