@@ -4,6 +4,7 @@ caches, the shared scratch folder and two-level prefix sums.
 
 from __future__ import annotations
 
+import contextlib
 import sys
 import types
 import uuid
@@ -58,12 +59,30 @@ def shared_dir(spark: SparkSession) -> str:
     return checkpoint_root(spark)
 
 
+#: Rows that go to a Python worker at a time while a table is written.
+ARROW_ROWS = 1024
+
+
+@contextlib.contextmanager
+def arrow_batches(spark: SparkSession, rows: int = ARROW_ROWS):
+    """Holds the session's Arrow batches at ``rows`` rows: whole documents are
+    long, and a batch is held several times over on its way to the worker."""
+    key = "spark.sql.execution.arrow.maxRecordsPerBatch"
+    before = spark.conf.get(key)
+    spark.conf.set(key, str(rows))
+    try:
+        yield
+    finally:
+        spark.conf.set(key, before)
+
+
 def written(df: DataFrame, name: str) -> DataFrame:
     """``df`` written once as Parquet into the shared folder and read again:
     cuts the lineage, survives lost executors, and is computed once."""
     spark = df.sparkSession
     path = f"{shared_dir(spark)}/corpus/{name}-{uuid.uuid4().hex[:12]}"
-    df.write.parquet(path)
+    with arrow_batches(spark):
+        df.write.parquet(path)
     return spark.read.schema(df.schema).parquet(path)
 
 

@@ -65,13 +65,12 @@ def _powers(n: int) -> np.ndarray:
     return held["p"]
 
 
-def shingles(text: str, words: int) -> np.ndarray:
-    """The distinct 64-bit hashes of the word shingles of a text (A-Z in
-    lower case); with fewer words than ``words`` all of them are one shingle;
-    empty without a word."""
-    lower, blank = process_cache("bytes", _byte_table)
-    raw = np.frombuffer(text.encode("utf-8", "surrogatepass"), np.uint8)
-    gap = blank[raw]
+#: Bytes of a text that are hashed at a time.
+CHUNK = 1 << 22
+
+
+def _word_hashes(raw: np.ndarray, gap: np.ndarray, lower: np.ndarray) -> np.ndarray:
+    """The 64-bit hash of every word of ``raw`` bytes (``gap``: blank bytes)."""
     edge = np.diff(np.concatenate(([True], gap, [True])).astype(np.int8))
     starts, ends = np.flatnonzero(edge == -1), np.flatnonzero(edge == 1)
     if not len(starts):
@@ -80,8 +79,34 @@ def shingles(text: str, words: int) -> np.ndarray:
     at = np.concatenate(([0], np.cumsum(lens)[:-1]))
     place = np.arange(int(lens.sum())) - np.repeat(at, lens)
     values = (lower[raw[~gap]].astype(np.uint64) + _U(1)) * _powers(int(lens.max()))[place]
-    w = mix(np.add.reduceat(values, at))
+    return mix(np.add.reduceat(values, at))
+
+
+def shingles(text: str, words: int) -> np.ndarray:
+    """The distinct 64-bit hashes of the word shingles of a text (A-Z in
+    lower case); with fewer words than ``words`` all of them are one shingle;
+    empty without a word."""
+    lower, blank = process_cache("bytes", _byte_table)
+    raw = np.frombuffer(text.encode("utf-8", "surrogatepass"), np.uint8)
+    found, at = [], 0
+    while at < len(raw):
+        to = min(at + CHUNK, len(raw))
+        gap = blank[raw[at:to]]
+        if to < len(raw):  # cut at the last blank, or after the word where there is none
+            last = np.flatnonzero(gap)
+            if len(last):
+                to = at + int(last[-1]) + 1
+                gap = gap[:to - at]
+            else:
+                rest = np.flatnonzero(blank[raw[to:]])
+                to = to + int(rest[0]) if len(rest) else len(raw)
+                gap = blank[raw[at:to]]
+        found.append(_word_hashes(raw[at:to], gap, lower))
+        at = to
+    w = np.concatenate(found) if found else np.empty(0, np.uint64)
     n = min(words, len(w))
+    if not n:
+        return w
     h = w[: len(w) - n + 1]
     for i in range(1, n):
         h = mix(h * _U(0xD6E8FEB86659FD93) + w[i: len(w) - n + 1 + i])
@@ -98,7 +123,7 @@ def sketch(x: np.ndarray, size: int = SKETCH) -> np.ndarray:
     a small set are thrown several at a time: a bin keeps its first round's
     value, so the rounds thrown beyond the last needed one change nothing."""
     out = np.full(size, _NONE)
-    step = max(1, size // len(x))
+    step = max(1, 4 * size // len(x))
     with np.errstate(over="ignore"):
         for at in range(0, size, step):
             r = np.arange(at, min(at + step, size), dtype=np.uint64)
@@ -229,7 +254,7 @@ def near_duplicates(docs: DataFrame, words: int = 5, percent: int = 80, doc_id:
     # the texts that can be compared: one shuffle of the documents for all rounds
     texts = written(named.join(rows.select(F.col("rep").alias("doc_id")).distinct(), "doc_id", "left_semi")
                     .groupBy("doc_id", F.xxhash64("text")).agg(F.first("text").alias("text")).select("doc_id", "text"), "texts")
-    tested = None
+    tested, spent = None, [rows, texts]
     for turn in range(PARTNER_ROUNDS + 1):
         now = rows.join(comps.withColumnRenamed("id", "rep"), "rep", "left") \
             .select("band", "rep", "n", F.coalesce("comp", "rep").alias("comp"))
@@ -241,27 +266,34 @@ def near_duplicates(docs: DataFrame, words: int = 5, percent: int = 80, doc_id:
             open_bands = now.groupBy("band").agg(F.min("comp").alias("lo"), F.max("comp").alias("hi")) \
                 .where(F.col("lo") != F.col("hi")).select("band")
             places = range(SKETCH // 64)
-            now = written(now.join(open_bands, "band").join(classes.select("rep", *[F.col("bits")[i].alias(f"s{i}") for i in places]), "rep"),
+            now = written(now.join(open_bands, "band").join(classes.select("rep", F.col("bands").alias("s_bands"),
+                                                                                   *[F.col("bits")[i].alias(f"s{i}") for i in places]), "rep"),
                           "open")
-            partner = now.withColumnsRenamed({f"s{i}": f"o{i}" for i in places})
+            spent.append(now)
+            partner = now.withColumnsRenamed({"s_bands": "o_bands"} | {f"s{i}": f"o{i}" for i in places})
         other = partner.select("band", F.col("rep").alias("b"), F.col("n").alias("m"), F.col("comp").alias("comp2"),
                                *[c for c in partner.columns if c[0] == "o"])
         met = now.join(other, "band").where((F.col("comp") != F.col("comp2")) & _alike_in_size(F.col("n"), F.col("m"), percent))
         if turn == PARTNER_ROUNDS:
-            met = met.where((F.col("rep") < F.col("b")) & _likely(percent))
+            # a pair that shares several bands is taken in one of them
+            once = F.array_min(F.array_intersect("s_bands", "o_bands")) == F.col("band")
+            met = met.where((F.col("rep") < F.col("b")) & _likely(percent) & once)
         pairs = met.select(F.least("rep", "b").alias("a"), F.greatest("rep", "b").alias("b")).distinct()
         if tested is not None:
             pairs = pairs.join(tested, ["a", "b"], "left_anti")
         pairs = written(pairs, "pairs")
+        spent.append(pairs)
         if pairs.limit(1).count() == 0:
             if turn < PARTNER_ROUNDS:
                 continue
             break
         found = _confirmed(pairs, texts, words, percent)
         tested = pairs if tested is None else tested.union(pairs)
-        links = links.union(found)
+        spent.append(found)
         # components of what is known so far (old ones as edges to their smallest id) and the new links
         comps = components(comps.select(F.col("id").alias("a"), F.col("comp").alias("b")).where("a != b").union(found))
+    for table in spent:
+        drop_written(table)
     label = classes.select("fp", "rep").join(comps.withColumnRenamed("id", "rep"), "rep", "left") \
         .select("fp", F.coalesce("comp", "rep").alias("component_id"))
     linked = sigs.where(F.col("fp").isNotNull() & F.col("doc_id").isNotNull()).join(label, "fp") \

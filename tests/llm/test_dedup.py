@@ -112,6 +112,15 @@ def test_sketch_equals_its_definition():
             assert dedup.sketch(x, size).tolist() == plain(x, size)
 
 
+def test_chunks_of_a_text_change_nothing(monkeypatch):
+    texts = ["some words of a text  that is\tcut " * 30, "x" * 100, " " * 90 + "tail", "a " * 40 + "b" * 50 + " c", "é" * 60]
+    with np.errstate(over="ignore"):
+        whole = [dedup.shingles(t, 4) for t in texts]
+        for size in (7, 16, 33):
+            monkeypatch.setattr(dedup, "CHUNK", size)
+            assert all(np.array_equal(dedup.shingles(t, 4), x) for t, x in zip(texts, whole))
+
+
 def test_edges(spark):
     got = dedup.near_duplicates(edge_docs(spark), 5).collect()
     assert len(got) == len(edge_rows())
