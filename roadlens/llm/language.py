@@ -44,7 +44,7 @@ def ngrams(text: str, scratch: np.ndarray, letters: np.ndarray) -> np.ndarray:
     """The distinct hashed n-grams of a text (lower case; every run of other
     characters is one blank); empty without a letter.  ``scratch`` is an
     int32 array over the n-gram space."""
-    found = []
+    seen = np.empty(0, np.uint32)
     for at in range(0, max(len(text), 1), CHUNK):
         c = _codes(text[max(0, at - 2 * max(LENGTHS)):at + CHUNK].lower())
         is_letter = letters[np.minimum(c, 0x10FFFF)]
@@ -53,18 +53,17 @@ def ngrams(text: str, scratch: np.ndarray, letters: np.ndarray) -> np.ndarray:
         c = np.where(is_letter, c, 32).astype(np.uint32)
         c = np.concatenate(([np.uint32(32)], c, [np.uint32(32)]))
         c = c[np.concatenate(([True], (c[1:] != 32) | (c[:-1] != 32)))]
-        h = np.zeros(len(c), np.uint32)
+        h, found = np.zeros(len(c), np.uint32), [seen]
         for n in LENGTHS:
             if len(c) >= n:
                 h = (h[: len(c) - n + 1] * np.uint32(0x9E3779B1)) + c[n - 1:] * np.uint32(0x85EBCA77) + np.uint32(n)
                 m = h ^ (h >> np.uint32(15))
                 found.append((m * np.uint32(0xC2B2AE3D)) >> np.uint32(32 - SPACE_BITS))
-    if not found:
-        return np.empty(0, np.uint32)
-    x = np.concatenate(found)
-    order = np.arange(len(x), dtype=np.int32)
-    scratch[x] = order  # the last writer of each n-gram keeps it
-    return x[scratch[x] == order]
+        x = np.concatenate(found)
+        order = np.arange(len(x), dtype=np.int32)
+        scratch[x] = order  # the last writer of each n-gram keeps it
+        seen = x[scratch[x] == order]
+    return seen
 
 
 def _tools():
@@ -132,16 +131,19 @@ def fit(sample: list[tuple[str, np.ndarray]], landmarks_per_lang: int = LANDMARK
 
 def labelled_sample(docs: DataFrame, per_lang: int = SAMPLE_PER_LANG) -> DataFrame:
     """``(doc_id, lang, text)`` of at most ``per_lang`` labelled, not held-out
-    documents of each language, the first by a hash of the id."""
-    known = docs.where(F.col("lang").isNotNull() & ~is_held_out(F.col("doc_id")) & F.col("text").isNotNull())
-    # the share of each language's rows that the hash lets through holds the
-    # sample near its bound before any text is moved
-    counts = known.groupBy("lang").agg(F.count(F.lit(1)).alias("_n"))
+    documents of each language, the first by a hash of the id (of a repeated
+    id the smallest text).  Ids alone are ranked; texts are read for the
+    chosen ones, a set bounded by ``per_lang`` rows a language."""
+    known = docs.where(F.col("lang").isNotNull() & ~is_held_out(F.col("doc_id")) & F.col("text").isNotNull()
+                       & F.col("doc_id").isNotNull())
+    ids = known.select("doc_id", "lang").distinct()
+    counts = ids.groupBy("lang").agg(F.count(F.lit(1)).alias("_n"))
     place = F.pmod(F.xxhash64(F.lit("language"), "doc_id"), F.lit(1 << 40)) / F.lit(float(1 << 40))
-    near = (known.join(counts, "lang")
-            .where(place * F.col("_n") < 2 * per_lang + 20).select("doc_id", "lang", "text", place.alias("_place")))
-    first = Window.partitionBy("lang").orderBy("_place", "doc_id", F.xxhash64("text"))
-    return near.withColumn("_r", F.row_number().over(first)).where(F.col("_r") <= per_lang).drop("_r", "_place")
+    # the share of a language's ids that the hash lets through is near the bound already
+    near = ids.join(counts, "lang").where(place * F.col("_n") < 2 * per_lang + 20).select("doc_id", "lang", place.alias("_place"))
+    first = Window.partitionBy("lang").orderBy("_place", "doc_id")
+    chosen = near.withColumn("_r", F.row_number().over(first)).where(F.col("_r") <= per_lang).select("doc_id", "lang")
+    return known.join(F.broadcast(chosen), ["doc_id", "lang"]).groupBy("doc_id", "lang").agg(F.min("text").alias("text"))
 
 
 def train(docs: DataFrame, per_lang: int = SAMPLE_PER_LANG) -> LanguageModel:
