@@ -238,8 +238,10 @@ def search(table: DataFrame, every: int = 20, k: int = 20, vec_id: str = "vec_id
                                     F.sum((F.col("vec_id") % every == 0).cast("bigint")).alias("_q"))
     sizes = sizes.select("dim", F.ceil(F.col("_n") / shard_rows).alias("_shards"), F.ceil(F.col("_q") / query_block).alias("_blocks"))
     dealt = rows.join(sizes, "dim")
+    # building is much work on few bytes: as many tasks as the session shuffles to, not as few as the bytes suggest
+    tasks = int(table.sparkSession.conf.get("spark.sql.shuffle.partitions"))
     graphs = written(dealt.select("dim", F.pmod(F.xxhash64(F.lit("shard"), "vec_id", "vec"), "_shards").alias("shard"), "vec_id", "vec")
-                     .groupBy("dim", "shard").applyInPandas(_build_shard, GRAPH), "graphs")
+                     .repartition(tasks, "dim", "shard").groupBy("dim", "shard").applyInPandas(_build_shard, GRAPH), "graphs")
     queries = dealt.where(F.col("vec_id") % every == 0).select(
         "dim", F.explode(F.expr("sequence(0, _shards - 1)")).alias("shard"),
         F.pmod(F.xxhash64(F.lit("block"), "vec_id"), "_blocks").alias("block"), "vec_id", "vec")
