@@ -12,8 +12,8 @@ Large groups are never expanded into all pairs.  Documents with equal sets
 become one class.  Classes that share a band are first compared with one
 partner of the band (a different one in every band and round); classes found
 linked form components, and only pairs of a band that still lie in different
-components are compared, all of them in the last round.  There the sketches
-themselves tell most of the pairs apart: one bit of each coordinate estimates
+components are compared, all of them in the last round.  The sketches
+themselves tell most pairs apart: one bit of each coordinate estimates
 the similarity, and a pair goes on to the exact check unless the estimate is
 five standard deviations too low.  So every candidate pair is confirmed,
 refuted, or already connected.
@@ -255,29 +255,30 @@ def near_duplicates(docs: DataFrame, words: int = 5, percent: int = 80, doc_id:
     texts = written(named.join(rows.select(F.col("rep").alias("doc_id")).distinct(), "doc_id", "left_semi")
                     .groupBy("doc_id", F.xxhash64("text")).agg(F.first("text").alias("text")).select("doc_id", "text"), "texts")
     tested, spent = None, [rows, texts]
+
+    def sketched(side: str, bands: bool = False) -> DataFrame:
+        bits = [F.col("bits")[i].alias(f"{side}{i}") for i in range(SKETCH // 64)]
+        return classes.select("rep", *bits, *[F.col("bands").alias(f"{side}_bands")] * bands)
+
     for turn in range(PARTNER_ROUNDS + 1):
         now = rows.join(comps.withColumnRenamed("id", "rep"), "rep", "left") \
             .select("band", "rep", "n", F.coalesce("comp", "rep").alias("comp"))
+        ends = now.groupBy("band").agg(F.min(F.struct(F.xxhash64(F.lit(turn), "band", "rep").alias("h"), "rep", "n", "comp")).alias("p"),
+                                       F.min("comp").alias("lo"), F.max("comp").alias("hi")).where(F.col("lo") != F.col("hi"))
+        now = now.join(ends.select("band"), "band")
         if turn < PARTNER_ROUNDS:
-            pick = F.min(F.struct(F.xxhash64(F.lit(turn), "band", "rep").alias("h"), "rep", "n", "comp"))
-            partner = now.groupBy("band").agg(pick.alias("p"), F.min("comp").alias("lo"), F.max("comp").alias("hi")) \
-                .where(F.col("lo") != F.col("hi")).select("band", "p.rep", "p.n", "p.comp")
+            partner = ends.select("band", "p.rep", "p.n", "p.comp")
+            left, right = now.join(sketched("s"), "rep"), partner.join(sketched("o"), "rep")
         else:
-            open_bands = now.groupBy("band").agg(F.min("comp").alias("lo"), F.max("comp").alias("hi")) \
-                .where(F.col("lo") != F.col("hi")).select("band")
-            places = range(SKETCH // 64)
-            now = written(now.join(open_bands, "band").join(classes.select("rep", F.col("bands").alias("s_bands"),
-                                                                                   *[F.col("bits")[i].alias(f"s{i}") for i in places]), "rep"),
-                          "open")
-            spent.append(now)
-            partner = now.withColumnsRenamed({"s_bands": "o_bands"} | {f"s{i}": f"o{i}" for i in places})
-        other = partner.select("band", F.col("rep").alias("b"), F.col("n").alias("m"), F.col("comp").alias("comp2"),
-                               *[c for c in partner.columns if c[0] == "o"])
-        met = now.join(other, "band").where((F.col("comp") != F.col("comp2")) & _alike_in_size(F.col("n"), F.col("m"), percent))
+            left = written(now.join(sketched("s", bands=True), "rep"), "open")
+            spent.append(left)
+            right = left.withColumnsRenamed({c: "o" + c[1:] for c in left.columns if c[0] == "s"})
+        right = right.withColumnsRenamed({"rep": "b", "n": "m", "comp": "comp2"})
+        met = left.join(right, "band").where((F.col("comp") != F.col("comp2")) & _alike_in_size(F.col("n"), F.col("m"), percent)
+                                             & _likely(percent))
         if turn == PARTNER_ROUNDS:
             # a pair that shares several bands is taken in one of them
-            once = F.array_min(F.array_intersect("s_bands", "o_bands")) == F.col("band")
-            met = met.where((F.col("rep") < F.col("b")) & _likely(percent) & once)
+            met = met.where((F.col("rep") < F.col("b")) & (F.array_min(F.array_intersect("s_bands", "o_bands")) == F.col("band")))
         pairs = met.select(F.least("rep", "b").alias("a"), F.greatest("rep", "b").alias("b")).distinct()
         if tested is not None:
             pairs = pairs.join(tested, ["a", "b"], "left_anti")
