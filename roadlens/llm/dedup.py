@@ -265,6 +265,9 @@ def near_duplicates(docs: DataFrame, words: int = 5, percent: int = 80, doc_id:
             .select("band", "rep", "n", F.coalesce("comp", "rep").alias("comp"))
         ends = now.groupBy("band").agg(F.min(F.struct(F.xxhash64(F.lit(turn), "band", "rep").alias("h"), "rep", "n", "comp")).alias("p"),
                                        F.min("comp").alias("lo"), F.max("comp").alias("hi")).where(F.col("lo") != F.col("hi"))
+        if turn < PARTNER_ROUNDS:
+            # every round has a share of the bands: what one round links, the next need not compare
+            ends = ends.where(F.pmod(F.xxhash64("band"), F.lit(PARTNER_ROUNDS)) == turn)
         now = now.join(ends.select("band"), "band")
         if turn < PARTNER_ROUNDS:
             partner = ends.select("band", "p.rep", "p.n", "p.comp")
