@@ -69,3 +69,28 @@ def test_edges(spark):
     assert len(rows) == len(edge_rows())
     assert all(r.n_tokens == 0 and r.log_prob == 0 and r.mean_log_prob is None for r in rows if r.doc_id in (2, 3, 4))
     assert lm.score_documents(empty_docs(spark)).count() == 0
+
+
+def test_every_counted_word_has_its_own_probability(spark, monkeypatch):
+    frequent = [f"w{i}" for i in range(lm.WORDS)]
+    texts = [" ".join(frequent * 9), "rather " * 5 + "gather " * 3 + "lather " * 2 + "father", "rather gather", "lather father", "zather", None, ""]
+    docs = spark.createDataFrame(list(enumerate(texts)), "doc_id bigint, text string")
+    counts = {"rather": 6, "gather": 4, "lather": 3, "father": 2}
+    shape = {lm._shape(w) for w in counts}
+    assert len(shape) == 1 and lm._shape("zather") in shape
+    share = {w: n / (sum(counts.values()) + 2) for w, n in {**counts, "zather": 1}.items()}
+    got = []
+    for known in (lm.KNOWN_WORDS, lm.WORDS + 1, 0):  # all words go with the tasks, some, none
+        monkeypatch.setattr(lm, "KNOWN_WORDS", known)
+        vocab, by_class = lm.vocabulary(lm.word_counts(docs))
+        assert (vocab.rest is None) == (known == 300_000)
+        assert by_class[lm._shape("rather")] == 16 and by_class.sum() == 9 * lm.WORDS + 16
+        model = lm.MaskedModel(vocab, some_model().weights)
+        rows = {r.doc_id: r for r in lm.score(docs, model).collect()}
+        for i, t in enumerate(texts):
+            want = plain_score(t or "", model) + sum(np.log(share.get(w, 1)) for w in (t or "").split())
+            assert rows[i].n_tokens == len((t or "").split())
+            assert abs(rows[i].log_prob - want) < 1e-3 * max(1, abs(want))
+            assert (rows[i].mean_log_prob is None) == (not t)
+        got.append(rows[2].log_prob)
+    assert max(got) - min(got) < 1e-6
