@@ -13,10 +13,10 @@ The vocabulary is every word of all documents with its true count, so it
 grows with the input.  The counts of a bounded number of frequent words go
 with the tasks; those of all other words stay a table and are joined to the
 words that the tasks could not look up.  The network is trained in numpy on
-the executors: in every round each task goes over its share of the training
-documents from the current weights, and the tasks' weights are averaged by
-Spark, weighted by tokens.  What is counted, trained on and averaged grows
-with the input.
+the executors, in one pass over all documents: every document trains in one of
+the rounds, in which each task goes over its share from the current weights,
+and the tasks' weights are averaged by Spark, weighted by tokens.  What is
+counted, trained on and averaged grows with the input.
 """
 
 from __future__ import annotations
@@ -33,8 +33,8 @@ from roadlens.llm.common import map_batches, process_cache, written
 
 #: Frequent words, shape buckets, places on each side, hidden units.
 WORDS, SHAPES, SIDE, HIDDEN = 192, 64, 2, 24
-#: One in so many documents trains; rounds of averaging; steps of training.
-TRAIN_EVERY, ROUNDS, BATCH, RATE = 12, 2, 512, 0.5
+#: Rounds of averaging, each over its share of all documents; tokens a step; rate.
+ROUNDS, BATCH, RATE = 2, 1024, 0.5
 #: Different words that a task counts before it hands them on.
 HELD_WORDS = 400_000
 #: Words whose counts go with the tasks (93% of all occurrences at 0.1 GB).
@@ -218,22 +218,29 @@ def _hidden(ids: np.ndarray, emb: np.ndarray) -> np.ndarray:
     return np.tanh(h, out=h)
 
 
-def log_probs(ids: np.ndarray, weights: list[np.ndarray], chunk: int = 2048) -> np.ndarray:
+def _exp_logits(h: np.ndarray, out: np.ndarray, bias: np.ndarray, own: np.ndarray | None = None):
+    """exp of the logits less a shift per row, and the logits of ``own`` less
+    the same shift.  ``h`` is within -1 and 1, so small weights need no shift."""
+    z = h @ out
+    z += bias
+    if (np.abs(out).sum(0) + np.abs(bias)).max() > 60:
+        z -= z.max(1)[:, None]
+    picked = None if own is None else z[np.arange(len(z)), own]
+    return np.exp(z, out=z), picked
+
+
+def log_probs(ids: np.ndarray, weights: list[np.ndarray], chunk: int = 1024) -> np.ndarray:
     """Log-probability of every token of edge-padded ``ids`` given both sides."""
     emb, out, bias = weights
     n = len(ids) - 2 * SIDE
     got = np.empty(n, np.float32)
+    ones = np.ones(VOCAB, np.float32)
     for at in range(0, n, chunk):
         part = ids[at:at + chunk + 2 * SIDE]
         m = len(part) - 2 * SIDE
-        z = _hidden(part, emb) @ out
-        z += bias
         # an edge as the token itself (between joined texts) is no vocabulary word
-        own = z[np.arange(m), np.minimum(part[SIDE:SIDE + m], VOCAB - 1)]
-        top = z.max(1)
-        z -= top[:, None]
-        np.exp(z, out=z)
-        got[at:at + m] = own - top - np.log(z.sum(1))
+        z, own = _exp_logits(_hidden(part, emb), out, bias, np.minimum(part[SIDE:SIDE + m], VOCAB - 1))
+        got[at:at + m] = own - np.log(z @ ones)
     return got
 
 
@@ -243,28 +250,27 @@ def train_pass(ids: np.ndarray, flat: np.ndarray, rate: float = RATE, batch: int
     emb, out, bias = unflatten(flat)
     places = [p for p in range(2 * SIDE + 1) if p != SIDE]
     n = len(ids) - 2 * SIDE
+    all_here = np.flatnonzero(ids[SIDE:SIDE + n] < VOCAB)
     target = ids[SIDE:SIDE + n]
-    for at in np.random.default_rng(5).permutation(np.arange(0, n, batch)):
-        here = np.arange(at, min(at + batch, n))
-        here = here[target[here] < VOCAB]
-        if not len(here):
-            continue
+    ones = np.ones(VOCAB, np.float32)
+    for at in np.random.default_rng(5).permutation(np.arange(0, len(all_here), batch)):
+        here = all_here[at:at + batch]
         ctx = [ids[here + p] for p in places]
-        h = emb[0][ctx[0]]
+        h = emb[0].take(ctx[0], 0)
         for e, c in zip(emb[1:], ctx[1:]):
-            h = h + e[c]
-        h = np.tanh(h)
-        z = h @ out + bias
-        z -= z.max(1, keepdims=True)
-        np.exp(z, out=z)
-        z /= z.sum(1, keepdims=True)
-        z[np.arange(len(here)), target[here]] -= 1
-        z /= len(here)
+            h += e.take(c, 0)
+        np.tanh(h, out=h)
+        z = _exp_logits(h, out, bias)[0]
+        z *= (1 / (z @ ones * len(here)))[:, None]
+        z[np.arange(len(here)), target[here]] -= 1 / len(here)
         back = (z @ out.T) * (1 - h * h)
         out -= rate * (h.T @ z)
         bias -= rate * z.sum(0)
-        for e, c in zip(emb, ctx):
-            np.subtract.at(e, c, (rate * 4) * back)
+        # the steps of all places' embeddings, summed per embedding
+        where = np.concatenate([c + i * (VOCAB + 1) for i, c in enumerate(ctx)])
+        for j, b in enumerate(np.ascontiguousarray(back.T)):
+            step = np.bincount(where, np.concatenate([b] * len(ctx)), emb.shape[0] * (VOCAB + 1))
+            emb[:, :, j] -= (rate * 4) * step.reshape(emb.shape[:2])
     return np.clip(flat, -12, 12)
 
 
@@ -283,14 +289,21 @@ def _apart(ids: np.ndarray, lengths: list[int]) -> Iterator[np.ndarray]:
         at += m + SIDE
 
 
-def train(docs: DataFrame, words: int = WORDS, every: int = TRAIN_EVERY, rounds: int = ROUNDS) -> MaskedModel:
-    """The model of ``(doc_id, text)`` rows: counts over all of them, training
-    on those with ``crc32(doc_id) mod every = 0`` (all, where none is)."""
+def train(docs: DataFrame, words: int = WORDS, every: int = 1, rounds: int = ROUNDS) -> MaskedModel:
+    """The model of ``(doc_id, text)`` rows: counts over all of them, and one
+    pass of training over all of them, null ids too.  With ``every`` above 1,
+    only those with ``crc32(doc_id) mod every = 0`` train (all, where none of
+    them has words), so that tests can hold documents out."""
     vocab, counts = vocabulary(written(word_counts(docs), "words"), words)
+    share = docs.where(F.col("text").isNotNull())
+    if every > 1:
+        held = share.where(F.crc32(F.col("doc_id").cast("string")) % every == 0)
+        if held.where(F.col("text").rlike(r"\S")).limit(1).count():
+            share = held
     model = MaskedModel(vocab, start_weights(counts))
-    share = docs.where(F.coalesce(F.crc32(F.col("doc_id").cast("string")) % every == 0, F.lit(False)) & F.col("text").isNotNull())
     for r in range(rounds):
-        model = MaskedModel(vocab, _round(share.select("text"), model, RATE / (1 + r)))
+        turn = share.where(F.pmod(F.xxhash64("text"), F.lit(rounds)) == r)
+        model = MaskedModel(vocab, _round(turn.select("text"), model, RATE / (1 + r)))
     return model
 
 

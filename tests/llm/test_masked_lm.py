@@ -94,3 +94,43 @@ def test_every_counted_word_has_its_own_probability(spark, monkeypatch):
             assert (rows[i].mean_log_prob is None) == (not t)
         got.append(rows[2].log_prob)
     assert max(got) - min(got) < 1e-6
+
+
+def test_all_documents_train_once(spark, monkeypatch):
+    seen = []
+
+    def noted(share, model, rate):
+        seen.extend(r.text for r in share.collect())
+        return model.weights
+
+    monkeypatch.setattr(lm, "_round", noted)
+    rows = [(i if i % 3 else None, f"text number {i}") for i in range(60)] + [(7, None)]
+    docs = spark.createDataFrame(rows, "doc_id bigint, text string")
+    lm.train(docs)
+    assert sorted(seen) == sorted(t for _, t in rows if t)
+    seen.clear()
+    lm.train(docs.where("doc_id is null"), every=5)  # no id in the class: all train
+    assert len(seen) == 20
+
+
+def test_small_tables_and_null_ids_are_learned(spark):
+    docs = spark.createDataFrame([(None, f"one two three four five {i}") for i in range(40)], "doc_id bigint, text string")
+    model = lm.train(docs)
+    start = lm.start_weights(lm.vocabulary(lm.word_counts(docs))[1])
+    assert not np.allclose(model.weights, start)
+
+
+def test_gradient_steps_go_down_the_slope():
+    ids = np.concatenate([[lm.EDGE] * lm.SIDE, np.tile([3, 5, 200, 9, lm.EDGE, lm.EDGE], 40), [lm.EDGE] * lm.SIDE]).astype(np.int32)
+    flat = lm.start_weights(np.ones(lm.VOCAB)).astype(np.float64)
+    inside = ids[lm.SIDE:-lm.SIDE] < lm.VOCAB
+    loss = lambda w: -lm.log_probs(ids, lm.unflatten(w.astype(np.float64)))[inside].astype(float).mean()
+    step = flat - lm.train_pass(ids, flat, rate=1e-3, batch=10_000)
+    n_emb = int(np.prod(lm._sizes()[0]))
+    step[:n_emb] /= 4
+    slope = step / 1e-3
+    for at in (3 * lm.HIDDEN + 1, n_emb + 5, n_emb + 200, len(flat) - lm.VOCAB + 200):
+        up, down = flat.copy(), flat.copy()
+        up[at] += 0.05
+        down[at] -= 0.05
+        assert abs((loss(up) - loss(down)) / 0.1 - slope[at]) < 1e-3 + 0.02 * abs(slope[at])
