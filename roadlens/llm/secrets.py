@@ -3,6 +3,8 @@
 from __future__ import annotations
 
 import re
+from bisect import bisect_left
+from collections.abc import Iterator
 
 import pandas as pd
 import pyarrow as pa
@@ -22,15 +24,22 @@ KINDS = (*BASE_KINDS, "novel")
 #: Words that make a nearby string sensitive.
 CONTEXT = re.compile(r"pass(?:word|wd|phrase|code)?\b|secret|token|api[_-]?key|credential|bearer|authorization|"
                      r"private[_ -]?key|access[_ -]?key|\bauth\b|\bpwd\b|signature|client[_-]?id", re.IGNORECASE | re.ASCII)
-#: A candidate: an unbroken run of key characters; it must have a digit in it.
-CANDIDATE = re.compile(r"[A-Za-z0-9+/_=-]{16,}")
-DIGIT = re.compile(r"[0-9]")
-#: Characters before a candidate in which a context word must stand, and the
-#: surrounding characters on each side that prime the compressor.
+#: A candidate: an unbroken run of key characters.
+SHORTEST = 16
+CANDIDATE = re.compile(rf"[A-Za-z0-9+/_=-]{{{SHORTEST},}}")
+#: What may stand between the lines or parts of one key, and the short last
+#: line of a key block.
+GAP = re.compile(r"""[\s.:\\"',>|]{1,48}""")
+LAST_LINE = re.compile(r"""(?:\\[nr]|[\s\\"',>|]){1,48}([A-Za-z0-9+/_=]{1,15})(?:\\[nr]|[\s\\"',>|]){1,48}-----END""")
+#: Characters before or behind a candidate in which a context word must stand,
+#: and the surrounding characters on each side that prime the compressor.
 NEAR, AROUND = 48, 256
 #: Marginal compressed bytes per character from which a string is incompressible
 #: (random keys cost 0.8 to 1.0; names made of words that the dictionary knows 0.2 to 0.6).
 NOVEL_AT = 0.7
+#: The same for a candidate next to a found one (lines of random base64 amid
+#: others cost 0.65 to 0.75); the short last line of a found block needs none.
+NEXT_AT = 0.6
 #: Identifiers of everyday code; they prime the compressor, so they cost little.
 IDENTIFIERS = (
     "access_key_id", "access_token", "api_key_name", "application_default_credentials", "auth_token_provider",
@@ -71,35 +80,78 @@ class Novelty:
         self.size = lambda b: len(self.zip.compress(b))
         self.zip = zstandard.ZstdCompressor(level=6, dict_data=words, write_content_size=False, write_checksum=False)
 
-    def per_char(self, text: str, start: int, end: int) -> float:
-        """Bytes that ``text[start:end]`` adds to the compressed surroundings,
-        per character."""
+    def per_char(self, text: str, start: int, end: int, parts: list[tuple[int, int]] | None = None) -> float:
+        """Bytes that ``text[start:end]``, or only its ``parts``, adds to the
+        compressed surroundings, per character."""
         around = (text[max(0, start - AROUND):start] + "\n" + text[end:end + AROUND] + "\n").encode()
-        more = text[start:end].encode()
-        return (self.size(around + more) - self.size(around)) / (end - start)
+        more = "".join(text[s:e] for s, e in parts or [(start, end)])
+        return (self.size(around + more.encode()) - self.size(around)) / len(more)
+
+
+def _chains(text: str) -> Iterator[list[tuple[int, int]]]:
+    """The candidates, those that follow each other as lines or parts of one
+    key together; the last line of a key block may be short."""
+    chain: list[tuple[int, int]] = []
+    for m in CANDIDATE.finditer(text):
+        if chain and not GAP.fullmatch(text, chain[-1][1], m.start()):
+            yield chain
+            chain = []
+        chain.append(m.span())
+        last = LAST_LINE.match(text, m.end())
+        if last:
+            chain.append(last.span(1))
+    if chain:
+        yield chain
+
+
+def _outside(s: int, e: int, held: list[list], at: int) -> list[tuple[int, int]]:
+    """The parts of a candidate that lie outside the base spans, from the
+    ``at``-th on; what stands before an assignment is its name and no part."""
+    parts = []
+    while at < len(held) and held[at][0] < e:
+        if s < held[at][0] and not held[at][2]:
+            parts.append((s, held[at][0]))
+        s = max(s, held[at][1])
+        at += 1
+    return parts + [(s, e)] if s < e else parts
 
 
 def novel_spans(text: str, taken: list[tuple[int, int, str]], novelty: Novelty) -> list[tuple[int, int, str]]:
-    """Incompressible candidates behind a context word, outside the base spans."""
-    if not CONTEXT.search(text):
+    """Incompressible candidates, outside the base spans, near a context word
+    or next to a candidate that is (the lines of a key block, the parts of a
+    web token)."""
+    words = [m.span() for m in CONTEXT.finditer(text)]
+    if not words:
         return []
-    held: list[list[int]] = []  # the base spans as disjoint stretches, in order
-    for s, e, _ in sorted(taken):
+    starts = [s for s, _ in words]
+    held: list[list] = []  # the base spans as disjoint stretches, in order, and whether they begin with an assignment
+    for s, e, kind in sorted(taken):
         if held and s <= held[-1][1]:
             held[-1][1] = max(held[-1][1], e)
         else:
-            held.append([s, e])
+            held.append([s, e, kind == "assign"])
+
+    def near(s: int, e: int) -> bool:
+        i = bisect_left(starts, s - NEAR)
+        return i < len(words) and words[i][1] <= e + NEAR
+
     out, at = [], 0
-    for m in CANDIDATE.finditer(text):
-        s, e = m.span()
-        while at < len(held) and held[at][1] <= s:
-            at += 1
-        if at < len(held) and held[at][0] < e or not DIGIT.search(text, s, e):
-            continue
-        if not CONTEXT.search(text, max(0, s - NEAR), s):
+    for chain in _chains(text):
+        if not any(near(s, e) for s, e in chain):
             continue
-        if novelty.per_char(text, s, e) >= NOVEL_AT:
-            out.append((s, e, "novel"))
+        pieces = []  # the parts of each candidate, what they cost, and from where on they are part of a found key
+        for s, e in chain:
+            while at < len(held) and held[at][1] <= s:
+                at += 1
+            parts = _outside(s, e, held, at)
+            cost = novelty.per_char(text, s, e, parts) if parts else NOVEL_AT
+            pieces.append((parts, cost, NEXT_AT if e - s >= SHORTEST else 0))
+        found = [cost >= NOVEL_AT for _, cost, _ in pieces]
+        for order in (range(1, len(pieces)), range(len(pieces) - 2, -1, -1)):
+            step = order.step
+            for i in order:
+                found[i] = found[i] or found[i - step] and pieces[i][1] >= pieces[i][2]
+        out += [(a, b, "novel") for (parts, _, _), yes in zip(pieces, found) if yes for a, b in parts]
     return out
 
 

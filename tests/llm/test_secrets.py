@@ -65,3 +65,55 @@ def test_edges_and_redaction(spark):
     assert clean <= set(texts)
     assert secrets.scan_secrets(empty_docs(spark)).count() == 0
     assert secrets.redacted_documents(empty_docs(spark)).count() == 0
+
+
+def _key(seed, n, letters=string.ascii_letters + string.digits):
+    return "".join(random.Random(seed).choices(letters, k=n))
+
+
+def _pem(seed, line_break="\n"):
+    body = _key(seed, 24 * 64 + 10) + "=="
+    lines = [body[i:i + 64] for i in range(0, len(body), 64)]
+    return line_break.join(["-----BEGIN RSA PRIVATE KEY-----", *lines, "-----END RSA PRIVATE KEY-----"]), lines
+
+
+def _web_token(seed):
+    import base64
+    part = lambda t: base64.urlsafe_b64encode(t.encode()).decode().rstrip("=")
+    header = part('{"alg":"HS256","typ":"JWT","kid":"' + _key(seed, 24) + '"}')
+    return header, part('{"sub":"' + _key(seed + 1, 30) + '"}'), _key(seed + 2, 43)
+
+
+def test_whole_key_blocks_and_web_tokens_are_found_and_redacted(spark):
+    novelty, rows = secrets.Novelty(secrets.IDENTIFIERS), []
+    for seed in range(5):
+        for line_break in ("\n", "\r\n", "\\n", "\n    "):
+            pem, lines = _pem(seed, line_break)
+            text = f"see below\n{pem}\nand so on"
+            found = [text[s:e] for s, e, _ in secrets.find_spans(text, novelty)]
+            assert all(any(x in f for f in found) for x in lines)
+            assert not any("-----" in f for f in found)
+            rows.append((text, lines))
+        header, payload, signature = _web_token(10 * seed + 100)
+        assert len(header) > 40
+        text = f"Authorization: Bearer {header}.{payload}.{signature} was sent"
+        assert {payload, signature} <= {text[s:e] for s, e, _ in secrets.find_spans(text, novelty)}
+        rows.append((text, [payload, signature]))
+    docs = spark.createDataFrame([(i, t) for i, (t, _) in enumerate(rows)], "doc_id bigint, text string")
+    out = {r.doc_id: r.text for r in secrets.redacted_documents(docs).collect()}
+    for i, (_, hidden) in enumerate(rows):
+        assert not any(x in out[i] for x in hidden)
+    assert all(r.spans for r in secrets.scan_secrets(docs).collect())
+
+
+def test_context_behind_a_key_no_digits_and_rests_of_base_spans():
+    novelty = secrets.Novelty(secrets.IDENTIFIERS)
+    found = lambda t: [t[s:e] for s, e, k in secrets.find_spans(t, novelty) if k == "novel"]
+    key, letters = _key(7, 32), _key(8, 32, string.ascii_letters)
+    assert found(f"{key} is the private key") == [key]
+    assert found(f"{key}:{letters} are the credentials") == [key, letters]
+    assert found(f"bearer {letters}") == [letters]
+    head, tail = _key(9, 20, string.ascii_uppercase), _key(11, 20, string.ascii_uppercase)
+    assert found(f"bearer {head}0123456789abcdef{tail} x") == [head, tail]
+    assert found("set my_db_password=hunter2hunter2 now") == []
+    assert found(f"{key} " + "far " * 30 + "secret") == []
