@@ -309,11 +309,17 @@ def near_duplicates(docs: DataFrame, words: int = 5, percent: int = 80, doc_id:
 
 def drop_near_duplicates(docs: DataFrame, words: int = 5, percent: int = 80, doc_id: str = "doc_id",
                          text: str = "text") -> DataFrame:
-    """The rows of ``docs``, with all their columns, that stay: one document
-    of each group, and one row where a document's row is repeated.  Rows
-    without an id stay."""
-    kept = near_duplicates(docs, words, percent, doc_id, text).where("kept").select(F.col("doc_id").alias("_kept_id")) \
-        .where(F.col("_kept_id").isNotNull()).distinct()
-    cols = [F.col(f"`{c}`") for c in docs.columns]
-    named = docs.where(F.col(doc_id).isNotNull()).join(kept, F.col(doc_id) == F.col("_kept_id"), "left_semi")
-    return named.dropDuplicates([doc_id]).select(*cols).unionByName(docs.where(F.col(doc_id).isNull()).select(*cols))
+    """The rows of ``docs``, with all their columns, that stay: one of each
+    group of linked rows, the one with the smallest id (rows without an id
+    last, then by the row's content), and one of rows without words that are
+    equal in all columns.  Every row is a document of its own, also where ids
+    are null or repeated: only linked or equal rows are dropped."""
+    rows = written(docs.withColumn("_doc_row", F.monotonically_increasing_id()), "rows")
+    content = F.sha2(F.to_json(F.struct(*[F.col(f"`{c}`").alias(f"c{i}") for i, c in enumerate(docs.columns)])), 256)
+    found = near_duplicates(rows, words, percent, "_doc_row", text)
+    named = rows.select(F.col("_doc_row").alias("doc_id"), F.col(doc_id).alias("_id"), content.alias("_content"))
+    group = F.when(F.col("n_shingles") > 0, F.col("component_id"))
+    kept = (found.join(named, "doc_id").groupBy(group.alias("_group"), F.when(group.isNull(), F.col("_content")).alias("_equal"))
+            .agg(F.min(F.struct(F.col("_id").isNull().alias("no_id"), "_id", "_content", "doc_id")).alias("_first"))
+            .select(F.col("_first.doc_id").alias("_kept_row")))
+    return rows.join(kept, F.col("_doc_row") == F.col("_kept_row"), "left_semi").select(*[F.col(f"`{c}`") for c in docs.columns])

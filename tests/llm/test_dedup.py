@@ -144,3 +144,16 @@ def test_connected_components(spark):
     edges = [(i, i + 1) for i in range(40)] + [(100, 50), (50, 75), (200, 200), (301, 300), (302, 301)]
     got = {r.id: r.comp for r in components(spark.createDataFrame(edges, "a bigint, b bigint")).collect()}
     assert got == {i: 0 for i in range(41)} | {100: 50, 50: 50, 75: 50, 200: 200, 300: 300, 301: 300, 302: 300}
+
+
+def test_only_linked_or_equal_rows_are_dropped(spark):
+    one, two, three = "a b c d e f g", "h i j k l m n", "o p q r s t u"
+    rows = [(1, one, "x"), (1, two, "x"), (2, two, "y"), (None, three, "x"), (None, three, "y"), (None, one, "x"),
+            (5, "", "x"), (5, "", "x"), (5, "", "y"), (5, None, "x"), (None, None, "x"), (None, None, "x"), (6, three + " v w", "x")]
+    docs = spark.createDataFrame(rows, "doc_id bigint, text string, row string")
+    want = [(1, one, "x"), (1, two, "x"), (5, "", "x"), (5, "", "y"), (5, None, "x"), (None, None, "x"), (6, three + " v w", "x")]
+    for parts in (1, 5):
+        got = list(map(tuple, dedup.drop_near_duplicates(docs.repartition(parts), 5).collect()))
+        # of the rows without an id the group of ``three`` keeps one
+        assert sorted((r for r in got if r[1] != three), key=repr) == sorted(want, key=repr)
+        assert len({r for r in got if r[1] == three}) == sum(r[1] == three for r in got) == 1
