@@ -123,3 +123,30 @@ def running_start(df: DataFrame, group: Sequence[str], value: str, order: Sequen
             .join(starts, on)
             .withColumn(out, (F.col("_base") + F.col("_in")).cast("bigint"))
             .select(*dict.fromkeys([*group, value, *order, *carry, out])))
+
+
+def ranked(df: DataFrame, group: Sequence[str], order: Sequence[str], out: str) -> DataFrame:
+    """``df`` as a written table with ``out``: the 0-based place of a row in
+    its ``group`` by ``order`` (nulls first; equal rows in any fixed order).
+
+    Rows are dealt by ranges of (group, order), so a group with a third of
+    all rows, or of equal rows, lies in many tasks; a row's place is its place
+    in its range plus the rows of the group in the ranges before.  The
+    columns ``_salt``, ``_at``, ``_range``, ``_first`` and ``_base`` are used."""
+    rows = written(df.withColumn("_salt", F.monotonically_increasing_id()), "unordered")
+    keys = [F.col(c).asc_nulls_first() for c in [*group, *order, "_salt"]]
+    dealt = rows.repartitionByRange(*keys).sortWithinPartitions(*keys)
+    dealt = written(dealt.withColumn("_at", F.monotonically_increasing_id())
+                    .withColumn("_range", F.shiftright("_at", 33)), "dealt")
+    sizes = dealt.groupBy(*group, "_range").agg(F.min("_at").alias("_first"), F.count(F.lit(1)).alias("_n"))
+    before = Window.partitionBy(*group).orderBy("_range").rowsBetween(Window.unboundedPreceding, -1)
+    starts = sizes.select(*[F.col(g).alias(f"_g{i}") for i, g in enumerate(group)], F.col("_range").alias("_r"),
+                          "_first", F.coalesce(F.sum("_n").over(before), F.lit(0)).alias("_base"))
+    on = F.col("_range") == F.col("_r")
+    for i, g in enumerate(group):
+        on = on & F.col(g).eqNullSafe(F.col(f"_g{i}"))
+    placed = dealt.join(starts, on).withColumn(out, (F.col("_base") + F.col("_at") - F.col("_first")).cast("bigint"))
+    placed = written(placed.select(*df.columns, out), "ranked")
+    drop_written(rows)
+    drop_written(dealt)
+    return placed

@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from roadlens.llm import dedup, hnsw, language, masked_lm, mixing, packing, quality, secrets, tokens, urls
+from roadlens.llm import dedup, hnsw, language, masked_lm, merkle, mixing, packing, quality, secrets, tokens, urls
 
 TOKEN_LIMIT = 512
 
@@ -60,6 +60,10 @@ def op10_token_counts(spark: SparkSession, d: str) -> DataFrame:
     return tokens.count_tokens(_docs(spark, d), tokens.tokenizer_path("byte_bpe_50k.json"), TOKEN_LIMIT)
 
 
+def op13_merkle_manifest(spark: SparkSession, d: str) -> DataFrame:
+    return merkle.checked(merkle.build(_docs(spark, d)))
+
+
 def pipeline(spark: SparkSession, d: str) -> DataFrame:
     import corpus_pipeline
 
@@ -69,7 +73,7 @@ def pipeline(spark: SparkSession, d: str) -> DataFrame:
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     f.__name__: f for f in (op1_language_id, op2_masked_lm, op3_source_mix, op4_url_filter, op5_secret_scan,
                             op6_best_fit_packing, op7_hnsw_search, op8_quality_rules, op9_near_duplicates,
-                            op10_token_counts, pipeline)
+                            op10_token_counts, op13_merkle_manifest, pipeline)
 }
 
 # ---------------------------------------------------------------------------
@@ -121,4 +125,60 @@ SELECT s.doc_id, CAST(len(sh) AS BIGINT) AS n_shingles, least(s.doc_id, coalesce
        s.doc_id = least(s.doc_id, coalesce(m.lo, s.doc_id)) AS kept
 FROM s LEFT JOIN (SELECT a, min(b) AS lo FROM r GROUP BY a) m ON s.doc_id = m.a"""
 
-ORACLE_SQL: dict[str, str] = {"op4_url_filter": _OP4, "op9_near_duplicates": _OP9}
+#: The table of CRC-32, and the checksum of a column's decimal digits.
+_CRC_TABLE = """crc AS (
+  SELECT list(v ORDER BY i) AS t FROM (
+    SELECT i, list_reduce([i, 0, 0, 0, 0, 0, 0, 0, 0],
+                          lambda a, z: CASE WHEN a % 2 = 1 THEN xor(a >> 1, 3988292384) ELSE a >> 1 END) AS v
+    FROM (SELECT CAST(range AS BIGINT) AS i FROM range(256))))"""
+
+
+def _crc32(number: str) -> str:
+    digits = f"list_transform(string_split(CAST({number} AS VARCHAR), ''), lambda c: CAST(ascii(c) AS BIGINT))"
+    return (f"xor(list_reduce(list_prepend(CAST(4294967295 AS BIGINT), {digits}), "
+            f"lambda a, x: xor(a >> 8, crc.t[xor(a, x) % 256 + 1])), 4294967295)")
+
+
+def _leaf(text: str) -> str:
+    part = "coalesce(CAST(strlen(CAST({0} AS VARCHAR)) AS VARCHAR) || ':' || CAST({0} AS VARCHAR), '-')"
+    return "sha256(" + " || ".join(part.format(c) for c in ("doc_id", "source", "lang", "n_chars", text)) + ")"
+
+
+_OP13 = f"""WITH RECURSIVE {_CRC_TABLE},
+ids AS (SELECT doc_id, {_crc32("doc_id")} AS c FROM (SELECT DISTINCT doc_id FROM documents WHERE doc_id IS NOT NULL), crc),
+hashed AS (
+  SELECT d.doc_id, lang, {_leaf("text").replace("doc_id", "d.doc_id")} AS leaf,
+         CASE WHEN c % 3 = 0 THEN {_leaf(f"translate(text, '{_UPPER}', '{_UPPER.lower()}')").replace("doc_id", "d.doc_id")} END AS other
+  FROM documents d LEFT JOIN ids ON d.doc_id = ids.doc_id),
+lf AS (SELECT doc_id, coalesce('=' || lang, '-') AS tree, leaf, coalesce(other, leaf) AS changed,
+              row_number() OVER (PARTITION BY lang ORDER BY doc_id NULLS FIRST, leaf) - 1 AS place,
+              count(*) OVER (PARTITION BY lang) AS n FROM hashed),
+lv(tree, l, p, h, n) AS (
+  SELECT tree, 0, place, leaf, n FROM lf
+  UNION ALL
+  SELECT tree, l + 1, p // 8, sha256(string_agg(h, '' ORDER BY p)), (any_value(n) + 7) // 8 FROM lv WHERE n > 1 GROUP BY tree, l, p // 8),
+subs AS (SELECT tree, h, row_number() OVER (ORDER BY tree) - 1 AS place, count(*) OVER () AS n FROM lv WHERE n = 1),
+tp(l, p, h, n) AS (
+  SELECT 0, place, h, n FROM subs
+  UNION ALL
+  SELECT l + 1, p // 8, sha256(string_agg(h, '' ORDER BY p)), (any_value(n) + 7) // 8 FROM tp WHERE n > 1 GROUP BY l, p // 8),
+lows AS (SELECT tree, l, p // 8 AS q, list(h ORDER BY p) AS run FROM lv WHERE n > 1 GROUP BY tree, l, p // 8),
+highs AS (SELECT l, p // 8 AS q, list(h ORDER BY p) AS run FROM tp WHERE n > 1 GROUP BY l, p // 8),
+met AS (
+  SELECT lf.tree, lf.place, lows.l AS lvl, run, (lf.place // CAST(8 ** lows.l AS BIGINT)) % 8 AS slot
+  FROM lf JOIN lows ON lf.tree = lows.tree AND lf.place // CAST(8 ** (lows.l + 1) AS BIGINT) = lows.q
+  UNION ALL
+  SELECT lf.tree, lf.place, 100 + highs.l, run, (subs.place // CAST(8 ** highs.l AS BIGINT)) % 8
+  FROM lf JOIN subs ON lf.tree = subs.tree JOIN highs ON subs.place // CAST(8 ** (highs.l + 1) AS BIGINT) = highs.q),
+sides AS (SELECT tree, place, lvl, coalesce(array_to_string(run[1:slot], ''), '') AS b,
+                 coalesce(array_to_string(run[slot + 2:], ''), '') AS a FROM met),
+paths AS (SELECT tree, place, list(b || '|' || a ORDER BY lvl) AS path, string_agg(b || a, '' ORDER BY lvl) AS proof
+          FROM sides GROUP BY tree, place),
+folds AS (
+  SELECT lf.doc_id, leaf, subs.h AS subroot, (SELECT h FROM tp WHERE n = 1) AS root, sha256(coalesce(proof, '')) AS proof_sha256,
+         list_reduce(list_prepend(changed, coalesce(path, [])),
+                     lambda acc, x: sha256(split_part(x, '|', 1) || acc || split_part(x, '|', 2))) AS folded_root
+  FROM lf JOIN subs ON lf.tree = subs.tree LEFT JOIN paths ON lf.tree = paths.tree AND lf.place = paths.place)
+SELECT *, folded_root = root AS verified FROM folds"""
+
+ORACLE_SQL: dict[str, str] = {"op4_url_filter": _OP4, "op9_near_duplicates": _OP9, "op13_merkle_manifest": _OP13}
