@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from roadlens.llm import dedup, hnsw, language, masked_lm, merkle, mixing, packing, quality, secrets, tokens, urls
+from roadlens.llm import dedup, hnsw, language, masked_lm, merkle, mixing, packing, quality, secrets, tokens, tries, urls
 
 TOKEN_LIMIT = 512
 
@@ -60,6 +60,10 @@ def op10_token_counts(spark: SparkSession, d: str) -> DataFrame:
     return tokens.count_tokens(_docs(spark, d), tokens.tokenizer_path("byte_bpe_50k.json"), TOKEN_LIMIT)
 
 
+def op11_prefix_trie(spark: SparkSession, d: str) -> DataFrame:
+    return tries.prefix_trie(_table(spark, d, "conversations")).drop("k")
+
+
 def op13_merkle_manifest(spark: SparkSession, d: str) -> DataFrame:
     return merkle.checked(merkle.build(_docs(spark, d)))
 
@@ -73,7 +77,7 @@ def pipeline(spark: SparkSession, d: str) -> DataFrame:
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     f.__name__: f for f in (op1_language_id, op2_masked_lm, op3_source_mix, op4_url_filter, op5_secret_scan,
                             op6_best_fit_packing, op7_hnsw_search, op8_quality_rules, op9_near_duplicates,
-                            op10_token_counts, op13_merkle_manifest, pipeline)
+                            op10_token_counts, op11_prefix_trie, op13_merkle_manifest, pipeline)
 }
 
 # ---------------------------------------------------------------------------
@@ -181,4 +185,32 @@ folds AS (
   FROM lf JOIN subs ON lf.tree = subs.tree LEFT JOIN paths ON lf.tree = paths.tree AND lf.place = paths.place)
 SELECT *, folded_root = root AS verified FROM folds"""
 
-ORACLE_SQL: dict[str, str] = {"op4_url_filter": _OP4, "op9_near_duplicates": _OP9, "op13_merkle_manifest": _OP13}
+_OP11 = f"""WITH {_CRC_TABLE},
+ids AS (SELECT c, {_crc32("c")} % 9 AS h, c - c % 5 AS base
+        FROM (SELECT DISTINCT conv_id AS c FROM conversations WHERE conv_id IS NOT NULL), crc),
+own AS (SELECT conv_id AS c, strlen(coalesce(text, '')) AS bytes, t,
+               row_number() OVER (PARTITION BY conv_id ORDER BY turn NULLS FIRST, t) AS j
+        FROM (SELECT *, sha256(strlen(coalesce(role, '')) || ':' || coalesce(role, '') || coalesce(text, '')) AS t FROM conversations)
+        WHERE conv_id IS NOT NULL),
+joined AS (
+  SELECT ids.c, 0 AS part, j, t, bytes FROM ids JOIN own ON ids.base = own.c AND j <= h
+  UNION ALL
+  SELECT ids.c, 1, j, t, bytes FROM ids JOIN own ON ids.c = own.c AND j > h),
+prefixes AS (
+  SELECT c, list(t) OVER w AS pre, bytes, row_number() OVER w AS p FROM joined WINDOW w AS (PARTITION BY c ORDER BY part, j)
+  UNION ALL SELECT c, [], 0, 0 FROM ids),
+lengths AS (SELECT c, max(p) AS n FROM prefixes GROUP BY c),
+nodes AS (
+  SELECT pre, any_value(p) AS depth, min(x.c) AS conv_id, count(*) AS n_convs, (count(*) - 1) * any_value(bytes) AS saved,
+         sha256(coalesce(string_agg(CAST(x.c AS VARCHAR), ',' ORDER BY x.c) FILTER (WHERE p = n), '')) AS ends_sha256
+  FROM prefixes x JOIN lengths ON x.c = lengths.c GROUP BY pre),
+children AS (SELECT pre[1:depth - 1] AS pre, count(*) AS n_children FROM nodes WHERE depth > 0 GROUP BY 1),
+leaves AS (SELECT nodes.*, coalesce(n_children, 0) AS n_children FROM nodes LEFT JOIN children ON nodes.pre = children.pre),
+totals AS (
+  SELECT pre[1:d] AS pre, count(*) FILTER (WHERE n_children = 0) AS n_leaves, sum(saved) AS saved_tokens
+  FROM (SELECT pre, n_children, saved, unnest(range(0, depth + 1)) AS d FROM leaves) GROUP BY 1)
+SELECT x.conv_id, CAST(x.depth AS BIGINT) AS depth, y.conv_id AS parent_conv_id, x.n_convs, x.n_children, n_leaves,
+       CAST(saved_tokens AS BIGINT) AS saved_tokens, x.ends_sha256
+FROM leaves x JOIN totals ON x.pre = totals.pre LEFT JOIN nodes y ON x.depth > 0 AND y.pre = x.pre[1:x.depth - 1]"""
+
+ORACLE_SQL: dict[str, str] = {"op11_prefix_trie": _OP11, "op4_url_filter": _OP4, "op9_near_duplicates": _OP9, "op13_merkle_manifest": _OP13}

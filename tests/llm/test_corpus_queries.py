@@ -16,7 +16,7 @@ WORD = re.compile(r"[^\x20\x09-\x0D]+")
 @pytest.mark.parametrize("name", sorted(queries.ORACLE_SQL))
 def test_sql_agrees(spark, name):
     con = duckdb.connect()
-    for t in ("documents", "pages", "embeddings", "labels"):
+    for t in ("documents", "pages", "embeddings", "labels", "conversations"):
         con.execute(f"CREATE VIEW {t} AS SELECT * FROM '{SF}/{t}.parquet'")
     df = queries.QUERIES[name](spark, SF)
     cols = sorted(df.columns)
@@ -26,7 +26,7 @@ def test_sql_agrees(spark, name):
 
 
 def test_every_operator_is_registered_once():
-    assert sorted(int(n[2:].split("_")[0]) for n in queries.QUERIES if n != "pipeline") == [*range(1, 11), 13]
+    assert sorted(int(n[2:].split("_")[0]) for n in queries.QUERIES if n != "pipeline") == [*range(1, 12), 13]
 
 
 def test_pipeline_stage_by_stage(spark):
