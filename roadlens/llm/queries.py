@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from roadlens.llm import dedup, hnsw, language, masked_lm, merkle, mixing, packing, quality, secrets, tokens, tries, urls
+from roadlens.llm import dedup, hnsw, language, masked_lm, merkle, mixing, packing, quality, secrets, tokens, toxicity, tries, urls
 
 TOKEN_LIMIT = 512
 
@@ -64,6 +64,10 @@ def op11_prefix_trie(spark: SparkSession, d: str) -> DataFrame:
     return tries.prefix_trie(_table(spark, d, "conversations")).drop("k")
 
 
+def op12_toxicity(spark: SparkSession, d: str) -> DataFrame:
+    return toxicity.toxicity(_docs(spark, d), _table(spark, d, "labels"))
+
+
 def op13_merkle_manifest(spark: SparkSession, d: str) -> DataFrame:
     return merkle.checked(merkle.build(_docs(spark, d)))
 
@@ -77,7 +81,7 @@ def pipeline(spark: SparkSession, d: str) -> DataFrame:
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     f.__name__: f for f in (op1_language_id, op2_masked_lm, op3_source_mix, op4_url_filter, op5_secret_scan,
                             op6_best_fit_packing, op7_hnsw_search, op8_quality_rules, op9_near_duplicates,
-                            op10_token_counts, op11_prefix_trie, op13_merkle_manifest, pipeline)
+                            op10_token_counts, op11_prefix_trie, op12_toxicity, op13_merkle_manifest, pipeline)
 }
 
 # ---------------------------------------------------------------------------
