@@ -66,6 +66,18 @@ def truncating_average(total: str, n: str) -> Column:
     return F.expr(f"CASE WHEN `{n}` <> 0 THEN CAST(`{total}` AS BIGINT) div `{n}` END")
 
 
+def whole_number(c) -> Column:
+    """A reading as a whole number, fractions cut off; NULL for NULL, NaN,
+    infinity and what is no number, never an error."""
+    return _col(c).try_cast("bigint")
+
+
+def is_over(c, limit) -> Column:
+    """``c > limit``; NaN is over no limit."""
+    x = _col(c)
+    return (x > limit) & (x != F.lit(float("nan")))
+
+
 _UNIT_SECONDS = {"second": 1, "minute": 60, "hour": 3600, "day": 86400, "week": 604800}
 
 
@@ -94,5 +106,5 @@ def monitor_of_props(props="props", field: str = "k") -> Column:
 
 __all__ = [
     "java_split", "parse_log_time", "format_log_time", "hour_of_text", "hour_of_time",
-    "truncating_average", "duration_seconds", "congestion_level", "monitor_of_props",
+    "truncating_average", "whole_number", "is_over", "duration_seconds", "congestion_level", "monitor_of_props",
 ]

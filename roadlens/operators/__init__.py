@@ -4,7 +4,7 @@ DataFrame; the answer does not depend on the input partitioning."""
 from roadlens.operators.graph import common_friend_weight, pair_weights, recommend_friends, relation_pairs
 from roadlens.operators.text import remove_top_word, word_count, word_count_distinct, words
 from roadlens.operators.traffic import (
-    busiest_hours, conversion_rate, error_cameras, error_monitors, sample_vehicles,
+    busiest_hours, conversion_matrix, conversion_rate, error_cameras, error_monitors, sample_vehicles,
     status_summary, top_monitors, top_speed_readings, top_speeding_monitors,
     top_speeding_monitors_sql, vehicle_trace,
 )
@@ -17,6 +17,6 @@ __all__ = [
     "relation_pairs", "common_friend_weight", "pair_weights", "recommend_friends",
     "top_monitors", "top_speed_readings", "top_speeding_monitors", "top_speeding_monitors_sql",
     "busiest_hours", "error_monitors", "error_cameras", "status_summary",
-    "conversion_rate", "sample_vehicles", "vehicle_trace",
+    "conversion_rate", "conversion_matrix", "sample_vehicles", "vehicle_trace",
     "windowed_avg_speed", "windowed_count", "closing_time", "latest_speed", "latest_speed_of_log", "congestion_status",
 ]

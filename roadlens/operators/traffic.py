@@ -13,10 +13,14 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame, functions as F
 
 from roadlens import schemas as S
-from roadlens.functions import format_log_time, hour_of_text, hour_of_time
+from roadlens.functions import format_log_time, hour_of_text, hour_of_time, is_over
 from roadlens.plans import bounded_broadcast, ordered_steps
 
 
+#: Parts in which the cells of one row of the transition matrix meet their row sum.
+ROW_PARTS = 16
+
+
 def _topk(df: DataFrame, by, n: int) -> DataFrame:
     return df.orderBy(*by).limit(n)
 
@@ -34,8 +38,8 @@ def top_speed_readings(log: DataFrame, over: float = S.OVER_SPEED, n: int = S.TO
                        monitor: str = S.MONITOR, speed: str = S.SPEED,
                        tie: Sequence[str] = ()) -> DataFrame:
     """``(monitor, speed)`` of the ``n`` fastest single readings above
-    ``over`` (strict); a monitor may appear more than once."""
-    fast = log.where(F.col(speed) > over)
+    ``over`` (strict); a monitor may appear more than once.  NaN is no speed."""
+    fast = log.where(is_over(speed, over))
     by = [F.desc(speed), F.asc_nulls_first(monitor)] + [F.asc_nulls_first(t) for t in tie]
     return _topk(fast, by, n).select(monitor, speed)
 
@@ -43,7 +47,7 @@ def top_speed_readings(log: DataFrame, over: float = S.OVER_SPEED, n: int = S.TO
 def top_speeding_monitors(log: DataFrame, over: float = S.OVER_SPEED, n: int = S.TOP_K,
                           monitor: str = S.MONITOR, speed: str = S.SPEED) -> DataFrame:
     """``(monitor, vehicleNum)``: over-speed readings per monitor, top ``n``."""
-    counts = (log.where(F.col(speed) > over)
+    counts = (log.where(is_over(speed, over))
               .groupBy(monitor).agg(F.count(speed).alias("vehicleNum")))
     return _topk(counts, [F.desc("vehicleNum"), F.asc_nulls_first(monitor)], n)
 
@@ -54,7 +58,7 @@ def top_speeding_monitors_sql(log: DataFrame, over: float = S.OVER_SPEED, n: int
     parameter of the statement, so no view of the session is touched."""
     return log.sparkSession.sql(
         f"SELECT `{monitor}`, COUNT(`{speed}`) AS vehicleNum FROM {{log}} "
-        f"WHERE `{speed}` > :over GROUP BY `{monitor}` "
+        f"WHERE `{speed}` > :over AND `{speed}` <> DOUBLE('NaN') GROUP BY `{monitor}` "
         f"ORDER BY vehicleNum DESC, `{monitor}` ASC NULLS FIRST LIMIT :n", {"over": over, "n": n}, log=log)
 
 
@@ -185,6 +189,31 @@ def conversion_rate(log: DataFrame, a, b, count_tail: bool = True,
                       .alias("rate_pct"))
 
 
+def conversion_matrix(log: DataFrame, count_tail: bool = True, plate: str = S.PLATE, monitor: str = S.MONITOR,
+                      time: str = "event_time", tie: Sequence[str] | None = None, bucket: str = "hour") -> DataFrame:
+    """``(a, b, a_total, ab_total, rate_pct)`` for every two monitors that
+    follow one another in some trace: the sparse transition matrix.  A row's
+    (a, b) cell equals ``conversion_rate(log, a, b)``; ``a_total`` is the row
+    sum with the traces that end at ``a``.  A reading without a monitor is
+    the monitor NULL.
+
+    One pass over the ordered log: cells are counted inside the tasks, a
+    trace's end as a cell of its own, and the row sums come from the cells,
+    not from the readings.  The sums of a monitor's cells are first made in
+    parts, so a monitor that is followed by very many others is no single task."""
+    rows, order = _ordered_log(log, plate, monitor, time, tie)
+    seq = ordered_steps(rows, plate, order, [monitor], _time_bucket(time, bucket), lookahead=1 if count_tail else 2)
+    cells = seq.groupBy(F.col(monitor).alias("a"), F.col(f"next1_{monitor}").alias("b"), F.col("next1").alias("_has")).agg(
+        F.count(F.lit(1)).alias("_n"), (F.count(F.lit(1)) if count_tail else F.count_if("next2")).alias("ab_total"))
+    part = F.pmod(F.xxhash64("b"), F.lit(ROW_PARTS)).cast("int")
+    cells = cells.withColumn("_part", part)
+    sums = cells.groupBy("a", "_part").agg(F.sum("_n").alias("_s")).groupBy("a").agg(F.sum("_s").alias("a_total"))
+    sums = sums.select(F.col("a").alias("_a"), "a_total", F.explode(F.sequence(F.lit(0), F.lit(ROW_PARTS - 1))).alias("_p"))
+    met = cells.where("_has").join(sums, F.col("a").eqNullSafe(F.col("_a")) & (F.col("_part") == F.col("_p")))
+    rate = F.round(F.try_divide(F.col("ab_total") * 100.0, F.col("a_total")), 5)
+    return met.where("ab_total > 0").select("a", "b", "a_total", "ab_total", rate.alias("rate_pct"))
+
+
 def sample_vehicles(log: DataFrame, n: int = S.TOP_K, seed: int = 42,
                     plate: str = S.PLATE) -> DataFrame:
     """``(plate)``: ``n`` distinct vehicles drawn uniformly without

@@ -14,7 +14,7 @@ from math import gcd
 from pyspark.sql import Column, DataFrame, functions as F
 
 from roadlens import schemas as S
-from roadlens.functions import congestion_level, duration_seconds, truncating_average
+from roadlens.functions import congestion_level, duration_seconds, truncating_average, whole_number
 
 
 def _flat_window(df: DataFrame) -> DataFrame:
@@ -28,26 +28,28 @@ def windowed_avg_speed(log: DataFrame, window: str = S.SPEED_WINDOW, slide: str
                        speed: str = S.SPEED, panes: bool = True) -> DataFrame:
     """``(window_start, window_end, monitor, speed_sum, n, avg_speed)`` per
     sliding window and monitor: integer speeds (fractions truncated) summed,
-    ``avg_speed = speed_sum div n``.  Rows without a speed are dropped;
-    empty windows do not exist.
+    ``avg_speed = speed_sum div n``.  Rows without a speed (NULL, NaN,
+    infinite) are dropped; empty windows do not exist.
 
     ``panes=True`` (default) first sums each monitor's readings per pane, then
     spreads the pane sums over the windows that cover the pane.  A pane is as
     long as the greatest common divisor of window and slide, so every window
     is made of whole panes.  The expansion then runs over panes, not readings — the plan for a large, dense log (a busy monitor has many
-    readings per pane).  ``panes=False`` expands every reading (one shuffle
-    fewer; better for sparse logs, and the form a streaming query in
-    complete mode needs).  Same answer either way."""
-    rows = log.where(F.col(speed).isNotNull() & F.col(time).isNotNull())
+    readings per pane).  On a stream in append mode these are two chained
+    aggregates: a pane is handed on once the watermark has passed it, and only
+    closed panes are spread over windows.  ``panes=False`` expands every
+    reading (one shuffle fewer; better for sparse logs, and the form a
+    streaming query in complete mode needs).  Same answer either way."""
+    rows = log.where(whole_number(speed).isNotNull() & F.col(time).isNotNull())
     if panes:
         pane_len = f"{gcd(duration_seconds(window), duration_seconds(slide))} seconds"
         pane = (rows.groupBy(F.window(time, pane_len).alias("pane"), monitor)
-                .agg(F.sum(F.col(speed).cast("bigint")).alias("_s"), F.count(F.lit(1)).alias("_n")))
-        agg = (pane.groupBy(F.window(F.col("pane.start"), window, slide), monitor)
+                .agg(F.sum(whole_number(speed)).alias("_s"), F.count(F.lit(1)).alias("_n")))
+        agg = (pane.groupBy(F.window(F.window_time("pane"), window, slide), monitor)
                .agg(F.sum("_s").alias("speed_sum"), F.sum("_n").alias("n")))
     else:
         agg = (rows.groupBy(F.window(time, window, slide), monitor)
-               .agg(F.sum(F.col(speed).cast("bigint")).alias("speed_sum"),
+               .agg(F.sum(whole_number(speed)).alias("speed_sum"),
                     F.count(F.lit(1)).alias("n")))
     return _flat_window(agg).withColumn("avg_speed", truncating_average("speed_sum", "n"))
 
@@ -67,7 +69,7 @@ def closing_time(log: DataFrame, slide: str = S.SPEED_SLIDE, time: str = "event_
     """Scalar column: the default ``as_of`` of :func:`latest_speed` computed
     from the log itself — the newest window start is the newest reading
     time floored to the slide — a one-column max, no window expansion."""
-    newest = (log.where(F.col(speed).isNotNull() & F.col(time).isNotNull())
+    newest = (log.where(whole_number(speed).isNotNull() & F.col(time).isNotNull())
               .agg(F.max(time).alias("_t")))
     return newest.select(F.window("_t", slide)["end"]).scalar()
 
@@ -89,8 +91,8 @@ def latest_speed_of_log(log: DataFrame, as_of=None, window: str = S.SPEED_WINDOW
     that fall into it; nothing is expanded."""
     slide_s, window_s = duration_seconds(slide), duration_seconds(window)
     length = F.expr(f"INTERVAL {window_s} SECONDS")
-    rows = log.where(F.col(speed).isNotNull() & F.col(time).isNotNull()).select(
-        F.col(time).alias("_time"), F.col(monitor).alias("_monitor"), F.col(speed).cast("bigint").alias("_speed"))
+    rows = log.where(whole_number(speed).isNotNull() & F.col(time).isNotNull()).select(
+        F.col(time).alias("_time"), F.col(monitor).alias("_monitor"), whole_number(speed).alias("_speed"))
     # the start of the last window that has closed; one value, so one row
     newest = rows.agg(F.max("_time").alias("_t"))
     if as_of is None:

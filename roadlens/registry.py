@@ -9,12 +9,13 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
-from pyspark.sql import DataFrame, SparkSession, functions as F
+from pyspark.sql import DataFrame, SparkSession, Window, functions as F
 
 from roadlens import operators as O, schemas as S, streaming as ST
+from roadlens.plans import scratch_path
 from roadlens.sources import (
     document_lines, events_as_log, log_as_lines, order_cameras, parse_stream_log, parse_vehicle_log, part_ego_lists,
-    vehicle_log,
+    read_stream, vehicle_log,
 )
 
 # ---------------------------------------------------------------------------
@@ -29,6 +30,7 @@ QUANTITY_OVER = 40               # Q05/Q06 second binding: l_quantity per l_supp
 STREAM_WATERMARK = "1 hour"
 TIE = ["event_id"]               # events has a unique id for readings of one time
 TRACE_SEGMENT = 10               # readings per row of the segmented traces
+ARRIVALS, SLOW_CAMERA = 4, "error"   # parts in which the log arrives; readings of this camera come one part later
 
 
 def _log(spark, d):
@@ -69,8 +71,7 @@ def _event_stream(spark: SparkSession, d: str) -> DataFrame:
     reads folders and globs, so its own folder is named, and a filter on the
     file's path leaves out the siblings."""
     schema = spark.read.parquet(f"{d}/events.parquet").schema
-    reader = spark.readStream.schema(schema)
-    return events_as_log(reader.parquet(f"{d}/events.parque[t]"))
+    return events_as_log(read_stream(spark, "parquet", schema=schema, path=f"{d}/events.parque[t]"))
 
 
 def _line_stream(spark, d):
@@ -81,10 +82,11 @@ def _line_stream(spark, d):
 
 def _table_of(spark, sdf, name, mode, sort_by=None):
     """Runs a stream over all that there is and reads its table."""
-    base = ST.run_available_now(sdf, lambda p: ST.table_sink(p, mode, sort_by), name, mode, resumable=False)
     if mode == "complete":
+        base = ST.run_available_now(sdf, lambda p: ST.table_sink(p, mode, sort_by), name, mode, resumable=False)
         return ST.read_current(spark, f"{base}/table")
-    return spark.read.parquet(f"{base}/table").drop("batch")
+    base = ST.run_available_now(sdf, lambda p: ST.commit_sink(p, sort_by), name, mode, resumable=False)
+    return ST.read_committed(spark, f"{base}/table")
 
 
 def _stream_avg_speed(mode):
@@ -109,6 +111,36 @@ def _stream_congestion(sink, mode):
     return run
 
 
+def _stream_avg_speed_panes(spark, d):
+    return _table_of(spark, ST.stream_avg_speed_panes(_event_stream(spark, d), STREAM_WATERMARK), "avg-speed-panes", "append")
+
+
+def _stream_congestion_keyed(spark, d):
+    changes = _table_of(spark, ST.stream_latest_speed(_event_stream(spark, d), STREAM_WATERMARK), "latest-speed", "append")
+    latest = ST.newest_per_key(changes, S.MONITOR, "window_end")
+    return O.congestion_status(_log(spark, d).select(S.MONITOR), latest)
+
+
+def _stream_late_rows(spark, d):
+    """The log arrives in parts, the readings of one camera a part too late;
+    the stream runs after each, and its progress tells what came too late."""
+    events = spark.read.parquet(f"{d}/events.parquet")
+    ids = events.agg((F.max("event_id") + 1).alias("n")).scalar()
+    part = F.floor(F.col("event_id") * ARRIVALS / ids) + F.when(F.col("event_type") == SLOW_CAMERA, 1).otherwise(0)
+    dealt = events.withColumn("_part", F.least(part, F.lit(ARRIVALS - 1)))
+    folder = scratch_path(spark, "arrivals")
+    base = scratch_path(spark, "late-rows")
+    for k in range(ARRIVALS):
+        dealt.where(F.col("_part") == k).drop("_part").write.parquet(f"{folder}/{k}")
+        log = events_as_log(read_stream(spark, "parquet", {"recursiveFileLookup": "true"}, events.schema, folder))
+        ST.run_available_now(ST.stream_latest_speed(log, STREAM_WATERMARK), lambda p: ST.commit_sink(p), "late-rows",
+                             "append", folder=base, progress=True)
+    runs = ST.read_progress(spark, f"{base}/progress").groupBy("run_id").agg(
+        F.min("batch_id").alias("_first"), F.sum("input_rows").alias("input_rows"), F.sum("late_rows").alias("late_rows"))
+    order = Window.orderBy("_first")  # one row a run
+    return runs.select((F.row_number().over(order) - 1).alias("arrival"), "input_rows", "late_rows")
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     # text (Q01, Q01b, Q02)
     "word_count": lambda s, d: O.word_count(document_lines(s, d), " ", [WORD_NEEDLE]),
@@ -163,6 +195,11 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "stream_window_count_append": _stream_window_count("append"),
     "stream_congestion_append": _stream_congestion(ST.snapshot_merge_sink, "append"),
     "stream_log_lines": _stream_log_lines,
+    "stream_avg_speed_panes": _stream_avg_speed_panes,
+    "stream_congestion_keyed": _stream_congestion_keyed,
+    "stream_late_rows": _stream_late_rows,
+    # the whole transition matrix (Q09b)
+    "conversion_matrix": lambda s, d: O.conversion_matrix(_log(s, d), tie=TIE),
 }
 
 
@@ -219,7 +256,7 @@ _WINDOWED = """wa AS (
   FROM (SELECT time_bucket(INTERVAL 5 SECONDS, event_time) - i * INTERVAL 5 SECONDS AS window_start,
                monitorId, vehicleSpeed
         FROM log, range(12) t(i)
-        WHERE vehicleSpeed IS NOT NULL AND event_time IS NOT NULL)
+        WHERE TRY_CAST(trunc(vehicleSpeed) AS BIGINT) IS NOT NULL AND event_time IS NOT NULL)
   GROUP BY window_start, monitorId)"""
 
 _LATEST = """latest AS (
@@ -296,10 +333,10 @@ SELECT "self", other, weight, rn FROM r WHERE rn <= 2""",
     "top_monitors_lineitem": """SELECT l_suppkey, count(*) AS vehicleNum FROM lineitem GROUP BY l_suppkey
 ORDER BY vehicleNum DESC, l_suppkey ASC NULLS FIRST LIMIT 10""",
     "top_speed_readings": f"""WITH {_LOG}
-SELECT monitorId, vehicleSpeed FROM log WHERE vehicleSpeed > {SPEED_OVER}
+SELECT monitorId, vehicleSpeed FROM log WHERE vehicleSpeed > {SPEED_OVER} AND NOT isnan(vehicleSpeed)
 ORDER BY vehicleSpeed DESC, monitorId ASC NULLS FIRST, event_id ASC NULLS FIRST LIMIT 10""",
     "top_speeding_monitors": f"""WITH {_LOG}
-SELECT monitorId, count(vehicleSpeed) AS vehicleNum FROM log WHERE vehicleSpeed > {SPEED_OVER}
+SELECT monitorId, count(vehicleSpeed) AS vehicleNum FROM log WHERE vehicleSpeed > {SPEED_OVER} AND NOT isnan(vehicleSpeed)
 GROUP BY monitorId ORDER BY vehicleNum DESC, monitorId ASC NULLS FIRST LIMIT 10""",
     "top_speed_readings_lineitem": f"""SELECT l_suppkey, l_quantity FROM lineitem WHERE l_quantity > {QUANTITY_OVER}
 ORDER BY l_quantity DESC, l_suppkey ASC NULLS FIRST LIMIT 10""",
@@ -362,3 +399,22 @@ ORACLE_SQL["stream_log_lines"] = f"""WITH base AS (SELECT * FROM ({_LOG.removepr
 log AS (SELECT date_trunc('second', event_time) AS event_time, vehicleSpeed,
                coalesce(CAST(monitorId AS VARCHAR), '') AS monitorId FROM base), {_WINDOWED}
 SELECT * FROM wa WHERE window_end <= (SELECT max(event_time) FROM log WHERE vehicleSpeed IS NOT NULL) - INTERVAL 1 HOUR"""
+ORACLE_SQL["stream_avg_speed_panes"] = ORACLE_SQL["stream_avg_speed_append"]
+ORACLE_SQL["stream_congestion_keyed"] = ORACLE_SQL["stream_congestion_append"]
+ORACLE_SQL["stream_late_rows"] = f"""WITH parts AS (
+  SELECT ts, value, CAST(least({ARRIVALS - 1}, (event_id * {ARRIVALS}) // (SELECT max(event_id) + 1 FROM events)
+                                              + CASE WHEN event_type = '{SLOW_CAMERA}' THEN 1 ELSE 0 END) AS INTEGER) AS arrival
+  FROM events),
+newest AS (SELECT arrival, max(ts) AS t FROM parts GROUP BY arrival),
+marks AS (SELECT a.arrival, (SELECT date_trunc('milliseconds', max(b.t)) - INTERVAL 1 HOUR FROM newest b WHERE b.arrival < a.arrival) AS mark
+          FROM newest a)
+SELECT p.arrival, count(*) AS input_rows,
+       count(*) FILTER (WHERE ts <= mark AND TRY_CAST(trunc(value) AS BIGINT) IS NOT NULL) AS late_rows
+FROM parts p JOIN marks m ON p.arrival = m.arrival GROUP BY p.arrival"""
+ORACLE_SQL["conversion_matrix"] = f"""WITH {_LOG},
+s AS (SELECT monitorId AS a, lead(monitorId) OVER w AS b, lead(true, 1, false) OVER w AS has
+      FROM log WINDOW w AS (PARTITION BY vehiclePlate ORDER BY event_time NULLS FIRST, event_id NULLS FIRST)),
+t AS (SELECT a, count(*) AS a_total FROM s GROUP BY a),
+c AS (SELECT a, b, count(*) AS ab_total FROM s WHERE has GROUP BY a, b)
+SELECT c.a, c.b, t.a_total, c.ab_total, round(CAST(c.ab_total AS DOUBLE) * 100.0 / t.a_total, 5) AS rate_pct
+FROM c JOIN t ON c.a IS NOT DISTINCT FROM t.a"""

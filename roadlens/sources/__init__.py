@@ -11,7 +11,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from roadlens import schemas as S
-from roadlens.functions import java_split, monitor_of_props, parse_log_time
+from roadlens.functions import java_split, monitor_of_props, parse_log_time, whole_number
 
 
 # --------------------------------------------------------------------------
@@ -131,7 +131,7 @@ def log_as_lines(log: DataFrame, time_format: str) -> DataFrame:
     empty."""
     text = lambda c: F.coalesce(c.cast("string"), F.lit(""))
     return log.select(F.concat_ws("\t", text(F.date_format("event_time", time_format)), text(F.col(S.PLATE)),
-                                  text(F.col(S.SPEED).cast("bigint")), F.lit("-"), text(F.col(S.MONITOR)),
+                                  text(whole_number(S.SPEED)), F.lit("-"), text(F.col(S.MONITOR)),
                                   text(F.col(S.CAMERA))).alias("value"))
 
 

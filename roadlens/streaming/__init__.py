@@ -6,6 +6,8 @@ watermark so window state is dropped once the watermark passes it.  Sinks
 use ``foreachBatch`` and are idempotent per ``batch_id`` (a replayed batch
 replaces its own folder):
 
+* :func:`commit_sink` — append mode: a commit log names the files of finished
+  batches, and :func:`read_committed` reads those alone              (S14)
 * :func:`table_sink`  — append/update mode writes ``table/batch=<id>``;
   complete mode writes the whole table as ``table/batch_id=<id>``     (S14)
 * :func:`snapshot_sink` — complete-mode input: per batch recompute the
@@ -26,6 +28,7 @@ Checkpoints and outputs live under the shared ``spark.checkpoint.dir``.
 
 from __future__ import annotations
 
+import uuid
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
@@ -35,6 +38,11 @@ from roadlens.operators.windows import (
     congestion_status, latest_speed, windowed_avg_speed, windowed_count,
 )
 from roadlens.plans.checkpoint import finished_ids, remove_folder, scratch_path
+from roadlens.streaming.commits import (
+    append_batch, commit_sink, committed_batches, compact, newest_per_key, read_committed, remove_uncommitted,
+)
+from roadlens.streaming.keyed import stream_latest_speed
+from roadlens.streaming.progress import ProgressLog, read_progress
 
 
 def as_event_time(df: DataFrame, time: str = "event_time") -> DataFrame:
@@ -56,10 +64,22 @@ def stream_avg_speed(log_stream: DataFrame, watermark: str = "1 minute",
                      monitor: str = S.MONITOR, speed: str = S.SPEED) -> DataFrame:
     """Streaming ``windowed_avg_speed`` with an event-time watermark."""
     s = as_event_time(log_stream).withWatermark("event_time", watermark)
-    # one stateful aggregation (a pane pre-aggregate would chain two)
+    # one stateful aggregate, which complete mode asks for; see stream_avg_speed_panes
     return windowed_avg_speed(s, window, slide, "event_time", monitor, speed, panes=False)
 
 
+def stream_avg_speed_panes(log_stream: DataFrame, watermark: str = "1 minute",
+                           window: str = S.SPEED_WINDOW, slide: str = S.SPEED_SLIDE,
+                           monitor: str = S.MONITOR, speed: str = S.SPEED) -> DataFrame:
+    """The same windows in append mode without a state row per reading and
+    window: readings are summed per pane (state: one row per monitor and open
+    pane), and a pane that the watermark has closed is spread over the windows
+    that cover it.  The watermark passes on from the first aggregate to the
+    second.  A reading is late when its pane is closed."""
+    s = as_event_time(log_stream).withWatermark("event_time", watermark)
+    return windowed_avg_speed(s, window, slide, "event_time", monitor, speed, panes=True)
+
+
 def stream_window_count(stream: DataFrame, value: str = "value", watermark: str = "1 minute",
                         window: str = S.TOKEN_WINDOW, slide: str = S.TOKEN_SLIDE) -> DataFrame:
     """Streaming ``windowed_count`` with an event-time watermark."""
@@ -162,25 +182,46 @@ def start_stream(sdf: DataFrame, make_sink: Callable[[str], Callable], folder: s
 
 def run_available_now(sdf: DataFrame, make_sink: Callable[[str], Callable], name: str,
                       output_mode: str = "complete", timeout_s: int | None = None,
-                      folder: str | None = None, resumable: bool = True) -> str:
+                      folder: str | None = None, resumable: bool = True, progress: bool = False) -> str:
     """Run a streaming query over everything available now, with a
     checkpoint in the shared folder; ``make_sink(folder)`` gives the
     foreachBatch writer.  Passing the ``folder`` of an earlier run resumes
     from its checkpoint (only new input is read); ``resumable=False`` removes
     the checkpoint after the run.  ``timeout_s`` stops a run that takes
-    longer (default: no limit).  Returns the folder."""
-    base = folder or scratch_path(sdf.sparkSession, name)
-    q = (sdf.writeStream.outputMode(output_mode)
-         .option("checkpointLocation", f"{base}/checkpoint")
-         .foreachBatch(make_sink(base))
-         .trigger(availableNow=True)
-         .start())
-    q.awaitTermination() if timeout_s is None else q.awaitTermination(timeout_s)
-    if q.isActive:
-        q.stop()
-        raise TimeoutError(f"stream {name} did not finish")
+    longer (default: no limit).  ``progress`` keeps a row per batch and
+    stateful operator in ``<folder>/progress``, late rows among them (read it
+    with :func:`read_progress`).  Returns the folder."""
+    spark = sdf.sparkSession
+    base = folder or scratch_path(spark, name)
+    run_name = f"{name}-{uuid.uuid4().hex[:12]}"
+    log = ProgressLog(spark, f"{base}/progress", run_name) if progress else None
+    if log:
+        spark.streams.addListener(log)
+    try:
+        q = (sdf.writeStream.outputMode(output_mode).queryName(run_name)
+             .option("checkpointLocation", f"{base}/checkpoint")
+             .foreachBatch(make_sink(base))
+             .trigger(availableNow=True)
+             .start())
+        q.awaitTermination() if timeout_s is None else q.awaitTermination(timeout_s)
+        if q.isActive:
+            q.stop()
+            raise TimeoutError(f"stream {name} did not finish")
+        if log:
+            log.wait()
+    finally:
+        if log:
+            spark.streams.removeListener(log)
     if q.exception() is not None:
         raise q.exception()
     if not resumable:
         remove_folder(sdf.sparkSession, f"{base}/checkpoint")
     return base
+
+
+__all__ = [
+    "as_event_time", "stream_avg_speed", "stream_avg_speed_panes", "stream_window_count", "stream_latest_speed",
+    "table_sink", "snapshot_sink", "snapshot_merge_sink", "read_current", "latest_snapshot", "start_stream",
+    "run_available_now", "commit_sink", "append_batch", "read_committed", "committed_batches", "compact",
+    "remove_uncommitted", "newest_per_key", "ProgressLog", "read_progress",
+]

@@ -1,6 +1,7 @@
 """Traffic operators on small fixtures built from the dimension rule and
 the edge rows of SURVEY 2.6."""
 
+import random
 from datetime import datetime, timedelta
 
 from pyspark.sql import functions as F
@@ -202,3 +203,30 @@ def test_sql_form_leaves_the_session_alone(spark):
     before = {t.name for t in spark.catalog.listTables()}
     O.top_speeding_monitors_sql(_log(spark, [(1, "p", 251, "m2", "c")])).collect()
     assert {t.name for t in spark.catalog.listTables()} == before
+
+
+def test_conversion_matrix_cells_equal_conversion_rates(spark):
+    rnd = random.Random(4)
+    t0 = datetime(2019, 1, 16, 10, 0, 0)
+    data = [(t0 + timedelta(seconds=rnd.randrange(20_000)), f"P{rnd.randrange(12)}", rnd.choice(["1", "2", "3", None]))
+            for _ in range(400)] + [(None, "P1", "2"), (t0, None, "1")]
+    log = spark.createDataFrame(data, "event_time timestamp_ntz, vehiclePlate string, monitorId string")
+    for tail in (True, False):
+        got = {(r.a, r.b): (r.a_total, r.ab_total, r.rate_pct) for r in O.conversion_matrix(log, count_tail=tail).collect()}
+        for a in "123":
+            for b in "123":
+                want = O.conversion_rate(log, a, b, count_tail=tail).first()
+                assert got[a, b] == (want.a_total, want.ab_total, want.rate_pct)
+        assert sum(n for _, n, _ in got.values()) <= len(data) and (None, None) in got
+    assert O.conversion_matrix(log.limit(0)).collect() == []
+
+
+def test_readings_that_are_no_number_are_no_speed(spark):
+    t0 = datetime(2019, 1, 16, 10, 0, 0)
+    data = [(t0 + timedelta(seconds=s), "P", v, "m") for s, v in [(0, 300.0), (1, float("nan")), (2, float("inf")), (3, None), (4, 10.0)]]
+    log = spark.createDataFrame(data, "event_time timestamp_ntz, vehiclePlate string, vehicleSpeed double, monitorId string")
+    assert {(r.speed_sum, r.n) for r in O.windowed_avg_speed(log).collect()} <= {(310, 2), (300, 1), (10, 1)}
+    assert [r.avg_speed for r in O.latest_speed_of_log(log, t0 + timedelta(seconds=60)).collect()] == [155]
+    assert [r.vehicleSpeed for r in O.top_speed_readings(log, 250).collect()] == [float("inf"), 300.0]
+    for f in (O.top_speeding_monitors, O.top_speeding_monitors_sql):
+        assert [r.vehicleNum for r in f(log, 250).collect()] == [2]
