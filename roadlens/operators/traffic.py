@@ -131,15 +131,25 @@ def error_cameras(dim: DataFrame, log: DataFrame, mode: str = "content",
 
 def status_summary(dim: DataFrame, log: DataFrame, mode: str = "content",
                    monitor: str = S.MONITOR, camera: str = S.CAMERA) -> DataFrame:
-    """One row ``(monitors, error_monitors, error_cameras, all_ok)``."""
-    n_mon = dim.select(monitor).distinct().agg(F.count(F.lit(1)).alias("monitors"))
-    n_err = error_monitors(dim, log, mode, monitor, camera).agg(F.count(F.lit(1)).alias("error_monitors"))
-    n_cam = error_cameras(dim, log, mode, monitor, camera).agg(F.count(F.lit(1)).alias("error_cameras"))
-    # three one-row aggregates side by side as scalar subqueries
-    return (n_mon.select("monitors",
-                         n_err.scalar().alias("error_monitors"),
-                         n_cam.scalar().alias("error_cameras"))
-            .withColumn("all_ok", F.col("error_monitors") == 0))
+    """One row ``(monitors, error_monitors, error_cameras, all_ok)``.
+
+    Both sides are brought together once: a row per (monitor, camera) with how
+    often it is declared and whether it was seen, added up per monitor, then
+    over all monitors."""
+    if mode not in ("content", "size"):
+        raise ValueError(f"mode must be 'content' or 'size', not {mode!r}")
+    sides = (dim.select(F.col(monitor).alias("m"), F.col(camera).alias("c"), F.lit(1).alias("d"), F.lit(0).alias("s"))
+             .unionByName(log.select(F.col(monitor).alias("m"), F.col(camera).alias("c"), F.lit(0).alias("d"), F.lit(1).alias("s"))))
+    # a monitor that is only declared with a missing camera is still a monitor
+    pairs = sides.groupBy("m", "c").agg(F.sum("d").alias("d"), F.max("s").alias("s"))
+    real = F.col("c").isNotNull()
+    per = pairs.groupBy("m").agg(
+        F.sum("d").alias("rows"), F.sum(F.when(real, F.col("d")).otherwise(0)).alias("declared"),
+        F.count_if(real & (F.col("s") == 1)).alias("seen"), F.count_if(real & (F.col("d") > 0) & (F.col("s") == 0)).alias("silent"))
+    wrong = (F.col("silent") > 0) if mode == "content" else (F.col("declared") > 0) & (F.col("declared") != F.col("seen"))
+    return per.agg(F.count_if(F.col("rows") > 0).alias("monitors"), F.count_if(wrong).alias("error_monitors"),
+                   F.coalesce(F.sum(F.when(wrong, F.col("silent"))), F.lit(0)).alias("error_cameras")) \
+        .withColumn("all_ok", F.col("error_monitors") == 0)
 
 
 # --------------------------------------------------------------------------

@@ -6,7 +6,7 @@ from __future__ import annotations
 import tempfile
 import uuid
 
-from pyspark.sql import SparkSession
+from pyspark.sql import DataFrame, SparkSession
 
 _LOCAL: dict[str, str] = {}
 
@@ -31,6 +31,14 @@ def scratch_path(spark: SparkSession, name: str) -> str:
     return f"{checkpoint_root(spark)}/roadlens/{name}-{uuid.uuid4().hex[:12]}"
 
 
+def written_once(df: DataFrame, name: str) -> DataFrame:
+    """``df`` as a table in the shared folder: for a caller whose plan reads it
+    in several branches.  It is computed once, and lost executors cost none of it."""
+    path = scratch_path(df.sparkSession, name)
+    df.write.parquet(path)
+    return df.sparkSession.read.schema(df.schema).parquet(path)
+
+
 def remove_folder(spark: SparkSession, path: str) -> None:
     """Delete a folder that this library made below the checkpoint root."""
     if "/roadlens/" not in path:
