@@ -11,12 +11,15 @@ the full sets.
 Large groups are never expanded into all pairs.  Documents with equal sets
 become one class.  Classes that share a band are first compared with one
 partner of the band (a different one in every band and round); classes found
-linked form components, and only pairs of a band that still lie in different
-components are compared, all of them in the last round.  The sketches
-themselves tell most pairs apart: one bit of each coordinate estimates
-the similarity, and a pair goes on to the exact check unless the estimate is
-five standard deviations too low.  So every candidate pair is confirmed,
-refuted, or already connected.
+linked form components, and in these rounds one bit of each coordinate keeps
+pairs from the exact check whose estimate is five standard deviations too low.
+
+Bands that still hold several components then go through the last stage whole.
+Classes that are tied by such bands form a cluster; its classes are dealt to
+blocks, every two blocks meet in one task with their texts, and all pairs are
+counted there on their full sets, so rows grow with classes times blocks and
+never with pairs.  Only links between different components leave a task.  So
+every candidate pair is confirmed, refuted, or already connected.
 """
 
 from __future__ import annotations
@@ -25,6 +28,7 @@ import hashlib
 from collections.abc import Iterator
 
 import numpy as np
+import pandas as pd
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame, functions as F
 
@@ -39,6 +43,11 @@ SKETCH, BANDS, BAND_ROWS = 1536, 36, 5
 MARGIN = 5.0
 #: Rounds of one partner per band before all remaining pairs are compared.
 PARTNER_ROUNDS = 3
+#: Classes and shingles of a block of the last stage (a class alone may have more); a cluster of more blocks is
+#: taken band by band.
+BLOCK, BLOCK_SHINGLES, MAX_BLOCKS = 1024, 1 << 20, 32
+#: Documents of a block pair from which on a shingle is counted by a matrix product, and its columns at a time.
+COMMON, COLUMNS = 16, 2048
 _U = np.uint64
 _NONE = _U(0xFFFFFFFFFFFFFFFF)
 
@@ -58,13 +67,6 @@ def _byte_table() -> tuple[np.ndarray, np.ndarray]:
     return lower, blank
 
 
-def _powers(n: int) -> np.ndarray:
-    held = process_cache("powers", dict)
-    if len(held.get("p", ())) < n:
-        held["p"] = np.multiply.accumulate(np.full(max(n, 64) * 2, _U(0x9E3779B97F4A7C15)))
-    return held["p"]
-
-
 #: Bytes of a text that are hashed at a time.
 CHUNK = 1 << 22
 
@@ -78,8 +80,9 @@ def _word_hashes(raw: np.ndarray, gap: np.ndarray, lower: np.ndarray) -> np.ndar
     lens = ends - starts
     at = np.concatenate(([0], np.cumsum(lens)[:-1]))
     place = np.arange(int(lens.sum())) - np.repeat(at, lens)
-    values = (lower[raw[~gap]].astype(np.uint64) + _U(1)) * _powers(int(lens.max()))[place]
-    return mix(np.add.reduceat(values, at))
+    # every letter is mixed with its place, so words that a polynomial would confuse stay apart
+    values = mix(lower[raw[~gap]].astype(np.uint64) + (place.astype(np.uint64) + _U(1)) * _U(0x9E3779B97F4A7C15))
+    return mix(np.add.reduceat(values, at) + lens.astype(np.uint64))
 
 
 def shingles(text: str, words: int) -> np.ndarray:
@@ -225,6 +228,89 @@ def _likely(percent: int) -> Column:
     return differ <= int(most)
 
 
+def _shared(sets: list[np.ndarray]) -> np.ndarray:
+    """The sizes of all intersections of sets of hashes (above the diagonal).
+    A hash of few sets is counted pair by pair, one of many by matrix products."""
+    m = len(sets)
+    out = np.zeros((m, m), np.float32)
+    held = np.concatenate(sets)
+    order = np.argsort(held, kind="stable")
+    row = np.repeat(np.arange(m), [len(x) for x in sets])[order]
+    start = np.flatnonzero(np.concatenate(([True], np.diff(held[order]) != 0))) if len(held) else np.empty(0, np.int64)
+    size = np.diff(np.concatenate((start, [len(held)])))
+    for k in range(2, COMMON + 1):
+        p, q = np.triu_indices(k, 1)
+        at = start[size == k]
+        for i in range(0, len(at), 1 + (1 << 22) // len(p)):
+            some = row[at[i:i + 1 + (1 << 22) // len(p), None] + np.arange(k)]  # ascending in every line
+            out += np.bincount((some[:, p] * m + some[:, q]).ravel(), minlength=m * m).reshape(m, m)
+    many = np.flatnonzero(size > COMMON)
+    for i in range(0, len(many), COLUMNS):
+        some = many[i:i + COLUMNS]
+        met = np.zeros((m, len(some)), np.float32)
+        for column, c in enumerate(some):
+            met[row[start[c]:start[c] + size[c]], column] = 1
+        out += met @ met.T
+    return out
+
+
+def _new_links(sets: list[np.ndarray], block: np.ndarray, comp: np.ndarray, percent: int) -> list[tuple[int, int]]:
+    """Linked pairs of two blocks (or inside one) that tie the components
+    together which links tie together: no more than one pair a component."""
+    n = np.array([len(x) for x in sets], np.float64)
+    same = _shared(sets).astype(np.float64)
+    linked = (same > 0) & (100 * same >= percent * (n[:, None] + n[None, :] - same)) & (comp[:, None] != comp[None, :])
+    if block.min() != block.max():
+        linked &= block[:, None] != block[None, :]
+    names, label = np.unique(comp, return_inverse=True)
+    root, found = list(range(len(names))), []
+
+    def top(x: int) -> int:
+        while root[x] != x:
+            root[x] = root[root[x]]
+            x = root[x]
+        return x
+
+    for a, b in np.argwhere(np.triu(linked, 1)).tolist():
+        x, y = top(int(label[a])), top(int(label[b]))
+        if x != y:
+            root[y] = x
+            found.append((a, b))
+    return found
+
+
+def _linked_in_blocks(left: DataFrame, texts: DataFrame, words: int, percent: int) -> DataFrame:
+    """``(a, b)``: links between the components of ``left (band, rep, n, comp,
+    lead)``, ``lead`` being one class of the band.  Enough of them to join all
+    classes that linked pairs of a common band join."""
+    cluster = components(left.select(F.col("rep").alias("a"), F.col("lead").alias("b")).where("a != b").distinct())
+    rows = left.join(cluster.select(F.col("id").alias("rep"), F.concat(F.lit("c"), F.col("comp").cast("string")).alias("unit")), "rep")
+
+    def sizes(df: DataFrame) -> DataFrame:
+        need = df.select("unit", "rep", "n").distinct().groupBy("unit").agg(F.count(F.lit(1)).alias("_m"), F.sum("n").alias("_s"))
+        return need.select("unit", F.greatest(F.ceil(F.col("_m") / BLOCK), F.ceil(F.col("_s") / BLOCK_SHINGLES)).cast("int").alias("blocks"))
+
+    wide = sizes(rows).where(F.col("blocks") > MAX_BLOCKS).select("unit", F.lit(True).alias("_wide"))
+    band = F.concat(F.lit("b"), F.col("band").cast("string"))
+    rows = rows.join(wide, "unit", "left").withColumn("unit", F.when(F.col("_wide"), band).otherwise(F.col("unit")))
+    rows = written(rows.select("unit", "rep", "n", "comp").distinct(), "clusters")
+    own = F.pmod(F.xxhash64("rep"), F.col("blocks")).cast("int")
+    dealt = rows.join(sizes(rows), "unit").select("unit", "rep", "comp", own.alias("block"),
+                                                  F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)).alias("other"))
+    dealt = dealt.select("unit", "rep", "comp", "block", F.least("block", "other").alias("i"), F.greatest("block", "other").alias("j"))
+    met = dealt.join(texts.select(F.col("doc_id").alias("rep"), "text"), "rep")
+
+    def linked(pdf: pd.DataFrame) -> pd.DataFrame:
+        with np.errstate(over="ignore"):
+            sets = [shingles(t or "", words) for t in pdf["text"]]
+        pairs = _new_links(sets, pdf["block"].to_numpy(), pdf["comp"].to_numpy(), percent)
+        rep = pdf["rep"].to_numpy()
+        return pd.DataFrame({"a": rep[[a for a, _ in pairs]], "b": rep[[b for _, b in pairs]]})
+
+    kind = texts.schema["doc_id"].dataType.simpleString()
+    return met.groupBy("unit", "i", "j").applyInPandas(lambda pdf: linked(pdf), f"a {kind}, b {kind}")
+
+
 def near_duplicates(docs: DataFrame, words: int = 5, percent: int = 80, doc_id: str = "doc_id",
                     text: str = "text") -> DataFrame:
     """One row per row of ``docs``: ``(doc_id, n_shingles, component_id, kept)``.
@@ -256,46 +342,43 @@ def near_duplicates(docs: DataFrame, words: int = 5, percent: int = 80, doc_id:
                     .groupBy("doc_id", F.xxhash64("text")).agg(F.first("text").alias("text")).select("doc_id", "text"), "texts")
     tested, spent = None, [rows, texts]
 
-    def sketched(side: str, bands: bool = False) -> DataFrame:
-        bits = [F.col("bits")[i].alias(f"{side}{i}") for i in range(SKETCH // 64)]
-        return classes.select("rep", *bits, *[F.col("bands").alias(f"{side}_bands")] * bands)
+    def sketched(side: str) -> DataFrame:
+        return classes.select("rep", *[F.col("bits")[i].alias(f"{side}{i}") for i in range(SKETCH // 64)])
 
-    for turn in range(PARTNER_ROUNDS + 1):
+    def members(columns: list, *more: Column) -> DataFrame:
+        """The rows of bands that hold several components, with the band's ``columns``."""
         now = rows.join(comps.withColumnRenamed("id", "rep"), "rep", "left") \
             .select("band", "rep", "n", F.coalesce("comp", "rep").alias("comp"))
-        ends = now.groupBy("band").agg(F.min(F.struct(F.xxhash64(F.lit(turn), "band", "rep").alias("h"), "rep", "n", "comp")).alias("p"),
-                                       F.min("comp").alias("lo"), F.max("comp").alias("hi")).where(F.col("lo") != F.col("hi"))
-        if turn < PARTNER_ROUNDS:
-            # every round has a share of the bands: what one round links, the next need not compare
-            ends = ends.where(F.pmod(F.xxhash64("band"), F.lit(PARTNER_ROUNDS)) == turn)
-        now = now.join(ends.select("band"), "band")
-        if turn < PARTNER_ROUNDS:
-            partner = ends.select("band", "p.rep", "p.n", "p.comp")
-            left, right = now.join(sketched("s"), "rep"), partner.join(sketched("o"), "rep")
-        else:
-            left = written(now.join(sketched("s", bands=True), "rep"), "open")
-            spent.append(left)
-            right = left.withColumnsRenamed({c: "o" + c[1:] for c in left.columns if c[0] == "s"})
-        right = right.withColumnsRenamed({"rep": "b", "n": "m", "comp": "comp2"})
-        met = left.join(right, "band").where((F.col("comp") != F.col("comp2")) & _alike_in_size(F.col("n"), F.col("m"), percent)
-                                             & _likely(percent))
-        if turn == PARTNER_ROUNDS:
-            # a pair that shares several bands is taken in one of them
-            met = met.where((F.col("rep") < F.col("b")) & (F.array_min(F.array_intersect("s_bands", "o_bands")) == F.col("band")))
+        ends = now.groupBy("band").agg(F.min("comp").alias("lo"), F.max("comp").alias("hi"), *columns).where(F.col("lo") != F.col("hi"))
+        for condition in more:
+            ends = ends.where(condition)
+        return now.join(ends.drop("lo", "hi"), "band")
+
+    for turn in range(PARTNER_ROUNDS):
+        first = F.min(F.struct(F.xxhash64(F.lit(turn), "band", "rep").alias("h"), "rep", "n", "comp")).alias("p")
+        # every round has a share of the bands: what one round links, the next need not compare
+        now = members([first], F.pmod(F.xxhash64("band"), F.lit(PARTNER_ROUNDS)) == turn)
+        met = now.select("rep", "n", "comp", F.col("p.rep").alias("b"), F.col("p.n").alias("m"), F.col("p.comp").alias("comp2"))
+        met = met.where((F.col("comp") != F.col("comp2")) & _alike_in_size(F.col("n"), F.col("m"), percent)).select("rep", "b").distinct()
+        met = met.join(sketched("s"), "rep").join(sketched("o").withColumnRenamed("rep", "b"), "b").where(_likely(percent))
         pairs = met.select(F.least("rep", "b").alias("a"), F.greatest("rep", "b").alias("b")).distinct()
         if tested is not None:
             pairs = pairs.join(tested, ["a", "b"], "left_anti")
         pairs = written(pairs, "pairs")
         spent.append(pairs)
         if pairs.limit(1).count() == 0:
-            if turn < PARTNER_ROUNDS:
-                continue
-            break
+            continue
         found = _confirmed(pairs, texts, words, percent)
         tested = pairs if tested is None else tested.union(pairs)
         spent.append(found)
         # components of what is known so far (old ones as edges to their smallest id) and the new links
         comps = components(comps.select(F.col("id").alias("a"), F.col("comp").alias("b")).where("a != b").union(found))
+    left = written(members([F.min("rep").alias("lead")]), "open")
+    spent.append(left)
+    if left.limit(1).count():
+        found = written(_linked_in_blocks(left, texts, words, percent).distinct(), "links")
+        spent.append(found)
+        comps = components(comps.select(F.col("id").alias("a"), F.col("comp").alias("b")).where("a != b").union(found))
     for table in spent:
         drop_written(table)
     label = classes.select("fp", "rep").join(comps.withColumnRenamed("id", "rep"), "rep", "left") \

@@ -157,3 +157,44 @@ def test_only_linked_or_equal_rows_are_dropped(spark):
         # of the rows without an id the group of ``three`` keeps one
         assert sorted((r for r in got if r[1] != three), key=repr) == sorted(want, key=repr)
         assert len({r for r in got if r[1] == three}) == sum(r[1] == three for r in got) == 1
+
+
+def test_shared_counts_and_new_links():
+    rng = np.random.default_rng(2)
+    for m, words, size in ((1, 5, 3), (40, 30, 12), (70, 400, 40), (60, 25, 20)):
+        sets = [np.unique(rng.integers(0, words, rng.integers(0, size + 1)).astype(np.uint64)) for _ in range(m)]
+        want = np.array([[len(np.intersect1d(a, b)) for b in sets] for a in sets])
+        assert (np.triu(dedup._shared(sets), 1) == np.triu(want, 1)).all()
+        for blocks in (np.zeros(m), rng.integers(0, 2, m)):
+            comp = rng.integers(0, max(1, m // 2), m)
+            near = {(a, b) for a in range(m) for b in range(a + 1, m) if (blocks.max() == blocks.min() or blocks[a] != blocks[b])
+                    and want[a, b] and 100 * want[a, b] >= 60 * (len(sets[a]) + len(sets[b]) - want[a, b])}
+            got = dedup._new_links(sets, blocks, comp, 60)
+            assert set(got) <= near and all(comp[a] != comp[b] for a, b in got) and len(got) < max(1, len(set(comp)))
+
+            def labels(pairs):
+                root = {c: c for c in comp}
+                for a, b in pairs:
+                    x, y = root[comp[a]], root[comp[b]]
+                    root = {k: x if v == y else v for k, v in root.items()}
+                return [root[c] for c in comp]
+            one, two = labels(got), labels(near)
+            assert len(set(zip(one, two))) == len(set(one)) == len(set(two))
+
+
+@pytest.mark.parametrize("block,wide", [(4, 32), (4, 1), (1024, 32)])
+def test_blocks_of_any_size_give_the_same(spark, monkeypatch, block, wide):
+    monkeypatch.setattr(dedup, "PARTNER_ROUNDS", 1)
+    monkeypatch.setattr(dedup, "BLOCK", block)
+    monkeypatch.setattr(dedup, "MAX_BLOCKS", wide)
+    rows = corpus(6, groups=5)
+    got = dedup.near_duplicates(spark.createDataFrame(rows, "doc_id bigint, text string"), 4).collect()
+    assert {r.doc_id: r.component_id for r in got} == plain_components(rows, 4)
+
+
+def test_words_that_a_polynomial_confuses(spark):
+    a, b = "a", "b"
+    for _ in range(10):
+        a, b = a + b, b + a
+    got = dedup.near_duplicates(spark.createDataFrame([(1, a), (2, b), (3, a + " "), (4, "a b"), (5, "ab")], "doc_id bigint, text string")).collect()
+    assert {r.doc_id: r.component_id for r in got} == {1: 1, 2: 2, 3: 1, 4: 4, 5: 5}
