@@ -157,10 +157,11 @@ def labelled_sample(docs: DataFrame, labels: DataFrame, bound: dict[int, int] =
     known = docs.where(F.col("text").isNotNull())
     marks = marks.join(known.select("doc_id"), "doc_id", "left_semi")
     place = F.pmod(F.xxhash64(F.lit("toxicity"), "doc_id"), F.lit(1 << 40)) / F.lit(float(1 << 40))
-    sizes = marks.groupBy("label").agg(F.count(F.lit(1)).alias("_n"))
+    sizes = {r["label"]: r["n"] for r in marks.groupBy("label").agg(F.count(F.lit(1)).alias("n")).collect()}  # two rows
     most = F.when(F.col("label") == 1, bound[1]).otherwise(bound[0])
-    # the share that the hash lets through is near the bound already
-    near = marks.join(sizes, "label").where(place * F.col("_n") < 2 * most + 20).select("doc_id", "label", place.alias("_place"))
+    # the share that the hash lets through is near the bound already: no more rows are ranked at any size
+    share = {k: 1.2 * bound[k] / sizes.get(k, 1) + 40 / sizes.get(k, 1) for k in bound}
+    near = marks.where(place < F.when(F.col("label") == 1, share[1]).otherwise(share[0])).select("doc_id", "label", place.alias("_place"))
     first = Window.partitionBy("label").orderBy("_place", "doc_id")
     chosen = near.withColumn("_r", F.row_number().over(first)).where(F.col("_r") <= most).select("doc_id", "label")
     return (known.join(bounded_broadcast(chosen, sum(bound.values())), "doc_id")
