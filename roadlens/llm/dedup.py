@@ -34,6 +34,7 @@ from pyspark.sql import Column, DataFrame, functions as F
 
 from roadlens.llm.common import drop_written, map_batches, process_cache, written
 from roadlens.llm.components import components
+from roadlens.plans import bounded_broadcast
 
 #: Coordinates of a sketch (one bit of each is kept), bands and coordinates of
 #: a band: at similarity 0.8 a pair shares no band with probability
@@ -287,16 +288,21 @@ def _linked_in_blocks(left: DataFrame, texts: DataFrame, words: int, percent: in
     rows = left.join(cluster.select(F.col("id").alias("rep"), F.concat(F.lit("c"), F.col("comp").cast("string")).alias("unit")), "rep")
 
     def sizes(df: DataFrame) -> DataFrame:
-        need = df.select("unit", "rep", "n").distinct().groupBy("unit").agg(F.count(F.lit(1)).alias("_m"), F.sum("n").alias("_s"))
+        need = df.select("unit", "rep", "n").distinct().select("unit", "n").groupBy("unit").agg(F.count(F.lit(1)).alias("_m"), F.sum("n").alias("_s"))
         return need.select("unit", F.greatest(F.ceil(F.col("_m") / BLOCK), F.ceil(F.col("_s") / BLOCK_SHINGLES)).cast("int").alias("blocks"))
 
-    wide = sizes(rows).where(F.col("blocks") > MAX_BLOCKS).select("unit", F.lit(True).alias("_wide"))
+    # looked up are only clusters of several blocks: at most one for BLOCK classes, or BLOCK_SHINGLES of them
+    large = written(sizes(rows).where("blocks > 1"), "large")
+    large = bounded_broadcast(large, large.count())
+    wide = large.where(F.col("blocks") > MAX_BLOCKS).select("unit", F.lit(True).alias("_wide"))
     band = F.concat(F.lit("b"), F.col("band").cast("string"))
     rows = rows.join(wide, "unit", "left").withColumn("unit", F.when(F.col("_wide"), band).otherwise(F.col("unit")))
     rows = written(rows.select("unit", "rep", "n", "comp").distinct(), "clusters")
+    large = written(sizes(rows).where("blocks > 1"), "large")
+    rows = rows.join(bounded_broadcast(large, large.count()), "unit", "left").withColumn("blocks", F.coalesce("blocks", F.lit(1)))
     own = F.pmod(F.xxhash64("rep"), F.col("blocks")).cast("int")
-    dealt = rows.join(sizes(rows), "unit").select("unit", "rep", "comp", own.alias("block"),
-                                                  F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)).alias("other"))
+    dealt = rows.select("unit", "rep", "comp", own.alias("block"),
+                        F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)).alias("other"))
     dealt = dealt.select("unit", "rep", "comp", "block", F.least("block", "other").alias("i"), F.greatest("block", "other").alias("j"))
     met = dealt.join(texts.select(F.col("doc_id").alias("rep"), "text"), "rep")
 
