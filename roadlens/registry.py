@@ -15,7 +15,7 @@ from roadlens import operators as O, schemas as S, streaming as ST
 from roadlens.plans import scratch_path, written_once
 from roadlens.sources import (
     document_lines, events_as_log, log_as_lines, order_cameras, parse_stream_log, parse_vehicle_log, part_ego_lists,
-    read_stream, vehicle_log,
+    read_stream, split_lines, vehicle_log,
 )
 
 # ---------------------------------------------------------------------------
@@ -70,6 +70,26 @@ def _parsed_log(spark, d):
         "event_time", S.PLATE, S.SPEED, S.MONITOR, S.CAMERA)
 
 
+def _rejected_lines(spark, d):
+    """Lines of the log by outcome, from the two outputs of one pass."""
+    records, rejected, _ = split_lines(_vehicle_lines(spark, d), S.VEHICLE_LOG, scratch_path(spark, "lines"))
+    outcomes = rejected.select("reason").unionByName(records.select(F.lit("record").alias("reason")))
+    return outcomes.groupBy("reason").agg(F.count(F.lit(1)).alias("lines"))
+
+
+# --- device status from bitmaps, kept by the year of the reading -------------
+def _camera_bitmaps(spark, d):
+    orders = spark.read.parquet(f"{d}/orders.parquet").select(F.col("o_custkey").alias(S.MONITOR), F.col("o_orderkey").alias(S.CAMERA))
+    lines = spark.read.parquet(f"{d}/lineitem.parquet").select("l_shipdate", F.col("l_orderkey").alias(S.CAMERA))
+    first, last = lines.agg(F.min(F.year("l_shipdate")), F.max(F.year("l_shipdate"))).first()
+    path = scratch_path(spark, "bitmaps")
+    O.add_period(path, 0, lines.where("l_shipdate IS NULL").join(orders, S.CAMERA))
+    for year in range(first, last + 1) if first is not None else ():
+        of_year = lines.where((F.col("l_shipdate") >= f"{year}-01-01") & (F.col("l_shipdate") < f"{year + 1}-01-01"))
+        O.add_period(path, year, of_year.join(orders, S.CAMERA))
+    return orders, O.kept_bitmaps(spark, path)
+
+
 # --- streaming forms: the events table read by the file source --------------
 def _event_stream(spark: SparkSession, d: str) -> DataFrame:
     """``events.parquet`` as a stream, a file or a folder: the file source
@@ -203,6 +223,15 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "stream_avg_speed_panes": _stream_avg_speed_panes,
     "stream_congestion_keyed": _stream_congestion_keyed,
     "stream_late_rows": _stream_late_rows,
+    # the same answers where there are very many keys, or periods (Q02, Q04, Q06, Q08, Q10a), and rejected lines (S4)
+    "top_words": lambda s, d: O.top_words(document_lines(s, d)),
+    "top_monitors_of_many": lambda s, d: O.top_monitors_of_many(_lineitem_log(s, d), monitor="l_partkey"),
+    "top_speeding_monitors_of_many": lambda s, d: O.top_speeding_monitors_of_many(
+        _lineitem_log(s, d), QUANTITY_OVER, monitor="l_suppkey", speed="l_quantity"),
+    "error_monitors_bitmaps": lambda s, d: O.error_monitors_of_bitmaps(*_camera_bitmaps(s, d)),
+    "error_cameras_bitmaps": lambda s, d: O.error_cameras_of_bitmaps(*_camera_bitmaps(s, d)),
+    "sample_vehicles_of_many": lambda s, d: O.sample_vehicles_of_many(_log(s, d), SAMPLE_N, SAMPLE_SEED),
+    "rejected_lines": _rejected_lines,
     # the whole transition matrix (Q09b)
     "conversion_matrix": lambda s, d: O.conversion_matrix(_log(s, d), tie=TIE),
 }
@@ -423,3 +452,17 @@ t AS (SELECT a, count(*) AS a_total FROM s GROUP BY a),
 c AS (SELECT a, b, count(*) AS ab_total FROM s WHERE has GROUP BY a, b)
 SELECT c.a, c.b, t.a_total, c.ab_total, round(CAST(c.ab_total AS DOUBLE) * 100.0 / t.a_total, 5) AS rate_pct
 FROM c JOIN t ON c.a IS NOT DISTINCT FROM t.a"""
+ORACLE_SQL["top_words"] = f"""WITH {_LINES}, {_WORDS_ALL}
+SELECT word, count(*) AS n FROM w GROUP BY word ORDER BY n DESC, word ASC NULLS FIRST LIMIT 10"""
+ORACLE_SQL["top_monitors_of_many"] = """SELECT l_partkey, count(*) AS vehicleNum FROM lineitem GROUP BY l_partkey
+ORDER BY vehicleNum DESC, l_partkey ASC NULLS FIRST LIMIT 10"""
+ORACLE_SQL["top_speeding_monitors_of_many"] = ORACLE_SQL["top_speeding_monitors_lineitem"]
+ORACLE_SQL["error_monitors_bitmaps"] = ORACLE_SQL["error_monitors_size"]
+ORACLE_SQL["error_cameras_bitmaps"] = ORACLE_SQL["error_cameras"]
+ORACLE_SQL["sample_vehicles_of_many"] = ORACLE_SQL["sample_vehicles"]
+# every reading is one line, followed by one that is none; an empty last field leaves five, an empty speed is no number
+ORACLE_SQL["rejected_lines"] = f"""WITH {_LOG},
+r AS (SELECT CASE WHEN coalesce(cameraId, '') = '' THEN 'fields'
+                  WHEN TRY_CAST(trunc(vehicleSpeed) AS INTEGER) IS NULL THEN 'number' ELSE 'record' END AS reason FROM log
+      UNION ALL SELECT 'fields' FROM log)
+SELECT reason, count(*) AS lines FROM r GROUP BY reason"""

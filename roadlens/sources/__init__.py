@@ -8,7 +8,7 @@ Catalyst.
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession, functions as F
+from pyspark.sql import DataFrame, Observation, SparkSession, functions as F
 
 from roadlens import schemas as S
 from roadlens.functions import java_split, monitor_of_props, parse_log_time, whole_number
@@ -45,6 +45,50 @@ def parse_tsv(lines: DataFrame, schema, mode: str = "DROPMALFORMED", text_col: s
     return rows.select(*fields)
 
 
+#: Why a line is no record (``reason`` of :func:`classify_tsv`).
+WRONG_FIELDS, WRONG_NUMBER, NO_LINE = "fields", "number", "null"
+
+
+def classify_tsv(lines: DataFrame, schema, text_col: str = "value") -> DataFrame:
+    """Every line, with the fields of ``schema`` and a ``reason``: NULL for a
+    record, ``fields`` for another number of fields, ``number`` for a field that
+    is not of its type, ``null`` for no text.  The line itself is ``value``;
+    the fields of a rejected line are NULL.  :func:`parse_tsv` keeps exactly
+    the lines without a reason."""
+    p, names = java_split(F.col(text_col), "\t"), [f.name for f in schema.fields]
+    rows = lines.select(F.col(text_col).alias("_line"), p.alias("_p"))
+    made = [F.get("_p", F.lit(i)).try_cast(f.dataType) for i, f in enumerate(schema.fields)]
+    typed = [m for m, f in zip(made, schema.fields) if f.dataType.typeName() != "string"]
+    bad = F.lit(False)
+    for m in typed:
+        bad = bad | m.isNull()
+    reason = (F.when(F.col("_line").isNull(), NO_LINE).when(F.size("_p") != len(names), WRONG_FIELDS).when(bad, WRONG_NUMBER))
+    rows = rows.withColumn("reason", reason)
+    ok = F.col("reason").isNull()
+    return rows.select(F.col("_line").alias("value"), "reason", *[F.when(ok, m).alias(n) for m, n in zip(made, names)])
+
+
+def split_lines(lines: DataFrame, schema, path: str, text_col: str = "value") -> tuple[DataFrame, DataFrame, dict]:
+    """Writes records and rejected lines in one pass over the input, below
+    ``path``, and returns ``(records, rejected, counts)``: the records with the
+    fields of ``schema``, the rejected lines as ``(value, reason)``, and the
+    counts observed on the way (``lines``, ``records`` and one for each reason).
+    Together both outputs hold every line."""
+    spark = lines.sparkSession
+    seen = Observation()
+    rows = classify_tsv(lines, schema, text_col)
+    reasons = (WRONG_FIELDS, WRONG_NUMBER, NO_LINE)
+    rows = rows.observe(seen, F.count(F.lit(1)).alias("lines"), F.count_if(F.col("reason").isNull()).alias("records"),
+                        *[F.count_if(F.col("reason") == r).alias(r) for r in reasons])
+    # a record's line is told by its fields; only rejected ones keep their text
+    out = rows.select(F.when(F.col("reason").isNotNull(), F.col("value")).alias("value"), "reason",
+                      *[f.name for f in schema.fields], F.coalesce("reason", F.lit("record")).alias("outcome"))
+    out.write.partitionBy("outcome").parquet(path)
+    whole = spark.read.schema(out.schema).parquet(path)
+    return (whole.where("outcome = 'record'").select(*[f.name for f in schema.fields]),
+            whole.where("outcome <> 'record'").select("value", "reason"), seen.get)
+
+
 def parse_vehicle_log(lines: DataFrame, mode: str = "DROPMALFORMED", text_col: str = "value") -> DataFrame:
     """Vehicle-log lines (see :func:`load_vehicle_log`) as rows, with
     ``event_time`` parsed from ``dateTime``."""
