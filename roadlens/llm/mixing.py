@@ -16,8 +16,10 @@ from pyspark.sql import Column, DataFrame, Window, functions as F
 
 from roadlens.llm.common import BLANK_RE, WORD_RE, running_start, written
 
-#: Words of a block, slots of an output shard, buckets of a source's running sums.
-BLOCK, SHARD, BUCKETS = 32, 1024, 1024
+#: Words of a block, slots of an output shard.
+BLOCK, SHARD = 32, 1024
+#: Buckets of a source's running sums: at least so many, and one for so many documents.
+BUCKETS, BUCKET_ROWS = 1024, 50_000
 #: Source weights in the order of the sources' names (fixed values).
 WEIGHTS = (5.0, 2.0, 1.0)
 #: A source is used this many times at most.
@@ -154,8 +156,9 @@ def mix(sized: DataFrame, weights=WEIGHTS, block: int = BLOCK, shard: int = SHAR
     wanted = written(blocks_wanted(targets, block, max_passes), "mix-wanted")
     rows = sized.where("size > 0").join(targets.select(F.col("source").alias("_src"), "sid"),
                                         F.col("source").eqNullSafe(F.col("_src")))
+    buckets = max(BUCKETS, sized.count() // BUCKET_ROWS)
     placed = running_start(rows, ["sid"], "size", ["doc_id", "mark", "row"], "start",
-                           F.pmod(F.xxhash64(F.lit(SEED), "doc_id", "mark"), F.lit(BUCKETS)), [])
+                           F.pmod(F.xxhash64(F.lit(SEED), "doc_id", "mark"), F.lit(buckets)), [])
     touched = F.expr(f"sequence(start div {block}, (start + size - 1) div {block})")
     segments = placed.select("*", F.explode(touched).alias("block"))
     lo = F.greatest(F.col("start"), F.col("block") * block)
@@ -198,21 +201,21 @@ def mixed_documents(docs: DataFrame, weights=WEIGHTS, doc_id: str = "doc_id", so
     blocks (as it stands when all were), ``n_chars`` (where there is such a
     column) set to the new length.  Rows equal in every column are one
     document here, with the words that all of them have in the mix."""
+    # maps have no hash of their own; the columns travel as one struct, so their names meet no name used here
     cols = [F.col(f"`{c}`") for c in docs.columns]
-    mark = F.xxhash64(*cols)
+    mark = F.xxhash64(*[F.to_json(F.struct(c)) if "map<" in t else c for c, (_, t) in zip(cols, docs.dtypes)])
     sized = sizes(docs, mark, doc_id, source, text)
     _, parts = mix(sized, weights, **options)
     takes = parts.groupBy("doc_id", "mark", "row", "pass").agg(
         F.array_sort(F.collect_list(F.struct("from_word", "n_words"))).alias("_parts"), F.sum("n_words").alias("_n"))
-    takes = takes.select(F.col("doc_id").alias("_id"), F.col("mark").alias("_mark2"), "_parts", "_n")
-    one = docs.withColumn("_mark", mark).withColumn("_key", F.coalesce(F.col(doc_id).cast("string"), F.lit(""))) \
-        .dropDuplicates(["_key", "_mark"])
-    pieces = F.regexp_extract_all(F.col(text), F.lit(BLANK_RE.replace("+", "*") + WORD_RE), F.lit(0))
-    cut = one.join(takes.withColumn("_key2", F.coalesce(F.col("_id").cast("string"), F.lit(""))),
-                   (F.col("_mark") == F.col("_mark2")) & (F.col("_key") == F.col("_key2"))) \
-        .withColumn("_pieces", pieces)
+    takes = takes.select(F.coalesce(F.col("doc_id").cast("string"), F.lit("")).alias("_key2"), F.col("mark").alias("_mark2"), "_parts", "_n")
+    one = docs.select(F.struct(*cols).alias("_all"), mark.alias("_mark"),
+                      F.coalesce(F.col(f"`{doc_id}`").cast("string"), F.lit("")).alias("_key")).dropDuplicates(["_key", "_mark"])
+    whole = F.col(f"_all.`{text}`")
+    pieces = F.regexp_extract_all(whole, F.lit(BLANK_RE.replace("+", "*") + WORD_RE), F.lit(0))
+    cut = one.join(takes, (F.col("_mark") == F.col("_mark2")) & (F.col("_key") == F.col("_key2"))).withColumn("_pieces", pieces)
     taken = F.concat_ws("", F.flatten(F.transform("_parts", lambda x: F.slice(
         F.col("_pieces"), (x["from_word"] + 1).cast("int"), x["n_words"].cast("int")))))
-    cut = cut.withColumn("_text", F.when(F.col("_n") == F.size("_pieces"), F.col(text)).otherwise(taken))
+    cut = cut.withColumn("_text", F.when(F.col("_n") == F.size("_pieces"), whole).otherwise(taken))
     new = {text: F.col("_text")} | ({n_chars: F.length("_text").cast(docs.schema[n_chars].dataType)} if n_chars in docs.columns else {})
-    return cut.select(*[new.get(c, F.col(f"`{c}`")).alias(c) for c in docs.columns])
+    return cut.select(*[new.get(c, F.col(f"_all.`{c}`")).alias(c) for c in docs.columns])

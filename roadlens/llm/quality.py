@@ -172,15 +172,18 @@ def fit_rules(docs: DataFrame, labels: DataFrame, max_rows: int = MAX_LABELLED,
     """Rules learned from about ``max_rows`` labelled documents (all of them
     where there are fewer), chosen by a hash of the id.  Only rows that the
     base rule passes are learned from.  A document with several labels counts
-    as its lowest; null ids and labels are left out."""
+    as its lowest, an id with several texts as its smallest text; null ids and
+    labels are left out."""
     known = (labels.select(F.col(doc_id).alias(P + "id"), F.col(quality).alias(P + "y")).dropna()
              .groupBy(P + "id").agg(F.min(P + "y").alias(P + "y")))
     n = known.count()
     place = F.pmod(F.xxhash64(F.lit("rules"), P + "id"), F.lit(max(n, 1)))
     # bounded by max_rows (in expectation), so the hint is safe
     chosen = F.broadcast(known.where(place < max_rows))
-    stats = with_stats(docs.select(F.col(doc_id).alias(P + "id"), F.col(text).alias(P + "text"))
-                       .join(chosen, P + "id"), P + "text")
+    # one row an id, so that the rows collected are bounded as the ids are
+    rows = (docs.select(F.col(doc_id).alias(P + "id"), F.col(text).alias(P + "text")).join(chosen, P + "id")
+            .groupBy(P + "id", P + "y").agg(F.min(P + "text").alias(P + "text")))
+    stats = with_stats(rows, P + "text")
     found = (stats.select(base_failed().alias("failed"), F.xxhash64(F.lit("order"), P + "id").alias("o"),
                           F.col(P + "id").alias("id"), F.col(P + "y").alias("y"),
                           *[v.alias(k) for k, v in features().items()]).collect())
@@ -212,6 +215,8 @@ def judge(docs: DataFrame, rules: list[Rule], doc_id: str = "doc_id", text: str
 
 
 def keep_good(docs: DataFrame, rules: list[Rule], text: str = "text") -> DataFrame:
-    """The rows of ``docs``, with all their columns, that ``judge`` keeps."""
-    return with_stats(docs, text).where(~base_failed() & first_rule(rules).isNull()).select(*[
-        F.col(f"`{c}`") for c in docs.columns])
+    """The rows of ``docs``, with all their columns, that ``judge`` keeps.  The
+    columns travel as one struct, so their names meet no name used here."""
+    row = F.struct(*[F.col(f"`{c}`") for c in docs.columns]).alias(P + "all")
+    d = with_stats(docs.select(row, F.col(f"`{text}`").alias(P + "text")), P + "text")
+    return d.where(~base_failed() & first_rule(rules).isNull()).select(*[F.col(f"{P}all.`{c}`").alias(c) for c in docs.columns])

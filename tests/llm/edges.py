@@ -21,3 +21,13 @@ def edge_docs(spark):
 
 def empty_docs(spark):
     return spark.createDataFrame([], SCHEMA)
+
+
+def clashing_docs(spark):
+    """The edge rows with columns named as the operators name theirs inside, a
+    dotted one, and a map."""
+    from pyspark.sql import functions as F
+
+    names = ["_quality_words", "_quality_row", "_quality_all", "_quality_text", "_parts", "_n", "_mark", "_mark2", "_key", "_key2", "_all",
+             "_text", "_pieces", "_id", "_doc_row", "_b", "a.b"]
+    return edge_docs(spark).withColumns({n: F.lit(f"is {n}") for n in names} | {"tags": F.create_map(F.lit("k"), F.col("doc_id"))})

@@ -61,3 +61,27 @@ def test_run_is_the_stages(spark):
     got = corpus_pipeline.run(spark, SF)
     assert got.columns == ["doc_id", "piece", "start", "length", "ids_crc32", "sequence_id", "offset"]
     assert got.count() > 0
+
+
+def test_stages_stand_clashing_names_and_maps(spark):
+    from tests.llm.edges import clashing_docs
+    docs = clashing_docs(spark)
+    n = docs.count()
+    for name, stage in corpus_pipeline.STAGES[:-1]:
+        got = stage(spark, docs, SF)
+        assert got.columns == docs.columns and dict(got.dtypes) == dict(docs.dtypes)
+        rows = got.collect()
+        assert 0 < len(rows) <= (4 * n if name == "source_mix" else n)
+        assert all(r["_quality_words"] == "is _quality_words" and r["a.b"] == "is a.b" and r["_parts"] == "is _parts"
+                   and r["tags"] == {"k": r["doc_id"]} for r in rows)
+    assert corpus_pipeline.STAGES[-1][1](spark, docs, SF).count() >= n
+
+
+def test_repeated_labelled_ids_are_one_row(spark, monkeypatch):
+    from roadlens.llm import quality
+    seen = []
+    monkeypatch.setattr(quality, "learn_rules", lambda rows: seen.append(len(rows)) or [])
+    text = " ".join(f"word{i}" for i in range(40))
+    docs = spark.createDataFrame([(1, text)] * 2000 + [(2, text + " end")], "doc_id bigint, text string")
+    quality.fit_rules(docs, spark.createDataFrame([(1, 0), (2, 1)], "doc_id bigint, quality int"))
+    assert seen == [2]
