@@ -1,11 +1,13 @@
 """Token counting and token ids with the public tokenizers (operators 10, 6).
 
-Pieces are looked up per distinct pre-token: a text is cut where the
-tokenizer itself always cuts, each distinct part is encoded once per Python
-process, and a document is the sum (or the concatenation) of its parts.  Texts
-in which the cut could differ from the library's (special strings, rare
-control characters, code points that two Unicode versions class differently)
-are given to the library whole, so that results always equal the library's.
+Counting goes through distinct pre-tokens: a text is cut where the tokenizer
+itself always cuts, documents become frequencies of pre-tokens, every distinct
+pre-token of the whole table is encoded once, and a join brings the numbers of
+pieces back to the documents.  Texts with characters beyond a few ranges are
+cut by the library's own pre-tokenizer; only texts with a special string go
+through the library whole.  Ids (for packing) come from a table of parts per
+Python process, and there such texts go to the library whole, so that results
+always equal the library's.
 """
 
 from __future__ import annotations
@@ -20,7 +22,8 @@ from collections import Counter
 import pyarrow as pa
 from pyspark.sql import DataFrame, functions as F
 
-from roadlens.llm.common import map_batches, process_cache
+from roadlens.llm.common import map_batches, process_cache, written
+from roadlens.plans import bounded_broadcast
 
 #: The split pattern of the byte-level vocabulary (fixed value).
 BYTE_PATTERN = r"""'s|'t|'re|'ve|'m|'ll|'d| ?\p{L}+| ?\p{N}+| ?[^\s\p{L}\p{N}]+|\s+(?!\S)|\s+"""
@@ -30,7 +33,9 @@ WORD_PATTERN = r"""'s|'t|'re|'ve|'m|'ll|'d|\p{L}+|\p{N}|[^\s\p{L}\p{N}]+"""
 UNEVEN_CASE = "İΣ"
 #: Parts of a text kept with their pieces per process; the table starts anew beyond.
 CACHE_PARTS = 800_000
-#: Texts made of these ranges only are cut here; others go to the library whole.
+#: Pre-tokens with one of so many frequencies are broadcast: no more than that number.
+COMMON_SHARE = 1 << 16
+#: Texts made of these ranges only are cut here; others by the library.
 #: Letters, digits, punctuation and spaces of Latin, Greek and Cyrillic text and
 #: general punctuation, whose classes have not changed between Unicode versions.
 NOT_PLAIN = re.compile(r"[^\t\n\r\x20-\x7e\xa0-ɏΆ-ϿЀ-ҁҊ-ԧ‐-‧‰-⁞€™]")
@@ -75,8 +80,8 @@ def _odd(text: str, special: tuple[str, ...]) -> bool:
     return NOT_PLAIN.search(text) is not None or "<|" in text and any(s in text for s in special)
 
 
-class PieceCounts(dict):
-    """Pieces per distinct pre-token; a pre-token goes through the merges once."""
+class PreTokens:
+    """Cuts texts into pre-tokens and counts the pieces of one."""
 
     def __init__(self, path: str):
         import regex
@@ -86,21 +91,38 @@ class PieceCounts(dict):
         self.special = _specials(self.tok)
         self.cut = regex.compile(BYTE_PATTERN).findall
 
-    def __missing__(self, piece: str) -> int:
-        n = self[piece] = len(self.merge(_stand_ins(piece)))
+    def whole(self, text: str) -> int | None:
+        """The count of a text that must not be cut: one with a special string."""
+        if any(s in text for s in self.special):
+            return len(self.tok.encode(text, add_special_tokens=False))
+        return None
+
+    def of(self, text: str) -> list[str]:
+        if NOT_PLAIN.search(text) is None:
+            return self.cut(text)
+        if self.tok.normalizer is not None:
+            text = self.tok.normalizer.normalize_str(text)
+        return [text[a:b] for _, (a, b) in self.tok.pre_tokenizer.pre_tokenize_str(text)]
+
+    def pieces(self, part: str) -> int:
+        return len(self.merge(_stand_ins(part)))
+
+
+class PieceCounts(dict):
+    """Pieces per distinct pre-token, for counting single texts without a table."""
+
+    def __init__(self, path: str):
+        self.cutter = PreTokens(path)
+
+    def __missing__(self, part: str) -> int:
+        n = self[part] = self.cutter.pieces(part)
         return n
 
     def count(self, texts: list[str]) -> list[int]:
         if len(self) > CACHE_PARTS:
             self.clear()
-        out = []
-        for t in texts:
-            if _odd(t, self.special):
-                out.append(len(self.tok.encode(t, add_special_tokens=False)))
-            else:
-                f = Counter(self.cut(t))
-                out.append(sum(map(int.__mul__, map(self.__getitem__, f), f.values())))
-        return out
+        whole = map(self.cutter.whole, texts)
+        return [sum(self[p] * n for p, n in Counter(self.cutter.of(t)).items()) if w is None else w for t, w in zip(texts, whole)]
 
 
 class PieceIds(dict):
@@ -136,26 +158,64 @@ class PieceIds(dict):
                 or not t.isascii() and any(c in t for c in UNEVEN_CASE) else b"".join(map(self.__getitem__, t.split())) for t in texts]
 
 
+def frequencies(docs: DataFrame, path: str) -> DataFrame:
+    """``(row, doc_id, n_bytes, whole, parts, times)`` of ``(doc_id, text)``: a
+    document's distinct pre-tokens and how often each stands in it, or
+    ``whole``, the count of a text that must not be cut."""
+    def run(batch: pa.RecordBatch):
+        cutter = process_cache(("pre-tokens", path), lambda: PreTokens(path))
+        n_bytes, whole, parts, times = [], [], [], []
+        for t in batch.column(2).to_pylist():
+            t = t or ""
+            n_bytes.append(len(t.encode()))
+            whole.append(cutter.whole(t))
+            found = Counter() if whole[-1] is not None else Counter(cutter.of(t))
+            parts.append(list(found)), times.append(list(found.values()))
+        return batch.column(0), batch.column(1), n_bytes, whole, parts, times
+
+    kind = docs.schema["doc_id"].dataType.simpleString()
+    src = docs.select(F.monotonically_increasing_id().alias("row"), "doc_id", "text")
+    return map_batches(src, run, f"row bigint, doc_id {kind}, n_bytes bigint, whole bigint, parts array<string>, times array<int>")
+
+
+def piece_counts(parts: DataFrame, path: str) -> DataFrame:
+    """``(part, docs, pieces)`` of ``(part, docs)``: each distinct pre-token is encoded once."""
+    def run(batch: pa.RecordBatch):
+        cutter = process_cache(("pre-tokens", path), lambda: PreTokens(path))
+        return batch.column(0), batch.column(1), [cutter.pieces(p) for p in batch.column(0).to_pylist()]
+
+    return map_batches(parts, run, "part string, docs bigint, pieces int", 4096)
+
+
 def count_tokens(docs: DataFrame, path: str, limit: int = 512, doc_id: str = "doc_id",
                  text: str = "text") -> DataFrame:
     """One row per row of ``docs``: ``(doc_id, n_bytes, n_tokens, over_limit)``.
 
-    The pre-tokens of a batch of documents are counted per document, each
-    distinct one is encoded once per process, and the pieces of a document
-    are the sum of frequency times pieces.  No id list is built and nothing
-    is shuffled.  A null text counts as empty (0 bytes, 0 tokens); null and
-    repeated ids, and repeated rows, are kept row by row; other columns of
-    ``docs`` are ignored; an empty table gives an empty result.  ``path`` is
-    a byte-level vocabulary file for the tokenizers library."""
-
-    def run(batch: pa.RecordBatch):
-        texts = [t or "" for t in batch.column(1).to_pylist()]
-        n = process_cache(("counts", path), lambda: PieceCounts(path)).count(texts)
-        return batch.column(0), [len(t.encode()) for t in texts], n, [x > limit for x in n]
-
-    src = docs.select(F.col(doc_id).alias("doc_id"), F.col(text).alias("text"))
-    kind = src.schema["doc_id"].dataType.simpleString()
-    return map_batches(src, run, f"doc_id {kind}, n_bytes bigint, n_tokens bigint, over_limit boolean")
+    The pre-tokens of a document are counted, each distinct one of the table
+    is encoded once, and a join with the frequencies gives the sums; no id
+    list is built.  Pre-tokens of which one in ``COMMON_SHARE`` frequencies is
+    (there are no more than ``COMMON_SHARE`` of those) are broadcast, and their
+    sums are made before any shuffle, so no very common one is a hot key; the
+    others are joined by a shuffle.  A null text counts as empty (0 bytes, 0
+    tokens); null and repeated ids, and repeated rows, are kept row by row;
+    other columns of ``docs`` are ignored; an empty table gives an empty
+    result.  ``path`` is a byte-level vocabulary file for the tokenizers library."""
+    src = docs.select(F.col(f"`{doc_id}`").alias("doc_id"), F.col(f"`{text}`").alias("text"))
+    counted = written(frequencies(src, path), "frequencies")
+    held = counted.select("row", F.explode(F.arrays_zip("parts", "times")).alias("x")).select(
+        "row", F.col("x.parts").alias("part"), F.col("x.times").alias("times"))
+    distinct = held.groupBy("part").agg(F.count(F.lit(1)).alias("docs"))
+    known = written(piece_counts(distinct, path), "pieces")
+    total = known.agg(F.sum("docs")).first()[0] or 0
+    common = bounded_broadcast(known.where(F.col("docs") * COMMON_SHARE >= total).select("part", "pieces"), COMMON_SHARE)
+    rare = known.where(F.col("docs") * COMMON_SHARE < total).select("part", "pieces")
+    summed = F.sum(F.col("times").cast("bigint") * F.col("pieces")).alias("n")
+    near = held.join(common, "part").groupBy("row").agg(summed)
+    far = held.join(common, "part", "left_anti").join(rare, "part").groupBy("row").agg(summed)
+    sums = near.unionByName(far).groupBy("row").agg(F.sum("n").alias("n"))
+    n = F.coalesce("whole", "n", F.lit(0)).cast("bigint")
+    return (counted.select("row", "doc_id", "n_bytes", "whole").join(sums, "row", "left")
+            .select("doc_id", "n_bytes", n.alias("n_tokens"), (n > limit).alias("over_limit")))
 
 
 def token_pieces(docs: DataFrame, path: str, max_len: int = 2048, end_id: int = 0,

@@ -111,3 +111,25 @@ def test_packing_is_near_the_lower_bound(spark):
     out = packing.pack(rows)
     total = rows.agg(F.sum("length")).first()[0]
     assert out.select("sequence_id").distinct().count() <= 1.04 * total / 2048
+
+
+SCRIPTS = ["漢字かな交じり文。これは長い文です、12 345。", "مرحبا بالعالم، كيف الحال؟ ١٢٣", "שלום עולם 😀👍🏽 ok", "हिन्दी में लिखा हुआ पाठ", "ไทย ภาษา",
+           "한국어 텍스트 mixed with English words", "ȩ́ ö ‍​ zero", " line  sep\x85 x\x1c\x1fy", "𝔘𝔫𝔦 𝟙𝟚 ﷺ Ⅷ ²", "a퟿b \U0010ffff"]
+
+
+def test_the_join_equals_the_library_in_all_scripts(spark):
+    tok, path = library("byte_bpe_50k.json"), tokens.tokenizer_path("byte_bpe_50k.json")
+    texts = [*TEXTS, *SCRIPTS, None, " ".join(SCRIPTS) * 40, "the <|endoftext|> " * 30] * 3
+    docs = spark.createDataFrame([(i, t) for i, t in enumerate(texts)], "doc_id bigint, text string").repartition(4)
+    got = {r.doc_id: (r.n_bytes, r.n_tokens) for r in tokens.count_tokens(docs, path).collect()}
+    assert got == {i: (len((t or "").encode()), len(tok.encode(t or "", add_special_tokens=False))) for i, t in enumerate(texts)}
+
+
+@pytest.mark.parametrize("share", [1, 20, 1 << 16])
+def test_common_and_rare_parts_add_up(spark, monkeypatch, share):
+    monkeypatch.setattr(tokens, "COMMON_SHARE", share)
+    tok, path = library("byte_bpe_50k.json"), tokens.tokenizer_path("byte_bpe_50k.json")
+    texts = [f"the same word {i} {i % 7} and unlikely{i * 37}" for i in range(300)]
+    docs = spark.createDataFrame([(i, t) for i, t in enumerate(texts)], "doc_id bigint, text string")
+    got = {r.doc_id: r.n_tokens for r in tokens.count_tokens(docs, path).collect()}
+    assert got == {i: len(tok.encode(t, add_special_tokens=False).ids) for i, t in enumerate(texts)}
