@@ -403,16 +403,16 @@ def drop_near_duplicates(docs: DataFrame, words: int = 5, percent: int = 80, doc
     last, then by the row's content), and one of rows without words that are
     equal in all columns.  Every row is a document of its own, also where ids
     are null or repeated: only linked or equal rows are dropped."""
-    # the columns travel as one struct, so their names meet no name used here
-    columns = [F.col(f"`{c}`") for c in docs.columns]
-    rows = written(docs.select(F.struct(*columns).alias("_all"), F.monotonically_increasing_id().alias("_doc_row")), "rows")
-    held = [F.col(f"_all.`{c}`") for c in docs.columns]
-    content = F.sha2(F.to_json(F.struct(*[c.alias(f"c{i}") for i, c in enumerate(held)])), 256)
-    found = near_duplicates(rows, words, percent, "_doc_row", f"_all.`{text}`")
-    named = rows.select(F.col("_doc_row").alias("doc_id"), F.col(f"_all.`{doc_id}`").alias("_id"), content.alias("_content"))
+    # the columns travel under numbers, so their names meet no name used here
+    names = {c: f"c{i}" for i, c in enumerate(docs.columns)}
+    rows = written(docs.select(*[F.col(f"`{c}`").alias(n) for c, n in names.items()],
+                               F.monotonically_increasing_id().alias("_doc_row")), "rows")
+    content = F.sha2(F.to_json(F.struct(*names.values())), 256)
+    found = near_duplicates(rows, words, percent, "_doc_row", names[text])
+    named = rows.select(F.col("_doc_row").alias("doc_id"), F.col(names[doc_id]).alias("_id"), content.alias("_content"))
     group = F.when(F.col("n_shingles") > 0, F.col("component_id"))
     kept = (found.join(named, "doc_id").groupBy(group.alias("_group"), F.when(group.isNull(), F.col("_content")).alias("_equal"))
             .agg(F.min(F.struct(F.col("_id").isNull().alias("no_id"), "_id", "_content", "doc_id")).alias("_first"))
             .select(F.col("_first.doc_id").alias("_kept_row")))
     return (rows.join(kept, F.col("_doc_row") == F.col("_kept_row"), "left_semi")
-            .select(*[c.alias(name) for c, name in zip(held, docs.columns)]))
+            .select(*[F.col(n).alias(c) for c, n in names.items()]))

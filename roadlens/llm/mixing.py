@@ -201,7 +201,7 @@ def mixed_documents(docs: DataFrame, weights=WEIGHTS, doc_id: str = "doc_id", so
     blocks (as it stands when all were), ``n_chars`` (where there is such a
     column) set to the new length.  Rows equal in every column are one
     document here, with the words that all of them have in the mix."""
-    # maps have no hash of their own; the columns travel as one struct, so their names meet no name used here
+    # maps have no hash of their own; the columns travel under numbers, so their names meet no name used here
     cols = [F.col(f"`{c}`") for c in docs.columns]
     mark = F.xxhash64(*[F.to_json(F.struct(c)) if "map<" in t else c for c, (_, t) in zip(cols, docs.dtypes)])
     sized = sizes(docs, mark, doc_id, source, text)
@@ -209,13 +209,14 @@ def mixed_documents(docs: DataFrame, weights=WEIGHTS, doc_id: str = "doc_id", so
     takes = parts.groupBy("doc_id", "mark", "row", "pass").agg(
         F.array_sort(F.collect_list(F.struct("from_word", "n_words"))).alias("_parts"), F.sum("n_words").alias("_n"))
     takes = takes.select(F.coalesce(F.col("doc_id").cast("string"), F.lit("")).alias("_key2"), F.col("mark").alias("_mark2"), "_parts", "_n")
-    one = docs.select(F.struct(*cols).alias("_all"), mark.alias("_mark"),
+    names = {c: f"c{i}" for i, c in enumerate(docs.columns)}
+    one = docs.select(*[c.alias(n) for c, n in zip(cols, names.values())], mark.alias("_mark"),
                       F.coalesce(F.col(f"`{doc_id}`").cast("string"), F.lit("")).alias("_key")).dropDuplicates(["_key", "_mark"])
-    whole = F.col(f"_all.`{text}`")
+    whole = F.col(names[text])
     pieces = F.regexp_extract_all(whole, F.lit(BLANK_RE.replace("+", "*") + WORD_RE), F.lit(0))
     cut = one.join(takes, (F.col("_mark") == F.col("_mark2")) & (F.col("_key") == F.col("_key2"))).withColumn("_pieces", pieces)
     taken = F.concat_ws("", F.flatten(F.transform("_parts", lambda x: F.slice(
         F.col("_pieces"), (x["from_word"] + 1).cast("int"), x["n_words"].cast("int")))))
     cut = cut.withColumn("_text", F.when(F.col("_n") == F.size("_pieces"), whole).otherwise(taken))
     new = {text: F.col("_text")} | ({n_chars: F.length("_text").cast(docs.schema[n_chars].dataType)} if n_chars in docs.columns else {})
-    return cut.select(*[new.get(c, F.col(f"_all.`{c}`")).alias(c) for c in docs.columns])
+    return cut.select(*[new.get(c, F.col(n)).alias(c) for c, n in names.items()])

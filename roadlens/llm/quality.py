@@ -216,7 +216,7 @@ def judge(docs: DataFrame, rules: list[Rule], doc_id: str = "doc_id", text: str
 
 def keep_good(docs: DataFrame, rules: list[Rule], text: str = "text") -> DataFrame:
     """The rows of ``docs``, with all their columns, that ``judge`` keeps.  The
-    columns travel as one struct, so their names meet no name used here."""
-    row = F.struct(*[F.col(f"`{c}`") for c in docs.columns]).alias(P + "all")
-    d = with_stats(docs.select(row, F.col(f"`{text}`").alias(P + "text")), P + "text")
-    return d.where(~base_failed() & first_rule(rules).isNull()).select(*[F.col(f"{P}all.`{c}`").alias(c) for c in docs.columns])
+    columns travel under numbers, so their names meet no name used here."""
+    names = {c: f"{P}c{i}" for i, c in enumerate(docs.columns)}
+    d = with_stats(docs.select(*[F.col(f"`{c}`").alias(n) for c, n in names.items()]), names[text])
+    return d.where(~base_failed() & first_rule(rules).isNull()).select(*[F.col(n).alias(c) for c, n in names.items()])
