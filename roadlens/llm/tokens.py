@@ -23,7 +23,6 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, functions as F
 
 from roadlens.llm.common import map_batches, process_cache, written
-from roadlens.plans import bounded_broadcast
 
 #: The split pattern of the byte-level vocabulary (fixed value).
 BYTE_PATTERN = r"""'s|'t|'re|'ve|'m|'ll|'d| ?\p{L}+| ?\p{N}+| ?[^\s\p{L}\p{N}]+|\s+(?!\S)|\s+"""
@@ -33,8 +32,8 @@ WORD_PATTERN = r"""'s|'t|'re|'ve|'m|'ll|'d|\p{L}+|\p{N}|[^\s\p{L}\p{N}]+"""
 UNEVEN_CASE = "İΣ"
 #: Parts of a text kept with their pieces per process; the table starts anew beyond.
 CACHE_PARTS = 800_000
-#: Pre-tokens with one of so many frequencies are broadcast: no more than that number.
-COMMON_SHARE = 1 << 16
+#: Pre-tokens that go to the tasks at most.
+COMMON_PARTS = 1 << 16
 #: Texts made of these ranges only are cut here; others by the library.
 #: Letters, digits, punctuation and spaces of Latin, Greek and Cyrillic text and
 #: general punctuation, whose classes have not changed between Unicode versions.
@@ -93,9 +92,10 @@ class PreTokens:
 
     def whole(self, text: str) -> int | None:
         """The count of a text that must not be cut: one with a special string."""
-        if any(s in text for s in self.special):
-            return len(self.tok.encode(text, add_special_tokens=False))
-        return None
+        return None if self.special_free(text) else len(self.tok.encode(text, add_special_tokens=False))
+
+    def special_free(self, text: str) -> bool:
+        return not any(s in text for s in self.special)
 
     def of(self, text: str) -> list[str]:
         if NOT_PLAIN.search(text) is None:
@@ -158,24 +158,18 @@ class PieceIds(dict):
                 or not t.isascii() and any(c in t for c in UNEVEN_CASE) else b"".join(map(self.__getitem__, t.split())) for t in texts]
 
 
-def frequencies(docs: DataFrame, path: str) -> DataFrame:
-    """``(row, doc_id, n_bytes, whole, parts, times)`` of ``(doc_id, text)``: a
-    document's distinct pre-tokens and how often each stands in it, or
-    ``whole``, the count of a text that must not be cut."""
+def distinct_parts(docs: DataFrame, path: str) -> DataFrame:
+    """``(part, docs)``: every distinct pre-token of ``(text)`` and the number
+    of documents that hold it; batches are counted before the shuffle."""
     def run(batch: pa.RecordBatch):
         cutter = process_cache(("pre-tokens", path), lambda: PreTokens(path))
-        n_bytes, whole, parts, times = [], [], [], []
-        for t in batch.column(2).to_pylist():
-            t = t or ""
-            n_bytes.append(len(t.encode()))
-            whole.append(cutter.whole(t))
-            found = Counter() if whole[-1] is not None else Counter(cutter.of(t))
-            parts.append(list(found)), times.append(list(found.values()))
-        return batch.column(0), batch.column(1), n_bytes, whole, parts, times
+        found: Counter = Counter()
+        for t in batch.column(0).to_pylist():
+            if t and cutter.special_free(t):
+                found.update(set(cutter.of(t)))
+        return list(found), list(found.values())
 
-    kind = docs.schema["doc_id"].dataType.simpleString()
-    src = docs.select(F.monotonically_increasing_id().alias("row"), "doc_id", "text")
-    return map_batches(src, run, f"row bigint, doc_id {kind}, n_bytes bigint, whole bigint, parts array<string>, times array<int>")
+    return map_batches(docs.select("text"), run, "part string, docs bigint", 1024).groupBy("part").agg(F.sum("docs").alias("docs"))
 
 
 def piece_counts(parts: DataFrame, path: str) -> DataFrame:
@@ -187,34 +181,64 @@ def piece_counts(parts: DataFrame, path: str) -> DataFrame:
     return map_batches(parts, run, "part string, docs bigint, pieces int", 4096)
 
 
+def common_from(known: DataFrame) -> int:
+    """The least power of two so that at most ``COMMON_PARTS`` pre-tokens are in so many documents."""
+    sizes = known.groupBy(F.floor(F.log2(F.col("docs") + 0.5)).alias("e")).agg(F.count(F.lit(1)).alias("n")).collect()  # a row a power
+    least, held = 62, 0
+    for e, n in sorted(((int(r["e"]), r["n"]) for r in sizes), reverse=True):
+        held += n
+        if held > COMMON_PARTS:
+            break
+        least = e
+    return 1 << least
+
+
+def frequencies(docs: DataFrame, path: str, common: dict[str, int]) -> DataFrame:
+    """``(row, doc_id, n_bytes, n_common, parts, times)`` of ``(doc_id, text)``:
+    the pieces of a document's common pre-tokens, and its other distinct
+    pre-tokens with how often each stands in it.  The count of a text that
+    must not be cut is all in ``n_common``."""
+    def run(batch: pa.RecordBatch):
+        cutter = process_cache(("pre-tokens", path), lambda: PreTokens(path))
+        n_bytes, n_common, parts, times = [], [], [], []
+        for t in batch.column(2).to_pylist():
+            t = t or ""
+            n_bytes.append(len(t.encode()))
+            whole = cutter.whole(t)
+            found = Counter() if whole is not None else Counter(cutter.of(t))
+            rest = [p for p in found if p not in common]
+            n_common.append((whole or 0) + sum(n * common[p] for p, n in found.items() if p in common))
+            parts.append(rest), times.append([found[p] for p in rest])
+        return batch.column(0), batch.column(1), n_bytes, n_common, parts, times
+
+    kind = docs.schema["doc_id"].dataType.simpleString()
+    src = docs.select(F.monotonically_increasing_id().alias("row"), "doc_id", "text")
+    return map_batches(src, run, f"row bigint, doc_id {kind}, n_bytes bigint, n_common bigint, parts array<string>, times array<int>")
+
+
 def count_tokens(docs: DataFrame, path: str, limit: int = 512, doc_id: str = "doc_id",
                  text: str = "text") -> DataFrame:
     """One row per row of ``docs``: ``(doc_id, n_bytes, n_tokens, over_limit)``.
 
-    The pre-tokens of a document are counted, each distinct one of the table
-    is encoded once, and a join with the frequencies gives the sums; no id
-    list is built.  Pre-tokens of which one in ``COMMON_SHARE`` frequencies is
-    (there are no more than ``COMMON_SHARE`` of those) are broadcast, and their
-    sums are made before any shuffle, so no very common one is a hot key; the
-    others are joined by a shuffle.  A null text counts as empty (0 bytes, 0
-    tokens); null and repeated ids, and repeated rows, are kept row by row;
-    other columns of ``docs`` are ignored; an empty table gives an empty
-    result.  ``path`` is a byte-level vocabulary file for the tokenizers library."""
+    Each distinct pre-token of the table is encoded once, and a join with the
+    frequencies of the documents gives the sums; no id list is built.  At most
+    ``COMMON_PARTS`` pre-tokens, those of the most documents, go to the tasks
+    and are joined there, so no very common one is a hot key of the shuffle
+    that joins the others.  A null text counts as empty (0 bytes, 0 tokens);
+    null and repeated ids, and repeated rows, are kept row by row; other
+    columns of ``docs`` are ignored; an empty table gives an empty result.
+    ``path`` is a byte-level vocabulary file for the tokenizers library."""
     src = docs.select(F.col(f"`{doc_id}`").alias("doc_id"), F.col(f"`{text}`").alias("text"))
-    counted = written(frequencies(src, path), "frequencies")
+    known = written(piece_counts(distinct_parts(src, path), path), "pieces")
+    least = common_from(known)
+    common = {r["part"]: r["pieces"] for r in known.where(F.col("docs") >= least).select("part", "pieces").collect()}
+    counted = written(frequencies(src, path, common), "frequencies")
     held = counted.select("row", F.explode(F.arrays_zip("parts", "times")).alias("x")).select(
         "row", F.col("x.parts").alias("part"), F.col("x.times").alias("times"))
-    distinct = held.groupBy("part").agg(F.count(F.lit(1)).alias("docs"))
-    known = written(piece_counts(distinct, path), "pieces")
-    total = known.agg(F.sum("docs")).first()[0] or 0
-    common = bounded_broadcast(known.where(F.col("docs") * COMMON_SHARE >= total).select("part", "pieces"), COMMON_SHARE)
-    rare = known.where(F.col("docs") * COMMON_SHARE < total).select("part", "pieces")
-    summed = F.sum(F.col("times").cast("bigint") * F.col("pieces")).alias("n")
-    near = held.join(common, "part").groupBy("row").agg(summed)
-    far = held.join(common, "part", "left_anti").join(rare, "part").groupBy("row").agg(summed)
-    sums = near.unionByName(far).groupBy("row").agg(F.sum("n").alias("n"))
-    n = F.coalesce("whole", "n", F.lit(0)).cast("bigint")
-    return (counted.select("row", "doc_id", "n_bytes", "whole").join(sums, "row", "left")
+    rare = known.where(F.col("docs") < least).select("part", "pieces")
+    sums = held.join(rare, "part").groupBy("row").agg(F.sum(F.col("times").cast("bigint") * F.col("pieces")).alias("n"))
+    n = (F.col("n_common") + F.coalesce("n", F.lit(0))).cast("bigint")
+    return (counted.select("row", "doc_id", "n_bytes", "n_common").join(sums, "row", "left")
             .select("doc_id", "n_bytes", n.alias("n_tokens"), (n > limit).alias("over_limit")))
 
 

@@ -125,9 +125,9 @@ def test_the_join_equals_the_library_in_all_scripts(spark):
     assert got == {i: (len((t or "").encode()), len(tok.encode(t or "", add_special_tokens=False))) for i, t in enumerate(texts)}
 
 
-@pytest.mark.parametrize("share", [1, 20, 1 << 16])
+@pytest.mark.parametrize("share", [0, 1, 20, 1 << 16])
 def test_common_and_rare_parts_add_up(spark, monkeypatch, share):
-    monkeypatch.setattr(tokens, "COMMON_SHARE", share)
+    monkeypatch.setattr(tokens, "COMMON_PARTS", share)
     tok, path = library("byte_bpe_50k.json"), tokens.tokenizer_path("byte_bpe_50k.json")
     texts = [f"the same word {i} {i % 7} and unlikely{i * 37}" for i in range(300)]
     docs = spark.createDataFrame([(i, t) for i, t in enumerate(texts)], "doc_id bigint, text string")
