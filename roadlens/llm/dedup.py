@@ -284,7 +284,10 @@ def _linked_in_blocks(left: DataFrame, texts: DataFrame, words: int, percent: in
     """``(a, b)``: links between the components of ``left (band, rep, n, comp,
     lead)``, ``lead`` being one class of the band.  Enough of them to join all
     classes that linked pairs of a common band join."""
-    cluster = components(left.select(F.col("rep").alias("a"), F.col("lead").alias("b")).where("a != b").distinct())
+    # a class is tied to one of its leads, and its other leads (one a band) to that one: far fewer edges than rows
+    ties = left.groupBy("rep").agg(F.min("lead").alias("b"), F.collect_set("lead").alias("leads"))
+    ties = ties.select(F.explode(F.array_union("leads", F.array("rep"))).alias("a"), "b")
+    cluster = components(ties.where("a != b").distinct())
     rows = left.join(cluster.select(F.col("id").alias("rep"), F.concat(F.lit("c"), F.col("comp").cast("string")).alias("unit")), "rep")
 
     def sizes(df: DataFrame) -> DataFrame:
