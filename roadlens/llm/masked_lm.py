@@ -2,45 +2,58 @@
 
 A small network predicts every token from its neighbours on both sides: each
 place of the window has an embedding table, their sum goes through tanh, and
-a softmax over word classes gives the probability of the token's class.  The
-most frequent words are classes of their own, the others share classes by
-their shape, and a word's probability is that of its class, given both sides,
-times its share of the class: ``p(word) = p(class | both sides) * p(word |
-class)``.  The sum of the tokens' conditional log-probabilities scores a
-document.
+two softmaxes over the hidden state give the token.  The most frequent words
+are classes of their own; any other word has a class by its ending, length and
+kind, and a part of it by its beginning: ``p(word) = p(class | both sides) *
+p(part | class, both sides) * p(word | part)``, the last by the true counts of
+all documents.  As a neighbour, each of the ``OWN`` most frequent words has an
+embedding of its own, and any other word that of its class, part and hash.
+The sum of the tokens' conditional log-probabilities scores a document.
 
 The vocabulary is every word of all documents with its true count, so it
 grows with the input.  The counts of a bounded number of frequent words go
 with the tasks; those of all other words stay a table and are joined to the
 words that the tasks could not look up.  The network is trained in numpy on
-the executors, in one pass over all documents: every document trains in one of
-the rounds, in which each task goes over its share from the current weights,
-and the tasks' weights are averaged by Spark, weighted by tokens.  What is
-counted, trained on and averaged grows with the input.
+the executors, in one pass over all documents.  Texts are dealt by a hash to
+training streams, whose number follows from the tokens and not from the
+cluster, and are ordered inside a stream; a stream goes over its texts from
+the round's weights, and Spark averages the streams' weights in several
+levels, weighted by tokens.  So the scores do not depend on how the input is cut.
+What is counted, trained on and averaged grows with the input.
 """
 
 from __future__ import annotations
 
+import math
 from collections import Counter
 from collections.abc import Callable, Iterator
 from dataclasses import dataclass
+from typing import NamedTuple
+from zlib import crc32
 
 import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame, functions as F
 
-from roadlens.llm.common import map_batches, process_cache, written
+from roadlens.llm.common import drop_written, map_batches, process_cache, written
 
-#: Frequent words, shape buckets, places on each side, hidden units.
-WORDS, SHAPES, SIDE, HIDDEN = 192, 64, 2, 24
+#: Words with a class of their own, classes of the others, parts of a class.
+WORDS, SHAPES, PARTS = 64, 64, 64
+#: Words with an embedding of their own, embeddings of a part, places on each side, hidden units.
+OWN, FINE, SIDE, HIDDEN = 4096, 2, 2, 16
 #: Rounds of averaging, each over its share of all documents; tokens a step; rate.
-ROUNDS, BATCH, RATE = 2, 1024, 0.5
+ROUNDS, BATCH, RATE = 2, 1024, 1.0
+#: Tokens of a training stream on average, and streams of a task where there are many.
+STREAM_TOKENS, TASK_STREAMS = 750_000, 20
+#: Letters of the texts that a stream reads before it takes its steps, and weights of a stored row.
+LETTERS, WEIGHTS_ROW = 250_000, 16_384
 #: Different words that a task counts before it hands them on.
 HELD_WORDS = 400_000
 #: Words whose counts go with the tasks (93% of all occurrences at 0.1 GB).
 KNOWN_WORDS = 300_000
-VOCAB = WORDS + SHAPES
-EDGE = VOCAB  # stands beyond both ends of a text
+CLASSES, LEAVES = WORDS + SHAPES, SHAPES * PARTS
+EDGE = LEAVES * FINE  # the place beyond both ends of a text
+ROWS = EDGE + 1 + OWN  # embeddings of a window place
 
 
 def _count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -66,78 +79,100 @@ def word_counts(docs: DataFrame, text: str = "text") -> DataFrame:
 
 
 def _shape(word: str) -> int:
-    """A bucket from a word's ending and length."""
-    last, kind = word[-1], 0 if word.isalpha() else 1 if word[:-1].isalpha() else 2 if any(map(str.isdigit, word)) else 3
-    return WORDS + (kind * 16 + (4 if len(word) > 6 else 0) + (8 if len(word) > 12 else 0) + ord(last) % 4)
+    """A word's class among those by shape: ending and length of a plain word,
+    of a word with a mark behind it, of one with digits, and of any other."""
+    n, last = len(word), ord(word[-1])
+    if word.isalpha():
+        return (0 if n < 4 else 8 if n < 7 else 16 if n < 10 else 24) + last % 8
+    if word[:-1].isalpha():
+        return 32 + (0 if n < 6 else 8) + last % 8
+    return (48 if any(map(str.isdigit, word)) else 56) + (0 if n < 6 else 4) + last % 4
 
 
-class _Ids(dict):
-    """Word -> token id; other words get their shape's bucket and are not kept."""
-    def __missing__(self, word):
-        return _shape(word)
+def _leaf(word: str) -> int:
+    """A word's class by shape, and its part of it by the first two letters."""
+    return _shape(word) * PARTS + crc32(word[:2].encode()) % PARTS
 
 
-def token_ids(text: str, known: _Ids | _Places) -> np.ndarray:
-    words = text.lower().split()
-    return np.fromiter(map(known.__getitem__, words), np.int32, len(words))
+def _fine(word: str) -> int:
+    return _leaf(word) * FINE + (crc32(word.encode()) >> 7) % FINE
 
 
 class Vocabulary(tuple):
-    """The most frequent words in rank order, which are classes of their own.
+    """The most frequent words in rank order: the first ``WORDS`` are classes
+    of their own, the first ``OWN`` have embeddings of their own.
 
-    ``known`` and ``counts``: further words, joined by blanks, and how often
-    they occur; ``totals``: occurrences of all but the most frequent words per
-    class; ``rest``: the ``(word, n)`` table of the words that are neither and
-    occur more than once, or None where there are none."""
-    known, counts, totals, rest = "", np.zeros(0), None, None
+    ``counts``: how often they occur; ``known`` and ``known_counts``: further
+    words, joined by blanks, and theirs; ``totals``: occurrences per leaf of
+    all words without a class of their own; ``rest``: the ``(word, n)`` table
+    of the words that are none of these and occur more than once, or None where
+    there are none; ``tokens``: occurrences of all words."""
+    counts, known, known_counts, totals, rest, tokens = np.zeros(0), "", np.zeros(0), np.zeros(LEAVES), None, 0
 
     @classmethod
-    def of(cls, top, known, counts, totals, rest):
+    def of(cls, top, counts, known, known_counts, totals, rest):
         self = cls(top)
-        self.known, self.counts, self.totals, self.rest = known, counts, totals, rest
+        self.counts, self.known, self.known_counts, self.totals, self.rest = counts, known, known_counts, totals, rest
+        self.tokens = int(totals.sum() + counts[:WORDS].sum())
         return self
 
 
 @dataclass(frozen=True)
 class MaskedModel:
-    """``words`` in rank order (with a plain tuple in place of a ``Vocabulary``
-    only classes are scored); ``weights``: the flat parameters."""
-    words: tuple[str, ...]
+    """``words``: the vocabulary; ``weights``: the flat parameters."""
+    words: Vocabulary
     weights: np.ndarray
 
-    def ids(self) -> _Ids:
-        return _Ids((w, i) for i, w in enumerate(self.words))
-
 
-def _shares(totals: np.ndarray | None) -> np.ndarray:
-    """Per class, the log share of a word that occurs once; an unseen word
-    has the same, so the shares of a class sum to 1."""
-    return np.zeros(VOCAB) if totals is None else -np.log(totals + 1.0)
+class Tokens(NamedTuple):
+    """Per place of joined texts: the embedding, the class (-1 for an edge) and
+    the part of the class (-1 where the class is the word)."""
+    rows: np.ndarray
+    classes: np.ndarray
+    parts: np.ndarray
 
 
 class _Places(dict):
-    """Word -> its place in ``classes`` and ``logs`` (the log share of its
-    class); any other word has its class as a place and is noted in ``others``.
-    The first places are the classes themselves and the edge."""
-
-    def __init__(self, top: tuple[str, ...], known: str, counts: np.ndarray, totals: np.ndarray | None):
-        names, shares = known.split(), _shares(totals)
-        shapes = np.fromiter(map(_shape, names), np.int32, len(names))
-        self.classes = np.concatenate([np.arange(VOCAB + 1, dtype=np.int32), shapes])
-        self.logs = np.concatenate([shares, [0.0], np.log(counts) + shares[shapes]])
-        self.logs[:len(top)] = 0.0
-        super().__init__(zip(names, range(VOCAB + 1, len(self.classes))))
-        self.update((w, i) for i, w in enumerate(top))
+    """Word -> its place in ``rows``, ``classes``, ``parts`` and ``logs`` (the
+    log share of its leaf; a word that was never counted has that of one that
+    occurs once).  Words that it has not are noted in ``others`` and have the
+    place of their leaf and hash; these places and the edge come first."""
+
+    def __init__(self, vocab: Vocabulary):
+        names = [*vocab, *vocab.known.split()]
+        counts = np.concatenate([vocab.counts, vocab.known_counts])
+        fine = np.concatenate([np.arange(EDGE + 1), np.fromiter(map(_fine, names), np.int64, len(names))])
+        leaf, first = fine // FINE, EDGE + 1
+        self.rows = fine.astype(np.uint16)
+        own = min(OWN, len(vocab))
+        self.rows[first:first + own] = np.arange(own) + EDGE + 1
+        self.classes = (WORDS + leaf // PARTS).astype(np.int32)
+        self.parts = (leaf % PARTS).astype(np.int32)
+        self.logs = -np.log(np.append(vocab.totals, 0.0) + 1.0)[leaf]
+        self.logs[first:] += np.log(counts)
+        alone = min(WORDS, len(vocab))
+        self.classes[first:first + alone], self.parts[first:first + alone] = np.arange(alone), -1
+        self.classes[EDGE] = self.parts[EDGE] = -1
+        self.logs[EDGE] = self.logs[first:first + alone] = 0.0
+        super().__init__(zip(names, range(first, first + len(names))))
         self.others: list[str] = []
 
     def __missing__(self, word):
         self.others.append(word)
-        return _shape(word)
+        return _fine(word)
 
     def noted(self) -> list[str]:
         out, self.others = self.others, []
         return out
 
+    def tokens(self, places: np.ndarray) -> Tokens:
+        return Tokens(self.rows.take(places), self.classes.take(places), self.parts.take(places))
+
+
+def _place_ids(text: str, known: _Places) -> np.ndarray:
+    words = text.lower().split()
+    return np.fromiter(map(known.__getitem__, words), np.int32, len(words))
+
 
 def _low(n: int) -> int:
     """The least count of the stretch that ``n`` is in (eight to an octave)."""
@@ -145,32 +180,29 @@ def _low(n: int) -> int:
     return n >> s << s
 
 
-def _classes(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """Words and occurrences per class by shape and stretch of counts."""
-    words, total = Counter(), Counter()
+def _sums(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """Occurrences per leaf, and words per stretch of counts (as ``-low``)."""
+    sums = Counter()
     for batch in batches:
         for word, n in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist()):
-            key = _shape(word), _low(n)
-            words[key] += 1
-            total[key] += n
-    keys = list(words)
-    cols = [k[0] for k in keys], [k[1] for k in keys], [words[k] for k in keys], [total[k] for k in keys]
-    yield pa.RecordBatch.from_arrays([pa.array(c, pa.int64()) for c in cols], ["class", "low", "words", "n"])
-
-
-def vocabulary(counted: DataFrame, words: int = WORDS) -> tuple[Vocabulary, np.ndarray]:
-    """The vocabulary of a ``(word, n)`` table, and the occurrences of every
-    class; at most ``KNOWN_WORDS`` words and a few thousand sums are collected."""
-    top = counted.orderBy(F.desc("n"), "word").limit(words).collect()
-    sums = (counted.select("word", "n").mapInArrow(_classes, "class bigint, low bigint, words bigint, n bigint")
-            .groupBy("class", "low").agg(F.sum("words").alias("words"), F.sum("n").alias("n")).collect())
-    counts, number = np.zeros(VOCAB), Counter()
+            sums[_leaf(word)] += n
+            sums[-_low(n)] += 1
+    yield pa.RecordBatch.from_arrays([pa.array(list(sums), pa.int64()), pa.array(list(sums.values()), pa.int64())], ["at", "n"])
+
+
+def vocabulary(counted: DataFrame) -> Vocabulary:
+    """The vocabulary of a ``(word, n)`` table; at most ``OWN`` and
+    ``KNOWN_WORDS`` words and a few thousand sums are collected."""
+    top = [(r["word"], r["n"]) for r in counted.orderBy(F.desc("n"), "word").limit(max(OWN, WORDS)).collect()]
+    sums = (counted.select("word", "n").mapInArrow(_sums, "at bigint, n bigint")
+            .groupBy("at").agg(F.sum("n").alias("n")).collect())
+    totals = np.zeros(LEAVES)
+    number = {-r["at"]: r["n"] for r in sums if r["at"] < 0}
     for r in sums:
-        counts[r["class"]] += r["n"]
-        number[r["low"]] += r["words"]
-    for i, r in enumerate(top):
-        counts[i] = r["n"]
-        counts[_shape(r["word"])] -= r["n"]
+        if r["at"] >= 0:
+            totals[r["at"]] = r["n"]
+    for word, n in top[:WORDS]:
+        totals[_leaf(word)] -= n
     # a word that occurs once has the share of an unseen one and need not be known
     least, held = 1 + max(number, default=1), 0
     for low in sorted(number, reverse=True):
@@ -178,17 +210,21 @@ def vocabulary(counted: DataFrame, words: int = WORDS) -> tuple[Vocabulary, np.n
         if low < 2 or held > KNOWN_WORDS:
             break
         least = low
+    first = {w for w, _ in top}
     frequent = counted.where(F.col("n") >= least).select("word", "n").toArrow().to_pydict()
-    first = {r["word"] for r in top}
-    keep = [i for i, w in enumerate(frequent["word"]) if w not in first]
-    rest = counted.where((F.col("n") >= 2) & (F.col("n") < least) & ~F.col("word").isin(*first)) \
-        if any(2 <= low < least for low in number) else None
-    return Vocabulary.of([r["word"] for r in top], " ".join(frequent["word"][i] for i in keep),
-                         np.array([frequent["n"][i] for i in keep], float), np.where(np.arange(VOCAB) < WORDS, 0, counts), rest), counts
+    keep = [(w, n) for w, n in zip(frequent["word"], frequent["n"]) if w not in first]
+    # the most frequent words are all words down to the last of them, in the order of the words
+    last, last_n = top[-1] if top else ("", 0)
+    behind = (F.col("n") < last_n) | ((F.col("n") == last_n) & (F.col("word") > last))
+    rest = counted.where((F.col("n") >= 2) & (F.col("n") < least) & behind) if any(2 <= low < least for low in number) else None
+    return Vocabulary.of([w for w, _ in top], np.array([n for _, n in top], float), " ".join(w for w, _ in keep),
+                         np.array([n for _, n in keep], float), totals, rest)
 
 
 def _sizes() -> list[tuple[int, ...]]:
-    return [(2 * SIDE, VOCAB + 1, HIDDEN), (HIDDEN, VOCAB), (VOCAB,)]
+    """Embeddings of each window place; vectors and biases of the classes;
+    vectors of the parts, and their biases in each class."""
+    return [(2 * SIDE, ROWS, HIDDEN), (HIDDEN, CLASSES), (CLASSES,), (HIDDEN, PARTS), (SHAPES, PARTS)]
 
 
 def unflatten(flat: np.ndarray) -> list[np.ndarray]:
@@ -200,143 +236,243 @@ def unflatten(flat: np.ndarray) -> list[np.ndarray]:
     return out
 
 
-def start_weights(counts: np.ndarray) -> np.ndarray:
-    """Small embeddings, and the tokens' log frequencies as biases."""
+def start_weights(vocab: Vocabulary) -> np.ndarray:
+    """Small vectors, and log frequencies as biases."""
     rng = np.random.default_rng(3)
-    p = (counts + 1.0) / (counts + 1.0).sum()
-    return np.concatenate([(rng.standard_normal(int(np.prod(s))) * 0.1) for s in _sizes()[:2]] + [np.log(p)]).astype(np.float32)
-
-
-def _hidden(ids: np.ndarray, emb: np.ndarray) -> np.ndarray:
-    """tanh of the summed window embeddings, one row per token of ``ids``
-    (which already has ``SIDE`` edges at both ends)."""
-    n = len(ids) - 2 * SIDE
-    places = [p for p in range(2 * SIDE + 1) if p != SIDE]
-    h = emb[0].take(ids[places[0]:places[0] + n], 0)
-    for e, p in zip(emb[1:], places[1:]):
-        h += e.take(ids[p:p + n], 0)
+    small = [(rng.standard_normal(int(np.prod(s))) * 0.1) for s in _sizes()]
+    leaves = vocab.totals.reshape(SHAPES, PARTS) + 1.0
+    classes = np.concatenate([np.ones(WORDS), leaves.sum(1)])
+    alone = vocab.counts[:WORDS]
+    classes[:len(alone)] += alone
+    small[2] = np.log(classes / classes.sum())
+    small[4] = np.log(leaves / leaves.sum(1)[:, None]).ravel()
+    return np.concatenate(small).astype(np.float32)
+
+
+def _near(rows: np.ndarray, here: np.ndarray) -> list[np.ndarray]:
+    """The embeddings of the neighbours of the places ``here``, by distance."""
+    return [rows.take(here + p) for p in range(-SIDE, SIDE + 1) if p]
+
+
+def _hidden(near: list[np.ndarray], emb: np.ndarray) -> np.ndarray:
+    h = emb[0].take(near[0], 0)
+    for e, c in zip(emb[1:], near[1:]):
+        h += e.take(c, 0)
     return np.tanh(h, out=h)
 
 
-def _exp_logits(h: np.ndarray, out: np.ndarray, bias: np.ndarray, own: np.ndarray | None = None):
+def _exp_logits(z: np.ndarray, own: np.ndarray, bound: float) -> tuple[np.ndarray, np.ndarray]:
     """exp of the logits less a shift per row, and the logits of ``own`` less
-    the same shift.  ``h`` is within -1 and 1, so small weights need no shift."""
-    z = h @ out
-    z += bias
-    if (np.abs(out).sum(0) + np.abs(bias)).max() > 60:
+    the same shift; logits within ``bound`` of 0 need none above 60."""
+    if bound > 60:
         z -= z.max(1)[:, None]
-    picked = None if own is None else z[np.arange(len(z)), own]
+    picked = z[np.arange(len(z)), own]
     return np.exp(z, out=z), picked
 
 
-def log_probs(ids: np.ndarray, weights: list[np.ndarray], chunk: int = 1024) -> np.ndarray:
-    """Log-probability of every token of edge-padded ``ids`` given both sides."""
-    emb, out, bias = weights
-    n = len(ids) - 2 * SIDE
-    got = np.empty(n, np.float32)
-    ones = np.ones(VOCAB, np.float32)
-    for at in range(0, n, chunk):
-        part = ids[at:at + chunk + 2 * SIDE]
-        m = len(part) - 2 * SIDE
-        # an edge as the token itself (between joined texts) is no vocabulary word
-        z, own = _exp_logits(_hidden(part, emb), out, bias, np.minimum(part[SIDE:SIDE + m], VOCAB - 1))
-        got[at:at + m] = own - np.log(z @ ones)
+def _logits(h: np.ndarray, out: np.ndarray, bias: np.ndarray) -> np.ndarray:
+    z = h @ out
+    z += bias
+    return z
+
+
+def _row_sums(z: np.ndarray) -> np.ndarray:
+    return z @ np.ones(z.shape[1], z.dtype)
+
+
+def _bounds(weights: list[np.ndarray]) -> tuple[float, float]:
+    """No logit of the classes and of the parts is further from 0 (the hidden
+    state lies within -1 and 1)."""
+    _, out, bias, part, shift = weights
+    return float((np.abs(out).sum(0) + np.abs(bias)).max()), float(np.abs(part).sum(0).max() + np.abs(shift).max())
+
+
+def log_probs(tokens: Tokens, weights: list[np.ndarray], chunk: int = 1024) -> np.ndarray:
+    """Log-probability of every token's class and part given both sides, by
+    place; 0 at the edges.  Texts have ``SIDE`` edges before and behind."""
+    emb, out, bias, part, shift = weights
+    got = np.zeros(len(tokens.rows), np.float32)
+    words = np.flatnonzero(tokens.classes >= 0)
+    bounds = _bounds(weights)
+    for at in range(0, len(words), chunk):
+        here = words[at:at + chunk]
+        h = _hidden(_near(tokens.rows, here), emb)
+        cls, sub = tokens.classes.take(here), tokens.parts.take(here)
+        z, own = _exp_logits(_logits(h, out, bias), cls, bounds[0])
+        total = own - np.log(_row_sums(z))
+        inner = np.flatnonzero(sub >= 0)
+        z = _logits(h.take(inner, 0), part, shift.take(cls.take(inner) - WORDS, 0))
+        z, own = _exp_logits(z, sub.take(inner), bounds[1])
+        total[inner] += own - np.log(_row_sums(z))
+        got[here] = total
     return got
 
 
-def train_pass(ids: np.ndarray, flat: np.ndarray, rate: float = RATE, batch: int = BATCH) -> np.ndarray:
-    """One pass of plain gradient steps over edge-padded ``ids``."""
-    flat = flat.copy()
-    emb, out, bias = unflatten(flat)
-    places = [p for p in range(2 * SIDE + 1) if p != SIDE]
-    n = len(ids) - 2 * SIDE
-    all_here = np.flatnonzero(ids[SIDE:SIDE + n] < VOCAB)
-    target = ids[SIDE:SIDE + n]
-    ones = np.ones(VOCAB, np.float32)
-    for at in np.random.default_rng(5).permutation(np.arange(0, len(all_here), batch)):
-        here = all_here[at:at + batch]
-        ctx = [ids[here + p] for p in places]
-        h = emb[0].take(ctx[0], 0)
-        for e, c in zip(emb[1:], ctx[1:]):
-            h += e.take(c, 0)
-        np.tanh(h, out=h)
-        z = _exp_logits(h, out, bias)[0]
-        z *= (1 / (z @ ones * len(here)))[:, None]
-        z[np.arange(len(here)), target[here]] -= 1 / len(here)
-        back = (z @ out.T) * (1 - h * h)
-        out -= rate * (h.T @ z)
-        bias -= rate * z.sum(0)
-        # the steps of all places' embeddings, summed per embedding
-        where = np.concatenate([c + i * (VOCAB + 1) for i, c in enumerate(ctx)])
-        for j, b in enumerate(np.ascontiguousarray(back.T)):
-            step = np.bincount(where, np.concatenate([b] * len(ctx)), emb.shape[0] * (VOCAB + 1))
-            emb[:, :, j] -= (rate * 4) * step.reshape(emb.shape[:2])
-    return np.clip(flat, -12, 12)
+def _group_sums(keys: np.ndarray, values: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """The different keys, and the sums and numbers of their rows of ``values``."""
+    order = np.argsort(keys, kind="stable")
+    keys = keys.take(order)
+    starts = np.flatnonzero(np.append(True, keys[1:] != keys[:-1]))
+    return keys.take(starts), np.add.reduceat(values.take(order, 0), starts, 0), np.diff(np.append(starts, len(keys)))
+
+
+def gradients(tokens: Tokens, here: np.ndarray, weights: list[np.ndarray]) -> tuple:
+    """Slopes of the mean negative log-probability of the tokens ``here``:
+    ``(near, back, out, bias, part, shift classes, shift)``, where ``back`` is
+    that of every token's summed embeddings."""
+    emb, out, bias, part, shift = weights
+    near = _near(tokens.rows, here)
+    h = _hidden(near, emb)
+    cls, sub = tokens.classes.take(here), tokens.parts.take(here)
+    bounds = _bounds(weights)
+    z, _ = _exp_logits(_logits(h, out, bias), cls, bounds[0])
+    z *= (1 / (_row_sums(z) * len(here)))[:, None]
+    z[np.arange(len(here)), cls] -= 1 / len(here)
+    back, d_out, d_bias = z @ out.T, h.T @ z, z.sum(0)
+    inner = np.flatnonzero(sub >= 0)
+    d_part, shapes, d_shift = None, None, None
+    if len(inner):
+        inside, shape = h.take(inner, 0), (cls.take(inner) - WORDS).astype(np.uint16)
+        y, _ = _exp_logits(_logits(inside, part, shift.take(shape, 0)), sub.take(inner), bounds[1])
+        y *= (1 / (_row_sums(y) * len(here)))[:, None]
+        y[np.arange(len(inner)), sub.take(inner)] -= 1 / len(here)
+        back[inner] += y @ part.T
+        d_part = inside.T @ y
+        shapes, d_shift, _ = _group_sums(shape, y)
+    back *= 1 - h * h
+    return near, back, d_out, d_bias, d_part, shapes, d_shift
+
+
+def train_pass(tokens: Tokens, flat: np.ndarray, rate: float = RATE, batch: int = BATCH) -> None:
+    """One pass of gradient steps over joined texts, in place.  An embedding's
+    step is divided by the root of its share of the batch, so that those of
+    rare words move too."""
+    weights = unflatten(flat)
+    emb, out, bias, part, shift = weights
+    words = np.flatnonzero(tokens.classes >= 0)
+    for at in np.random.default_rng(5).permutation(np.arange(0, len(words), batch)):
+        here = words[at:at + batch]
+        near, back, d_out, d_bias, d_part, shapes, d_shift = gradients(tokens, here, weights)
+        out -= rate * d_out
+        bias -= rate * d_bias
+        if d_part is not None:
+            part -= rate * d_part
+            shift[shapes] -= rate * d_shift
+        for e, c in zip(emb, near):
+            rows, step, n = _group_sums(c, back)
+            e[rows] -= rate * np.sqrt(len(here) / n, dtype=np.float32)[:, None] * step
+    np.clip(flat, -12, 12, out=flat)
 
 
 def _joined(texts: list[str], known: _Places) -> tuple[np.ndarray, list[int]]:
     """Edge-padded places of several texts, edges between them, and their lengths."""
     edge = np.full(SIDE, EDGE, np.int32)
-    each = [token_ids(t, known) for t in texts]
+    each = [_place_ids(t, known) for t in texts]
     return np.concatenate([edge] + [x for ids in each for x in (ids, edge)]), [len(ids) for ids in each]
 
 
-def _apart(ids: np.ndarray, lengths: list[int]) -> Iterator[np.ndarray]:
-    """The texts' own ids in ``_joined``'s result."""
-    at = SIDE
-    for m in lengths:
-        yield ids[at:at + m]
-        at += m + SIDE
-
-
-def train(docs: DataFrame, words: int = WORDS, every: int = 1, rounds: int = ROUNDS) -> MaskedModel:
+def train(docs: DataFrame, every: int = 1, rounds: int = ROUNDS) -> MaskedModel:
     """The model of ``(doc_id, text)`` rows: counts over all of them, and one
     pass of training over all of them, null ids too.  With ``every`` above 1,
     only those with ``crc32(doc_id) mod every = 0`` train (all, where none of
-    them has words), so that tests can hold documents out."""
-    vocab, counts = vocabulary(written(word_counts(docs), "words"), words)
+    them has words), so that tests can hold documents out.  The same rows give
+    the same model whatever their order and partitions (up to the rounding of
+    sums); rows with equal id and text are in one stream."""
+    counted = written(word_counts(docs), "words")
+    vocab = vocabulary(counted)
     share = docs.where(F.col("text").isNotNull())
     if every > 1:
         held = share.where(F.crc32(F.col("doc_id").cast("string")) % every == 0)
         if held.where(F.col("text").rlike(r"\S")).limit(1).count():
             share = held
-    model = MaskedModel(vocab, start_weights(counts))
+    streams = max(1, math.ceil(vocab.tokens / rounds / STREAM_TOKENS))
+    keyed = share.select("text", F.xxhash64("text", F.col("doc_id").cast("string")).alias("key"))
+    keyed = keyed.withColumn("stream", F.pmod(F.shiftright("key", 8), F.lit(streams)))
+    model = MaskedModel(vocab, start_weights(vocab))
     for r in range(rounds):
-        turn = share.where(F.pmod(F.xxhash64("text"), F.lit(rounds)) == r)
-        model = MaskedModel(vocab, _round(turn.select("text"), model, RATE / (1 + r)))
+        turn = keyed.where(F.pmod("key", F.lit(rounds)) == r)
+        model = MaskedModel(vocab, _round(turn, streams, model, RATE / (1 + r)))
     return model
 
 
-def _places(words: tuple[str, ...]) -> Callable[[], _Places]:
+def _places(vocab: Vocabulary) -> Callable[[], _Places]:
     """What a task needs to look words up, without the table of the rest."""
-    top, known, counts, totals = tuple(words), "", np.zeros(0), None
-    if isinstance(words, Vocabulary):
-        known, counts, totals = words.known, words.counts, words.totals
-    of = None if totals is None else tuple(totals)
-    return lambda: process_cache(("masked", top, known, counts.tobytes(), of), lambda: _Places(top, known, counts, totals))
+    mine = Vocabulary.of(vocab, vocab.counts, vocab.known, vocab.known_counts, vocab.totals, None)
+    parts = tuple(vocab), mine.counts, mine.known, mine.known_counts, mine.totals
+    key = "masked", parts[0], parts[2], *(parts[i].tobytes() for i in (1, 3, 4))
+    return lambda: process_cache(key, lambda: _Places(Vocabulary.of(*parts, None)))
+
+
+def _stream_texts(batches: Iterator[pa.RecordBatch]) -> Iterator[tuple[int, list[str], bool]]:
+    """``(stream, texts, whether the stream ends)``: stretches of a stream of
+    about ``LETTERS`` letters, the same however the rows are cut into batches."""
+    stream, texts, letters = None, [], 0
+    for batch in batches:
+        for text, of in zip(batch.column(0).to_pylist(), batch.column(2).to_pylist()):
+            if stream is not None and of != stream:
+                yield stream, texts, True
+                texts, letters = [], 0
+            elif letters >= LETTERS:
+                yield stream, texts, False
+                texts, letters = [], 0
+            stream = of
+            texts.append(text)
+            letters += len(text)
+    if stream is not None:
+        yield stream, texts, True
+
+
+def _added(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """Sums of ``(at, seen, weights)`` rows with equal ``at``."""
+    seen, sums = Counter(), {}
+    for batch in batches:
+        for at, n, w in zip(*(c.to_pylist() for c in batch.columns)):
+            seen[at] += n
+            sums[at] = sums.get(at, 0.0) + np.frombuffer(w, np.float64)
+    yield _weight_rows((at, seen[at], sums[at]) for at in sums)
+
+
+WEIGHT_ROWS = "at bigint, seen bigint, weights binary"
+
 
+def _weight_rows(rows) -> pa.RecordBatch:
+    rows = list(rows)
+    return pa.RecordBatch.from_arrays([pa.array([r[0] for r in rows], pa.int64()), pa.array([r[1] for r in rows], pa.int64()),
+                                       pa.array([r[2].tobytes() for r in rows], pa.binary())], ["at", "seen", "weights"])
 
-def _round(share: DataFrame, model: MaskedModel, rate: float) -> np.ndarray:
+
+def _round(turn: DataFrame, streams: int, model: MaskedModel, rate: float) -> np.ndarray:
+    """The mean of the streams' weights by tokens; the model's own where there
+    are no tokens.  Every task adds up the streams it trains, and the tasks'
+    sums meet in about the root of their number of tasks and then once more."""
     flat, places = model.weights, _places(model.words)
-    n_weights = len(flat)
+    start = flat.tobytes()
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        known, own, seen = places(), flat, 0
-        for batch in batches:
-            texts = batch.column(0).to_pylist()
-            for at in range(0, len(texts), 64):
-                ids = known.classes.take(_joined(texts[at:at + 64], known)[0])
-                known.noted()
-                seen += int((ids < VOCAB).sum())
-                own = train_pass(ids, own, rate)
-        if seen:
-            yield pa.RecordBatch.from_arrays([pa.array([seen], pa.int64()), pa.array([own.astype(np.float32)], pa.list_(pa.float32()))],
-                                             ["seen", "weights"])
-
-    trained = share.mapInArrow(run, "seen bigint, weights array<float>")
-    mean = (trained.select(F.col("seen").cast("double").alias("seen"), F.posexplode("weights").alias("i", "w")).groupBy("i")
-            .agg((F.sum(F.col("w") * F.col("seen")) / F.sum("seen")).alias("w")).orderBy("i").select("w").collect())
-    return np.array([r[0] for r in mean], np.float32) if len(mean) == n_weights else flat
+        known, total, weight = places(), 0, np.zeros(len(start) // 4)
+        own, seen = np.frombuffer(start, np.float32).copy(), 0
+        for _, texts, ends in _stream_texts(batches):
+            tokens = known.tokens(_joined(texts, known)[0])
+            known.noted()
+            seen += int((tokens.classes >= 0).sum())
+            train_pass(tokens, own, rate)
+            if ends:
+                total, weight = total + seen, weight + own.astype(np.float64) * seen
+                own, seen = np.frombuffer(start, np.float32).copy(), 0
+        if total:
+            yield _weight_rows((at, total, weight[at:at + WEIGHTS_ROW]) for at in range(0, len(weight), WEIGHTS_ROW))
+
+    spread = int(turn.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    tasks = min(streams, max(spread, math.ceil(streams / TASK_STREAMS)))
+    dealt = (turn.select("text", "key", "stream").repartitionById(tasks, F.pmod("stream", F.lit(tasks)).cast("int"))
+             .sortWithinPartitions("stream", "key", "text"))
+    trained = written(dealt.mapInArrow(run, WEIGHT_ROWS).withColumn("task", F.spark_partition_id()), "weights")
+    some = math.isqrt(tasks) + 1
+    sums = written(trained.repartition(some, F.pmod("task", F.lit(some)), "at").drop("task").mapInArrow(_added, WEIGHT_ROWS), "sums")
+    mean = sums.repartition(some, "at").mapInArrow(_added, WEIGHT_ROWS).orderBy("at").collect()
+    drop_written(trained)
+    drop_written(sums)
+    return np.concatenate([np.frombuffer(r["weights"], np.float64) / r["seen"] for r in mean]).astype(np.float32) if mean else flat
 
 
 def score(docs: DataFrame, model: MaskedModel, doc_id: str = "doc_id", text: str = "text") -> DataFrame:
@@ -347,8 +483,7 @@ def score(docs: DataFrame, model: MaskedModel, doc_id: str = "doc_id", text: str
     tokens, sum 0 and mean null.  Whole texts are scored; ids may be null or
     repeated, other columns are ignored, an empty table gives an empty
     result."""
-    flat, places = model.weights, _places(model.words)
-    rest = getattr(model.words, "rest", None)
+    flat, places, rest = model.weights, _places(model.words), model.words.rest
     open_words = rest is not None
 
     def run(batch: pa.RecordBatch):
@@ -359,15 +494,16 @@ def score(docs: DataFrame, model: MaskedModel, doc_id: str = "doc_id", text: str
             known.noted()
             ids, lengths = _joined(texts[at:at + 32], known)
             noted = known.noted()
-            got, start = log_probs(known.classes.take(ids), weights).astype(np.float64), 0
-            got += known.logs.take(ids[SIDE:len(ids) - SIDE])
+            got = log_probs(known.tokens(ids), weights).astype(np.float64)
+            got += known.logs.take(ids)
+            ends = np.cumsum([SIDE] + [m + SIDE for m in lengths])
+            total += np.add.reduceat(got, ends[:-1]).tolist()  # edges count 0
+            n += lengths
             if open_words:
-                # the noted words stand in the order of the places that are classes by shape
-                ends = np.cumsum([0] + [int(((x >= WORDS) & (x < VOCAB)).sum()) for x in _apart(ids, lengths)])
-                others += [noted[a:b] for a, b in zip(ends, ends[1:])]
-            for m in lengths:
-                n.append(m), total.append(float(got[start:start + m].sum()))
-                start += m + SIDE
+                # the noted words stand in the order of the places of leaves
+                cuts = np.append(0, np.cumsum(np.add.reduceat(ids < EDGE, ends[:-1], dtype=np.int64)))
+                others += [noted[a:b] for a, b in zip(cuts, cuts[1:])]
+        total = [s if m else 0.0 for s, m in zip(total, n)]
         if open_words:
             return batch.column(0), n, total, batch.column(2), others
         return batch.column(0), n, total, [s / m if m else None for s, m in zip(total, n)]

@@ -1,48 +1,92 @@
 """Masked scoring: the network's probabilities spelled out, and what it learns."""
 
 import random
+import zlib
+from collections import Counter
 
 import numpy as np
+import pytest
 
 from roadlens.llm import masked_lm as lm
 from tests.llm.edges import edge_docs, edge_rows, empty_docs
 
 SF = "/root/testdata/sf0.001"
+ODD = ["w1 w2 w3 w4", "w1", "", None, " \n", "unknown Words 12 w3, W4", "w5 " * 300, "a, b. c? é ß 漢字 \U0001f600 - 7x x7"]
 
 
-def some_model():
-    rng = np.random.default_rng(1)
-    words = tuple(f"w{i}" for i in range(50))
-    n = len(lm.start_weights(np.ones(lm.VOCAB)))
-    return lm.MaskedModel(words, (rng.standard_normal(n) * 0.5).astype(np.float32))
+def counted_vocabulary(texts):
+    """The vocabulary of a few texts, counted by hand."""
+    top = sorted(Counter(w for t in texts for w in (t or "").lower().split()).items(), key=lambda x: (-x[1], x[0]))
+    totals = np.zeros(lm.LEAVES)
+    for w, n in top[lm.WORDS:]:
+        totals[lm._leaf(w)] += n
+    own, known = top[:lm.OWN], top[lm.OWN:]
+    return lm.Vocabulary.of([w for w, _ in own], np.array([n for _, n in own], float), " ".join(w for w, _ in known),
+                            np.array([n for _, n in known], float), totals, None)
 
 
-def plain_score(text, model):
-    emb, out, bias = (x.astype(float) for x in lm.unflatten(model.weights))
-    ids = [lm.EDGE] * lm.SIDE + lm.token_ids(text, model.ids()).tolist() + [lm.EDGE] * lm.SIDE
+def some_weights():
+    return (np.random.default_rng(1).standard_normal(sum(int(np.prod(s)) for s in lm._sizes())) * 0.5).astype(np.float32)
+
+
+def plain_score(text, vocab, flat):
+    """The sum of the words' log-probabilities, one word at a time."""
+    emb, out, bias, part, shift = (x.astype(float) for x in lm.unflatten(flat))
+    ranks = {w: i for i, w in enumerate(vocab)}
+    counts = dict(zip([*vocab, *vocab.known.split()], [*vocab.counts, *vocab.known_counts]))
+    words = (text or "").lower().split()
+
+    def row(w):
+        return lm.EDGE if w is None else lm.EDGE + 1 + ranks[w] if ranks.get(w, lm.OWN) < lm.OWN else lm._fine(w)
+
     total = 0.0
-    for t in range(lm.SIDE, len(ids) - lm.SIDE):
-        near = [ids[t + d] for d in range(-lm.SIDE, lm.SIDE + 1) if d]
-        z = np.tanh(sum(e[x] for e, x in zip(emb, near))) @ out + bias
-        total += z[ids[t]] - np.log(np.exp(z - z.max()).sum()) - z.max()
+    padded = [None] * lm.SIDE + words + [None] * lm.SIDE
+    for t, w in enumerate(words, lm.SIDE):
+        near = [padded[t + d] for d in range(-lm.SIDE, lm.SIDE + 1) if d]
+        h = np.tanh(sum(e[row(x)] for e, x in zip(emb, near)))
+        z = h @ out + bias
+        if ranks.get(w, lm.WORDS) < lm.WORDS:
+            total += z[ranks[w]] - np.log(np.exp(z).sum())
+            continue
+        shape, at = divmod(lm._leaf(w), lm.PARTS)
+        y = h @ part + shift[shape]
+        total += z[lm.WORDS + shape] - np.log(np.exp(z).sum()) + y[at] - np.log(np.exp(y).sum())
+        total += np.log(counts.get(w, 1)) - np.log(vocab.totals[lm._leaf(w)] + 1)
     return total
 
 
-def test_scores_are_summed_conditional_log_probabilities(spark):
-    model = some_model()
-    texts = ["w1 w2 w3 w4", "w1", "", None, " \n", "unknown Words 12 w3, W4", "w5 " * 300]
-    docs = spark.createDataFrame(list(enumerate(texts)), "doc_id bigint, text string")
+def test_scores_are_summed_conditional_log_probabilities(spark, monkeypatch):
+    monkeypatch.setattr(lm, "WORDS", 3)
+    monkeypatch.setattr(lm, "CLASSES", 3 + lm.SHAPES)
+    model = lm.MaskedModel(counted_vocabulary(ODD), some_weights())
+    docs = spark.createDataFrame(list(enumerate(ODD + ["never seen"])), "doc_id bigint, text string")
     got = {r.doc_id: r for r in lm.score(docs, model).collect()}
-    for i, t in enumerate(texts):
-        n = len((t or "").split())
+    for i, t in enumerate(ODD + ["never seen"]):
+        n, want = len((t or "").split()), plain_score(t, model.words, model.weights)
         assert got[i].n_tokens == n
         if n:
-            assert abs(got[i].log_prob - plain_score(t, model)) < 1e-3 * max(1, abs(got[i].log_prob))
+            assert abs(got[i].log_prob - want) < 1e-3 * max(1, abs(want))
             assert abs(got[i].mean_log_prob - got[i].log_prob / n) < 1e-9
         else:
             assert got[i].log_prob == 0 and got[i].mean_log_prob is None
 
 
+def test_probabilities_of_a_place_sum_to_one():
+    """Over all counted words, and one never seen in each leaf."""
+    words = [f"{a}{b}{c}" for a in ("", "x", "yy,", "1") for b in "abcdefg" for c in ("", "ing", "tion", "9")]
+    vocab = counted_vocabulary([" ".join(w for i, w in enumerate(words, 1) for _ in range(i % 7 + 1))])
+    places, total = lm._Places(vocab), 0.0
+    names = [*vocab, *vocab.known.split()]
+    weights = lm.unflatten(some_weights())
+    left, right = lm._place_ids("a new", places), lm._place_ids("word here", places)
+    edge = np.full(lm.SIDE, lm.EDGE, np.int32)
+    middles = [places[w] for w in names] + [leaf * lm.FINE for leaf in range(lm.LEAVES)]
+    for at in middles:
+        tokens = places.tokens(np.concatenate([edge, left, [at], right, edge]).astype(np.int32))
+        total += np.exp(float(lm.log_probs(tokens, weights)[lm.SIDE + 2]) + places.logs[at])
+    assert abs(total - 1) < 1e-3
+
+
 def test_word_counts_cover_everything(spark, monkeypatch):
     monkeypatch.setattr(lm, "HELD_WORDS", 3)
     docs = spark.createDataFrame([(1, "a b B c"), (2, None), (3, "a  a\nd")], "doc_id bigint, text string")
@@ -52,16 +96,42 @@ def test_word_counts_cover_everything(spark, monkeypatch):
 def test_trained_network_tells_text_from_shuffled_text(spark):
     docs = spark.read.parquet(f"{SF}/documents.parquet").select("doc_id", "text")
     model = lm.train(docs, every=2, rounds=2)
-    start = lm.start_weights(np.ones(lm.VOCAB))
-    rows = [r for r in docs.collect() if r.text and lm.F is not None]
-    held = [r.text for r in rows if __import__("zlib").crc32(str(r.doc_id).encode()) % 2][:60]
+    rows = [r for r in docs.collect() if r.text]
+    held = [r.text for r in rows if zlib.crc32(str(r.doc_id).encode()) % 2][:60]
     random.seed(2)
     mixed = [" ".join(random.sample(t.split(), len(t.split()))) for t in held]
     kept = spark.createDataFrame(list(enumerate(held)), "doc_id bigint, text string")
     stirred = spark.createDataFrame(list(enumerate(mixed)), "doc_id bigint, text string")
     total = lambda df, m: sum(r.log_prob for r in lm.score(df, m).collect())
     assert total(kept, model) > total(stirred, model)
-    assert total(kept, model) > total(kept, lm.MaskedModel(model.words, start))
+    assert total(kept, model) > total(kept, lm.MaskedModel(model.words, lm.start_weights(model.words)))
+
+
+def test_rare_words_of_a_class_are_not_one_word(spark, monkeypatch):
+    """Words of one class by shape that change places change the score, and
+    so does a word of the same leaf."""
+    monkeypatch.setattr(lm, "OWN", lm.WORDS)
+    vocab = counted_vocabulary([" ".join(f"w{i}" for i in range(lm.WORDS)) * 5, "gather lather", "lateral latter"])
+    assert lm._shape("gather") == lm._shape("lather") and lm._leaf("gather") != lm._leaf("lather")
+    other = next(w for w in (f"la{a}{b}er" for a in "tbcdfg" for b in "hklmn")
+                 if lm._leaf(w) == lm._leaf("lather") and lm._fine(w) != lm._fine("lather"))
+    model = lm.MaskedModel(vocab, some_weights())
+    texts = ["w1 gather w2 w3 lather w4", "w1 lather w2 w3 gather w4", f"w1 {other} w2 w3 gather w4"]
+    docs = spark.createDataFrame(list(enumerate(texts)), "doc_id bigint, text string")
+    got = sorted(r.log_prob for r in lm.score(docs, model).collect())
+    assert got[1] - got[0] > 1e-3 and got[2] - got[1] > 1e-3
+
+
+def test_the_model_does_not_depend_on_partitions(spark, monkeypatch):
+    monkeypatch.setattr(lm, "LETTERS", 5_000)
+    docs = spark.read.parquet(f"{SF}/documents.parquet").select("doc_id", "text").limit(80)
+    docs = spark.createDataFrame(docs.collect(), docs.schema)
+    scores = []
+    for parts in (1, 8):
+        dealt = docs.repartition(parts) if parts > 1 else docs.orderBy("text").coalesce(1)
+        scores.append({r.doc_id: r.log_prob for r in lm.score_documents(dealt).collect()})
+    assert scores[0].keys() == scores[1].keys()
+    assert all(scores[1][i] == pytest.approx(s, rel=1e-5) for i, s in scores[0].items())
 
 
 def test_edges(spark):
@@ -72,23 +142,24 @@ def test_edges(spark):
 
 
 def test_every_counted_word_has_its_own_probability(spark, monkeypatch):
+    monkeypatch.setattr(lm, "OWN", lm.WORDS)
     frequent = [f"w{i}" for i in range(lm.WORDS)]
-    texts = [" ".join(frequent * 9), "rather " * 5 + "gather " * 3 + "lather " * 2 + "father", "rather gather", "lather father", "zather", None, ""]
+    texts = [" ".join(frequent * 9), "lather " * 5 + "latter " * 3 + "laster " * 2 + "laxer", "lather latter", "laster laxer", "lauder", None, ""]
     docs = spark.createDataFrame(list(enumerate(texts)), "doc_id bigint, text string")
-    counts = {"rather": 6, "gather": 4, "lather": 3, "father": 2}
-    shape = {lm._shape(w) for w in counts}
-    assert len(shape) == 1 and lm._shape("zather") in shape
-    share = {w: n / (sum(counts.values()) + 2) for w, n in {**counts, "zather": 1}.items()}
+    counts = {"lather": 6, "latter": 4, "laster": 3, "laxer": 2}
+    assert len({lm._leaf(w) for w in ("lather", "latter", "laster", "lauder")}) == 1
+    want_vocab = counted_vocabulary(texts)
     got = []
     for known in (lm.KNOWN_WORDS, lm.WORDS + 1, 0):  # all words go with the tasks, some, none
         monkeypatch.setattr(lm, "KNOWN_WORDS", known)
-        vocab, by_class = lm.vocabulary(lm.word_counts(docs))
+        vocab = lm.vocabulary(lm.word_counts(docs))
         assert (vocab.rest is None) == (known == 300_000)
-        assert by_class[lm._shape("rather")] == 16 and by_class.sum() == 9 * lm.WORDS + 16
-        model = lm.MaskedModel(vocab, some_model().weights)
+        assert tuple(vocab) == tuple(want_vocab) and vocab.tokens == 9 * lm.WORDS + sum(counts.values()) + 1
+        assert (vocab.totals == want_vocab.totals).all()
+        model = lm.MaskedModel(vocab, some_weights())
         rows = {r.doc_id: r for r in lm.score(docs, model).collect()}
         for i, t in enumerate(texts):
-            want = plain_score(t or "", model) + sum(np.log(share.get(w, 1)) for w in (t or "").split())
+            want = plain_score(t, want_vocab, model.weights)
             assert rows[i].n_tokens == len((t or "").split())
             assert abs(rows[i].log_prob - want) < 1e-3 * max(1, abs(want))
             assert (rows[i].mean_log_prob is None) == (not t)
@@ -99,8 +170,8 @@ def test_every_counted_word_has_its_own_probability(spark, monkeypatch):
 def test_all_documents_train_once(spark, monkeypatch):
     seen = []
 
-    def noted(share, model, rate):
-        seen.extend(r.text for r in share.collect())
+    def noted(turn, streams, model, rate):
+        seen.extend(r.text for r in turn.collect())
         return model.weights
 
     monkeypatch.setattr(lm, "_round", noted)
@@ -113,24 +184,43 @@ def test_all_documents_train_once(spark, monkeypatch):
     assert len(seen) == 20
 
 
+def test_streams_grow_with_the_tokens(spark, monkeypatch):
+    got = []
+
+    def noted(turn, streams, model, rate):
+        got.append((streams, turn.select("stream").distinct().count()))
+        return model.weights
+
+    monkeypatch.setattr(lm, "_round", noted)
+    monkeypatch.setattr(lm, "STREAM_TOKENS", 10)
+    docs = spark.createDataFrame([(i, "same text again") for i in range(400)], "doc_id bigint, text string")
+    lm.train(docs)
+    assert [s for s, _ in got] == [60, 60] and min(n for _, n in got) > 40  # copies are spread
+
+
 def test_small_tables_and_null_ids_are_learned(spark):
     docs = spark.createDataFrame([(None, f"one two three four five {i}") for i in range(40)], "doc_id bigint, text string")
     model = lm.train(docs)
-    start = lm.start_weights(lm.vocabulary(lm.word_counts(docs))[1])
-    assert not np.allclose(model.weights, start)
-
-
-def test_gradient_steps_go_down_the_slope():
-    ids = np.concatenate([[lm.EDGE] * lm.SIDE, np.tile([3, 5, 200, 9, lm.EDGE, lm.EDGE], 40), [lm.EDGE] * lm.SIDE]).astype(np.int32)
-    flat = lm.start_weights(np.ones(lm.VOCAB)).astype(np.float64)
-    inside = ids[lm.SIDE:-lm.SIDE] < lm.VOCAB
-    loss = lambda w: -lm.log_probs(ids, lm.unflatten(w.astype(np.float64)))[inside].astype(float).mean()
-    step = flat - lm.train_pass(ids, flat, rate=1e-3, batch=10_000)
-    n_emb = int(np.prod(lm._sizes()[0]))
-    step[:n_emb] /= 4
-    slope = step / 1e-3
-    for at in (3 * lm.HIDDEN + 1, n_emb + 5, n_emb + 200, len(flat) - lm.VOCAB + 200):
-        up, down = flat.copy(), flat.copy()
-        up[at] += 0.05
-        down[at] -= 0.05
-        assert abs((loss(up) - loss(down)) / 0.1 - slope[at]) < 1e-3 + 0.02 * abs(slope[at])
+    assert not np.allclose(model.weights, lm.start_weights(model.words))
+
+
+def test_gradients_are_the_slope():
+    vocab = counted_vocabulary([" ".join(f"w{i}" for i in range(lm.WORDS)) * 3, "gather lather rather"])
+    places = lm._Places(vocab)
+    tokens = places.tokens(lm._joined(["w1 gather w2", "w3 rather unseen w1 lather w2 w2"] * 20, places)[0])
+    flat = some_weights().astype(np.float64)
+    here = np.flatnonzero(tokens.classes >= 0)
+    loss = lambda w: -float(lm.log_probs(tokens, lm.unflatten(w))[here].astype(float).mean())
+    near, back, d_out, d_bias, d_part, shapes, d_shift = lm.gradients(tokens, here, lm.unflatten(flat))
+    slope = [np.zeros(s) for s in lm._sizes()]
+    for e, c in zip(slope[0], near):
+        np.add.at(e, c, back)
+    slope[1][:], slope[2][:], slope[3][:], slope[4][shapes] = d_out, d_bias, d_part, d_shift
+    slope = np.concatenate([x.ravel() for x in slope])
+    starts = np.cumsum([0] + [int(np.prod(s)) for s in lm._sizes()])
+    for a, b in zip(starts, starts[1:]):
+        for at in a + np.argsort(-np.abs(slope[a:b]))[:3]:
+            up, down = flat.copy(), flat.copy()
+            up[at] += 0.05
+            down[at] -= 0.05
+            assert abs((loss(up) - loss(down)) / 0.1 - slope[at]) < 1e-3 + 0.02 * abs(slope[at])
