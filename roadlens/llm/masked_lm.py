@@ -42,7 +42,7 @@ WORDS, SHAPES, PARTS = 64, 64, 64
 #: Words with an embedding of their own, embeddings of a part, places on each side, hidden units.
 OWN, FINE, SIDE, HIDDEN = 4096, 2, 2, 16
 #: Rounds of averaging, each over its share of all documents; tokens a step; rate.
-ROUNDS, BATCH, RATE = 2, 1024, 1.0
+ROUNDS, BATCH, RATE = 2, 2048, 1.5
 #: Tokens of a training stream on average, and streams of a task where there are many.
 STREAM_TOKENS, TASK_STREAMS = 750_000, 20
 #: Letters of the texts that a stream reads before it takes its steps, and weights of a stored row.
@@ -316,7 +316,7 @@ def _group_sums(keys: np.ndarray, values: np.ndarray) -> tuple[np.ndarray, np.nd
     return keys.take(starts), np.add.reduceat(values.take(order, 0), starts, 0), np.diff(np.append(starts, len(keys)))
 
 
-def gradients(tokens: Tokens, here: np.ndarray, weights: list[np.ndarray]) -> tuple:
+def gradients(tokens: Tokens, here: np.ndarray, weights: list[np.ndarray], bounds: tuple[float, float] = (np.inf, np.inf)) -> tuple:
     """Slopes of the mean negative log-probability of the tokens ``here``:
     ``(near, back, out, bias, part, shift classes, shift)``, where ``back`` is
     that of every token's summed embeddings."""
@@ -324,7 +324,6 @@ def gradients(tokens: Tokens, here: np.ndarray, weights: list[np.ndarray]) -> tu
     near = _near(tokens.rows, here)
     h = _hidden(near, emb)
     cls, sub = tokens.classes.take(here), tokens.parts.take(here)
-    bounds = _bounds(weights)
     z, _ = _exp_logits(_logits(h, out, bias), cls, bounds[0])
     z *= (1 / (_row_sums(z) * len(here)))[:, None]
     z[np.arange(len(here)), cls] -= 1 / len(here)
@@ -349,18 +348,19 @@ def train_pass(tokens: Tokens, flat: np.ndarray, rate: float = RATE, batch: int
     rare words move too."""
     weights = unflatten(flat)
     emb, out, bias, part, shift = weights
+    every = emb.reshape(-1, HIDDEN)  # a view: the embeddings of all window places under numbers of their own
     words = np.flatnonzero(tokens.classes >= 0)
     for at in np.random.default_rng(5).permutation(np.arange(0, len(words), batch)):
         here = words[at:at + batch]
-        near, back, d_out, d_bias, d_part, shapes, d_shift = gradients(tokens, here, weights)
+        near, back, d_out, d_bias, d_part, shapes, d_shift = gradients(tokens, here, weights, _bounds(weights))
         out -= rate * d_out
         bias -= rate * d_bias
         if d_part is not None:
             part -= rate * d_part
             shift[shapes] -= rate * d_shift
-        for e, c in zip(emb, near):
-            rows, step, n = _group_sums(c, back)
-            e[rows] -= rate * np.sqrt(len(here) / n, dtype=np.float32)[:, None] * step
+        rows, step, n = _group_sums(np.concatenate([c + np.uint16(i * ROWS) for i, c in enumerate(near)]), np.concatenate([back] * len(near)))
+        step *= (rate * np.sqrt(len(here) / n)).astype(step.dtype)[:, None]
+        every[rows] -= step
     np.clip(flat, -12, 12, out=flat)
 
 
@@ -468,7 +468,7 @@ def _round(turn: DataFrame, streams: int, model: MaskedModel, rate: float) -> np
              .sortWithinPartitions("stream", "key", "text"))
     trained = written(dealt.mapInArrow(run, WEIGHT_ROWS).withColumn("task", F.spark_partition_id()), "weights")
     some = math.isqrt(tasks) + 1
-    sums = written(trained.repartition(some, F.pmod("task", F.lit(some)), "at").drop("task").mapInArrow(_added, WEIGHT_ROWS), "sums")
+    sums = written(trained.repartition(tasks, F.pmod("task", F.lit(some)), "at").drop("task").mapInArrow(_added, WEIGHT_ROWS), "sums")
     mean = sums.repartition(some, "at").mapInArrow(_added, WEIGHT_ROWS).orderBy("at").collect()
     drop_written(trained)
     drop_written(sums)
