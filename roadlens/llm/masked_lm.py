@@ -13,8 +13,9 @@ The sum of the tokens' conditional log-probabilities scores a document.
 The vocabulary is every word of all documents with its true count, so it
 grows with the input.  The counts of a bounded number of frequent words go
 with the tasks; those of all other words stay a table and are joined to the
-words that the tasks could not look up.  The network is trained in numpy on
-the executors, in one pass over all documents.  Texts are dealt by a hash to
+words that the tasks could not look up.  Texts are cut into words and looked
+up once; training and scoring read the places of the words.  The network is
+trained in numpy on the executors, in one pass over all documents.  Texts are dealt by a hash to
 training streams, whose number follows from the tokens and not from the
 cluster, and are ordered inside a stream; a stream goes over its texts from
 the round's weights, and Spark averages the streams' weights in several
@@ -45,6 +46,8 @@ OWN, FINE, SIDE, HIDDEN = 4096, 2, 2, 16
 ROUNDS, BATCH, RATE = 2, 2048, 1.5
 #: Tokens of a training stream on average, and streams of a task where there are many.
 STREAM_TOKENS, TASK_STREAMS = 750_000, 20
+#: Rows of an embedding's step that are added one after the other.
+LEVELS = 8
 #: Letters of the texts that a stream reads before it takes its steps, and weights of a stored row.
 LETTERS, WEIGHTS_ROW = 250_000, 16_384
 #: Different words that a task counts before it hands them on.
@@ -270,12 +273,6 @@ def _exp_logits(z: np.ndarray, own: np.ndarray, bound: float) -> tuple[np.ndarra
     return np.exp(z, out=z), picked
 
 
-def _logits(h: np.ndarray, out: np.ndarray, bias: np.ndarray) -> np.ndarray:
-    z = h @ out
-    z += bias
-    return z
-
-
 def _row_sums(z: np.ndarray) -> np.ndarray:
     return z @ np.ones(z.shape[1], z.dtype)
 
@@ -287,59 +284,115 @@ def _bounds(weights: list[np.ndarray]) -> tuple[float, float]:
     return float((np.abs(out).sum(0) + np.abs(bias)).max()), float(np.abs(part).sum(0).max() + np.abs(shift).max())
 
 
+class _Room:
+    """Arrays for ``n`` tokens at a time, made once: the hidden state and a 1
+    behind it, the logits of the classes, and those of the parts."""
+
+    def __init__(self, n: int, kind: np.dtype):
+        self.hidden = np.ones((n, HIDDEN + 1), kind)
+        self.classes, self.parts = np.empty((n, CLASSES), kind), np.empty((n, PARTS), kind)
+
+
+class _Step(NamedTuple):
+    """The network over some tokens in the order of their classes: their places
+    (in ``near`` their neighbours'), where those with a part begin, the parts,
+    and of classes and parts the exps of the logits, the own logits, and the
+    sums of the exps (see ``_exp_logits``)."""
+    here: np.ndarray
+    classes: np.ndarray
+    near: list[np.ndarray]
+    hidden: np.ndarray
+    first: int
+    parts: np.ndarray
+    z: np.ndarray
+    own: np.ndarray
+    z_sums: np.ndarray
+    y: np.ndarray
+    inner: np.ndarray
+    y_sums: np.ndarray
+
+
+def _step(tokens: Tokens, here: np.ndarray, weights: list[np.ndarray], bounds: tuple[float, float], room: _Room) -> _Step:
+    emb, out, bias, part, shift = weights
+    cls = tokens.classes.take(here)
+    order = np.argsort(cls.astype(np.uint16), kind="stable")
+    here, cls = here.take(order), cls.take(order)
+    first = int(np.searchsorted(cls, WORDS))
+    near, h = _near(tokens.rows, here), room.hidden[:len(here)]
+    h[:, :HIDDEN] = _hidden(near, emb)
+    z, own = _exp_logits(np.matmul(h, np.vstack((out, bias)), out=room.classes[:len(here)]), cls, bounds[0])
+    y, sub = np.matmul(h[first:, :HIDDEN], part, out=room.parts[:len(here) - first]), tokens.parts.take(here[first:])
+    y += shift.take(cls[first:] - WORDS, 0)
+    if len(y):
+        y, inner = _exp_logits(y, sub, bounds[1])
+    else:
+        inner = np.empty(0, y.dtype)
+    return _Step(here, cls, near, h, first, sub, z, own, _row_sums(z), y, inner, _row_sums(y))
+
+
 def log_probs(tokens: Tokens, weights: list[np.ndarray], chunk: int = 1024) -> np.ndarray:
     """Log-probability of every token's class and part given both sides, by
     place; 0 at the edges.  Texts have ``SIDE`` edges before and behind."""
-    emb, out, bias, part, shift = weights
     got = np.zeros(len(tokens.rows), np.float32)
     words = np.flatnonzero(tokens.classes >= 0)
-    bounds = _bounds(weights)
+    bounds, room = _bounds(weights), _Room(min(chunk, len(words)), weights[1].dtype)
     for at in range(0, len(words), chunk):
-        here = words[at:at + chunk]
-        h = _hidden(_near(tokens.rows, here), emb)
-        cls, sub = tokens.classes.take(here), tokens.parts.take(here)
-        z, own = _exp_logits(_logits(h, out, bias), cls, bounds[0])
-        total = own - np.log(_row_sums(z))
-        inner = np.flatnonzero(sub >= 0)
-        z = _logits(h.take(inner, 0), part, shift.take(cls.take(inner) - WORDS, 0))
-        z, own = _exp_logits(z, sub.take(inner), bounds[1])
-        total[inner] += own - np.log(_row_sums(z))
-        got[here] = total
+        s = _step(tokens, words[at:at + chunk], weights, bounds, room)
+        total = s.own - np.log(s.z_sums)
+        total[s.first:] += s.inner - np.log(s.y_sums)
+        got[s.here] = total
     return got
 
 
 def _group_sums(keys: np.ndarray, values: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-    """The different keys, and the sums and numbers of their rows of ``values``."""
+    """The different keys, most frequent first, and the sums and numbers of
+    their rows of ``values`` (which start again where there are more keys than
+    rows).  Most keys come once or a few times: the first rows of all are added
+    one after the other, and what is left of the frequent ones at once."""
     order = np.argsort(keys, kind="stable")
     keys = keys.take(order)
     starts = np.flatnonzero(np.append(True, keys[1:] != keys[:-1]))
-    return keys.take(starts), np.add.reduceat(values.take(order, 0), starts, 0), np.diff(np.append(starts, len(keys)))
-
-
-def gradients(tokens: Tokens, here: np.ndarray, weights: list[np.ndarray], bounds: tuple[float, float] = (np.inf, np.inf)) -> tuple:
+    n = np.diff(np.append(starts, len(keys)))
+    by = np.argsort(-np.minimum(n, LEVELS + 1).astype(np.int16), kind="stable")
+    starts, n = starts.take(by), n.take(by)
+    sums = values.take(order.take(starts), 0, mode="wrap")
+    for j in range(1, LEVELS):
+        more = int(np.count_nonzero(n > j))
+        sums[:more] += values.take(order.take(starts[:more] + j), 0, mode="wrap")
+    more = int(np.count_nonzero(n > LEVELS))
+    if more:
+        left = n[:more] - LEVELS
+        begin = np.cumsum(left) - left
+        at = np.arange(left.sum()) + np.repeat(starts[:more] + LEVELS - begin, left)
+        sums[:more] += np.add.reduceat(values.take(order.take(at), 0, mode="wrap"), begin, 0)
+    return keys.take(starts), sums, n
+
+
+def gradients(tokens: Tokens, here: np.ndarray, weights: list[np.ndarray], bounds: tuple[float, float] = (np.inf, np.inf),
+              room: _Room | None = None) -> tuple:
     """Slopes of the mean negative log-probability of the tokens ``here``:
     ``(near, back, out, bias, part, shift classes, shift)``, where ``back`` is
-    that of every token's summed embeddings."""
+    that of every token's summed embeddings; both in the order of classes."""
     emb, out, bias, part, shift = weights
-    near = _near(tokens.rows, here)
-    h = _hidden(near, emb)
-    cls, sub = tokens.classes.take(here), tokens.parts.take(here)
-    z, _ = _exp_logits(_logits(h, out, bias), cls, bounds[0])
-    z *= (1 / (_row_sums(z) * len(here)))[:, None]
-    z[np.arange(len(here)), cls] -= 1 / len(here)
-    back, d_out, d_bias = z @ out.T, h.T @ z, z.sum(0)
-    inner = np.flatnonzero(sub >= 0)
+    s = _step(tokens, here, weights, bounds, room or _Room(len(here), out.dtype))
+    # the sums stand in for the 1 of the own class: what is narrow is divided by them
+    s.z[np.arange(len(here)), s.classes] -= s.z_sums
+    share = (1 / (s.z_sums * len(here)))[:, None]
+    back, d_out = s.z @ out.T, (s.hidden * share).T @ s.z
+    back *= share
     d_part, shapes, d_shift = None, None, None
-    if len(inner):
-        inside, shape = h.take(inner, 0), (cls.take(inner) - WORDS).astype(np.uint16)
-        y, _ = _exp_logits(_logits(inside, part, shift.take(shape, 0)), sub.take(inner), bounds[1])
-        y *= (1 / (_row_sums(y) * len(here)))[:, None]
-        y[np.arange(len(inner)), sub.take(inner)] -= 1 / len(here)
-        back[inner] += y @ part.T
-        d_part = inside.T @ y
-        shapes, d_shift, _ = _group_sums(shape, y)
+    if s.first < len(here):
+        y, shape, inside = s.y, s.classes[s.first:] - WORDS, s.hidden[s.first:, :HIDDEN]
+        y[np.arange(len(y)), s.parts] -= s.y_sums
+        share = 1 / (s.y_sums * len(here))
+        back[s.first:] += (y @ part.T) * share[:, None]
+        d_part = (inside * share[:, None]).T @ y
+        starts = np.flatnonzero(np.append(True, shape[1:] != shape[:-1]))
+        shapes, ends = shape.take(starts), np.append(starts[1:], len(y))
+        d_shift = np.stack([share[a:b] @ y[a:b] for a, b in zip(starts, ends)])
+    h = s.hidden[:, :HIDDEN]
     back *= 1 - h * h
-    return near, back, d_out, d_bias, d_part, shapes, d_shift
+    return s.near, back, d_out[:HIDDEN], d_out[HIDDEN], d_part, shapes, d_shift
 
 
 def train_pass(tokens: Tokens, flat: np.ndarray, rate: float = RATE, batch: int = BATCH) -> None:
@@ -350,27 +403,57 @@ def train_pass(tokens: Tokens, flat: np.ndarray, rate: float = RATE, batch: int
     emb, out, bias, part, shift = weights
     every = emb.reshape(-1, HIDDEN)  # a view: the embeddings of all window places under numbers of their own
     words = np.flatnonzero(tokens.classes >= 0)
+    room = _Room(min(batch, len(words)), flat.dtype)
     for at in np.random.default_rng(5).permutation(np.arange(0, len(words), batch)):
         here = words[at:at + batch]
-        near, back, d_out, d_bias, d_part, shapes, d_shift = gradients(tokens, here, weights, _bounds(weights))
+        near, back, d_out, d_bias, d_part, shapes, d_shift = gradients(tokens, here, weights, _bounds(weights), room)
         out -= rate * d_out
         bias -= rate * d_bias
         if d_part is not None:
             part -= rate * d_part
             shift[shapes] -= rate * d_shift
-        rows, step, n = _group_sums(np.concatenate([c + np.uint16(i * ROWS) for i, c in enumerate(near)]), np.concatenate([back] * len(near)))
+        rows, step, n = _group_sums(np.concatenate([c + np.uint16(i * ROWS) for i, c in enumerate(near)]), back)
         step *= (rate * np.sqrt(len(here) / n)).astype(step.dtype)[:, None]
-        every[rows] -= step
+        every[rows] = every.take(rows, 0) - step
     np.clip(flat, -12, 12, out=flat)
 
 
-def _joined(texts: list[str], known: _Places) -> tuple[np.ndarray, list[int]]:
+def _between(each: list[np.ndarray]) -> tuple[np.ndarray, list[int]]:
     """Edge-padded places of several texts, edges between them, and their lengths."""
     edge = np.full(SIDE, EDGE, np.int32)
-    each = [_place_ids(t, known) for t in texts]
     return np.concatenate([edge] + [x for ids in each for x in (ids, edge)]), [len(ids) for ids in each]
 
 
+def _joined(texts: list[str], known: _Places) -> tuple[np.ndarray, list[int]]:
+    return _between([_place_ids(t, known) for t in texts])
+
+
+def placed(docs: DataFrame, vocab: Vocabulary) -> DataFrame:
+    """``docs`` with ``(letters, places, others)`` for ``text``: the length
+    (null for a null text), the places of all its words as 32-bit numbers, and,
+    where the vocabulary has a ``rest``, the words that the tasks could not look
+    up.  Texts are cut and looked up here alone; training and scoring read this."""
+    places, open_words = _places(vocab), vocab.rest is not None
+    src = docs.select(*(c for c in docs.columns if c != "text"), "text")
+    kept = [f"`{f.name}` {f.dataType.simpleString()}" for f in src.schema.fields[:-1]]
+
+    def run(batch: pa.RecordBatch):
+        known, ids, others = places(), [], []
+        texts = batch.column(len(kept)).to_pylist()
+        known.noted()
+        for text in texts:
+            ids.append(_place_ids(text or "", known).tobytes())
+            noted = known.noted()
+            others.append(noted if open_words else [])
+        return *batch.columns[:-1], [None if t is None else len(t) for t in texts], ids, others
+
+    return map_batches(src, run, ", ".join([*kept, "letters bigint", "places binary", "others array<string>"]), 256)
+
+
+def _keyed(docs: DataFrame) -> DataFrame:
+    return docs.withColumn("key", F.xxhash64("text", F.col("doc_id").cast("string")))
+
+
 def train(docs: DataFrame, every: int = 1, rounds: int = ROUNDS) -> MaskedModel:
     """The model of ``(doc_id, text)`` rows: counts over all of them, and one
     pass of training over all of them, null ids too.  With ``every`` above 1,
@@ -385,8 +468,12 @@ def train(docs: DataFrame, every: int = 1, rounds: int = ROUNDS) -> MaskedModel:
         held = share.where(F.crc32(F.col("doc_id").cast("string")) % every == 0)
         if held.where(F.col("text").rlike(r"\S")).limit(1).count():
             share = held
+    return _fit(_keyed(share).select("text", "key"), vocab, rounds)
+
+
+def _fit(keyed: DataFrame, vocab: Vocabulary, rounds: int = ROUNDS) -> MaskedModel:
+    """One pass of training over the rows, which hold a ``text`` or are ``placed``."""
     streams = max(1, math.ceil(vocab.tokens / rounds / STREAM_TOKENS))
-    keyed = share.select("text", F.xxhash64("text", F.col("doc_id").cast("string")).alias("key"))
     keyed = keyed.withColumn("stream", F.pmod(F.shiftright("key", 8), F.lit(streams)))
     model = MaskedModel(vocab, start_weights(vocab))
     for r in range(rounds):
@@ -403,12 +490,13 @@ def _places(vocab: Vocabulary) -> Callable[[], _Places]:
     return lambda: process_cache(key, lambda: _Places(Vocabulary.of(*parts, None)))
 
 
-def _stream_texts(batches: Iterator[pa.RecordBatch]) -> Iterator[tuple[int, list[str], bool]]:
-    """``(stream, texts, whether the stream ends)``: stretches of a stream of
-    about ``LETTERS`` letters, the same however the rows are cut into batches."""
+def _stream_texts(batches: Iterator[pa.RecordBatch]) -> Iterator[tuple[int, list[np.ndarray], bool]]:
+    """``(stream, places of texts, whether the stream ends)``: stretches of a
+    stream of about ``LETTERS`` letters, the same however the rows are cut into
+    batches."""
     stream, texts, letters = None, [], 0
     for batch in batches:
-        for text, of in zip(batch.column(0).to_pylist(), batch.column(2).to_pylist()):
+        for places, n, of in zip(*(batch.column(i).to_pylist() for i in range(3))):
             if stream is not None and of != stream:
                 yield stream, texts, True
                 texts, letters = [], 0
@@ -416,8 +504,8 @@ def _stream_texts(batches: Iterator[pa.RecordBatch]) -> Iterator[tuple[int, list
                 yield stream, texts, False
                 texts, letters = [], 0
             stream = of
-            texts.append(text)
-            letters += len(text)
+            texts.append(np.frombuffer(places, np.int32))
+            letters += n
     if stream is not None:
         yield stream, texts, True
 
@@ -452,8 +540,7 @@ def _round(turn: DataFrame, streams: int, model: MaskedModel, rate: float) -> np
         known, total, weight = places(), 0, np.zeros(len(start) // 4)
         own, seen = np.frombuffer(start, np.float32).copy(), 0
         for _, texts, ends in _stream_texts(batches):
-            tokens = known.tokens(_joined(texts, known)[0])
-            known.noted()
+            tokens = known.tokens(_between(texts)[0])
             seen += int((tokens.classes >= 0).sum())
             train_pass(tokens, own, rate)
             if ends:
@@ -464,8 +551,9 @@ def _round(turn: DataFrame, streams: int, model: MaskedModel, rate: float) -> np
 
     spread = int(turn.sparkSession.conf.get("spark.sql.shuffle.partitions"))
     tasks = min(streams, max(spread, math.ceil(streams / TASK_STREAMS)))
-    dealt = (turn.select("text", "key", "stream").repartitionById(tasks, F.pmod("stream", F.lit(tasks)).cast("int"))
-             .sortWithinPartitions("stream", "key", "text"))
+    read = turn if "places" in turn.columns else placed(turn, model.words)
+    dealt = (read.select("places", "letters", "stream", "key").repartitionById(tasks, F.pmod("stream", F.lit(tasks)).cast("int"))
+             .sortWithinPartitions("stream", "key", "places"))
     trained = written(dealt.mapInArrow(run, WEIGHT_ROWS).withColumn("task", F.spark_partition_id()), "weights")
     some = math.isqrt(tasks) + 1
     sums = written(trained.repartition(tasks, F.pmod("task", F.lit(some)), "at").drop("task").mapInArrow(_added, WEIGHT_ROWS), "sums")
@@ -483,46 +571,46 @@ def score(docs: DataFrame, model: MaskedModel, doc_id: str = "doc_id", text: str
     tokens, sum 0 and mean null.  Whole texts are scored; ids may be null or
     repeated, other columns are ignored, an empty table gives an empty
     result."""
+    src = docs.select(F.col(doc_id).alias("doc_id"), F.col(text).alias("text")).withColumn("row", F.monotonically_increasing_id())
+    read = placed(src, model.words)
+    return _scored(read if model.words.rest is None else written(read, "placed"), model)
+
+
+def _scored(read: DataFrame, model: MaskedModel) -> DataFrame:
+    """``score`` of ``placed`` rows with a ``row`` number; a table where the vocabulary has a ``rest``."""
     flat, places, rest = model.weights, _places(model.words), model.words.rest
-    open_words = rest is not None
 
     def run(batch: pa.RecordBatch):
         known, weights = places(), unflatten(flat)
-        texts = [t or "" for t in batch.column(1).to_pylist()]
-        n, total, others = [], [], []
+        texts = [np.frombuffer(p, np.int32) for p in batch.column(2).to_pylist()]
+        n, total = [], []
         for at in range(0, len(texts), 32):
-            known.noted()
-            ids, lengths = _joined(texts[at:at + 32], known)
-            noted = known.noted()
+            ids, lengths = _between(texts[at:at + 32])
             got = log_probs(known.tokens(ids), weights).astype(np.float64)
             got += known.logs.take(ids)
             ends = np.cumsum([SIDE] + [m + SIDE for m in lengths])
             total += np.add.reduceat(got, ends[:-1]).tolist()  # edges count 0
             n += lengths
-            if open_words:
-                # the noted words stand in the order of the places of leaves
-                cuts = np.append(0, np.cumsum(np.add.reduceat(ids < EDGE, ends[:-1], dtype=np.int64)))
-                others += [noted[a:b] for a, b in zip(cuts, cuts[1:])]
         total = [s if m else 0.0 for s, m in zip(total, n)]
-        if open_words:
-            return batch.column(0), n, total, batch.column(2), others
-        return batch.column(0), n, total, [s / m if m else None for s, m in zip(total, n)]
-
-    src = docs.select(F.col(doc_id).alias("doc_id"), F.col(text).alias("text"))
-    kind = src.schema["doc_id"].dataType.simpleString()
-    if not open_words:
-        return map_batches(src, run, f"doc_id {kind}, n_tokens bigint, log_prob double, mean_log_prob double", 256)
-    rows = written(map_batches(src.withColumn("row", F.monotonically_increasing_id()), run,
-                               f"doc_id {kind}, n_tokens bigint, log_prob double, row bigint, others array<string>", 256), "scored")
+        return batch.column(0), batch.column(1), n, total, [s / m if m else None for s, m in zip(total, n)]
+
+    kind = read.schema["doc_id"].dataType.simpleString()
+    rows = map_batches(read.select("doc_id", "row", "places"), run,
+                       f"doc_id {kind}, row bigint, n_tokens bigint, log_prob double, mean_log_prob double", 256)
+    if rest is None:
+        return rows.drop("row")
+    rows = written(rows, "scored")
     # a word that occurs n times has n times the share of one that occurs once
-    more = (rows.select("row", F.explode("others").alias("word")).join(rest, "word")
+    more = (read.select("row", F.explode("others").alias("word")).join(rest, "word")
             .groupBy("row").agg(F.sum(F.log("n")).alias("more")))
     total = F.col("log_prob") + F.coalesce("more", F.lit(0.0))
-    return rows.drop("others").join(more, "row", "left").select(
+    return rows.join(more, "row", "left").select(
         "doc_id", "n_tokens", total.alias("log_prob"), F.when(F.col("n_tokens") > 0, total / F.col("n_tokens")).alias("mean_log_prob"))
 
 
 def score_documents(docs: DataFrame, doc_id: str = "doc_id", text: str = "text") -> DataFrame:
-    """Trains on ``docs`` and scores all of them."""
+    """Trains on ``docs`` and scores all of them, from one table of their places."""
     src = docs.select(F.col(doc_id).alias("doc_id"), F.col(text).alias("text"))
-    return score(src, train(src))
+    vocab = vocabulary(written(word_counts(src), "words"))
+    read = written(placed(_keyed(src).withColumn("row", F.monotonically_increasing_id()), vocab), "placed")
+    return _scored(read, _fit(read.where("letters is not null"), vocab))

@@ -224,3 +224,50 @@ def test_gradients_are_the_slope():
             up[at] += 0.05
             down[at] -= 0.05
             assert abs((loss(up) - loss(down)) / 0.1 - slope[at]) < 1e-3 + 0.02 * abs(slope[at])
+
+
+def test_words_are_looked_up_once(spark, monkeypatch):
+    """Training and scoring of a table read the same places, and give what
+    training and scoring of the texts give."""
+    seen, plain = [], lm._round
+
+    def noted(turn, streams, model, rate):
+        seen.append(set(turn.columns))
+        return plain(turn, streams, model, rate)
+
+    monkeypatch.setattr(lm, "_round", noted)
+    rows = [(i % 50 or None, f"one two, thrée {i % 7} four{i}") for i in range(90)] + [(7, None), (7, None), (8, " \n"), (None, "")]
+    docs = spark.createDataFrame(rows, "doc_id bigint, text string")
+    rank = lambda df: sorted(((r.doc_id or 0, r.n_tokens, r.log_prob) for r in df.collect()))
+    for known in (lm.KNOWN_WORDS, 0):  # without and with words that are joined
+        monkeypatch.setattr(lm, "KNOWN_WORDS", known)
+        monkeypatch.setattr(lm, "OWN", lm.WORDS)
+        seen.clear()
+        got = rank(lm.score_documents(docs))
+        assert len(seen) == lm.ROUNDS and all("places" in c and "text" not in c for c in seen)
+        want = rank(lm.score(docs, lm.train(docs)))
+        assert len(got) == len(rows) and [g[:2] for g in got] == [w[:2] for w in want]
+        assert all(g[2] == pytest.approx(w[2], rel=1e-5) for g, w in zip(got, want))
+
+
+def test_group_sums_are_plain_sums():
+    rng = np.random.default_rng(4)
+    for n, most in ((1, 1), (50, 400), (300, 40), (2000, 90), (400, 1)):
+        keys = (rng.random(4 * n) ** 3 * most).astype(np.uint16)  # more keys than rows
+        values = rng.standard_normal((n, 3))
+        want = np.zeros((most, 3))
+        np.add.at(want, keys, np.concatenate([values] * 4))
+        got, sums, numbers = lm._group_sums(keys, values)
+        assert sorted(got) == sorted(set(keys)) and (numbers == np.bincount(keys, minlength=most)[got]).all()
+        assert np.allclose(sums, want[got])
+
+
+def test_a_used_room_changes_nothing():
+    vocab = counted_vocabulary([" ".join(f"w{i}" for i in range(lm.WORDS)) * 3, "gather lather rather"])
+    places, weights = lm._Places(vocab), lm.unflatten(some_weights())
+    tokens = places.tokens(lm._joined(["w1 gather w2", "w3 rather unseen w1 lather w2 w2"] * 9, places)[0])
+    words = np.flatnonzero(tokens.classes >= 0)
+    room = lm._Room(len(words), np.float32)
+    for here in (words, words[:5], words[::3], words[tokens.parts[words] < 0]):  # the last: no word with a part
+        for a, b in zip(lm.gradients(tokens, here, weights), lm.gradients(tokens, here, weights, room=room)):
+            assert (a is None) == (b is None) and (a is None or np.array_equal(a, b))
