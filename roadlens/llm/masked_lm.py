@@ -215,7 +215,8 @@ def vocabulary(counted: DataFrame) -> Vocabulary:
         least = low
     first = {w for w, _ in top}
     frequent = counted.where(F.col("n") >= least).select("word", "n").toArrow().to_pydict()
-    keep = [(w, n) for w, n in zip(frequent["word"], frequent["n"]) if w not in first]
+    # by frequency: what is looked up often lies side by side in a task's memory
+    keep = sorted(((w, n) for w, n in zip(frequent["word"], frequent["n"]) if w not in first), key=lambda x: (-x[1], x[0]))
     # the most frequent words are all words down to the last of them, in the order of the words
     last, last_n = top[-1] if top else ("", 0)
     behind = (F.col("n") < last_n) | ((F.col("n") == last_n) & (F.col("word") > last))
@@ -330,7 +331,7 @@ def _step(tokens: Tokens, here: np.ndarray, weights: list[np.ndarray], bounds: t
     return _Step(here, cls, near, h, first, sub, z, own, _row_sums(z), y, inner, _row_sums(y))
 
 
-def log_probs(tokens: Tokens, weights: list[np.ndarray], chunk: int = 1024) -> np.ndarray:
+def log_probs(tokens: Tokens, weights: list[np.ndarray], chunk: int = 2048) -> np.ndarray:
     """Log-probability of every token's class and part given both sides, by
     place; 0 at the edges.  Texts have ``SIDE`` edges before and behind."""
     got = np.zeros(len(tokens.rows), np.float32)
@@ -389,7 +390,9 @@ def gradients(tokens: Tokens, here: np.ndarray, weights: list[np.ndarray], bound
         d_part = (inside * share[:, None]).T @ y
         starts = np.flatnonzero(np.append(True, shape[1:] != shape[:-1]))
         shapes, ends = shape.take(starts), np.append(starts[1:], len(y))
-        d_shift = np.stack([share[a:b] @ y[a:b] for a, b in zip(starts, ends)])
+        d_shift = np.empty((len(starts), PARTS), y.dtype)
+        for i, (a, b) in enumerate(zip(starts.tolist(), ends.tolist())):
+            np.dot(share[a:b], y[a:b], out=d_shift[i])
     h = s.hidden[:, :HIDDEN]
     back *= 1 - h * h
     return s.near, back, d_out[:HIDDEN], d_out[HIDDEN], d_part, shapes, d_shift
